@@ -7,10 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, simhash
+from . import decontaminate, line_dedup, pieces, simhash, toxicity
 from .common import table
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled segmentation of every text, decoded again and held against the text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = pieces.decode(pieces.encode(docs))
+    given = F.coalesce("text", F.lit(""))
+    return both.select(
+        "doc_id", F.char_length(given).cast("long").alias("n_chars"), F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_xxh64"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), (F.col("decoded") == given).alias("lossless"),
+    )
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").where(toxicity.may_teach()))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (~toxicity.may_teach()).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -26,7 +44,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op7_toxicity": op7_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_line_dedup": op10_line_dedup,
 }
