@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, pieces, simhash, toxicity
+from . import decontaminate, line_dedup, pieces, simhash, substring_dedup, toxicity
 from .common import table
 
 
@@ -22,6 +22,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels").where(toxicity.may_teach()))
@@ -45,6 +50,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op7_toxicity": op7_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
@@ -55,6 +61,15 @@ ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrst
 OP9_WORDS = "list_filter(regexp_split_to_array(" + ASCII_LOWER.format("coalesce(text, '')") + r", '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
 ORACLE: dict[str, str] = {
+    "op2_substring_dedup": r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 34), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+r AS (SELECT g FROM p GROUP BY g HAVING count(*) > 1),
+c AS (SELECT DISTINCT doc_id, j FROM (SELECT doc_id, unnest(range(i, i + 35)) AS j FROM p JOIN r USING (g))),
+k AS (SELECT d.doc_id, j, x FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS j FROM d) d ANTI JOIN c USING (doc_id, j)),
+t AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY j) AS s FROM k GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)""",
     "op9_benchmark_decontamination": f"""
 WITH d AS (SELECT doc_id, {OP9_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {OP9_WORDS} AS w FROM benchmark),
