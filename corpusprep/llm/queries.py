@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, pieces, simhash, substring_dedup, toxicity
+from . import decontaminate, line_dedup, pieces, pii, simhash, substring_dedup, toxicity
 from .common import table
 
 
@@ -27,6 +27,18 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def _is(kind: str):
+    return lambda span: span["kind"] == kind
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_<kind> counts the base spans; spans lists base and added ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, pii.train(docs))
+    counts = [F.size(F.filter("base_spans", _is(kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.spell("base_spans").cast("binary"), 256).alias("base_sha256"), pii.spell(F.concat("base_spans", "added_spans")).alias("spans"), F.size("added_spans").cast("long").alias("n_added"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels").where(toxicity.may_teach()))
@@ -52,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_substring_dedup": op2_substring_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_pii": op5_pii,
     "op7_toxicity": op7_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_line_dedup": op10_line_dedup,
