@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, pieces, pii, simhash, substring_dedup, toxicity
+from . import decontaminate, html_text, line_dedup, pieces, pii, simhash, substring_dedup, toxicity
 from .common import table
 
 
@@ -39,6 +39,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.spell("base_spans").cast("binary"), 256).alias("base_sha256"), pii.spell(F.concat("base_spans", "added_spans")).alias("spans"), F.size("added_spans").cast("long").alias("n_added"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_text(pages, html_text.train(pages)).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels").where(toxicity.may_teach()))
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_pii": op5_pii,
+    "op6_html_extraction": op6_html_extraction,
     "op7_toxicity": op7_toxicity,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_line_dedup": op10_line_dedup,
