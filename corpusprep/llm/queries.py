@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, line_dedup, pieces, pii, simhash, substring_dedup, toxicity
+from . import decontaminate, html_text, line_dedup, lm_score, pieces, pii, simhash, substring_dedup, toxicity
 from .common import table
 
 
@@ -51,6 +51,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~toxicity.may_teach()).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_lm_score": op3_lm_score,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_pii": op5_pii,
     "op6_html_extraction": op6_html_extraction,
