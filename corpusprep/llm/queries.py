@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, line_dedup, lm_score, pieces, pii, simhash, substring_dedup, toxicity
+from . import ann, decontaminate, html_text, line_dedup, lm_score, pieces, pii, simhash, substring_dedup, toxicity
 from .common import table
 
 
@@ -59,6 +59,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": op5_pii,
     "op6_html_extraction": op6_html_extraction,
     "op7_toxicity": op7_toxicity,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_line_dedup": op10_line_dedup,
 }
@@ -94,6 +99,13 @@ k AS (SELECT d.doc_id, j, x FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1,
 t AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY j) AS s FROM k GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
 FROM d LEFT JOIN t USING (doc_id)""",
+    # exact search: the tables that SQL is run on fit one block, where the operator's windows hold all rows
+    "op8_nearest_neighbours": """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL),
+n AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS l FROM v),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) / (q.l * c.l) AS score FROM n q JOIN n c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 AND q.l > 0 AND c.l > 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op9_benchmark_decontamination": f"""
 WITH d AS (SELECT doc_id, {OP9_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {OP9_WORDS} AS w FROM benchmark),
