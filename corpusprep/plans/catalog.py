@@ -1,4 +1,342 @@
-"""All queries of the library and the SQL that tells the same result."""
+"""All queries of the library, each over whole tables, and the SQL that tells the same result."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import identity, text
+from ..operators import chunking, documents, manifests, reconcile, retrieval, rules, tokens
+from ..operators.sentences import sentence_spans as spans_of
+from ..sources.tables import table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+#: A namespace of our own for the identity queries.
+NAMESPACE = "4b3f0c9e-52d4-4c39-9f0a-0d5a7c1e8b21"
+
+
+def query(sql: str | None = None):
+    """Register a query under its name, with its SQL if it has one."""
+
+    def register(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _docs(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    return table(spark, folder, "documents").select("doc_id", "text", *columns)
+
+
+SQL_SENTENCES = r"""
+p AS (SELECT doc_id, unnest(s) AS piece, unnest(range(1, len(s) + 1)) AS nr FROM (SELECT doc_id, regexp_extract_all(text, '(?s).*?[।!?.]+["''”’]?(?:\s|$)|.+$') AS s FROM documents)),
+q AS (SELECT doc_id, nr, piece, coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY nr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS f FROM p),
+sent AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY nr) - 1 AS INTEGER) AS source_index,
+ CAST(f + length(piece) - length(regexp_replace(piece, '^\s+', '')) AS INTEGER) AS start_char,
+ CAST(f + length(piece) - length(regexp_replace(piece, '^\s+', '')) + length(regexp_replace(piece, '^\s+|\s+$', '', 'g')) AS INTEGER) AS end_char,
+ trim(regexp_replace(piece, '\s+', ' ', 'g')) AS text FROM q WHERE regexp_replace(piece, '\s', '', 'g') <> '')"""
+
+
+@query(f"WITH {SQL_SENTENCES} SELECT doc_id, source_index, start_char, end_char, text FROM sent")
+def sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return spans_of(_docs(spark, folder))
+
+
+@query(r"""SELECT doc_id, CAST(len(regexp_extract_all(text, '\S+')) AS BIGINT) AS word_count, CAST(length(text) AS BIGINT) AS character_count,
+ CAST(len(list_filter(regexp_split_to_array(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\n\s*\n'), lambda x: regexp_replace(x, '\s', '', 'g') <> '')) AS BIGINT) AS paragraph_count FROM documents""")
+def document_text_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return _docs(spark, folder).select("doc_id", text.text_stats(F.col("text")).alias("s")).select("doc_id", "s.*")
+
+
+@query(r"""SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) AS INTEGER) AS paragraph_no, regexp_replace(regexp_replace(x, '\s+', ' ', 'g'), '^ | $', '', 'g') AS text FROM
+ (SELECT doc_id, unnest(s) AS x, unnest(range(len(s))) AS i FROM (SELECT doc_id, regexp_split_to_array(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\n') AS s FROM documents)) WHERE regexp_replace(x, '\s', '', 'g') <> ''""")
+def paragraph_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    parts = F.filter(F.split(text.strip(F.col("text")), "\n"), lambda p: ~text.is_blank(p))
+    return _docs(spark, folder).select("doc_id", F.posexplode(parts).alias("i", "x")).select("doc_id", (F.col("i") + 1).alias("paragraph_no"), text.normalize_spaces(F.col("x")).alias("text"))
+
+
+@query(r"SELECT doc_id, sha256(regexp_replace(text, '\s', '', 'g')) AS spaceless_sha256, sha256(text) AS text_sha256 FROM documents")
+def whitespace_insensitive_hash(spark: SparkSession, folder: str) -> DataFrame:
+    return _docs(spark, folder).select("doc_id", identity.spaceless_sha256(F.col("text")).alias("spaceless_sha256"), identity.sha256_text(F.col("text")).alias("text_sha256"))
+
+
+@query("SELECT doc_id, 'sha256' AS algorithm, sha256(text || chr(10)) AS value FROM documents")
+def artifact_integrity_hash(spark: SparkSession, folder: str) -> DataFrame:
+    return _docs(spark, folder).select("doc_id", F.lit("sha256").alias("algorithm"), identity.artifact_sha256(F.col("text")).alias("value"))
+
+
+SQL_NORMAL = r"regexp_replace(regexp_replace(regexp_replace(nfc_normalize(text), '\r\n?', chr(10), 'g'), '[ \t]+(\n|$)', '\1', 'g'), '^\s+|\s+$', '', 'g')"
+
+
+@query(f"SELECT doc_id, sha256({SQL_NORMAL}) AS normalized_content_sha256 FROM documents")
+def normalized_content_hash(spark: SparkSession, folder: str) -> DataFrame:
+    return _docs(spark, folder).select("doc_id", identity.content_sha256(F.col("text")).alias("normalized_content_sha256"))
+
+
+@query(f"""WITH n AS (SELECT doc_id, 'v1|' || source || '|' || CAST(doc_id AS VARCHAR) || '|' || lang || '|' || sha256({SQL_NORMAL}) AS name FROM documents),
+h AS (SELECT doc_id, sha1(unhex('{NAMESPACE.replace('-', '')}') || encode(name)) AS h FROM n)
+SELECT doc_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || lower(printf('%x', (CAST('0x' || substr(h, 17, 2) AS INTEGER) & 63) | 128)) || substr(h, 19, 2) || '-' || substr(h, 21, 12) AS content_key FROM h""")
+def content_key_uuid5(spark: SparkSession, folder: str) -> DataFrame:
+    c = identity.content_identity(NAMESPACE, F.col("source"), F.col("doc_id").cast("string"), F.col("lang"), F.col("text"))
+    return _docs(spark, folder, "source", "lang").select("doc_id", c["content_key"].alias("content_key"))
+
+
+@query(r"""WITH d AS (SELECT doc_id, sha256(regexp_replace(text, '\s', '', 'g')) AS h FROM documents), g AS (SELECT h, count(*) AS n, min(doc_id) AS first_id FROM d GROUP BY h HAVING count(*) > 1)
+SELECT doc_id, h AS spaceless_sha256, n AS copies, first_id FROM d JOIN g USING (h)""")
+def duplicate_content(spark: SparkSession, folder: str) -> DataFrame:
+    hashed = _docs(spark, folder).select("doc_id", identity.spaceless_sha256(F.col("text")).alias("spaceless_sha256"))
+    again = hashed.groupBy("spaceless_sha256").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id")).where("copies > 1")
+    return hashed.join(again, "spaceless_sha256").select("doc_id", "spaceless_sha256", "copies", "first_id")
+
+
+@query("SELECT doc_id, CASE WHEN contains(text, 'License') OR contains(text, 'licensed') THEN 'license,notice' ELSE '' END AS tags FROM documents")
+def marker_tags(spark: SparkSession, folder: str) -> DataFrame:
+    tags = text.marker_tags(F.col("text"), ["License", "licensed"], ["license", "notice"])
+    return _docs(spark, folder).select("doc_id", F.array_join(tags, ",").alias("tags"))
+
+
+@query(r"""WITH s AS (SELECT p_partkey, p_brand, p_size, trim(regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(p_name || ' / ' || p_type, '\s+', ' ', 'g')), '[\\/:*?"<>|]+', '-', 'g'), '\s+', '-', 'g'), '', '', 'g'), '.-') AS f FROM part)
+SELECT p_partkey, CASE WHEN substr(f, 1, 80) = '' THEN 'chapter' ELSE substr(f, 1, 80) END AS file_name, 'CAT001_' || p_brand || '_slug_' || printf('%03d', p_size) || '_v01.02.txt' AS artifact_name FROM s""")
+def safe_file_names(spark: SparkSession, folder: str) -> DataFrame:
+    name = text.safe_filename(F.concat("p_name", F.lit(" / "), "p_type"))
+    artifact = text.artifact_name(F.lit("CAT001"), F.col("p_brand"), F.lit("slug"), F.col("p_size"), F.lit("01"), F.lit("02"), ".txt")
+    return table(spark, folder, "part").select("p_partkey", name.alias("file_name"), artifact.alias("artifact_name"))
+
+
+@query(f"WITH {SQL_SENTENCES} SELECT doc_id, source_index, string_agg(text, ' ') OVER (PARTITION BY doc_id ORDER BY source_index ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS window_text FROM sent")
+def context_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return chunking.context_windows(spans_of(_docs(spark, folder)), 3).select("doc_id", "source_index", "window_text")
+
+
+SQL_DISTANCE = """v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, lag(CAST(embedding AS DOUBLE[])) OVER (PARTITION BY label ORDER BY vec_id) AS b FROM embeddings),
+dist AS (SELECT vec_id, label, CASE WHEN b IS NULL THEN NULL ELSE 1 - list_dot_product(b, e) / (sqrt(list_dot_product(b, b)) * sqrt(list_dot_product(e, e))) END AS distance FROM v)"""
+
+
+@query(f"WITH {SQL_DISTANCE} SELECT vec_id, label, round(distance, 6) AS distance FROM dist")
+def adjacent_cosine_distance(spark: SparkSession, folder: str) -> DataFrame:
+    rows = chunking.adjacent_distance(table(spark, folder, "embeddings"), "label", "vec_id", "embedding")
+    return rows.select("vec_id", "label", F.round("distance", 6).alias("distance"))
+
+
+@query(f"""WITH {SQL_DISTANCE}, t AS (SELECT label, quantile_cont(distance, 0.8) AS threshold FROM dist GROUP BY label)
+SELECT vec_id, label, round(threshold, 6) AS threshold, coalesce(distance >= threshold, false) AS is_break, CAST(sum(CAST(coalesce(distance >= threshold, false) AS INTEGER)) OVER (PARTITION BY label ORDER BY vec_id ROWS UNBOUNDED PRECEDING) AS INTEGER) AS group_no FROM dist JOIN t USING (label)""")
+def percentile_breakpoints(spark: SparkSession, folder: str) -> DataFrame:
+    rows = chunking.breakpoints(chunking.adjacent_distance(table(spark, folder, "embeddings"), "label", "vec_id", "embedding"), 80.0, "label", "vec_id")
+    return rows.select("vec_id", "label", F.round("threshold", 6).alias("threshold"), "is_break", "group_no")
+
+
+@query(f"""WITH RECURSIVE {SQL_SENTENCES},
+n AS (SELECT doc_id, max(source_index) AS last FROM sent GROUP BY doc_id),
+r AS (SELECT s.doc_id, s.source_index AS i, length(text) AS open, 0 AS done, CASE WHEN length(text) >= 600 THEN 1 ELSE 0 END AS closes FROM sent s WHERE source_index = 0
+ UNION ALL SELECT s.doc_id, s.source_index, CASE WHEN r.closes = 1 THEN length(s.text) ELSE r.open + 1 + length(s.text) END, r.done + r.closes,
+ CASE WHEN (CASE WHEN r.closes = 1 THEN length(s.text) ELSE r.open + 1 + length(s.text) END) >= 600 THEN 1 ELSE 0 END FROM r JOIN sent s ON s.doc_id = r.doc_id AND s.source_index = r.i + 1),
+c AS (SELECT doc_id, i, done + 1 AS idx FROM r), t AS (SELECT doc_id, sum(closes) AS full_chunks FROM r GROUP BY doc_id)
+SELECT c.doc_id, CAST(least(idx, greatest(full_chunks, 1)) AS INTEGER) AS index, CAST(min(i) AS INTEGER) AS start_sentence, CAST(max(i) AS INTEGER) AS end_sentence FROM c JOIN t USING (doc_id) GROUP BY c.doc_id, least(idx, greatest(full_chunks, 1))""")
+def greedy_min_size_merge(spark: SparkSession, folder: str) -> DataFrame:
+    each = spans_of(_docs(spark, folder)).withColumn("group_no", F.col("source_index"))
+    return chunking.merged_groups(each, 600)
+
+
+@query()
+def semantic_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return chunking.semantic_chunks(_docs(spark, folder))
+
+
+@query("SELECT doc_id, true AS is_covered FROM documents")
+def chunk_coverage_check(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _docs(spark, folder)
+    return chunking.chunk_coverage(docs, chunking.semantic_chunks(docs)).select("doc_id", "is_covered")
+
+
+@query("""WITH n AS (SELECT *, sum(CAST(role = 'user' AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS section FROM conversations)
+SELECT conv_id, CAST(section AS INTEGER) AS section, count(*) AS turns, min(turn) AS first_turn, max(turn) AS last_turn FROM n GROUP BY conv_id, section""")
+def line_sections(spark: SparkSession, folder: str) -> DataFrame:
+    numbered = documents.chapter_numbers(table(spark, folder, "conversations").select("conv_id", "turn", "role"), F.col("role") == "user", "conv_id", "turn")
+    return numbered.groupBy("conv_id", F.col("chapter_no").alias("section")).agg(F.count(F.lit(1)).alias("turns"), F.min("turn").alias("first_turn"), F.max("turn").alias("last_turn"))
+
+
+@query("""WITH a AS (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS g FROM conversations)
+SELECT conv_id, role, min(turn) AS first_turn, max(turn) AS last_turn, count(*) AS turns FROM a GROUP BY conv_id, role, g""")
+def contiguous_role_groups(spark: SparkSession, folder: str) -> DataFrame:
+    rows = documents.islands(table(spark, folder, "conversations").select("conv_id", "turn", "role"), F.col("role"), ["conv_id"], "turn")
+    return rows.groupBy("conv_id", "role", "island").agg(F.min("turn").alias("first_turn"), F.max("turn").alias("last_turn"), F.count(F.lit(1)).alias("turns")).drop("island")
+
+
+@query("SELECT conv_id, sha256(string_agg(role || ': ' || text, chr(10) || chr(10) ORDER BY turn)) AS text_sha256, count(*) AS turns FROM conversations GROUP BY conv_id")
+def ordered_turn_concat(spark: SparkSession, folder: str) -> DataFrame:
+    lists = table(spark, folder, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.concat("role", F.lit(": "), "text").alias("t")))).alias("l"), F.count(F.lit(1)).alias("turns"))
+    return lists.select("conv_id", identity.sha256_text(F.array_join(F.transform("l", lambda s: s["t"]), "\n\n")).alias("text_sha256"), "turns")
+
+
+@query(r"""WITH c AS (SELECT lang, len(regexp_extract_all(text, '\S+')) AS w, len(regexp_extract_all(regexp_replace(text, '\s', '', 'g'), '\w{1,4}|[^\w]')) AS t FROM documents)
+SELECT lang, count(*) AS documents, CAST(sum(w) AS BIGINT) AS word_count, CAST(sum(t) AS BIGINT) AS token_count, round(sum(t) / sum(w), 6) AS tokens_per_word, round(700 / (sum(t) / sum(w)), 6) AS words_per_budget FROM c GROUP BY lang""")
+def token_ratio_summary(spark: SparkSession, folder: str) -> DataFrame:
+    count = lambda c: F.regexp_count(c, F.lit(r"\w{1,4}|[^\w]"))
+    s = tokens.token_summary(tokens.token_counts(_docs(spark, folder, "lang"), count, keep=("lang",)), "lang")
+    return s.withColumns({c: F.round(c, 6) for c in ("tokens_per_word", "words_per_budget")})
+
+
+@query(r"""WITH r AS (SELECT p_partkey AS row_number, p_name, p_brand, CAST(p_size AS VARCHAR) AS p_size, p_type FROM part),
+d AS (SELECT p_name FROM r WHERE trim(p_name) <> '' GROUP BY p_name HAVING count(*) > 1)
+SELECT 'error' AS severity, row_number, 'p_size' AS "column", 'Expected a size of one digit.' AS message FROM r WHERE NOT regexp_full_match(p_size, '[0-9]')
+UNION ALL SELECT 'error', row_number, 'p_brand', 'Expected format Brand#nn.' FROM r WHERE NOT regexp_full_match(p_brand, 'Brand#[1-3][0-9]')
+UNION ALL SELECT 'error', row_number, 'p_type', 'Value must be 15 characters or fewer.' FROM r WHERE length(trim(p_type)) > 15""")
+def validation_issues(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "part").select(F.col("p_partkey").alias("row_number"), "p_brand", F.col("p_size").cast("string").alias("p_size"), "p_type")
+    made = rules.RuleSet(("p_brand", "p_size", "p_type"), (
+        ("p_size", rules.when_given(rules.matches("[0-9]"), "Expected a size of one digit.")),
+        ("p_brand", rules.when_given(rules.matches("Brand#[1-3][0-9]"), "Expected format Brand#nn.")), ("p_type", rules.at_most(15))))
+    return rules.row_issues(rows, made)
+
+
+@query("""WITH k AS (SELECT p_brand || ' ' || p_type || ' ' || CAST(p_size AS VARCHAR) AS v, p_partkey AS r FROM part), g AS (SELECT v, string_agg(CAST(r AS VARCHAR), ', ' ORDER BY r) AS rs FROM k GROUP BY v HAVING count(*) > 1)
+SELECT 'error' AS severity, r AS row_number, 'key' AS "column", 'Duplicate non-empty key value ''' || v || '''; appears on rows: ' || rs || '.' AS message FROM k JOIN g USING (v)""")
+def duplicate_value_issues(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "part").select(F.col("p_partkey").alias("row_number"), F.concat_ws(" ", "p_brand", "p_type", F.col("p_size").cast("string")).alias("key"))
+    return rules.duplicate_issues(rows, "key")
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def referential_anti_join(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select("doc_id").join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_anti")
+
+
+@query("""SELECT 'error' AS severity, c_custkey AS row_number, 'ref' AS "column", 'Unresolved ref; no matching category code found: ' || CAST(c_custkey AS VARCHAR) || '.' AS message FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+def reference_check_issues(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "customer").select(F.col("c_custkey").alias("row_number"), F.col("c_custkey").cast("string").alias("ref"))
+    return rules.reference_issues(rows, "ref", table(spark, folder, "orders").select(F.col("o_custkey").cast("string").alias("o")), "o")
+
+
+@query("SELECT doc_id, source, n_chars FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def file_selection_semi_join(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select("doc_id", "source", "n_chars").join(table(spark, folder, "labels").where("quality = 1").select("doc_id"), "doc_id", "left_semi")
+
+
+@query("""SELECT s_suppkey, coalesce(n.n_name, r.r_name, '') AS resolved, n.n_name IS NOT NULL AND r.r_name IS NOT NULL AND n.n_name <> r.r_name AS differs FROM supplier s
+ LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey AND n.n_nationkey % 2 = 0 LEFT JOIN region r ON r.r_regionkey = s.s_suppkey % 7""")
+def lookup_fallback_coalesce(spark: SparkSession, folder: str) -> DataFrame:
+    n = table(spark, folder, "nation").where("n_nationkey % 2 = 0").select("n_nationkey", "n_name")
+    r = table(spark, folder, "region").select("r_regionkey", "r_name")
+    s = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey").join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left").join(r, F.col("s_suppkey") % 7 == F.col("r_regionkey"), "left")
+    return s.select("s_suppkey", F.coalesce("n_name", "r_name", F.lit("")).alias("resolved"), (F.col("n_name").isNotNull() & F.col("r_name").isNotNull() & (F.col("n_name") != F.col("r_name"))).alias("differs"))
+
+
+@query("""SELECT n_nationkey, count(DISTINCT s_suppkey) AS n, coalesce(string_agg(DISTINCT CAST(s_suppkey AS VARCHAR), ',' ORDER BY CAST(s_suppkey AS VARCHAR)), '') AS document_ids FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_nationkey""")
+def cardinality_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    ids = reconcile.cardinality(table(spark, folder, "supplier").select("s_nationkey", F.col("s_suppkey").cast("string").alias("d")), "s_nationkey", "d")
+    rows = table(spark, folder, "nation").select("n_nationkey").join(ids, F.col("n_nationkey") == F.col("code"), "left")
+    return rows.select("n_nationkey", F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce(F.array_join("document_ids", ","), F.lit("")).alias("document_ids"))
+
+
+def _desired(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as records that should be there."""
+    c = table(spark, folder, "customer")
+    return c.select(
+        F.col("c_custkey").alias("position"), F.format_string("C%07d", "c_custkey").alias("category_code"), F.col("c_mktsegment").alias("legacy_code"), (F.col("c_acctbal") > 0).alias("is_active"),
+        F.col("c_custkey").alias("sort_order"), F.col("c_name").alias("name_en"), F.col("c_mktsegment").alias("description_en"), F.upper("c_name").alias("name_hi_IN"), F.lower("c_mktsegment").alias("description_hi_IN"),
+    )
+
+
+def _existing(spark: SparkSession, folder: str) -> DataFrame:
+    """What is there: by the key's remainder nothing, the record as desired, one with another name, one locale only, or two documents."""
+    d = _desired(spark, folder).withColumn("k", F.col("position") % 7)
+    base = d.where("k <> 0").withColumn("document_id", F.concat(F.lit("doc-"), "position"))
+    shared = ["document_id", F.col("category_code").alias("code"), "position", "legacy_code", "is_active", "sort_order"]
+    en = base.where("k <> 3").select(*shared, F.lit("en").alias("locale"), F.when(F.col("k") == 2, F.concat("name_en", F.lit("!"))).otherwise(F.col("name_en")).alias("name"), F.col("description_en").alias("description"))
+    hi = base.where("k <> 4").select(*shared, F.lit("hi-IN").alias("locale"), F.col("name_hi_IN").alias("name"), F.when(F.col("k") == 5, F.lit("other")).otherwise(F.col("description_hi_IN")).alias("description"))
+    twice = en.where("position % 7 = 6").withColumn("document_id", F.concat("document_id", F.lit("-b")))
+    return en.unionByName(hi).unionByName(twice)
+
+
+SQL_PLAN = """plan AS (SELECT c_custkey AS position, printf('C%07d', c_custkey) AS code, CASE c_custkey % 7 WHEN 0 THEN 'create' WHEN 1 THEN 'matching' WHEN 6 THEN 'conflict' ELSE 'update' END AS action,
+ CASE WHEN c_custkey % 7 IN (1, 2, 3, 4, 5) THEN 'doc-' || c_custkey END AS document_id, c_custkey % 7 IN (2, 3) AS update_default, c_custkey % 7 = 5 AS update_localized, c_custkey % 7 IN (0, 4) AS create_localized,
+ CASE WHEN c_custkey % 7 = 6 THEN 'Duplicate existing Category records with code ' || printf('C%07d', c_custkey) || ' in default locale.' ELSE '' END AS messages FROM customer)"""
+
+
+@query(f"WITH {SQL_PLAN} SELECT code, action, document_id, update_default, update_localized, create_localized, messages FROM plan")
+def reconcile_plan(spark: SparkSession, folder: str) -> DataFrame:
+    p = reconcile.plan(_desired(spark, folder), _existing(spark, folder), reconcile.CATEGORY)
+    return p.select("code", "action", "document_id", "update_default", "update_localized", "create_localized", F.array_join("messages", " ").alias("messages"))
+
+
+@query(f"""WITH {SQL_PLAN} SELECT count(*) AS records, count(*) FILTER (WHERE action = 'create') AS create_count, count(*) FILTER (WHERE action = 'update') AS update_count, count(*) FILTER (WHERE action = 'matching') AS matching_count,
+ count(*) FILTER (WHERE action = 'conflict') AS conflict_count, count(*) FILTER (WHERE action = 'blocked') AS blocked_count, CAST(sum(CASE WHEN action IN ('create', 'update') THEN CASE WHEN create_localized OR update_localized THEN 2 ELSE 1 END ELSE 0 END) AS BIGINT) AS publish_actions FROM plan""")
+def plan_counters(spark: SparkSession, folder: str) -> DataFrame:
+    return reconcile.plan_counters(reconcile.plan(_desired(spark, folder), _existing(spark, folder), reconcile.CATEGORY))
+
+
+@query(f"""WITH {SQL_PLAN}, a AS (SELECT code, document_id, 1 AS step, CASE WHEN action = 'create' THEN 'create' WHEN update_default THEN 'update' ELSE 'publish' END AS verb, 'en' AS locale FROM plan WHERE action IN ('create', 'update')
+ UNION ALL SELECT code, document_id, 2, CASE WHEN create_localized THEN 'localize' ELSE 'update' END, 'hi-IN' FROM plan WHERE create_localized OR update_localized) SELECT code, CAST(step AS INTEGER) AS step, verb, locale, document_id FROM a""")
+def action_explode(spark: SparkSession, folder: str) -> DataFrame:
+    return reconcile.actions(reconcile.plan(_desired(spark, folder), _existing(spark, folder), reconcile.CATEGORY), reconcile.CATEGORY)
+
+
+@query("SELECT printf('C%07d', c_custkey) AS code, CASE WHEN c_custkey % 7 = 6 THEN 'conflict' ELSE 'matching' END AS action FROM customer")
+def replan_is_noop(spark: SparkSession, folder: str) -> DataFrame:
+    desired, existing = _desired(spark, folder), _existing(spark, folder)
+    after = reconcile.apply_plan(desired, existing, reconcile.plan(desired, existing, reconcile.CATEGORY), reconcile.CATEGORY)
+    return reconcile.plan(desired, after, reconcile.CATEGORY).select("code", "action")
+
+
+@query("""WITH o AS (SELECT p_size % 10 AS so, count(*) AS n, min(p_partkey) AS first_key FROM part GROUP BY 1) SELECT p_partkey, CASE WHEN p_partkey <> first_key THEN first_key ELSE -1 END AS first_user, n - 1 AS others FROM part JOIN o ON so = p_size % 10""")
+def sort_order_collision(spark: SparkSession, folder: str) -> DataFrame:
+    p = table(spark, folder, "part").select("p_partkey", (F.col("p_size") % 10).alias("so"))
+    users = p.groupBy("so").agg(F.min("p_partkey").alias("first_key"), F.count(F.lit(1)).alias("n"))
+    return p.join(users, "so").select("p_partkey", F.when(F.col("p_partkey") != F.col("first_key"), F.col("first_key")).otherwise(-1).alias("first_user"), (F.col("n") - 1).alias("others"))
+
+
+@query("SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
+def latest_wins_dedupe(spark: SparkSession, folder: str) -> DataFrame:
+    return reconcile.latest(table(spark, folder, "events").select("user_id", "event_type", "event_id", "ts", "value"), ["user_id", "event_type"], "ts", "event_id").drop("ts")
+
+
+@query(r"""WITH k AS (SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS host, CASE WHEN contains(url, '?') THEN 'query' WHEN contains(url, '#') THEN 'fragment' END AS k, url FROM pages)
+SELECT host, count(*) FILTER (WHERE starts_with(url, 'https://') AND url LIKE '%#top') AS secure_top, count(*) FILTER (WHERE starts_with(url, 'https://') AND url NOT LIKE '%#top') AS secure, count(*) FILTER (WHERE starts_with(url, 'http://')) AS plain, count(*) AS total FROM k GROUP BY host""")
+def conditional_counts(spark: SparkSession, folder: str) -> DataFrame:
+    p = table(spark, folder, "pages").select("url", F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("host"))
+    return manifests.artifact_counts(p, [("secure_top", "https://", "#top"), ("secure", "https://", ""), ("plain", "http://", "")], "url", ("host",))
+
+
+@query("SELECT user_id, string_agg(event_type || '=' || n, ',' ORDER BY event_type) AS counts FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL) GROUP BY user_id")
+def group_counts_map(spark: SparkSession, folder: str) -> DataFrame:
+    m = documents.converter_counts(table(spark, folder, "events").select("user_id", F.col("event_type").alias("converter")), "user_id")
+    entries = F.transform(F.map_entries("converter_counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return m.select("user_id", F.array_join(entries, ",").alias("counts"))
+
+
+@query("""WITH f AS (SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'full_subject/' WHEN 1 THEN 'chapters/msword/' WHEN 2 THEN 'chapters/text_and_metadata/' WHEN 3 THEN 'run_reports/prep-subject/' ELSE 'misc/' END || 'n' || (p_partkey // 3) || CASE p_partkey % 3 WHEN 0 THEN '.docx' WHEN 1 THEN '.txt' ELSE '.json' END AS path, p_size % 5 AS g, p_partkey % 3 AS s FROM part)
+SELECT p_partkey, path, CAST(CASE g WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 1 WHEN 3 THEN 3 ELSE 4 END AS INTEGER) AS group_rank, CASE WHEN g IN (1, 2) THEN 'n' || (p_partkey // 3) ELSE path END AS stem, CAST(CASE WHEN g IN (1, 2) THEN s ELSE 0 END AS INTEGER) AS suffix_rank FROM f""")
+def ordered_publication(spark: SparkSession, folder: str) -> DataFrame:
+    p = table(spark, folder, "part")
+    at = lambda n, *names: F.element_at(F.array(*map(F.lit, names)), (n + 1).cast("int"))
+    path = F.concat(at(F.col("p_size") % 5, "full_subject/", "chapters/msword/", "chapters/text_and_metadata/", "run_reports/prep-subject/", "misc/"), F.lit("n"), F.floor(F.col("p_partkey") / 3).cast("string"), at(F.col("p_partkey") % 3, ".docx", ".txt", ".json"))
+    return manifests.publication_order(p.select("p_partkey", path.alias("path")))
+
+
+@query("SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels WHERE toxic = 0")
+def set_difference(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select("doc_id").subtract(table(spark, folder, "labels").where("toxic = 0").select("doc_id"))
+
+
+@query("""SELECT event_id, CAST(len(json_keys(props)) AS INTEGER) AS n_keys, coalesce(list_contains(json_keys(props), 'missing'), false) AS has_missing, json_extract_string(props, '$.' || list_sort(json_keys(props))[1]) AS first_value FROM events""")
+def json_extract_typed(spark: SparkSession, folder: str) -> DataFrame:
+    e = table(spark, folder, "events").select("event_id", "props")
+    keys = F.json_object_keys("props")
+    first = F.expr("get_json_object(props, concat('$.', get(array_sort(json_object_keys(props)), 0)))")
+    return e.select("event_id", F.size(keys).alias("n_keys"), F.array_contains(keys, "missing").alias("has_missing"), first.alias("first_value"))
+
+
+@query("""WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 50 = 0), s AS (SELECT query_id, vec_id AS chunk_id, round(list_cosine_similarity(q.e, CAST(v.embedding AS DOUBLE[])), 9) AS score FROM q, embeddings v)
+SELECT query_id, rank, chunk_id, round(score, 6) AS score FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS INTEGER) AS rank FROM s) WHERE rank <= 20""")
+def topk_similar(spark: SparkSession, folder: str) -> DataFrame:
+    e = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    found = retrieval.top_k(e.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id"), e.withColumnRenamed("vec_id", "chunk_id"))
+    return found.withColumn("score", F.round("score", 6))
+
 
-QUERIES: dict = {}
-ORACLE: dict = {}
