@@ -33,7 +33,7 @@ WORD = re.compile(r" *[^ \t\n]+|[\t\n]| +")
 MULTIPLIER = 0x9E3779B97F4A7C15
 #: Characters of text sampled at once, and distinct words remembered: both bound a task's memory.
 GROUP_CHARS = 1_000_000
-MAX_WORDS = 120_000
+MAX_WORDS = 100_000
 
 
 def default_model() -> str:
@@ -56,9 +56,10 @@ def load_vocabulary(path: str) -> tuple[tuple[str, ...], tuple[int, ...]]:
 class Lattices:
     """Backward-sampling distributions of distinct words, in flat arrays.
 
-    Place j of a word whose places begin at b has number b + j. The arcs that end there lie together;
-    ``cum`` holds place number plus cumulated probability and so rises through the whole array, and one
-    search with (place + uniform) finds the arc for any number of words at once."""
+    Place j of a word whose places begin at b has number b + j. The arcs that end there lie together from
+    ``first[place]`` on, longest piece first; ``cum`` holds their cumulated probability, 1 at the last.
+    Words that a second group of texts holds are kept, up to MAX_WORDS; the rest are forgotten with
+    their group, so memory is bounded and common words are worked out once."""
 
     def __init__(self, pieces: tuple[str, ...], kinds: tuple[int, ...], alpha: float) -> None:
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(pieces, kinds, strict=True)) if k == 1}
@@ -90,10 +91,36 @@ class Lattices:
 
     def clear(self) -> None:
         self.words: dict[str, int] = {}
-        self.places = 0
+        self.once: set[str] = set()
         self.bases, self.lens = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.first = np.empty(0, np.int64)
         self.cum, self.ids, self.back = np.empty(0), np.empty(0, np.int32), np.empty(0, np.int32)
 
+    def prepare(self, words: set[str]) -> None:
+        """Make all ``words`` known until forget()."""
+        new = [w for w in words if w not in self.words]
+        again = sorted(w for w in new if w in self.once)
+        if len(self.words) + len(again) > MAX_WORDS:
+            self.clear()
+            again, new = [], list(words)
+        if len(self.once) > 4 * MAX_WORDS:
+            self.once.clear()
+        self.once.difference_update(again)
+        if again:
+            self.add(again)
+        self.kept = (len(self.bases), len(self.first), len(self.cum))
+        self.passing = sorted(set(new).difference(again))
+        self.once.update(self.passing)
+        if self.passing:
+            self.add(self.passing)
+
+    def forget(self) -> None:
+        for w in self.passing:
+            del self.words[w]
+        k, f, c = self.kept
+        self.bases, self.lens, self.first = self.bases[:k].copy(), self.lens[:k].copy(), self.first[:f].copy()
+        self.cum, self.ids, self.back = self.cum[:c].copy(), self.ids[:c].copy(), self.back[:c].copy()
+
     def add(self, words: list[str]) -> None:
         """Learn words not known yet. Those with characters outside the vocabulary, and very long ones, go one by one."""
         short = [w for w in words if len(w) <= 48]
@@ -101,10 +128,11 @@ class Lattices:
         for w in [w for w in words if len(w) > 48] + [w for w, ok in zip(short, plain, strict=False) if not ok]:
             self._add_one(w)
 
-    def _append(self, words: list[str], units: np.ndarray, cum: np.ndarray, ids: np.ndarray, back: np.ndarray) -> None:
+    def _append(self, words: list[str], units: np.ndarray, arcs: np.ndarray, cum: np.ndarray, ids: np.ndarray, back: np.ndarray) -> None:
+        """``arcs``: how many arcs end at each place of each word, its place 0 included."""
         self.words.update(zip(words, range(len(self.bases), len(self.bases) + len(words)), strict=True))
-        bases = self.places + np.cumsum(units + 1) - (units + 1)
-        self.places += int((units + 1).sum())
+        bases = len(self.first) + np.cumsum(units + 1) - (units + 1)
+        self.first = np.concatenate([self.first, len(self.cum) + np.cumsum(arcs) - arcs])
         self.bases, self.lens = np.concatenate([self.bases, bases]), np.concatenate([self.lens, units])
         self.cum, self.ids, self.back = np.concatenate([self.cum, cum]), np.concatenate([self.ids, ids]), np.concatenate([self.back, back])
 
@@ -139,7 +167,7 @@ class Lattices:
         start, code, back = start[keep], code[keep], back[keep]
         word = number[owner[start]]
         end = start - first[owner[start]] + back
-        order = np.lexsort((back, word, end))
+        order = np.argsort(end * len(words) + word)
         word, end, code, back = word[order], end[order], code[order], back[order]
         weight, count = self.code_weights[code], int(good.sum())
         sums = np.zeros((count, 50))
@@ -152,18 +180,18 @@ class Lattices:
                 parts[a:b] = sums[word[a:b], j - back[a:b]] * weight[a:b]
                 sums[:, j] = np.bincount(word[a:b], parts[a:b], count)
         share = parts / sums[word, end] if len(word) else parts
-        order = np.lexsort((back, end, word))
-        word, end, code, back, share = word[order], end[order], code[order], back[order], share[order]
         units = n[good]
-        place = self.places + np.cumsum(units + 1) - (units + 1)
-        place = place[word] + end
+        base = np.cumsum(units + 1) - (units + 1)
+        place = base[word] + end if count else word
+        order = np.argsort(place * 64 - back)
+        code, back, share, place = code[order], back[order], share[order], place[order]
+        arcs = np.bincount(place, minlength=int((units + 1).sum()))
         new = np.r_[True, place[1:] != place[:-1]] if len(place) else np.empty(0, bool)
         run = np.cumsum(share)
         heads = np.flatnonzero(new)
         run -= np.repeat((run - share)[heads], np.diff(np.r_[heads, len(place)]))
-        last = np.r_[new[1:], True] if len(place) else new
-        cum = place + np.where(last, 1.0, np.minimum(run, 1.0))
-        self._append([w for w, ok in zip(words, good, strict=True) if ok], units, cum, self.code_ids[code], back)
+        cum = np.where(np.r_[new[1:], True] if len(place) else new, 1.0, np.minimum(run, 1.0))
+        self._append([w for w, ok in zip(words, good, strict=True) if ok], units, arcs, cum, self.code_ids[code], back)
         return good
 
     def _add_one(self, word: str) -> None:
@@ -190,13 +218,13 @@ class Lattices:
             run, last = 0.0, len(parts) - 1
             for k, (i, d, _) in enumerate(into[j]):
                 run += parts[k]
-                cum.append(self.places + j + (1.0 if k == last else run / total))
+                cum.append(1.0 if k == last else run / total)
                 ids.append(i)
                 back.append(d)
             if total < 1e-100:  # only ratios of nearby sums matter
                 for k in range(max(0, j - 200), j + 1):
                     sums[k] *= 1e100
-        self._append([word], np.array([units]), np.array(cum), np.array(ids, np.int32), np.array(back, np.int32))
+        self._append([word], np.array([units]), np.array([len(x) for x in into]), np.array(cum), np.array(ids, np.int32), np.array(back, np.int32))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -208,15 +236,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def sample(lattices: Lattices, texts: list[str | None], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of all texts one after another, and the number of each text's pieces."""
-    if len(lattices.words) > MAX_WORDS:
-        lattices.clear()
     found, counts = [], []
     for t in texts:
         own = WORD.findall(" " + t) if t else []
         counts.append(len(own))
         found += own
-    if new := [w for w in set(found) if w not in lattices.words]:
-        lattices.add(sorted(new))
+    lattices.prepare(set(found))
     bases, lens = lattices.bases, lattices.lens
     w, counts = np.fromiter(map(lattices.words.__getitem__, found), np.int64, len(found)), np.array(counts, np.int64)
     first = np.cumsum(counts) - counts
@@ -230,12 +255,17 @@ def sample(lattices: Lattices, texts: list[str | None], keys: list[int]) -> tupl
     while len(active):
         noise = _mix(noise)
         u = (noise >> np.uint64(11)).astype(np.float64) * 2.0**-53
-        arc = np.searchsorted(lattices.cum, place + np.minimum(u, 1 - 1e-9), side="right")
+        arc = lattices.first[place]
+        on = np.flatnonzero(u >= lattices.cum[arc])
+        while len(on):
+            arc[on] += 1
+            on = on[u[on] >= lattices.cum[arc[on]]]
         drawn.append((active, lattices.ids[arc]))
         steps[active] += 1
         place = place - lattices.back[arc]
         on = place > base
         active, place, base, noise = active[on], place[on], base[on], noise[on]
+    lattices.forget()
     ends = np.cumsum(steps)
     out = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
     for k, (at, ids) in enumerate(drawn):
