@@ -159,7 +159,7 @@ def _spans(flags: np.ndarray) -> list[dict[str, int]]:
 SEGMENT = "_id string, _tx long, start int, n int, m long, s long, again boolean"
 
 
-def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, anchor: int = ANCHOR, max_shard: int = 512) -> DataFrame:
+def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, anchor: int = ANCHOR, max_shard: int = 2048) -> DataFrame:
     """Per document with a repeat: ``_id`` (id as text), ``_tx`` and ``spans``, windows (start, n) counted in words."""
     spark = docs.sparkSession
     n_parts = partitions(spark)
@@ -224,7 +224,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # large shards: every window by itself, in partial sums
     seg_words = F.split(F.col("seg").cast("string"), " ")
-    windows = shards.join(large, "m", "left_semi").select("m", "s", "times", seg_words.alias("w")).select("m", "s", "times", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - length + 1), lambda i: F.array_join(F.slice("w", i, length), " "))).alias("i", "window"))
+    windows = materialize(shards.join(large, "m", "left_semi").select("m", "s", "times", seg_words.alias("w")).select("m", "s", "times", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - length + 1), lambda i: F.array_join(F.slice("w", i, length), " "))).alias("i", "window")))
     often = windows.groupBy("window").agg(F.sum("times").alias("t")).where("t > 1").select("window")
     single = windows.join(often, "window", "left_semi").groupBy("m", "s").agg(F.collect_list(F.struct(F.col("i").alias("start"), F.lit(1).alias("n"))).alias("runs"))
 
