@@ -117,7 +117,7 @@ def test_lm(spark):
     rng = np.random.default_rng(1)
     vocabulary = ["".join(rng.choice(list("abcdé")) for _ in range(int(rng.integers(1, 5)))) for _ in range(60)]
     rows = [(i, " ".join(rng.choice(vocabulary, int(rng.integers(1, 60))))) for i in range(80)] + [(200, None), (201, ""), (202, "Same TEXT"), (202, "Same TEXT"), (None, "a"), (203, "new-word " * 50)]
-    got = lm_score.score(frame(spark, rows), max_head=40, sample_docs=50, sample_tokens=2000).collect()
+    got = lm_score.score(frame(spark, rows), max_head=40, head_docs=50, sample_docs=50, sample_tokens=2000).collect()
     train = lambda i: zlib.crc32(("null" if i is None else str(i)).encode()) % 5 != 1
     tokens = lambda t: [*(t or "").encode().lower().split(), b""]
     c = Counter(w for i, t in rows if train(i) for w in tokens(t))
