@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np
 class WordHashes(dict):
     """XXH64 of words, remembered; forgets all at a bound, so memory stays bounded."""
 
-    limit = 400_000
+    limit = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
@@ -106,24 +107,31 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     got = joined.mapInArrow(run, "_id string, _y int, _x array<int>").toArrow()
     order = sorted(range(got.num_rows), key=lambda i, ids=got.column(0).to_pylist(): (xxhash.xxh64_intdigest(str(ids[i])), str(ids[i])))
     xs, ys = got.column(2), got.column(1).to_pylist()
-    rows = [(np.asarray(xs[i].values, np.int64), ys[i]) for i in order]
+    rows = [(xs[i].values.to_numpy(), ys[i]) for i in order]  # views of what Arrow holds
     return fit(rows)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (double)."""
+def _scored(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
+    """Rows as ``_row`` with ``_score``. A batch holds each text once."""
     shared = docs.sparkSession.sparkContext.broadcast((model.places, model.weights, model.bias))
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         dense, cache = own.dense(), WordHashes()
-        for b in batches:
-            s = [own.score(dense, t, cache) for t in b.column(b.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], names=["_row", "_score"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 1000):
+                b = whole.slice(lo, 1000)
+                s = [own.score(dense, t, cache) for t in pc.struct_field(b.column(0), at).cast(pa.binary()).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], names=["_row", "_score"])
+
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
+    return rows.mapInArrow(run, StructType([rows.schema["_row"], StructField("_score", DoubleType())]))
 
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), F.col(text_col).cast("binary").alias("_text"))
-    scored = rows.mapInArrow(run, StructType([rows.schema["_row"], StructField("_score", DoubleType())]))
-    return scored.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c != "score"], F.col("_score").alias("score"))
+
+def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``score`` (double)."""
+    return _scored(docs, model, text_col).select(*[F.col("_row")[c].alias(c) for c in docs.columns if c != "score"], F.col("_score").alias("score"))
 
 
 def may_teach(id_col: str = "doc_id", folds: int = 3, held_out: int = 1):
@@ -132,5 +140,4 @@ def may_teach(id_col: str = "doc_id", folds: int = 3, held_out: int = 1):
 
 def reject(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without those that score ``threshold`` or more."""
-    scored = score(docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[text_col].alias("text")), model, text_col="text")
-    return scored.where(F.col("score") < threshold).select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return _scored(docs, model, text_col).where(F.col("_score") < threshold).select(*[F.col("_row")[c].alias(c) for c in docs.columns])
