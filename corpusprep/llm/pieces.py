@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,8 +59,8 @@ class Lattices:
 
     Place j of a word whose places begin at b has number b + j. The arcs that end there lie together from
     ``first[place]`` on, longest piece first; ``cum`` holds their cumulated probability, 1 at the last.
-    Words that a second group of texts holds are kept, up to MAX_WORDS; the rest are forgotten with
-    their group, so memory is bounded and common words are worked out once."""
+    Words that a second group of texts holds are kept, up to MAX_WORDS (and until most words are others);
+    the rest are forgotten with their group, so memory is bounded and common words are worked out once."""
 
     def __init__(self, pieces: tuple[str, ...], kinds: tuple[int, ...], alpha: float) -> None:
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(pieces, kinds, strict=True)) if k == 1}
@@ -99,17 +100,19 @@ class Lattices:
     def prepare(self, words: set[str]) -> None:
         """Make all ``words`` known until forget()."""
         new = [w for w in words if w not in self.words]
-        again = sorted(w for w in new if w in self.once)
+        again = [w for w in new if w in self.once]
         if len(self.words) + len(again) > MAX_WORDS:
-            self.clear()
-            again, new = [], list(words)
-        if len(self.once) > 4 * MAX_WORDS:
+            again = []  # full: the first to repeat are the commonest
+            if len(new) > len(words) * 3 // 4:  # unless the texts have changed
+                self.clear()
+                new = list(words)
+        if len(self.once) > 2 * MAX_WORDS:
             self.once.clear()
         self.once.difference_update(again)
         if again:
             self.add(again)
         self.kept = (len(self.bases), len(self.first), len(self.cum))
-        self.passing = sorted(set(new).difference(again))
+        self.passing = list(set(new).difference(again))
         self.once.update(self.passing)
         if self.passing:
             self.add(self.passing)
@@ -300,14 +303,15 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out_
             _cached[name] = Lattices(*shared.value, alpha)
         lattices = _cached[name]
         for b in batches:
-            texts = b.column(2).to_pylist()
+            texts = pc.struct_field(b.column(0), at_text).to_pylist()
             keys = [xxhash.xxh64_intdigest("" if k is None else f"={k}", seed) for k in b.column(1).to_pylist()]
             for at, to in _groups(texts):
                 ids, sizes = sample(lattices, texts[at:to], keys[at:to])
                 lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum(sizes)].astype(np.int32), ids)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), lists], names=["_row", "_pieces"])
 
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), docs[id_col].cast("string").alias("_key"), docs[text_col].alias("_text"))
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), docs[id_col].cast("string").alias("_key"))
+    at_text = docs.columns.index(text_col)
     done = rows.mapInArrow(run, StructType([rows.schema["_row"], StructField("_pieces", ArrayType(IntegerType()))]))
     return done.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c != out_col], F.col("_pieces").alias(out_col))
 
@@ -323,7 +327,7 @@ def decode(df: DataFrame, pieces_col: str = "pieces", out_col: str = "decoded",
         begins = np.cumsum(lens) - lens
         pool = np.frombuffer(b"".join(spelled), np.uint8)
         for b in batches:
-            col = b.column(1)
+            col = pc.struct_field(b.column(0), at_pieces)
             texts: list[str] = []
             for i in range(0, b.num_rows, 64):  # some rows at a time: the index arrays are wider than the text
                 part = col.slice(i, 64)
@@ -340,6 +344,7 @@ def decode(df: DataFrame, pieces_col: str = "pieces", out_col: str = "decoded",
                     start = stop
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["_row", "_text"])
 
-    rows = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("_row"), df[pieces_col].alias("_pieces"))
+    rows = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("_row"))
+    at_pieces = df.columns.index(pieces_col)
     done = rows.mapInArrow(run, StructType([rows.schema["_row"], StructField("_text", StringType())]))
     return done.select(*[F.col("_row")[c].alias(c) for c in df.columns if c != out_col], F.col("_text").alias(out_col))
