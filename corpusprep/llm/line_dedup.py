@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from .common import ASCII_SPACE, ascii_lower, materialize, partitions
 
 
+#: Ways in which the lines of one key are dealt out.
+PARTS = 16
+
+
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
@@ -34,8 +38,11 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ranged = hashed.repartitionByRange(n, "h", "h2", "_id", "_tx").sortWithinPartitions("h", "h2", "_id", "_tx", "pos")
     firsts = materialize(ranged.groupBy("h", "h2", "_id", "_tx").agg(F.max("_n").alias("_n"), F.array_distinct(F.collect_list("pos")).alias("at")))
     frequent = firsts.groupBy("h", "h2").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= min_docs).select("h", "h2")
+    # a line of a third of all documents is spread by document, and the frequent lines stand in every part
+    spread = firsts.withColumn("part", F.pmod(F.hash("_id", "_tx"), F.lit(PARTS)))
+    everywhere = frequent.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
     dropped = (
-        firsts.join(frequent, ["h", "h2"], "left_semi")
+        spread.join(everywhere, ["h", "h2", "part"], "left_semi")
         .groupBy("_id", "_tx")
         .agg(F.max("_n").alias("_n"), F.sort_array(F.flatten(F.collect_list("at"))).alias("at"))
     )
