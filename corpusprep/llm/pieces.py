@@ -59,8 +59,8 @@ class Lattices:
 
     Place j of a word whose places begin at b has number b + j. The arcs that end there lie together from
     ``first[place]`` on, longest piece first; ``cum`` holds their cumulated probability, 1 at the last.
-    Words that a second group of texts holds are kept, up to MAX_WORDS (and until most words are others);
-    the rest are forgotten with their group, so memory is bounded and common words are worked out once."""
+    Words that a second group of texts holds are kept, up to MAX_WORDS, and then learnt
+    anew; the rest are forgotten with their group. So memory is bounded, and common words are seldom worked out again."""
 
     def __init__(self, pieces: tuple[str, ...], kinds: tuple[int, ...], alpha: float) -> None:
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(pieces, kinds, strict=True)) if k == 1}
@@ -102,10 +102,8 @@ class Lattices:
         new = [w for w in words if w not in self.words]
         again = [w for w in new if w in self.once]
         if len(self.words) + len(again) > MAX_WORDS:
-            again = []  # full: the first to repeat are the commonest
-            if len(new) > len(words) * 3 // 4:  # unless the texts have changed
-                self.clear()
-                new = list(words)
+            self.clear()
+            again, new = [], list(words)
         if len(self.once) > 2 * MAX_WORDS:
             self.once.clear()
         self.once.difference_update(again)
