@@ -3,7 +3,7 @@
 Distinct vectors are projected on a few random directions, once for each of ``curves`` orderings with directions and
 shift of its own, and placed along a Hilbert curve. Each ordering is cut by range into blocks of about
 ``block`` vectors. A query reads the blocks of a window around its own place in every ordering; each block
-gives its best classes, and what all windows found is merged and reranked by the exact cosine in double
+gives its best classes (equal cosines by the class's smallest id), and what all windows found is merged and reranked by the exact cosine in double
 precision.
 
 The directions' scale, the cuts and the width of the windows come from a bounded sample: the width is
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from .common import materialize, partitions
 
 DIMS, LEVELS = 6, 7
+ROUNDING = 1e-9
 WIDTHS = (0.01, 0.02, 0.04, 0.08, 0.12, 0.16, 0.2, 0.25, 0.3, 0.35, 0.4, 0.5, 0.6, 0.8, 1.0)
 
 
@@ -116,7 +117,7 @@ def nearest(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str
     rows = given.where(F.size("v") == size["d"]).withColumn("h", F.xxhash64("v")).withColumn("h2", F.hash("v"))
     # the smallest ids of each class; the limit works before the shuffle too, so a class of any size is small here
     first = rows.dropDuplicates(["h", "h2", "id"]).withColumn("r", F.row_number().over(Window.partitionBy("h", "h2").orderBy("id"))).where(F.col("r") <= k + 1)
-    classes = materialize(first.groupBy("h", "h2").agg(F.sort_array(F.collect_list("id")).alias("ids"), F.first("v").alias("v")))
+    classes = materialize(first.groupBy("h", "h2").agg(F.sort_array(F.collect_list("id")).alias("ids"), F.first("v").alias("v")).withColumn("least", F.col("ids")[0]))
     asking = rows.where("asks").select("id", "h", "h2").distinct()
     asked = classes.join(asking.select("h", "h2").distinct(), ["h", "h2"], "left_semi")
     n = classes.count()
@@ -153,20 +154,21 @@ def nearest(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str
                     which = lo[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
                     for s in range(0, len(row), 4096):
                         r = pa.array(row[s : s + 4096])
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(r), c, np.int32)), pa.array(which[s : s + 4096].astype(np.int32)), b.column(0).take(r), b.column(1).take(r), b.column(2).take(r)], names=["curve", "block", "h", "h2", "v"])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(r), c, np.int32)), pa.array(which[s : s + 4096].astype(np.int32)), b.column(0).take(r), b.column(1).take(r), b.column(2).take(r), b.column(3).take(r)], names=["curve", "block", "h", "h2", "v", "least"])
 
         len_blocks = blocks
         return run
 
-    kind = "curve int, block int, h long, h2 int, v array<double>"
-    base = classes.select("h", "h2", "v").mapInArrow(place(False), kind)
+    kind = "curve int, block int, h long, h2 int, v array<double>, least long"
+    base = classes.select("h", "h2", "v", "least").mapInArrow(place(False), kind)
     # a block is dealt to as many tasks as its size asks for; a query goes to each of them
     sizes = materialize(base.groupBy("curve", "block").agg(F.ceil(F.count(F.lit(1)) / (2 * block)).cast("int").alias("parts")))
     held = base.join(F.broadcast(sizes) if blocks * curves <= 100_000 else sizes, ["curve", "block"]).withColumn("part", F.pmod(F.xxhash64("h", "h2"), F.col("parts")).cast("int"))
-    tests = asked.select("h", "h2", "v").mapInArrow(place(True), kind).join(F.broadcast(sizes) if blocks * curves <= 100_000 else sizes, ["curve", "block"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    tests = asked.select("h", "h2", "v", "least").mapInArrow(place(True), kind).join(F.broadcast(sizes) if blocks * curves <= 100_000 else sizes, ["curve", "block"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     columns = ["curve", "block", "part"]
-    dealt = held.select(*columns, F.lit(0).alias("side"), "h", "h2", "v").union(tests.select(*columns, F.lit(1).alias("side"), "h", "h2", "v")).repartition(n_parts, *columns).sortWithinPartitions(*columns, "side")
-    most = k + 3
+    dealt = held.select(*columns, F.lit(0).alias("side"), "h", "h2", "v", "least").union(tests.select(*columns, F.lit(1).alias("side"), "h", "h2", "v", "least")).repartition(n_parts, *columns).sortWithinPartitions(*columns, "side")
+    # of classes in order of score and smallest id, the first k + 1 hold the first k + 1 ids
+    most = k + 1
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A block's vectors come first and stay; its queries stream past them."""
@@ -174,29 +176,34 @@ def nearest(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str
         for b in batches:
             key = np.column_stack([b.column(i).to_numpy() for i in range(3)])
             side, h, h2 = (b.column(i).to_numpy() for i in range(3, 6))
-            x = np.array(b.column(6).flatten()).reshape(b.num_rows, -1)
+            x, least = np.array(b.column(6).flatten()).reshape(b.num_rows, -1), b.column(7).to_numpy()
             change = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1) | (side[1:] != side[:-1])])
             for s, e in zip(change, [*change[1:], b.num_rows], strict=True):
                 if now is None or tuple(key[s]) != now:
                     now, base_parts, block_x = tuple(key[s]), [], None
                 if side[s] == 0:
-                    base_parts.append((x[s:e], h[s:e], h2[s:e]))
+                    base_parts.append((x[s:e], h[s:e], h2[s:e], least[s:e]))
                     continue
                 if not base_parts:
                     continue
                 if block_x is None:
                     block_x = np.concatenate([p[0] for p in base_parts])
-                    names = (np.concatenate([p[1] for p in base_parts]), np.concatenate([p[2] for p in base_parts]))
+                    names = tuple(np.concatenate([p[i] for p in base_parts]) for i in (1, 2, 3))
                     block_u = _units(block_x)
                 for lo in range(s, e, 512):
                     q = x[lo : min(lo + 512, e)]
                     near = _units(q) @ block_u.T
-                    top = np.argpartition(-near, most - 1, axis=1)[:, :most] if near.shape[1] > most else np.tile(np.arange(near.shape[1]), (len(q), 1))
-                    i, j = np.repeat(np.arange(len(q)), top.shape[1]), top.ravel()
-                    yield pa.RecordBatch.from_arrays([pa.array(h[lo + i]), pa.array(h2[lo + i]), pa.array(names[0][j]), pa.array(names[1][j]), pa.array(cosines(q[i], block_x[j]))], names=["qh", "qh2", "h", "h2", "score"])
-
-    found = dealt.mapInArrow(search, "qh long, qh2 int, h long, h2 int, score double").groupBy("qh", "qh2", "h", "h2").agg(F.max("score").alias("score"))
-    best = found.withColumn("r", F.row_number().over(Window.partitionBy("qh", "qh2").orderBy(F.desc("score"), "h", "h2"))).where(F.col("r") <= most)
+                    # every class that may reach the block's last place, as products of matrices round otherwise
+                    least_near = np.partition(near, -most, axis=1)[:, -most] - ROUNDING if near.shape[1] > most else np.full(len(q), -np.inf)
+                    i, j = np.nonzero(near >= least_near[:, None])
+                    score = np.concatenate([cosines(q[i[at : at + 16384]], block_x[j[at : at + 16384]]) for at in range(0, len(i), 16384)])
+                    order = np.lexsort((names[2][j], -score, i))
+                    order = order[np.arange(len(i)) - np.searchsorted(i, i) < most]  # ``i`` is sorted before and after
+                    i, j, score = i[order], j[order], score[order]
+                    yield pa.RecordBatch.from_arrays([pa.array(h[lo + i]), pa.array(h2[lo + i]), pa.array(names[0][j]), pa.array(names[1][j]), pa.array(names[2][j]), pa.array(score)], names=["qh", "qh2", "h", "h2", "least", "score"])
+
+    found = dealt.mapInArrow(search, "qh long, qh2 int, h long, h2 int, least long, score double").groupBy("qh", "qh2", "h", "h2", "least").agg(F.max("score").alias("score"))
+    best = found.withColumn("r", F.row_number().over(Window.partitionBy("qh", "qh2").orderBy(F.desc("score"), "least", "h", "h2"))).where(F.col("r") <= most)
     named = best.join(classes.select("h", "h2", "ids"), ["h", "h2"]).select("qh", "qh2", "score", F.explode("ids").alias("vec_id"))
     # for a class of queries, its best ids; one more than k, as a query itself may be among them
     listed = named.groupBy("qh", "qh2", "vec_id").agg(F.max("score").alias("score")).withColumn("r", F.row_number().over(Window.partitionBy("qh", "qh2").orderBy(F.desc("score"), "vec_id"))).where(F.col("r") <= k + 1)

@@ -291,6 +291,23 @@ def test_nearest_of_copies(spark):
     assert ann.nearest(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_nearest_of_many_ties(spark):
+    """More distinct vectors tie than any list holds: the smaller ids stay."""
+    ids = np.random.default_rng(8).permutation(120).tolist()
+    one_hot = [[float(j == i % 6) * 2.0 ** (i // 6) for j in range(6)] for i in range(120)]
+    rows = list(zip(ids, one_hot, strict=True))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.nearest(df, F.col("vec_id") % 50 == 0, k=25, block=32).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    assert len(found) == 3
+    for q, w in exact(rows, 19).items():  # the query's own direction is one neighbourhood of any ordering
+        assert found[q][:19] == w
+    for q, w in exact(rows, 5).items():
+        few = ann.nearest(df, F.col("vec_id") == q, block=512).orderBy("rank").collect()
+        assert [r.vec_id for r in few] == w
+
+
 def test_recall(spark):
     rng = np.random.default_rng(7)
     rows = [(i, v) for i, v in enumerate(rng.normal(size=(4000, 24)).tolist())]
