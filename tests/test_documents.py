@@ -142,6 +142,26 @@ def test_top_k(spark):
     assert again.first().chunk_id == 2
 
 
+def test_top_k_of_many_queries(spark):
+    """Any number of queries is answered, each against all blocks."""
+    q = spark.range(12_000).select(F.col("id").alias("query_id"), F.array(F.lit(1.0), F.col("id") % 7 - 3.0).alias("embedding"))
+    c = spark.range(3000).select(F.col("id").alias("chunk_id"), F.array(F.lit(1.0), F.col("id") % 5 - 2.0).alias("embedding"))
+    got = retrieval.top_k(q, c, 3).groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "chunk_id"))).alias("l")).collect()
+    # the direction nearest to -3 and -2 is -2 (ids 0, 5, 10), and so on
+    want = {a: [max(-2, min(2, a)) + 2 + 5 * i for i in range(3)] for a in range(-3, 4)}
+    assert len(got) == 12_000 and all([x.chunk_id for x in r.l] == want[r.query_id % 7 - 3] for r in got)
+
+
+def test_top_k_of_odd_vectors(spark):
+    nan = float("nan")
+    q = spark.createDataFrame([(1, [1.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0])], "query_id int, embedding array<double>")
+    c = spark.createDataFrame([("a", [1.0, None]), ("b", [0.0, 0.0]), ("c", [-1.0, -1.0]), ("d", [nan, 1.0]), ("e", [2.0, 2.0]), ("f", [3.0]), ("g", None), ("h", [1.0, 1.0])], "chunk_id string, embedding array<double>")
+    found = {}
+    for r in retrieval.top_k(q, c, 6).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append(r.chunk_id)
+    assert found == {1: list("dehbca"), 2: list("abcdef"), 3: list("dbceha"), 4: list("fabcde")}
+
+
 def test_publication_order(spark):
     paths = ["run_reports/prep-subject/r.json", "chapters/text_and_metadata/b.json", "chapters/msword/b.docx", "chapters/chapter_content_manifest.json", "full_subject/f.txt", "chapters/text_and_metadata/a.txt", "z"]
     df = manifests.publication_order(spark.createDataFrame([(p,) for p in paths], "path string"))
