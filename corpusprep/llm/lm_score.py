@@ -4,16 +4,17 @@ A token is spelled byte by byte and closed by a space; the end of a text is the
 byte is predicted by several tables of counts, looked up by a hash of the last 1, 2, 3, 4 and 6 bytes of the word and of
 the bits of the byte so far, within its kind of text. The predictions are combined in the logistic domain by weights that a gate
 chooses (by the longest context that has been seen, and how often); an adaptive map refines the result. The
-tables hold the bit counts of every training token; weights and map are learnt online, block after block of
-bits, on a bounded sample of training tokens, each of which first takes its own count out of the tables. The
+tables hold the bit counts of every training token. Weights and map are learnt from every training token, each of which
+first takes its own count out of the tables: a pass over a sample starts the weights, then each task moves them online over
+its share of all tokens by Newton steps, whose merged sums give the weights; a second round gathers the map. The
 sum over all bits is the token's log probability as spelled; its counts as a whole (in its kind of text, and in all)
-are mixed in last, with shares fitted on the same sample. The kind of a text (KINDS clusters of the sample, by frequent tokens)
-is named first and paid for. The sum over a text is its log probability; divided by its bytes it gives bits per byte.
+are mixed in last, with shares fitted to all training tokens. The kind of a text (KINDS clusters, by hashes of all its tokens)
+is named first and paid for; a sample seeds the clusters, rounds over all training rows settle them. The sum over a text is its log probability; divided by its bytes it gives bits per byte.
 
 Within a kind of text the probability of a token depends on its bytes alone, so it is spelled once for all documents
 that hold it. Frequent tokens (chosen on a sample, at most ``max_head``, which bounds what is broadcast) are counted
 within tasks; all others are counted by a shuffle and joined to the documents that hold them. Which tokens are frequent decides the way they
-go and what kinds are told by, but no count.
+go, but no count and no score.
 
 Null and empty texts are one end token. A row is known by its id and a hash of its text; rows that repeat
 both come back each, with the same figures, and count as often as they stand there. A null id has the
@@ -25,13 +26,15 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import compress, crc32, decompress
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions
+from .common import materialize
 
 ORDERS = (1, 2, 3, 4, 6)
 TABLE_BITS = (17, 19, 21, 22, 23)
@@ -40,6 +43,10 @@ N_SLOTS = int(OFFSETS[-1])
 SEGMENT = 1 << 14
 #: Kinds of text (languages, registers) that the model tells apart.
 KINDS = 8
+#: Hashes of tokens by which kinds are told.
+FEATURES = 1 << 16
+#: Rounds over all training rows that settle the kinds.
+ROUNDS = 4
 SURE = 6  # steps of how often the longest context was seen
 GATES = (len(ORDERS) + 1) * SURE
 BUCKETS = 33
@@ -61,7 +68,7 @@ def cluster(texts: list[dict[int, int]], n_words: int, kinds: int = KINDS, round
 
     # seeds: of some longer texts, those that together explain all texts best
     some = np.flatnonzero(size >= np.median(size))
-    some = some[:: max(1, len(some) // 32)]
+    some = some[:: max(1, len(some) // 64)]
     tried = [logs(np.bincount(word[doc == c], n[doc == c], n_words)).astype(np.float32) for c in some]
     gains = np.array([np.bincount(doc, n * (t - np.log(whole))[word], len(texts)) for t in tried])
     best, seeds = np.zeros(len(texts)), []
@@ -176,24 +183,75 @@ def fit_mixer(words: list[bytes], kinds: np.ndarray, ones: np.ndarray, total: np
     return mixer
 
 
-def score_words(words: list[bytes], kinds: np.ndarray, odds: np.ndarray, sure: np.ndarray, mixer: Mixer, group: int = 1500) -> np.ndarray:
-    """log2 of the model's probability of each word. ``odds`` and ``sure``: the tables, stretched, and how often seen."""
+def score_words(words: list[bytes], kinds: np.ndarray, ones: np.ndarray, total: np.ndarray, mixer: Mixer, group: int = 1500) -> np.ndarray:
+    """log2 of the model's probability of each word."""
     out = np.empty(len(words))
     for lo in range(0, len(words), group):
         part = words[lo : lo + group]
         slots, bits, owner = spell(part, kinds[lo : lo + group])
-        p = mixer.predict(odds[slots].astype(np.float64), gate_of(sure[slots]))[0]
+        t = total[slots].astype(np.float64)
+        p = mixer.predict(stretched(np.minimum(ones[slots].astype(np.float64), t), t), gate_of(sureness(t)))[0]
         out[lo : lo + len(part)] = np.bincount(owner, np.log2(np.where(bits == 1, p, 1 - p).clip(1e-12)), len(part))
     return out
 
 
-def fit_shares(parts: np.ndarray, rounds: int = 40) -> np.ndarray:
-    """Weights of a mixture, by EM; ``parts``: probability of each token of a sample under each component."""
+def gathered(words: list[bytes], kinds: np.ndarray, times: np.ndarray, ones: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Stretched predictions, gate, bit and weight of all bits of ``words``, each without the token itself."""
+    slots, bits, owner = spell(words, kinds)
+    t = total[slots].astype(np.float64)
+    o = ones[slots].astype(np.float64)
+    t, o = np.maximum(t - 1, 0), np.maximum(o - bits[:, None], 0)
+    return stretched(np.minimum(o, t), t), gate_of(sureness(t)), bits.astype(np.float64), times[owner].astype(np.float64)
+
+
+class Newton:
+    """Online steps of the weights: each block's error against the curvature of all blocks so far."""
+
+    def __init__(self, weights: np.ndarray) -> None:
+        n = weights.shape[1]
+        self.weights, self.curve = weights.copy(), np.zeros((GATES, n, n))
+
+    def learn(self, st: np.ndarray, gate: np.ndarray, bits: np.ndarray, w: np.ndarray) -> None:
+        p = 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", self.weights[gate], st), -12, 12)))
+        err, v, n = w * (bits - p), w * p * (1 - p), st.shape[1]
+        for a in range(n):
+            for b in range(a, n):
+                self.curve[:, a, b] += np.bincount(gate, v * st[:, a] * st[:, b], GATES)
+                self.curve[:, b, a] = self.curve[:, a, b]
+        slope = np.column_stack([np.bincount(gate, err * st[:, k], GATES) for k in range(n)])
+        step = np.linalg.solve(self.curve + 10 * np.eye(n), slope[:, :, None])[:, :, 0]
+        self.weights += np.clip(step, -0.25, 0.25)
+
+    def sums(self) -> np.ndarray:
+        return np.concatenate([self.curve, np.einsum("gij,gj->gi", self.curve, self.weights)[:, :, None]], axis=2)
+
+    @staticmethod
+    def merged(sums: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """The weights that all tasks' steps lead to; ``start`` where nothing was learnt."""
+        n = start.shape[1]
+        return np.linalg.solve(sums[:, :, :n] + np.eye(n), sums[:, :, n:] + start[:, :, None])[:, :, 0]
+
+
+def map_sums(mixer: Mixer, st: np.ndarray, gate: np.ndarray, bits: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """(2, GATES, BUCKETS): ones and all bits at each step of log odds."""
+    _, _, _, low, part = mixer.predict(st, gate)
+    at, size = gate * BUCKETS + low, GATES * BUCKETS
+    return np.array([np.bincount(at, x * (1 - part), size) + np.bincount(at + 1, x * part, size) for x in (w * bits, w)]).reshape(2, GATES, BUCKETS)
+
+
+def mapped(sums: np.ndarray) -> np.ndarray:
+    """The map that its sums tell; log odds as they are where little was seen."""
+    as_is = 1 / (1 + np.exp(-np.linspace(-8, 8, BUCKETS)))
+    return np.clip(np.log((sums[0] + 2 * as_is) / (sums[1] - sums[0] + 2 * (1 - as_is))), -12, 12)
+
+
+def fit_shares(parts: np.ndarray, times: np.ndarray, rounds: int = 100) -> np.ndarray:
+    """Weights of a mixture, by EM; ``parts``: probability (or its ratio to one of them) under each component, ``times`` over."""
     w = np.full(parts.shape[1], 1 / parts.shape[1])
     for _ in range(rounds):
         r = parts * w
         r /= np.maximum(r.sum(1, keepdims=True), 1e-300)
-        w = np.maximum(r.mean(0), 1e-4)
+        w = np.maximum(times @ r / times.sum(), 1e-4)
         w /= w.sum()
     return w
 
@@ -209,9 +267,18 @@ def tokens(text: bytes | None) -> Counter:
     return counts
 
 
+def features(counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+    return np.fromiter(map(crc32, counts), np.int64, len(counts)) % FEATURES, np.fromiter(counts.values(), np.int64, len(counts))
+
+
+def assign(table: np.ndarray, f: np.ndarray, n: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The kind of each text; ``first``: where the features of each begin."""
+    return np.array([np.add.reduceat(row[f].astype(np.float64) * n, first) for row in table]).argmax(0)
+
+
 @dataclass
 class Head:
-    """Frequent tokens and the kinds of text, as broadcast: ``table`` is (kinds, tokens), log probabilities."""
+    """Frequent tokens and the kinds of text, as broadcast: ``table`` is (kinds, features), log probabilities."""
 
     words: list[bytes]
     table: np.ndarray
@@ -226,8 +293,8 @@ class Head:
             else:
                 at.append(i)
                 n.append(c)
-        at_, n_ = np.array(at, np.int64), np.array(n, np.int64)
-        return at_, n_, rest, int((self.table[:, at_] * n_).sum(1).argmax())
+        f, times = features(counts)
+        return np.array(at, np.int64), np.array(n, np.int64), rest, int(assign(self.table, f, times, np.zeros(1, np.int64))[0])
 
     def index(self) -> dict[bytes, int]:
         return {w: i for i, w in enumerate(self.words)}
@@ -267,20 +334,109 @@ def _sample(drawn: DataFrame) -> list[Counter]:
     return [Counter(dict(zip(map(bytes, r[2]), r[3], strict=True))) for r in rows]
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1, max_head: int = 1 << 17, head_docs: int = 8000, sample_docs: int = 1500, sample_tokens: int = 40_000) -> DataFrame:
+def settle_kinds(taught: DataFrame, table: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    """Hard EM over all rows of ``taught`` (text), from ``table``: each round sums in Spark what texts each kind has."""
+    context = taught.sparkSession.sparkContext
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            both = [features(tokens(x)) for x in b.column(0).to_pylist()]
+            if both:
+                yield pa.RecordBatch.from_arrays([pa.array([f.astype(np.int32) for f, _ in both], pa.list_(pa.int32())), pa.array([n.astype(np.int32) for _, n in both], pa.list_(pa.int32()))], names=["f", "n"])
+
+    told = materialize(taught.select("text").mapInArrow(tell, "f array<int>, n array<int>"))
+    for _ in range(rounds):
+        shared = context.broadcast(table)
+
+        def add(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros(KINDS * FEATURES)
+            for b in batches:
+                f, n = (b.column(k).flatten().to_numpy().astype(np.int64) for k in (0, 1))
+                if not len(f):
+                    continue
+                lens = np.diff(b.column(0).offsets.to_numpy())
+                best = assign(shared.value, f, n, np.cumsum(lens) - lens)
+                sums += np.bincount(np.repeat(best, lens) * FEATURES + f, n, len(sums))
+            for k in range(KINDS):
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([compress(sums[k * FEATURES : (k + 1) * FEATURES].tobytes(), 1)], pa.binary())], names=["s", "x"])
+
+        counts = np.zeros((KINDS, FEATURES))
+        for r in summed_up(told.coalesce(context.defaultParallelism).mapInArrow(add, "s int, x binary")).toLocalIterator():
+            counts[r["s"]] = np.frombuffer(r["x"])
+        whole = counts.sum(0) + 0.1
+        mixed = counts + 20 * whole / whole.sum()
+        table = np.log(mixed / mixed.sum(1, keepdims=True)).astype(np.float32)
+        shared.unpersist()
+    return table
+
+
+def summed_up(parts: DataFrame) -> DataFrame:
+    """Of rows (s, x), x being doubles, compressed: their sum for each s, as they are."""
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = np.zeros(1)
+        for b in batches:
+            for y in b.column("x"):
+                x = x + np.frombuffer(decompress(y.as_buffer()))
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([x.tobytes()], pa.binary())], names=["s", "x"])
+
+    return parts.groupBy("s").applyInArrow(run, "s int, x binary")
+
+
+def learn(grouped: DataFrame, start: Mixer, tables: Broadcast) -> Mixer:
+    """Weights, then map, from all training tokens: rows (word, cz), cz being the counts in each kind of text."""
+    context = grouped.sparkSession.sparkContext
+
+    def over(mixer: Mixer, weights: bool) -> np.ndarray | None:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            newton, sums, (o, t) = Newton(mixer.weights), np.zeros((2, GATES, BUCKETS)), tables.value
+            for b in batches:
+                cz = np.array(b.column(1).to_pylist(), np.int64).reshape(-1, KINDS)
+                row, kind = np.nonzero(cz)
+                w = b.column(0).to_pylist()
+                for lo in range(0, len(row), 1500):
+                    r, k = row[lo : lo + 1500], kind[lo : lo + 1500]
+                    got = gathered([w[i] for i in r.tolist()], k, cz[r, k], o, t)
+                    if weights:
+                        newton.learn(*got)
+                    else:
+                        sums += map_sums(mixer, *got)
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([compress((newton.sums() if weights else sums).tobytes(), 1)], pa.binary())], names=["s", "x"])
+
+        got = summed_up(grouped.where("c > 0").select("word", "cz").coalesce(context.defaultParallelism).mapInArrow(run, "s int, x binary")).first()
+        return None if got is None else np.frombuffer(got["x"]).copy()
+
+    n = len(ORDERS)
+    sums = over(start, True)
+    mixer = Mixer(start.weights if sums is None else Newton.merged(sums.reshape(GATES, n, n + 1), start.weights), Mixer.fresh().refine)
+    sums = over(mixer, False)
+    if sums is not None:
+        mixer.refine = mapped(sums.reshape(2, GATES, BUCKETS))
+    return mixer
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1, max_head: int = 1 << 17, head_docs: int = 8000, sample_docs: int = 4000, sample_tokens: int = 40_000) -> DataFrame:
     """Per row of ``docs``: ``id_col``, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
     spark, context = docs.sparkSession, docs.sparkSession.sparkContext
     name = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     train: Column = F.crc32(name.cast("binary")) % folds != held_out
     texts = docs.select(name.alias("id"), F.xxhash64(F.col(text_col)).alias("tx"), train.alias("train"), F.col(text_col).cast("binary").alias("text"))
 
-    # frequent tokens, kinds of text and sample tokens, from a bounded sample
+    # frequent tokens, seeds of the kinds of text and the tokens that start the mixer, from a bounded sample
     n_rows = texts.where("train").count()
     words = _frequent(_drawn(texts, n_rows, head_docs), max_head)
     sample = _sample(_drawn(texts, n_rows, sample_docs))
     index = {w: i for i, w in enumerate(words)}
-    known = [{index[w]: n for w, n in c.items() if w in index} for c in sample]
-    head = Head(words, cluster(known, len(words)) if sample else np.zeros((KINDS, len(words)), np.float32))
+    known = []
+    for c in sample:
+        seen: dict[int, int] = {}
+        for f, n in zip(*(x.tolist() for x in features(c)), strict=True):
+            seen[f] = seen.get(f, 0) + n
+        known.append(seen)
+    table = np.zeros((KINDS, FEATURES), np.float32)
+    if sample:
+        table = settle_kinds(texts.where("train"), cluster(known, FEATURES))
+    head = Head(words, table)
     rng, drawn = np.random.default_rng(0), []
     if sample:
         kinds = [head.split(index, c)[3] for c in sample]
@@ -314,8 +470,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     dealt = materialize(texts.mapInArrow(deal, TAIL))
     taught = F.when(F.col("train"), F.col("n")).otherwise(0).cast("long")
     sums = [F.sum(F.when(F.col("kind") == k, taught).otherwise(0)).alias(f"c{k}") for k in range(KINDS)]
-    summed = dealt.groupBy("word").agg(F.sum(taught).alias("c"), F.max(F.col("tx").isNull()).alias("head"), *sums)
-    grouped = materialize(summed.select("word", "c", "head", F.array(*[f"c{k}" for k in range(KINDS)]).alias("cz")))
+    summed = dealt.groupBy("word").agg(F.sum(taught).alias("c"), F.max(F.col("tx").isNull()).alias("head"), F.expr("bit_or(shiftleft(1, kind))").alias("met"), *sums)
+    grouped = materialize(summed.select("word", "c", "head", "met", F.array(*[f"c{k}" for k in range(KINDS)]).alias("cz")))
     told = grouped.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), *[F.coalesce(F.sum(F.col("cz")[k]), F.lit(0)) for k in range(KINDS)]).first()
     n_train, n_distinct, of_kind = int(told[0]), int(told[1]), np.array(told[2:], np.float64)
 
@@ -352,54 +508,54 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     # the mixer, and the shares of whole-word counts and spelling
     sample_words, sample_kinds = [w for w, _ in drawn], np.array([k for _, k in drawn], np.int64)
     mixer = fit_mixer(sample_words, sample_kinds, ones, total)
-    odds, sure = np.empty(N_SLOTS, np.float16), np.empty(N_SLOTS, np.uint8)
-    for a in range(0, N_SLOTS, 1 << 20):
-        z = slice(a, a + (1 << 20))
-        odds[z], sure[z] = stretched(ones[z].astype(np.float32), total[z].astype(np.float32)), sureness(total[z])
-    del ones, total
-    shares = np.array([0.0, 0.0, 1.0])
-    if drawn and n_train:
-        asked = spark.createDataFrame([(w,) for w in sorted(set(sample_words))], "word binary")
-        counts = {bytes(r["word"]): r for r in grouped.join(F.broadcast(asked), "word").select("word", "c", "cz").toLocalIterator()}
-        spelled = 2.0 ** score_words(sample_words, sample_kinds, odds, sure, mixer)
-        own = np.array([(counts[w]["cz"][k] - 1, counts[w]["c"] - 1) for w, k in drawn], np.float64)  # without the token itself
-        shares = fit_shares(np.column_stack([own[:, 0] / np.maximum(of_kind[sample_kinds], 1), own[:, 1] / n_train, spelled]))
-    model = context.broadcast((odds, sure, mixer, shares, of_kind, max(n_train, 1)))
-    del odds, sure, sample, known
-
-    def word_scores(w: list[bytes], kinds_: np.ndarray, c: np.ndarray, cz: np.ndarray) -> np.ndarray:
-        """log10 probability of each token in a text of its kind."""
-        odds_, sure_, mixer_, shares_, of_kind_, n = model.value
-        spelled_ = 2.0 ** score_words(w, kinds_, odds_, sure_, mixer_)
-        return np.log10(np.maximum(shares_[0] * cz / np.maximum(of_kind_[kinds_], 1) + shares_[1] * c / n + shares_[2] * spelled_, 1e-300))
-
-    def score_head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts_of = context.broadcast((ones, total))
+    if n_train:
+        mixer = learn(grouped, mixer, counts_of)
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each word once for each kind of text that it is met in, or for all: its probability as spelled."""
+        ones_, total_ = counts_of.value
         for b in batches:
-            w, c, cz = b.column(0).to_pylist(), np.array(b.column(1)), np.array(b.column(2).to_pylist(), np.int64).reshape(-1, KINDS)
-            s = np.column_stack([word_scores(w, np.full(len(w), k), c, cz[:, k]) for k in range(KINDS)]) if w else np.empty((0, KINDS))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s.tolist(), pa.list_(pa.float64()))], names=["word", "c", "s"])
+            at = np.where(b.column(2).to_numpy(zero_copy_only=False), (1 << KINDS) - 1, b.column(3).to_numpy())
+            row, kind = np.nonzero((at[:, None] >> np.arange(KINDS)) & 1)
+            w, p = b.column(0).to_pylist(), np.zeros((b.num_rows, KINDS))
+            p[row, kind] = 2.0 ** score_words([w[i] for i in row.tolist()], kind, ones_, total_, mixer)
+            p = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * KINDS), pa.array(p.ravel()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), b.column(4), p], names=["word", "c", "head", "cz", "sp"])
+
+    grouped = materialize(grouped.select("word", "c", "head", "met", "cz").mapInArrow(spelled, "word binary, c long, head boolean, cz array<long>, sp array<double>"))
+    of_kinds = F.array(*[F.lit(float(x)) for x in np.maximum(of_kind, 1)])
+    shares = np.array([0.0, 0.0, 1.0])
+    if n_train:
+        # steps of a twentieth of both ratios to the spelling, summed over all training tokens, each without itself
+        each = grouped.where("c > 0").select("c", F.explode(F.arrays_zip(F.col("cz").alias("ck"), F.col("sp").alias("p"), of_kinds.alias("all"))).alias("z")).where("z.ck > 0")
+        ratio = lambda x: F.round(F.ln(x / F.greatest(F.col("z.p"), F.lit(1e-280))) * 20).cast("int")
+        steps = each.groupBy(ratio((F.col("z.ck") - 1) / F.col("z.all")).alias("x"), ratio((F.col("c") - 1) / F.lit(float(n_train))).alias("y")).agg(F.sum("z.ck").alias("n")).toArrow()
+        x, y = (np.exp(np.clip(steps.column(k).cast(pa.float64()).to_numpy() / 20, -600, 600)) for k in range(2))  # null: never seen but here
+        shares = fit_shares(np.column_stack([np.nan_to_num(x), np.nan_to_num(y), np.ones(len(x))]), steps.column(2).to_numpy().astype(np.float64))
+    given_shares = [F.lit(float(x)) for x in shares]
+
+    def log10_of(kind: Column) -> Column:
+        """log10 probability of a token in a text of its kind."""
+        p = given_shares[0] * F.get("cz", kind) / F.get(of_kinds, kind) + given_shares[1] * F.col("c") / F.lit(float(max(n_train, 1))) + given_shares[2] * F.get("sp", kind)
+        return F.log10(F.greatest(p, F.lit(1e-300)))
 
-    asked = spark.createDataFrame([(w,) for w in words], "word binary")
-    every = asked.join(grouped.where("head").select("word", "c", "cz"), "word", "left").select("word", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("cz", F.array(*[F.lit(0).cast("long")] * KINDS)).alias("cz"))
     head_c, head_s = np.zeros(len(words)), np.zeros((KINDS, len(words)))
-    for r in every.repartition(partitions(spark)).mapInArrow(score_head, "word binary, c long, s array<double>").toLocalIterator():
-        i = index[bytes(r["word"])]
-        head_c[i], head_s[:, i] = r["c"], r["s"]
+    missing = set(words)
+    for r in grouped.where("head").select("word", "c", F.array(*[log10_of(F.lit(k)) for k in range(KINDS)]).alias("s")).toLocalIterator():
+        w = bytes(r["word"])
+        missing.discard(w)
+        head_c[index[w]], head_s[:, index[w]] = r["c"], r["s"]
+    for w in missing:
+        head_s[:, index[w]] = np.log10(np.maximum(shares[2] * 2.0 ** score_words([w] * KINDS, np.arange(KINDS), ones, total, mixer), 1e-300))
     tables = context.broadcast((head_c, head_s))
-
-    def score_tail(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            kind, n, c, cz = (b.column(k).to_numpy() for k in range(1, 5))
-            words_ = b.column(0).dictionary_encode()
-            pair, first, back = np.unique(words_.indices.to_numpy().astype(np.int64) * KINDS + kind, return_index=True, return_inverse=True)
-            spelled_once = words_.dictionary.to_pylist()
-            s = word_scores([spelled_once[i] for i in (pair // KINDS).tolist()], pair % KINDS, c[first], cz[first]) if len(pair) else np.empty(0)
-            yield pa.RecordBatch.from_arrays([b.column(5), b.column(6), pa.array(n * s[back]), pa.array(n * np.log10(c + 0.5)), pa.array(np.where(c > 0, n, 0).astype(np.int64))], names=["id", "tx", "t_score", "t_base", "t_known"])
+    del ones, total, sample, known
 
     # a join, not lists by token: a token that the sample missed may stand in any number of documents
-    met = dealt.where(F.col("tx").isNotNull()).join(grouped.select("word", "c", "cz"), "word")
-    tail = met.select("word", "kind", "n", "c", F.get("cz", F.col("kind")).alias("ck"), "id", "tx").mapInArrow(score_tail, "id string, tx long, t_score double, t_base double, t_known long")
-    tail = tail.groupBy("id", "tx").agg(F.sum("t_score").alias("t_score"), F.sum("t_base").alias("t_base"), F.sum("t_known").alias("t_known"))
+    met = dealt.where(F.col("tx").isNotNull()).join(grouped.select("word", "c", "cz", "sp"), "word")
+    tail = met.groupBy("id", "tx").agg(
+        F.sum(F.col("n") * log10_of(F.col("kind"))).alias("t_score"), F.sum(F.col("n") * F.log10(F.col("c") + 0.5)).alias("t_base"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0).cast("long")).alias("t_known")
+    )
 
     def score_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, of, (c, s) = shared.value, shared.value.index(), tables.value

@@ -144,6 +144,26 @@ def test_lm_is_a_distribution():
     assert abs(sums - 1) < 1e-9
 
 
+def test_lm_learns_from_all_rows(spark):
+    """A kind of text that no sampled document holds is told apart once all rows are read, and weights follow the tokens' numbers."""
+    texts = [(" ".join(f"{a}{i % 2 + j}" for j in range(6)),) for a in "ab" for i in range(60)]
+    seeds = np.full((lm_score.KINDS, lm_score.FEATURES), -math.log(lm_score.FEATURES), np.float32)
+    seeds[1, zlib.crc32(b"a3") % lm_score.FEATURES] += 1
+    table = lm_score.settle_kinds(spark.createDataFrame(texts, "text string").select(F.col("text").cast("binary")), seeds)
+    kinds = [lm_score.Head([], table).split({}, lm_score.tokens(t.encode()))[3] for (t,) in texts]
+    assert len(set(kinds[:60])) == len(set(kinds[60:])) == 1 and kinds[0] != kinds[60]
+
+    ones, total = np.zeros(lm_score.N_SLOTS, np.float32), np.zeros(lm_score.N_SLOTS, np.float32)
+    words, times = [b"ab", b"ac", b"b", b"cab"], np.array([500, 20, 9, 3])
+    lm_score.count_bits(words, np.zeros(4, np.int64), times, ones, total)
+    rows = [(w, int(n), [int(n)] + [0] * (lm_score.KINDS - 1)) for w, n in zip(words, times, strict=True)]
+    start = lm_score.Mixer.fresh()
+    mixer = lm_score.learn(spark.createDataFrame(rows, "word binary, c long, cz array<long>"), start, spark.sparkContext.broadcast((ones, total)))
+    got = lm_score.gathered(words, np.zeros(4, np.int64), times, ones, total)
+    loss = lambda m: -(got[3] * np.log(np.where(got[2] == 1, p := m.predict(got[0], got[1])[0], 1 - p))).sum()
+    assert loss(mixer) < 0.9 * loss(start)
+
+
 def test_lm_without_training(spark):
     got = lm_score.score(spark.createDataFrame([(i, "a b") for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 1], "doc_id long, text string")).collect()
     assert got and all(r.held_out and r.n_known == 0 and r.train_tokens == 0 for r in got)
