@@ -17,14 +17,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch of whole texts; a batch holds one row at least.
+BATCH_BYTES = 4 << 20
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share, from spark.checkpoint.dir. Where that is unset: in local mode one of
+    our own, on a cluster an error, for no temporary folder is seen by all executors."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusprep-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="corpusprep-")
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session by bytes, so that a task holds few whole texts at once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: cuts lineage, survives lost executors."""
     spark = df.sparkSession

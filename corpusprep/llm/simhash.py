@@ -22,8 +22,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from .common import materialize, partitions
+from .common import materialize, partitions, small_batches
 from .components import connected_components
 
 SEED = 42
@@ -51,16 +52,15 @@ def fingerprint(text: str | bytes | None, width: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(votes * 2 > count).tobytes(), "big")
 
 
-def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``_id`` and ``_fp`` (bigint, the fingerprint's bits) per row."""
+@F.arrow_udf(LongType())
+def _fingerprints(texts: pa.Array) -> pa.Array:
+    return pa.array(np.array([fingerprint(t.as_py()) for t in texts], np.uint64).view(np.int64))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fps = np.array([fingerprint(t) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], names=["_id", "_fp"])
 
-    given = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_text"))
-    return given.mapInArrow(run, "_id long, _fp long")
+def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``_id`` and ``_fp`` (bigint, the fingerprint's bits) per row."""
+    small_batches(docs.sparkSession)
+    return docs.select(F.col(id_col).alias("_id"), _fingerprints(F.col(text_col).cast("binary")).alias("_fp"))
 
 
 def popcounts(fps: np.ndarray) -> np.ndarray:
@@ -197,7 +197,7 @@ def near_edges(fps: DataFrame, max_bits: int = MAX_BITS, block: int = 2048) -> D
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per row of ``docs``: ``id_col`` (bigint), ``fingerprint`` (16 hex digits), ``component_id``, the smallest id
+    """One row per row of ``docs``: ``id_col``, ``fingerprint`` (16 hex digits), ``component_id``, the smallest id
     reachable over links of ``max_bits`` or fewer differing bits, itself included.
 
     Null and wordless texts have fingerprint zero and link like others. Repeated rows each come back. A null
@@ -214,7 +214,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one document of each component: that with the smallest id. Rows with a null id have no
-    representative to be told by and stay; rows that repeat the representative's id stay with it."""
+    representative to be told by and stay; rows that repeat the representative's id stay with it.
+
+    The ids that go are settled and written first, so texts meet nothing but their own id."""
     groups = near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col, text_col, max_bits)
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
+    gone = materialize(groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct())
+    return docs.join(gone.hint("shuffle_hash"), docs[id_col] == gone["_gone"], "left_anti")

@@ -6,8 +6,11 @@ telling ones to zero, so the model is a short sorted list of places and weights,
 fitted on at most ``max_rows`` labelled rows (the smallest by a hash of the id); everything is scored.
 
 Null and empty texts have no features and get the score of the bias. Words are runs of ASCII letters and
-digits and of other characters' bytes, with A-Z lower-cased; whole texts are read. Rows that repeat come back each. A label row whose
-id or label is null teaches nothing; one id with both labels counts as toxic.
+digits and of other characters' bytes, with A-Z lower-cased; whole texts are read, however long. Rows that repeat
+come back each, with the same score. A label row whose id or label is null teaches nothing; one id with both labels
+counts as toxic. An empty table gives an empty table; without labelled rows every text gets the score of the first bias.
+A score equal to the threshold counts as toxic. Other columns pass through, whatever their names; a column named
+``score`` is replaced by the score.
 """
 
 from __future__ import annotations
@@ -17,11 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+
+from .common import small_batches
 
 BITS = 22
 THRESHOLD = 0.7
@@ -111,27 +114,24 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(rows)
 
 
-def _scored(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
-    """Rows as ``_row`` with ``_score``. A batch holds each text once."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.places, model.weights, model.bias))
-    at = docs.columns.index(text_col)
+def _score_of(spark: SparkSession, model: Model, text: Column) -> Column:
+    """The score of a text. Only texts go to Python, in small batches; the other columns stay in the JVM."""
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast((model.places, model.weights, model.bias))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = Model(*shared.value)
         dense, cache = own.dense(), WordHashes()
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 1000):
-                b = whole.slice(lo, 1000)
-                s = [own.score(dense, t, cache) for t in pc.struct_field(b.column(0), at).cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], names=["_row", "_score"])
+        for b in batches:
+            yield pa.array([own.score(dense, x.as_py(), cache) for x in b], pa.float64())
 
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
-    return rows.mapInArrow(run, StructType([rows.schema["_row"], StructField("_score", DoubleType())]))
+    return scored(text.cast("binary"))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (double)."""
-    return _scored(docs, model, text_col).select(*[F.col("_row")[c].alias(c) for c in docs.columns if c != "score"], F.col("_score").alias("score"))
+    """``docs`` with ``score`` (double), in place of a column of that name."""
+    return docs.select(*[docs[f"`{c}`"] for c in docs.columns if c != "score"], _score_of(docs.sparkSession, model, docs[f"`{text_col}`"]).alias("score"))
 
 
 def may_teach(id_col: str = "doc_id", folds: int = 3, held_out: int = 1):
@@ -140,4 +140,4 @@ def may_teach(id_col: str = "doc_id", folds: int = 3, held_out: int = 1):
 
 def reject(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without those that score ``threshold`` or more."""
-    return _scored(docs, model, text_col).where(F.col("_score") < threshold).select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    return docs.where(_score_of(docs.sparkSession, model, docs[f"`{text_col}`"]) < threshold)
