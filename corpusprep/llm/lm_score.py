@@ -1,587 +1,558 @@
 """Language-model scoring by online logistic context mixing, beside a smoothed unigram base.
 
-A token is spelled byte by byte and closed by a space; the end of a text is the empty word. Each bit of a
-byte is predicted by several tables of counts, looked up by a hash of the last 1, 2, 3, 4 and 6 bytes of the word and of
-the bits of the byte so far, within its kind of text. The predictions are combined in the logistic domain by weights that a gate
-chooses (by the longest context that has been seen, and how often); an adaptive map refines the result. The
-tables hold the bit counts of every training token. Weights and map are learnt from every training token, each of which
-first takes its own count out of the tables: a pass over a sample starts the weights, then each task moves them online over
-its share of all tokens by Newton steps, whose merged sums give the weights; a second round gathers the map. The
-sum over all bits is the token's log probability as spelled; its counts as a whole (in its kind of text, and in all)
-are mixed in last, with shares fitted to all training tokens. The kind of a text (KINDS clusters, by hashes of all its tokens)
-is named first and paid for; a sample seeds the clusters, rounds over all training rows settle them. The sum over a text is its log probability; divided by its bytes it gives bits per byte.
-
-Within a kind of text the probability of a token depends on its bytes alone, so it is spelled once for all documents
-that hold it. Frequent tokens (chosen on a sample, at most ``max_head``, which bounds what is broadcast) are counted
-within tasks; all others are counted by a shuffle and joined to the documents that hold them. Which tokens are frequent decides the way they
-go, but no count and no score.
-
-Null and empty texts are one end token. A row is known by its id and a hash of its text; rows that repeat
-both come back each, with the same figures, and count as often as they stand there. A null id has the
-remainder of the text "null". Without training rows all counts are zero and the model knows nothing: every bit costs one bit.
+A text is told bit by bit. Frequent training tokens (by exact counts, at most ``max_head``, which bounds what is
+broadcast) and an escape have Huffman codes; every other token is the escape and is then spelled, its bytes in
+Huffman codes as well; the end of a text is a token of its own. Each bit is predicted by several tables of counts,
+looked up by a hash of a context and of the place in the code:
+
+* tokens: none; the commonest of the sixteen tokens before (which tells the language); the token before; the two before;
+* letters of a spelled token: the last 1, 2, 3 and 5 bytes of it.
+
+The predictions are combined in the logistic domain by weights that a gate chooses (which contexts were seen, how
+deep the code is), and an adaptive map refines the result. The tables hold the bits of every training token. Weights
+and map are learnt online over every training token too: each task moves them over its rows by Newton steps, a token's
+own occurrence being taken out of the counts, and the sums of all tasks give the model. The sum over the bits is the
+text's log probability; divided by its bytes it gives bits per byte. Word order counts: a token's probability hangs on
+those before it.
+
+What is broadcast is bounded by parameters: head tokens and their codes, tables of fixed size. Token counts are not
+bounded and stay in Spark: the rare tokens of a document are joined with the table of all tokens, which holds their
+counts and, each spelled once, their probability as spelled. Tables are counted per task and added up by segment.
+
+Null and empty texts are one end token. Rows that repeat come back each and count as often as they stand there. A null
+id has the remainder of the text "null". A very long text is one array of token numbers in one task, never cut. Ties
+of token counts at the end of the head go to the smaller token. Without training rows nothing is known and every bit
+costs one bit. An empty table gives an empty table. Only the id and the text are read, so no other column can clash.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+import heapq
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from zlib import compress, crc32, decompress
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
-
-ORDERS = (1, 2, 3, 4, 6)
-TABLE_BITS = (17, 19, 21, 22, 23)
-OFFSETS = np.cumsum([0, *[1 << b for b in TABLE_BITS]])
-N_SLOTS = int(OFFSETS[-1])
-SEGMENT = 1 << 14
-#: Kinds of text (languages, registers) that the model tells apart.
-KINDS = 8
-#: Hashes of tokens by which kinds are told.
-FEATURES = 1 << 16
-#: Rounds over all training rows that settle the kinds.
-ROUNDS = 4
-SURE = 6  # steps of how often the longest context was seen
-GATES = (len(ORDERS) + 1) * SURE
-BUCKETS = 33
-_M = np.uint64(0x9E3779B97F4A7C15)
-
-
-def cluster(texts: list[dict[int, int]], n_words: int, kinds: int = KINDS, rounds: int = 12) -> np.ndarray:
-    """log probabilities (kinds, n_words) of a mixture of unigrams, by hard EM over ``texts`` (word number: count)."""
-    doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    word = np.fromiter((w for t in texts for w in t), np.int64, len(doc))
-    n = np.fromiter((c for t in texts for c in t.values()), np.float64, len(doc))
-    size = np.maximum(np.bincount(doc, n, len(texts)), 1)
-    whole = np.bincount(word, n, n_words) + 0.1
-    whole /= whole.sum()
-
-    def logs(counts: np.ndarray) -> np.ndarray:
-        mixed = counts + 20 * whole
-        return np.log(mixed / mixed.sum(-1, keepdims=True))
-
-    # seeds: of some longer texts, those that together explain all texts best
-    some = np.flatnonzero(size >= np.median(size))
-    some = some[:: max(1, len(some) // 64)]
-    tried = [logs(np.bincount(word[doc == c], n[doc == c], n_words)).astype(np.float32) for c in some]
-    gains = np.array([np.bincount(doc, n * (t - np.log(whole))[word], len(texts)) for t in tried])
-    best, seeds = np.zeros(len(texts)), []
-    for _ in range(min(kinds, len(some))):
-        new = int(np.maximum(gains, best).sum(1).argmax())
-        best = np.maximum(best, gains[new])
-        seeds.append(tried[new])
-    while len(seeds) < kinds:
-        seeds.append(np.log(whole))
-    table = np.array(seeds)
-    for _ in range(rounds):
-        best = np.array([np.bincount(doc, n * t[word], len(texts)) for t in table]).argmax(0)
-        table = logs(np.bincount(best[doc] * n_words + word, n, kinds * n_words).reshape(kinds, n_words))
-    return table.astype(np.float32)
-
-
-def spell(words: list[bytes], kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each bit of all ``words``: its slot in each table (bits, orders), the bit and the word
-    it belongs to. ``kinds``: the kind of text that each word stands in, part of every context."""
-    raw = np.frombuffer(b" ".join(words) + b" ", np.uint8)
-    lens = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    first = np.cumsum(lens) - lens
-    place = np.arange(len(raw)) - np.repeat(first, lens)
-    padded = np.concatenate([np.zeros(max(ORDERS), np.uint64), raw.astype(np.uint64) + np.uint64(1)])
-    contexts, h = {}, np.repeat(kinds.astype(np.uint64), lens)
-    for back in range(1, max(ORDERS) + 1):
-        seen = padded[max(ORDERS) - back : len(padded) - back].copy()
-        seen[place < back] = 0  # nothing before the word's first byte
-        h = (h + seen + np.uint64(back)) * _M
-        h ^= h >> np.uint64(32)
-        if back in ORDERS:
-            contexts[back] = h
-    bits = np.unpackbits(raw[:, None], axis=1)
-    so_far = np.empty((len(raw), 8), np.uint64)
-    node = np.ones(len(raw), np.uint64)
-    for j in range(8):
-        so_far[:, j] = node
-        node = node * np.uint64(2) + bits[:, j]
-    slots = np.empty((len(raw) * 8, len(ORDERS)), np.int32)
-    for k, (order, size) in enumerate(zip(ORDERS, TABLE_BITS, strict=True)):
-        mixed = (contexts[order][:, None] + so_far * np.uint64(0xC2B2AE3D27D4EB4F)) * _M
-        slots[:, k] = ((mixed >> np.uint64(64 - size)).astype(np.int64) + OFFSETS[k]).ravel()
-    return slots, bits.ravel(), np.repeat(np.arange(len(words)), lens * 8)
-
-
-def count_bits(words: list[bytes], kinds: np.ndarray, times: np.ndarray, ones: np.ndarray, total: np.ndarray) -> None:
-    """Add the bits of ``words``, each ``times`` over, to the tables."""
-    slots, bits, owner = spell(words, kinds)
-    w = times[owner].astype(total.dtype)
-    for k in range(len(ORDERS)):  # the slots of all orders are numbered through
-        np.add.at(total, slots[:, k], w)
-        np.add.at(ones, slots[:, k], w * bits)
-
-
-def stretched(ones: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """log odds of a one; 0 where nothing was seen."""
-    return np.where(total > 0, np.log((ones + 0.2) / (total - ones + 0.2)), 0.0)
+from .common import materialize, small_batches
 
+END = ""  # the empty word: the end of a text
+ESCAPE = 1  # the symbol of a token that is spelled; END is symbol 0
+NEVER = np.int64(1 << 40)
+BLOCK = 2048  # symbols that are worked on at once
+SEGMENT = 1 << 16
+UNSEEN = 128  # of a table's bytes: log odds in steps of 1/STEP around it
+STEP = 15
+BUCKETS = 129
+LINE = np.linspace(-8, 8, BUCKETS, dtype=np.float32)
+_M = np.uint32(0x9E3779B1)
+
+#: Bits of the tables' sizes, for each context.
+TOKEN_BITS = (18, 21, 22, 22)
+LETTER_BITS = (18, 20, 21, 22)
+CONTEXTS = 4
+GATES = (1 << CONTEXTS) * 3
+
+
+# codes
 
-@dataclass
-class Mixer:
-    weights: np.ndarray  # (GATES, orders)
-    refine: np.ndarray  # (GATES, BUCKETS): log odds at each step of log odds
+
+@dataclass(frozen=True)
+class Code:
+    """Huffman codes: symbol i is told by the bits from ``start[i]`` on, ``size[i]`` of them. Each is told by a hash of its place
+    in the tree, whose last three places hold a step of its depth and the bit."""
+
+    start: np.ndarray
+    size: np.ndarray
+    nodes: np.ndarray
 
     @staticmethod
-    def fresh() -> Mixer:
-        return Mixer(np.full((GATES, len(ORDERS)), 0.3), np.tile(np.linspace(-8, 8, BUCKETS), (GATES, 1)))
-
-    def predict(self, st: np.ndarray, gate: np.ndarray) -> tuple[np.ndarray, ...]:
-        dot = np.clip(np.einsum("ij,ij->i", self.weights[gate], st), -12, 12)
-        at = (np.clip(dot, -8, 8) + 8) * ((BUCKETS - 1) / 16)
-        low = np.minimum(at.astype(np.int64), BUCKETS - 2)
-        part = at - low
-        refined = self.refine[gate, low] * (1 - part) + self.refine[gate, low + 1] * part
-        p = 1 / (1 + np.exp(-dot))
-        q = 1 / (1 + np.exp(-refined))
-        return 0.5 * p + 0.5 * q, p, q, low, part
-
-    def learn(self, st: np.ndarray, gate: np.ndarray, bits: np.ndarray, rate: float) -> float:
-        """One block of the online pass: predict, then move weights and map against the error. Returns its bits."""
-        mixed, p, q, low, part = self.predict(st, gate)
-        n = np.maximum(np.bincount(gate, minlength=GATES), 1)[:, None] ** 0.5
-        err, err2 = bits - p, bits - q
-        for k in range(st.shape[1]):
-            self.weights[:, k] += rate * np.bincount(gate, err * st[:, k], GATES) / n[:, 0]
-        step = np.bincount(gate * BUCKETS + low, err2 * (1 - part), GATES * BUCKETS) + np.bincount(gate * BUCKETS + low + 1, err2 * part, GATES * BUCKETS)
-        self.refine += 4 * rate * step.reshape(GATES, BUCKETS) / n
-        return float(-np.log2(np.where(bits == 1, mixed, 1 - mixed).clip(1e-12)).sum())
-
-
-def gate_of(sure: np.ndarray) -> np.ndarray:
-    """``sure`` (bits, orders): 0 where a context was not seen, else a step of how often. The longest unbroken run
-    of seen contexts, and the step of its last one."""
-    run = np.cumprod(sure > 0, axis=1, dtype=np.int64).sum(axis=1)
-    return run * SURE + np.where(run > 0, sure[np.arange(len(sure)), np.maximum(run - 1, 0)], 1) - 1
-
-
-def sureness(total: np.ndarray) -> np.ndarray:
-    return np.searchsorted([1, 2, 4, 12, 60, 500], total, side="right").astype(np.uint8)
-
-
-def fit_mixer(words: list[bytes], kinds: np.ndarray, ones: np.ndarray, total: np.ndarray, block: int = 8192, rate: float = 0.02, passes: int = 2) -> Mixer:
-    mixer = Mixer.fresh()
-    step = max(1, block // 96)
-    for turn in range(passes):
-        for at in range(0, len(words), step):
-            slots, bits, _ = spell(words[at : at + step], kinds[at : at + step])
-            t = total[slots].astype(np.float64)
-            o = ones[slots].astype(np.float64)
-            t, o = np.maximum(t - 1, 0), np.maximum(o - bits[:, None], 0)  # without the token itself
-            mixer.learn(stretched(np.minimum(o, t), t), gate_of(sureness(t)), bits.astype(np.float64), rate / (1 + turn))
-    return mixer
+    def of(weights: np.ndarray) -> Code:
+        """Codes for symbols of these weights (two at least); ties go by number, so the tree is settled."""
+        n = len(weights)
+        heap = [(float(w), i) for i, w in enumerate(weights)]
+        heapq.heapify(heap)
+        parent, side = np.zeros(2 * n - 1, np.int64), np.zeros(2 * n - 1, np.uint8)
+        for new in range(n, 2 * n - 1):
+            (wa, a), (wb, b) = heapq.heappop(heap), heapq.heappop(heap)
+            parent[a], parent[b], side[b] = new, new, 1
+            heapq.heappush(heap, (wa + wb, new))
+        at, rows = np.arange(n), []
+        while (up := np.flatnonzero(at != 2 * n - 2)).size:  # all symbols climb one step
+            rows.append((up, parent[at[up]] - n, side[at[up]]))
+            at[up] = parent[at[up]]
+        symbol, node, bit = (np.concatenate([r[k] for r in rows]) for k in range(3))
+        order = np.lexsort((-np.arange(len(symbol)), symbol))  # by symbol, from the root down
+        size = np.bincount(symbol, minlength=n)
+        start = np.cumsum(size) - size
+        depth = np.arange(len(order)) - np.repeat(start, size)
+        steps = np.searchsorted([2, 6], depth, side="right") * 2 + bit[order]
+        return Code(start, size, _mixed(node[order].astype(np.uint32) + np.uint32(1)) & ~np.uint32(7) | steps.astype(np.uint32))
+
+
+# contexts: arrays of 32-bit hashes, one per symbol
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B)
+    return (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+
+
+def _before(x: np.ndarray, place: np.ndarray, k: int, nothing: int) -> np.ndarray:
+    """``x`` shifted by ``k`` within its text."""
+    out = np.full(len(x), nothing, x.dtype)
+    out[k:] = np.where(place[k:] >= k, x[: max(len(x) - k, 0)], out[k:])
+    return out
+
+
+def token_contexts(ids: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
+    """``ids``: numbers of head tokens, or below zero a hash of another; ``place``: of each in its text."""
+    one, two = _before(ids, place, 1, -1), _before(ids, place, 2, -1)
+    common = _before(np.where(ids >= 0, ids, NEVER), place, 1, NEVER)
+    for d in (1, 2, 4, 8):  # the least number of the sixteen before is the commonest of them
+        common = np.minimum(common, _before(common, place, d, NEVER))
+    w1, w2 = _mixed(one.astype(np.uint32)), _mixed(two.astype(np.uint32))
+    return [np.zeros(len(ids), np.uint32), _mixed(common.astype(np.uint32) + np.uint32(77)), w1, _mixed(w1 * np.uint32(3) + w2)]
 
 
-def score_words(words: list[bytes], kinds: np.ndarray, ones: np.ndarray, total: np.ndarray, mixer: Mixer, group: int = 1500) -> np.ndarray:
-    """log2 of the model's probability of each word."""
-    out = np.empty(len(words))
-    for lo in range(0, len(words), group):
-        part = words[lo : lo + group]
-        slots, bits, owner = spell(part, kinds[lo : lo + group])
-        t = total[slots].astype(np.float64)
-        p = mixer.predict(stretched(np.minimum(ones[slots].astype(np.float64), t), t), gate_of(sureness(t)))[0]
-        out[lo : lo + len(part)] = np.bincount(owner, np.log2(np.where(bits == 1, p, 1 - p).clip(1e-12)), len(part))
+def letter_contexts(raw: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
+    """``raw``: bytes of words; ``place``: of each in its word."""
+    h, out = np.zeros(len(raw), np.uint32), []
+    for k in range(1, 6):
+        h = _mixed(h * np.uint32(31) + _before(raw.astype(np.int64) + 1, place, k, 0).astype(np.uint32))
+        if k != 4:
+            out.append(h)
     return out
 
 
-def gathered(words: list[bytes], kinds: np.ndarray, times: np.ndarray, ones: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Stretched predictions, gate, bit and weight of all bits of ``words``, each without the token itself."""
-    slots, bits, owner = spell(words, kinds)
-    t = total[slots].astype(np.float64)
-    o = ones[slots].astype(np.float64)
-    t, o = np.maximum(t - 1, 0), np.maximum(o - bits[:, None], 0)
-    return stretched(np.minimum(o, t), t), gate_of(sureness(t)), bits.astype(np.float64), times[owner].astype(np.float64)
+@dataclass(frozen=True)
+class Kind:
+    """What a stream of symbols is made of."""
+
+    name: str
+    contexts: Callable[[np.ndarray, np.ndarray], list[np.ndarray]]
+    symbols: Callable[[np.ndarray], np.ndarray]
+    bits: tuple[int, ...]
+
+    @property
+    def offsets(self) -> np.ndarray:
+        return np.cumsum([0, *[1 << b for b in self.bits]])
+
+
+TOKENS = Kind("tokens", token_contexts, lambda ids: np.where(ids >= 0, ids, ESCAPE), TOKEN_BITS)
+LETTERS = Kind("letters", letter_contexts, lambda raw: raw, LETTER_BITS)
+
+
+def bits_of(kind: Kind, code: Code, values: np.ndarray, place: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Block by block: which symbols, the number of bits of each, the bits' signs (the bit, and twice a step of depth), and
+    their slots in each table."""
+    symbols, contexts = kind.symbols(values), kind.contexts(values, place)
+    for lo in range(0, len(symbols), BLOCK):
+        part = slice(lo, lo + BLOCK)
+        s = symbols[part]
+        size = code.size.take(s)
+        at = np.repeat(code.start.take(s) - np.cumsum(size) + size, size)
+        at += np.arange(len(at))
+        nodes = code.nodes.take(at, mode="clip")
+        signs = nodes & np.uint32(7)
+        nodes ^= signs
+        slots = [((np.repeat(c[part], size) ^ nodes) * _M >> np.uint32(32 - b)).astype(np.int64) for c, b in zip(contexts, kind.bits, strict=True)]
+        yield part, size, signs, slots
 
 
-class Newton:
-    """Online steps of the weights: each block's error against the curvature of all blocks so far."""
+# tables of counts
 
-    def __init__(self, weights: np.ndarray) -> None:
-        n = weights.shape[1]
-        self.weights, self.curve = weights.copy(), np.zeros((GATES, n, n))
 
-    def learn(self, st: np.ndarray, gate: np.ndarray, bits: np.ndarray, w: np.ndarray) -> None:
-        p = 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", self.weights[gate], st), -12, 12)))
-        err, v, n = w * (bits - p), w * p * (1 - p), st.shape[1]
-        for a in range(n):
-            for b in range(a, n):
-                self.curve[:, a, b] += np.bincount(gate, v * st[:, a] * st[:, b], GATES)
+def log_odds(ones: np.ndarray, zeros: np.ndarray) -> np.ndarray:
+    """Log odds of a one as bytes: UNSEEN where nothing was seen, and there only."""
+    q = np.clip(np.rint(np.log((ones + 0.2) / (zeros + 0.2)) * STEP), -127, 127)
+    q = np.where((q == 0) & (ones + zeros > 0), 1, q)
+    return (q + UNSEEN).astype(np.uint8)
+
+
+def as_bytes(zeros: np.ndarray, ones: np.ndarray) -> tuple[bytes, bytes]:
+    """Of the counts of a segment: log odds, and those without one zero and without one one, side by side."""
+    less = np.stack([log_odds(ones, np.maximum(zeros - 1.0, 0)), log_odds(np.maximum(ones - 1.0, 0), zeros)], axis=1)
+    return log_odds(ones.astype(float), zeros.astype(float)).tobytes(), less.tobytes()
+
+
+class Counts:
+    """Zeros and ones of every slot, side by side. Keys are gathered and sorted, so that tables are walked in order."""
+
+    gather = 1 << 20
+
+    def __init__(self, kind: Kind) -> None:
+        self.of = [np.zeros(2 << b, np.uint32) for b in kind.bits]
+        self.keys: list[list[np.ndarray]] = [[] for _ in kind.bits]
+        self.n = 0
+
+    def add(self, slots: list[np.ndarray], bits: np.ndarray, times: np.ndarray | None) -> None:
+        for count, keys, s in zip(self.of, self.keys, slots, strict=True):
+            if times is None:
+                keys.append(s.astype(np.uint32) << 1 | bits)
+            else:
+                np.add.at(count, 2 * s + bits, times.astype(np.uint32))
+        self.n += len(bits)
+        if self.n > self.gather:
+            self.settle()
+
+    def settle(self) -> None:
+        for count, keys in zip(self.of, self.keys, strict=True):
+            if keys:
+                x = np.sort(np.concatenate(keys))
+                first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+                count[x[first]] += np.diff(np.r_[first, len(x)]).astype(np.uint32)
+                keys.clear()
+        self.n = 0
+
+    def finished(self) -> np.ndarray:
+        self.settle()
+        return np.concatenate(self.of)
+
+
+# the mixer
+
+
+@dataclass
+class Mixer:
+    weights: np.ndarray  # (GATES, contexts + 1): the last is of a constant
+    refine: np.ndarray  # (GATES, BUCKETS): probability at each step of log odds
+
+    @staticmethod
+    def fresh() -> Mixer:
+        weights = np.full((GATES, CONTEXTS + 1), 0.3)
+        weights[:, CONTEXTS] = 0
+        return Mixer(weights, np.tile(1 / (1 + np.exp(-LINE)), (GATES, 1)))
+
+    def mix(self, st: list[np.ndarray], gate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log odds of a one as mixed, and where they lie on the map."""
+        w = self.weights.T.astype(np.float32)
+        dot = w[-1].take(gate, mode="clip")
+        for k, x in enumerate(st):
+            dot += w[k].take(gate, mode="clip") * x
+        np.clip(dot, -12, 12, out=dot)
+        at = np.rint(np.clip(dot, -8, 8) * np.float32((BUCKETS - 1) / 16)).astype(np.int64)
+        at += gate * BUCKETS + (BUCKETS - 1) // 2
+        return dot, at
+
+    def predict(self, st: list[np.ndarray], gate: np.ndarray) -> np.ndarray:
+        """Probability of a one: half as mixed, half as the map refines it."""
+        dot, at = self.mix(st, gate)
+        return 0.5 / (1 + np.exp(-dot)) + self.refine.ravel().take(at, mode="clip") * 0.5
+
+
+def looked_up(table: np.ndarray, kind: Kind, slots: list[np.ndarray], signs: np.ndarray, itself: bool = False) -> tuple[list[np.ndarray], np.ndarray]:
+    """Log odds of each context and the gate. ``itself``: the table is the one without a bit itself."""
+    st, gate, bits = [], (signs >> 1 << CONTEXTS).astype(np.uint8), (signs & 1).astype(np.int64)
+    for k, (s, start) in enumerate(zip(slots, kind.offsets, strict=False)):
+        q = table[2 * start : 2 * start + (2 << kind.bits[k])].take(2 * s + bits, mode="clip") if itself else table[start : start + (1 << kind.bits[k])].take(s, mode="clip")
+        st.append(np.subtract(q, UNSEEN, dtype=np.float32) * np.float32(1 / STEP))
+        gate += (q != UNSEEN).view(np.uint8) << np.uint8(k)
+    return st, gate.astype(np.int64)
+
+
+class Learner:
+    """Online steps of the weights, each block's error against the curvature so far, and sums of the map."""
+
+    def __init__(self) -> None:
+        self.mixer, n = Mixer.fresh(), CONTEXTS + 1
+        self.curve, self.map, self.blocks = np.zeros((GATES, n, n)), np.zeros((2, GATES * BUCKETS)), 0
+
+    def learn(self, st: list[np.ndarray], gate: np.ndarray, bits: np.ndarray, times: np.ndarray | None) -> None:
+        dot, at = self.mixer.mix(st, gate)
+        p, ones, size = 1 / (1 + np.exp(-dot)), bits.astype(np.float32), GATES * BUCKETS
+        err = ones - p
+        if times is not None:
+            err, ones = err * times, ones * times
+        self.map[0] += np.bincount(at, ones, size)
+        self.map[1] += np.bincount(at, times, size)
+        inputs = [*st, None]
+        v = p[::8] * (1 - p[::8]) if times is None else p[::8] * (1 - p[::8]) * times[::8]
+        some, g = [None if x is None else x[::8] for x in inputs], gate[::8]  # the curvature only sets the length of steps and the share of a task
+        for a, x in enumerate(some):
+            vx = v if x is None else v * x
+            for b in range(a, len(some)):
+                self.curve[:, a, b] += np.bincount(g, vx if some[b] is None else vx * some[b], GATES)
                 self.curve[:, b, a] = self.curve[:, a, b]
-        slope = np.column_stack([np.bincount(gate, err * st[:, k], GATES) for k in range(n)])
-        step = np.linalg.solve(self.curve + 10 * np.eye(n), slope[:, :, None])[:, :, 0]
-        self.weights += np.clip(step, -0.25, 0.25)
+        self.blocks += 1
+        slope = np.column_stack([np.bincount(gate, err if x is None else err * x, GATES) for x in inputs])
+        n = len(inputs)
+        self.mixer.weights += np.clip(np.linalg.solve(8 * self.curve + 10 * np.eye(n), slope[:, :, None])[:, :, 0], -0.25, 0.25)
 
     def sums(self) -> np.ndarray:
-        return np.concatenate([self.curve, np.einsum("gij,gj->gi", self.curve, self.weights)[:, :, None]], axis=2)
+        return np.concatenate([self.curve.ravel(), np.einsum("gij,gj->gi", self.curve, self.mixer.weights).ravel(), self.map.ravel()])
 
     @staticmethod
-    def merged(sums: np.ndarray, start: np.ndarray) -> np.ndarray:
-        """The weights that all tasks' steps lead to; ``start`` where nothing was learnt."""
-        n = start.shape[1]
-        return np.linalg.solve(sums[:, :, :n] + np.eye(n), sums[:, :, n:] + start[:, :, None])[:, :, 0]
+    def merged(sums: np.ndarray | None) -> Mixer:
+        """The model that all tasks' sums lead to; a fresh one where nothing was learnt."""
+        fresh = Mixer.fresh()
+        if sums is None:
+            return fresh
+        n = CONTEXTS + 1
+        curve, pull, seen = np.split(sums, [GATES * n * n, GATES * n * n + GATES * n])
+        weights = np.linalg.solve(curve.reshape(GATES, n, n) + np.eye(n), pull.reshape(GATES, n, 1) + fresh.weights[:, :, None])[:, :, 0]
+        ones, total = seen.reshape(2, GATES, BUCKETS)
+        return Mixer(weights, ((ones + 2 * fresh.refine) / (total + 2)).astype(np.float32))
+
+
+def log2_of(kind: Kind, code: Code, table: np.ndarray, mixer: Mixer, values: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """log2 of the model's probability of each symbol."""
+    out = np.zeros(len(values))
+    for part, size, signs, slots in bits_of(kind, code, values, place):
+        p = mixer.predict(*looked_up(table, kind, slots, signs))
+        each = np.log2(np.maximum(np.where(signs & 1, p, 1 - p), np.float32(1e-12)))
+        out[part] = np.add.reduceat(each, np.cumsum(size) - size)
+    return out
 
 
-def map_sums(mixer: Mixer, st: np.ndarray, gate: np.ndarray, bits: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """(2, GATES, BUCKETS): ones and all bits at each step of log odds."""
-    _, _, _, low, part = mixer.predict(st, gate)
-    at, size = gate * BUCKETS + low, GATES * BUCKETS
-    return np.array([np.bincount(at, x * (1 - part), size) + np.bincount(at + 1, x * part, size) for x in (w * bits, w)]).reshape(2, GATES, BUCKETS)
+# streams of symbols out of Arrow batches: values, place of each in its text or word, and how often it counts
 
+Feed = Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray | None]]
 
-def mapped(sums: np.ndarray) -> np.ndarray:
-    """The map that its sums tell; log odds as they are where little was seen."""
-    as_is = 1 / (1 + np.exp(-np.linspace(-8, 8, BUCKETS)))
-    return np.clip(np.log((sums[0] + 2 * as_is) / (sums[1] - sums[0] + 2 * (1 - as_is))), -12, 12)
 
+def _places(lens: np.ndarray) -> np.ndarray:
+    return np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
 
-def fit_shares(parts: np.ndarray, times: np.ndarray, rounds: int = 100) -> np.ndarray:
-    """Weights of a mixture, by EM; ``parts``: probability (or its ratio to one of them) under each component, ``times`` over."""
-    w = np.full(parts.shape[1], 1 / parts.shape[1])
-    for _ in range(rounds):
-        r = parts * w
-        r /= np.maximum(r.sum(1, keepdims=True), 1e-300)
-        w = np.maximum(times @ r / times.sum(), 1e-4)
-        w /= w.sum()
-    return w
 
+def fed_tokens(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, None]:
+    """Column 0: the token numbers of each text."""
+    lens = np.diff(b.column(0).offsets.to_numpy())
+    return b.column(0).flatten().to_numpy().astype(np.int64), _places(lens), None
 
-END = b""  # the empty word: the end of a text
-TAIL = "word binary, id string, tx long, kind int, n int, train boolean"
-FULLEST = 60_000  # counts kept as half floats are scaled down to this
 
+def fed_letters(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Column 0: words, spelled with a space after each; column 1: their counts."""
+    spaced = pc.binary_join_element_wise(b.column(0), "", " ")
+    lens, raw = pc.binary_length(spaced).to_numpy().astype(np.int64), np.frombuffer("".join(spaced.to_pylist()).encode(), np.uint8)
+    return raw, _places(lens), np.repeat(b.column(1).to_numpy(zero_copy_only=False).astype(np.float32), lens)
 
-def tokens(text: bytes | None) -> Counter:
-    counts = Counter((text or b"").lower().split())
-    counts[END] += 1
-    return counts
 
+SUMS = "all int, x binary"
 
-def features(counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-    return np.fromiter(map(crc32, counts), np.int64, len(counts)) % FEATURES, np.fromiter(counts.values(), np.int64, len(counts))
 
+def told(x: np.ndarray) -> pa.RecordBatch:
+    """What a task adds to ``summed_up``."""
+    return pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([x.tobytes()], pa.binary())], names=["all", "x"])
 
-def assign(table: np.ndarray, f: np.ndarray, n: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The kind of each text; ``first``: where the features of each begin."""
-    return np.array([np.add.reduceat(row[f].astype(np.float64) * n, first) for row in table]).argmax(0)
 
+def summed_up(parts: DataFrame) -> np.ndarray | None:
+    """The sum of all rows' ``x`` (doubles); None of no row."""
 
-@dataclass
-class Head:
-    """Frequent tokens and the kinds of text, as broadcast: ``table`` is (kinds, features), log probabilities."""
-
-    words: list[bytes]
-    table: np.ndarray
-
-    def split(self, index: dict[bytes, int], counts: Counter) -> tuple[np.ndarray, np.ndarray, list[tuple[bytes, int]], int]:
-        """Numbers and counts of frequent tokens, the other tokens, and the kind of the text."""
-        at, n, rest = [], [], []
-        for w, c in counts.items():
-            i = index.get(w)
-            if i is None:
-                rest.append((w, c))
-            else:
-                at.append(i)
-                n.append(c)
-        f, times = features(counts)
-        return np.array(at, np.int64), np.array(n, np.int64), rest, int(assign(self.table, f, times, np.zeros(1, np.int64))[0])
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = np.zeros(1)
+        for b in batches:
+            for y in b.column("x"):
+                x = x + np.frombuffer(y.as_buffer())
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary())], names=["x"])
 
-    def index(self) -> dict[bytes, int]:
-        return {w: i for i, w in enumerate(self.words)}
+    got = parts.groupBy("all").applyInArrow(run, "x binary").first()
+    return None if got is None else np.frombuffer(got["x"]).copy()
 
 
-def _drawn(texts: DataFrame, n: int, most: int) -> DataFrame:
-    """About ``most`` of ``n`` training documents, drawn by a hash of the row."""
-    return texts.where("train").where(F.pmod(F.xxhash64("id", "tx", F.lit("sample")), F.lit(1_000_000)) < min(1_000_000, int(1_000_000 * most / max(n, 1)) + 1))
+def count_tables(rows: DataFrame, feed: Feed, kind: Kind, shared: Broadcast) -> tuple[np.ndarray, np.ndarray]:
+    """Count the bits of all rows. Returns the table of log odds, and that without a bit itself."""
+    n_slots, context = int(kind.offsets[-1]), rows.sparkSession.sparkContext
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, counts = shared.value, Counts(kind)
+        for b in batches:
+            values, place, times = feed(b)
+            for part, size, signs, slots in bits_of(kind, code, values, place):
+                counts.add(slots, signs & 1, None if times is None else np.repeat(times[part], size))
+        whole = counts.finished().reshape(-1, 2 * SEGMENT)
+        for k in np.flatnonzero(whole.any(axis=1)).tolist():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([whole[k].tobytes()], pa.binary())], names=["segment", "x"])
+
+    def add_up(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 * SEGMENT, np.int64)
+        for b in batches:
+            for x in b.column("x"):
+                total += np.frombuffer(x.as_buffer(), np.uint32)
+        plain, less = as_bytes(*total.reshape(SEGMENT, 2).T)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([plain], pa.binary()), pa.array([less], pa.binary())], names=["segment", "plain", "less"])
 
-def _frequent(drawn: DataFrame, most: int) -> list[bytes]:
-    """The commonest tokens of a sample, counted by Spark; at most ``most`` come to the driver."""
+    counted = rows.coalesce(context.defaultParallelism).mapInArrow(run, "segment int, x binary")
+    table, less = np.full(n_slots, UNSEEN, np.uint8), np.full(2 * n_slots, UNSEEN, np.uint8)
+    for r in counted.groupBy("segment").applyInArrow(add_up, "segment int, plain binary, less binary").toLocalIterator():
+        a = r["segment"] * SEGMENT
+        table[a : a + SEGMENT] = np.frombuffer(r["plain"], np.uint8)
+        less[2 * a : 2 * (a + SEGMENT)] = np.frombuffer(r["less"], np.uint8)
+    return table, less
+
+
+def learn(rows: DataFrame, feed: Feed, kind: Kind, shared: Broadcast, less: np.ndarray) -> Mixer:
+    """Weights and map, online over all rows in each task, then merged."""
+    tables = rows.sparkSession.sparkContext.broadcast(less)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        learner, code, table = Learner(), shared.value, tables.value
         for b in batches:
-            for x in b.column(0).to_pylist():
-                counts.update(tokens(x))
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["w", "n"])
+            values, place, times = feed(b)
+            for part, size, signs, slots in bits_of(kind, code, values, place):
+                learner.learn(*looked_up(table, kind, slots, signs, True), signs & 1, None if times is None else np.repeat(times[part], size))
+        if learner.blocks:
+            yield told(learner.sums())
+
+    mixer = Learner.merged(summed_up(rows.mapInArrow(run, SUMS)))
+    tables.unpersist()
+    return mixer
+
 
-    counted = drawn.select("text").mapInArrow(run, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")).where("n > 1")
-    got = counted.orderBy(F.desc("n"), "w").limit(most).select("w").toArrow().column(0).to_pylist()
-    return [END, *(w for w in got if w != END)][:most]
+# documents
 
 
-def _sample(drawn: DataFrame) -> list[Counter]:
-    """Token counts of a bounded sample, for the driver."""
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, in order, and the number of words of each text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, lens = lists.flatten(), np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    there = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty word
+    if not pc.all(there).as_py():
+        lens = np.diff(np.r_[0, np.cumsum(there.to_numpy(zero_copy_only=False))][np.r_[0, np.cumsum(lens)]])
+        words = words.filter(there)
+    return words, lens
+
+
+def count_words(texts: DataFrame, most: int = 3_000_000) -> DataFrame:
+    """``word`` and ``c``, its count in rows where ``train``; words of other rows are there with what they have (zero). The
+    empty word is the end of a text. Tasks add up ``most`` words before they hand on what they have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[list[pa.Array], list[pa.Array]] = ([], [])
+
+        def met() -> Iterator[pa.RecordBatch]:
+            for train in (0, 1):
+                counted = pa.chunked_array(held[train], pa.string()).value_counts()
+                n = counted.field("counts") if train else pa.array(np.zeros(len(counted), np.int64))
+                yield pa.RecordBatch.from_arrays([counted.field("values"), n], names=["word", "c"])
+                held[train].clear()
+
+        n = 0
         for b in batches:
-            for i, t, x in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                c = tokens(x)
-                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([t]), pa.array([list(c)], pa.list_(pa.binary())), pa.array([list(c.values())], pa.list_(pa.int32()))], names=["id", "tx", "w", "n"])
+            for train in (0, 1):
+                texts = b.column(1).filter(b.column(0) if train else pc.invert(b.column(0)))
+                words, _ = words_of(texts)
+                held[train].extend([words, pa.array([END] * len(texts), pa.string())])
+                n += len(words)
+            if n > most:
+                yield from met()
+                n = 0
+        yield from met()
 
-    got = drawn.select("id", "tx", "text").mapInArrow(run, "id string, tx long, w array<binary>, n array<int>").toArrow()
-    rows = sorted(zip(*(got.column(k).to_pylist() for k in range(4)), strict=True), key=lambda r: (r[0] or "", r[1] or 0))
-    return [Counter(dict(zip(map(bytes, r[2]), r[3], strict=True))) for r in rows]
+    return texts.select("train", "text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def settle_kinds(taught: DataFrame, table: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Hard EM over all rows of ``taught`` (text), from ``table``: each round sums in Spark what texts each kind has."""
-    context = taught.sparkSession.sparkContext
+def number(texts: DataFrame, id_col: str, words: Broadcast) -> DataFrame:
+    """Per row: ``rid``, the id, ``train``, ``n_bytes``, ``ids`` (token numbers in order; below zero a hash of another token),
+    ``rest`` and ``n``: other tokens and their counts."""
 
-    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = pa.array(words.value, pa.string())
         for b in batches:
-            both = [features(tokens(x)) for x in b.column(0).to_pylist()]
-            if both:
-                yield pa.RecordBatch.from_arrays([pa.array([f.astype(np.int32) for f, _ in both], pa.list_(pa.int32())), pa.array([n.astype(np.int32) for _, n in both], pa.list_(pa.int32()))], names=["f", "n"])
-
-    told = materialize(taught.select("text").mapInArrow(tell, "f array<int>, n array<int>"))
-    for _ in range(rounds):
-        shared = context.broadcast(table)
-
-        def add(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros(KINDS * FEATURES)
-            for b in batches:
-                f, n = (b.column(k).flatten().to_numpy().astype(np.int64) for k in (0, 1))
-                if not len(f):
-                    continue
-                lens = np.diff(b.column(0).offsets.to_numpy())
-                best = assign(shared.value, f, n, np.cumsum(lens) - lens)
-                sums += np.bincount(np.repeat(best, lens) * FEATURES + f, n, len(sums))
-            for k in range(KINDS):
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([compress(sums[k * FEATURES : (k + 1) * FEATURES].tobytes(), 1)], pa.binary())], names=["s", "x"])
-
-        counts = np.zeros((KINDS, FEATURES))
-        for r in summed_up(told.coalesce(context.defaultParallelism).mapInArrow(add, "s int, x binary")).toLocalIterator():
-            counts[r["s"]] = np.frombuffer(r["x"])
-        whole = counts.sum(0) + 0.1
-        mixed = counts + 20 * whole / whole.sum()
-        table = np.log(mixed / mixed.sum(1, keepdims=True)).astype(np.float32)
-        shared.unpersist()
-    return table
-
-
-def summed_up(parts: DataFrame) -> DataFrame:
-    """Of rows (s, x), x being doubles, compressed: their sum for each s, as they are."""
+            found, lens = words_of(b.column(3))
+            known = pc.index_in(found, value_set=head)
+            own = pc.fill_null(known, 0).to_numpy().copy()
+            other = known.is_null().to_numpy(zero_copy_only=False)
+            rest = found.filter(pa.array(other)).dictionary_encode()
+            codes, hashes = rest.indices.to_numpy().astype(np.int64), np.fromiter((-1 - (crc32(w.as_buffer()) & 0x7FFFFFFF) for w in rest.dictionary), np.int32, len(rest.dictionary))
+            own[other] = hashes[codes]
+            row = np.repeat(np.arange(len(lens)), lens)
+            distinct, n = np.unique(row[other] * max(len(hashes), 1) + codes, return_counts=True)
+            n_rest = np.bincount(distinct // max(len(hashes), 1), minlength=len(lens))
+            ends = np.cumsum(lens)
+            lists = [pa.array(np.r_[0, np.cumsum(k)].astype(np.int32)) for k in (lens + 1, n_rest)]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:3], pc.fill_null(pc.binary_length(b.column(3)), 0).cast(pa.int64()), pa.ListArray.from_arrays(lists[0], pa.array(np.insert(own, ends, 0))),
+                 pa.ListArray.from_arrays(lists[1], rest.dictionary.take(pa.array(distinct % max(len(hashes), 1)))), pa.ListArray.from_arrays(lists[1], pa.array(n.astype(np.int32)))],
+                names=["rid", id_col, "train", "n_bytes", "ids", "rest", "n"],
+            )
+
+    kind = texts.schema[id_col].dataType.simpleString()
+    return texts.select("rid", id_col, "train", "text").mapInArrow(run, f"rid long, `{id_col}` {kind}, train boolean, n_bytes long, ids array<int>, rest array<string>, n array<int>")
+
+
+def byte_counts(rare: DataFrame) -> np.ndarray:
+    """How often each byte is spelled in rare training tokens, and one more of each."""
 
-    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = np.zeros(1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(256)
         for b in batches:
-            for y in b.column("x"):
-                x = x + np.frombuffer(decompress(y.as_buffer()))
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([x.tobytes()], pa.binary())], names=["s", "x"])
-
-    return parts.groupBy("s").applyInArrow(run, "s int, x binary")
-
-
-def learn(grouped: DataFrame, start: Mixer, tables: Broadcast) -> Mixer:
-    """Weights, then map, from all training tokens: rows (word, cz), cz being the counts in each kind of text."""
-    context = grouped.sparkSession.sparkContext
-
-    def over(mixer: Mixer, weights: bool) -> np.ndarray | None:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            newton, sums, (o, t) = Newton(mixer.weights), np.zeros((2, GATES, BUCKETS)), tables.value
-            for b in batches:
-                cz = np.array(b.column(1).to_pylist(), np.int64).reshape(-1, KINDS)
-                row, kind = np.nonzero(cz)
-                w = b.column(0).to_pylist()
-                for lo in range(0, len(row), 1500):
-                    r, k = row[lo : lo + 1500], kind[lo : lo + 1500]
-                    got = gathered([w[i] for i in r.tolist()], k, cz[r, k], o, t)
-                    if weights:
-                        newton.learn(*got)
-                    else:
-                        sums += map_sums(mixer, *got)
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([compress((newton.sums() if weights else sums).tobytes(), 1)], pa.binary())], names=["s", "x"])
-
-        got = summed_up(grouped.where("c > 0").select("word", "cz").coalesce(context.defaultParallelism).mapInArrow(run, "s int, x binary")).first()
-        return None if got is None else np.frombuffer(got["x"]).copy()
-
-    n = len(ORDERS)
-    sums = over(start, True)
-    mixer = Mixer(start.weights if sums is None else Newton.merged(sums.reshape(GATES, n, n + 1), start.weights), Mixer.fresh().refine)
-    sums = over(mixer, False)
-    if sums is not None:
-        mixer.refine = mapped(sums.reshape(2, GATES, BUCKETS))
-    return mixer
+            raw, _, times = fed_letters(b)
+            total += np.bincount(raw, times, 256)
+        yield told(total)
+
+    sums = summed_up(rare.mapInArrow(run, SUMS))
+    return np.ones(256) if sums is None else sums + 1
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1, max_head: int = 1 << 17, head_docs: int = 8000, sample_docs: int = 4000, sample_tokens: int = 40_000) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1, max_head: int = 1 << 16) -> DataFrame:
     """Per row of ``docs``: ``id_col``, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
     spark, context = docs.sparkSession, docs.sparkSession.sparkContext
+    small_batches(spark)
     name = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     train: Column = F.crc32(name.cast("binary")) % folds != held_out
-    texts = docs.select(name.alias("id"), F.xxhash64(F.col(text_col)).alias("tx"), train.alias("train"), F.col(text_col).cast("binary").alias("text"))
-
-    # frequent tokens, seeds of the kinds of text and the tokens that start the mixer, from a bounded sample
-    n_rows = texts.where("train").count()
-    words = _frequent(_drawn(texts, n_rows, head_docs), max_head)
-    sample = _sample(_drawn(texts, n_rows, sample_docs))
-    index = {w: i for i, w in enumerate(words)}
-    known = []
-    for c in sample:
-        seen: dict[int, int] = {}
-        for f, n in zip(*(x.tolist() for x in features(c)), strict=True):
-            seen[f] = seen.get(f, 0) + n
-        known.append(seen)
-    table = np.zeros((KINDS, FEATURES), np.float32)
-    if sample:
-        table = settle_kinds(texts.where("train"), cluster(known, FEATURES))
-    head = Head(words, table)
-    rng, drawn = np.random.default_rng(0), []
-    if sample:
-        kinds = [head.split(index, c)[3] for c in sample]
-        weights = np.array([c.total() for c in sample], np.float64)
-        for i, n in enumerate(rng.multinomial(sample_tokens, weights / weights.sum())):
-            w = list(sample[i])
-            drawn += [(w[j], kinds[i]) for j in rng.choice(len(w), n, p=np.fromiter(sample[i].values(), float) / weights[i])]
-        rng.shuffle(drawn)
-        drawn = [(bytes(w), int(k)) for w, k in drawn]
-    shared = context.broadcast(head)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, of = shared.value, shared.value.index()
-        sums = np.zeros((KINDS, len(own.words)), np.int64)
-        for b in (x.slice(at, 1000) for x in batches for at in range(0, x.num_rows, 1000)):
-            words_, n_, many, kinds_ = [], [], [], []
-            for known_, x in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                at, n, rest, kind = own.split(of, tokens(x))
-                if known_:
-                    sums[kind, at] += n
-                words_ += [w for w, _ in rest]
-                n_ += [c for _, c in rest]
-                many.append(len(rest))
-                kinds_.append(kind)
-            row = pa.array(np.repeat(np.arange(len(many)), many))
-            yield pa.RecordBatch.from_arrays([pa.array(words_, pa.binary()), b.column(0).take(row), b.column(1).take(row), pa.array(np.repeat(np.array(kinds_, np.int32), many)), pa.array(n_, pa.int32()), b.column(2).take(row)], names=["word", "id", "tx", "kind", "n", "train"])
-        kind, at = np.nonzero(sums)
-        m = len(at)
-        yield pa.RecordBatch.from_arrays([pa.array([own.words[i] for i in at.tolist()], pa.binary()), pa.nulls(m, pa.string()), pa.nulls(m, pa.int64()), pa.array(kind.astype(np.int32)), pa.array(sums[kind, at].astype(np.int32)), pa.array(np.ones(m, bool))], names=["word", "id", "tx", "kind", "n", "train"])
-
-    dealt = materialize(texts.mapInArrow(deal, TAIL))
-    taught = F.when(F.col("train"), F.col("n")).otherwise(0).cast("long")
-    sums = [F.sum(F.when(F.col("kind") == k, taught).otherwise(0)).alias(f"c{k}") for k in range(KINDS)]
-    summed = dealt.groupBy("word").agg(F.sum(taught).alias("c"), F.max(F.col("tx").isNull()).alias("head"), F.expr("bit_or(shiftleft(1, kind))").alias("met"), *sums)
-    grouped = materialize(summed.select("word", "c", "head", "met", F.array(*[f"c{k}" for k in range(KINDS)]).alias("cz")))
-    told = grouped.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), *[F.coalesce(F.sum(F.col("cz")[k]), F.lit(0)) for k in range(KINDS)]).first()
-    n_train, n_distinct, of_kind = int(told[0]), int(told[1]), np.array(told[2:], np.float64)
-
-    # the tables: each task counts into its own, segments of these are added up
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ones, total = np.zeros(N_SLOTS, np.float32), np.zeros(N_SLOTS, np.float32)
-        for b in batches:
-            cz = np.array(b.column(1).to_pylist(), np.int64).reshape(-1, KINDS)
-            row, kind = np.nonzero(cz)
-            w = b.column(0).to_pylist()
-            for lo in range(0, len(row), 3000):
-                r, k = row[lo : lo + 3000], kind[lo : lo + 3000]
-                count_bits([w[i] for i in r.tolist()], k, cz[r, k], ones, total)
-        for s in np.flatnonzero(np.add.reduceat(total, np.arange(0, N_SLOTS, SEGMENT)) > 0).tolist():
-            a, z = s * SEGMENT, min((s + 1) * SEGMENT, N_SLOTS)
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([ones[a:z].tobytes()], pa.binary()), pa.array([total[a:z].tobytes()], pa.binary())], names=["s", "ones", "total"])
-
-    def add_up(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ones = total = np.zeros(1)
-        for b in batches:
-            for o, t in zip(b.column("ones"), b.column("total"), strict=True):
-                ones = ones + np.frombuffer(o.as_buffer(), np.float32)
-                total = total + np.frombuffer(t.as_buffer(), np.float32)
-        scale = np.minimum(1, FULLEST / np.maximum(total, 1))
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([(ones * scale).astype(np.float16).tobytes()], pa.binary()), pa.array([(total * scale).astype(np.float16).tobytes()], pa.binary())], names=["s", "ones", "total"])
-
-    counted = grouped.where("c > 0").select("word", "cz").coalesce(context.defaultParallelism).mapInArrow(count, "s int, ones binary, total binary")
-    ones, total = np.zeros(N_SLOTS, np.float16), np.zeros(N_SLOTS, np.float16)
-    for r in counted.groupBy("s").applyInArrow(add_up, "s int, ones binary, total binary").toLocalIterator():
-        a = r["s"] * SEGMENT
-        part = np.frombuffer(r["ones"], np.float16)
-        ones[a : a + len(part)], total[a : a + len(part)] = part, np.frombuffer(r["total"], np.float16)
-
-    # the mixer, and the shares of whole-word counts and spelling
-    sample_words, sample_kinds = [w for w, _ in drawn], np.array([k for _, k in drawn], np.int64)
-    mixer = fit_mixer(sample_words, sample_kinds, ones, total)
-    counts_of = context.broadcast((ones, total))
-    if n_train:
-        mixer = learn(grouped, mixer, counts_of)
-
-    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each word once for each kind of text that it is met in, or for all: its probability as spelled."""
-        ones_, total_ = counts_of.value
+    texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col), train.alias("train"), F.col(text_col).alias("text"))
+
+    # the head: END, the escape, and the commonest tokens of all training rows
+    vocabulary = materialize(count_words(texts))
+    told = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v"), F.max(F.when(F.col("word") == END, F.col("c"))).alias("ends")).first()
+    n_train, n_distinct = int(told["n"]), int(told["v"])
+    real = vocabulary.where(F.col("word") != END)
+    top = real.where("c > 1").orderBy(F.desc("c"), "word").limit(max_head - 2).toArrow()
+    words, counts = [END, " ", *top.column(0).to_pylist()], top.column(1).to_numpy().astype(np.int64)
+    n_ends = int(told["ends"] or 0)
+    least = (int(counts[-1]), words[-1]) if len(counts) else (1 << 62, "")
+    rare = real.where((F.col("c") < least[0]) | (F.col("c") == least[0]) & (F.col("word") > F.lit(least[1])))
+    head_counts = np.r_[n_ends, 0, counts]
+    weights = head_counts + 1.0
+    weights[ESCAPE] = max(n_train - head_counts.sum(), 0) + 1.0
+    code, listed = context.broadcast(Code.of(weights)), context.broadcast(words)
+    dealt = materialize(number(texts, id_col, listed))
+
+    # tokens, then letters: count, learn
+    taught = dealt.where("train").select("ids")
+    table, less = count_tables(taught, fed_tokens, TOKENS, code)
+    token_model = context.broadcast((table, learn(taught, fed_tokens, TOKENS, code, less)))
+    spelled = rare.where("c > 0").select("word", "c")
+    letter_code = context.broadcast(Code.of(byte_counts(spelled)))
+    table, less = count_tables(spelled, fed_letters, LETTERS, letter_code)
+    letter_model = context.broadcast((table, learn(spelled, fed_letters, LETTERS, letter_code, less)))
+    del table, less
+    head = context.broadcast(head_counts)
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = np.where(b.column(2).to_numpy(zero_copy_only=False), (1 << KINDS) - 1, b.column(3).to_numpy())
-            row, kind = np.nonzero((at[:, None] >> np.arange(KINDS)) & 1)
-            w, p = b.column(0).to_pylist(), np.zeros((b.num_rows, KINDS))
-            p[row, kind] = 2.0 ** score_words([w[i] for i in row.tolist()], kind, ones_, total_, mixer)
-            p = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * KINDS), pa.array(p.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), b.column(4), p], names=["word", "c", "head", "cz", "sp"])
-
-    grouped = materialize(grouped.select("word", "c", "head", "met", "cz").mapInArrow(spelled, "word binary, c long, head boolean, cz array<long>, sp array<double>"))
-    of_kinds = F.array(*[F.lit(float(x)) for x in np.maximum(of_kind, 1)])
-    shares = np.array([0.0, 0.0, 1.0])
-    if n_train:
-        # steps of a twentieth of both ratios to the spelling, summed over all training tokens, each without itself
-        each = grouped.where("c > 0").select("c", F.explode(F.arrays_zip(F.col("cz").alias("ck"), F.col("sp").alias("p"), of_kinds.alias("all"))).alias("z")).where("z.ck > 0")
-        ratio = lambda x: F.round(F.ln(x / F.greatest(F.col("z.p"), F.lit(1e-280))) * 20).cast("int")
-        steps = each.groupBy(ratio((F.col("z.ck") - 1) / F.col("z.all")).alias("x"), ratio((F.col("c") - 1) / F.lit(float(n_train))).alias("y")).agg(F.sum("z.ck").alias("n")).toArrow()
-        x, y = (np.exp(np.clip(steps.column(k).cast(pa.float64()).to_numpy() / 20, -600, 600)) for k in range(2))  # null: never seen but here
-        shares = fit_shares(np.column_stack([np.nan_to_num(x), np.nan_to_num(y), np.ones(len(x))]), steps.column(2).to_numpy().astype(np.float64))
-    given_shares = [F.lit(float(x)) for x in shares]
-
-    def log10_of(kind: Column) -> Column:
-        """log10 probability of a token in a text of its kind."""
-        p = given_shares[0] * F.get("cz", kind) / F.get(of_kinds, kind) + given_shares[1] * F.col("c") / F.lit(float(max(n_train, 1))) + given_shares[2] * F.get("sp", kind)
-        return F.log10(F.greatest(p, F.lit(1e-300)))
-
-    head_c, head_s = np.zeros(len(words)), np.zeros((KINDS, len(words)))
-    missing = set(words)
-    for r in grouped.where("head").select("word", "c", F.array(*[log10_of(F.lit(k)) for k in range(KINDS)]).alias("s")).toLocalIterator():
-        w = bytes(r["word"])
-        missing.discard(w)
-        head_c[index[w]], head_s[:, index[w]] = r["c"], r["s"]
-    for w in missing:
-        head_s[:, index[w]] = np.log10(np.maximum(shares[2] * 2.0 ** score_words([w] * KINDS, np.arange(KINDS), ones, total, mixer), 1e-300))
-    tables = context.broadcast((head_c, head_s))
-    del ones, total, sample, known
-
-    # a join, not lists by token: a token that the sample missed may stand in any number of documents
-    met = dealt.where(F.col("tx").isNotNull()).join(grouped.select("word", "c", "cz", "sp"), "word")
-    tail = met.groupBy("id", "tx").agg(
-        F.sum(F.col("n") * log10_of(F.col("kind"))).alias("t_score"), F.sum(F.col("n") * F.log10(F.col("c") + 0.5)).alias("t_base"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0).cast("long")).alias("t_known")
-    )
+            raw, place, _ = fed_letters(b)
+            if len(raw):
+                own = log2_of(LETTERS, letter_code.value, *letter_model.value, raw, place)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.add.reduceat(own, np.flatnonzero(place == 0)))], names=["word", "c", "bits"])
 
-    def score_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, of, (c, s) = shared.value, shared.value.index(), tables.value
+    def score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = head.value
         base = np.log10(c + 0.5)
         for b in batches:
-            out = []
-            for x in b.column(2).to_pylist():
-                counts = tokens(x)
-                at, n, _, kind = own.split(of, counts)
-                out.append((counts.total(), len(x or b""), float((s[kind, at] * n).sum()), float((base[at] * n).sum()), int(n[c[at] > 0].sum())))
-            cols = zip(*out, strict=True) if out else ([],) * 5
-            kinds_ = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), *[pa.array(list(v), k) for v, k in zip(cols, kinds_, strict=True)]], names=["id", "tx", "orig", "n_tokens", "n_bytes", "h_score", "h_base", "h_known"])
-
-    given = docs.select(name.alias("id"), F.xxhash64(F.col(text_col)).alias("tx"), F.col(text_col).cast("binary").alias("text"), F.col(id_col).alias("orig"))
-    kind_of = docs.select(F.col(id_col).alias("orig")).schema["orig"].dataType.simpleString()
-    rows = given.mapInArrow(score_docs, f"id string, tx long, orig {kind_of}, n_tokens long, n_bytes long, h_score double, h_base double, h_known long")
-    # rows that share id and text shared their tail too: its sums are for all of them
-    once = rows.groupBy("id", "tx", "orig").agg(F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n_tokens", "n_bytes", "h_score", "h_base", "h_known")])
-    both = once.join(tail, ["id", "tx"], "left").withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    part = lambda c: F.coalesce(F.col(c), F.lit(0.0)) / F.col("copies")
+            ids, place, _ = fed_tokens(b)
+            if len(ids):
+                first, known = np.flatnonzero(place == 0), np.maximum(ids, 0)
+                own = log2_of(TOKENS, code.value, *token_model.value, ids, place)
+                sums = [np.add.reduceat(x, first) for x in (own, np.where(ids >= 0, base[known], 0.0), ((ids >= 0) & (c[known] > 0)).astype(np.int64))]
+                yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(np.diff(b.column(0).offsets.to_numpy()).astype(np.int64)), *map(pa.array, sums)], names=["rid", id_col, "train", "n_bytes", "n_tokens", "bits", "base", "known"])
+
+    # rare tokens: a join with the table of all of them
+    spelt = rare.mapInArrow(spell, "word string, c long, bits double")
+    met = dealt.select("rid", F.explode(F.arrays_zip("rest", "n")).alias("x")).select("rid", F.col("x.rest").alias("word"), F.col("x.n").alias("n"))
+    tail = met.join(spelt, "word").groupBy("rid").agg(
+        F.sum(F.col("n") * F.col("bits")).alias("t_bits"), F.sum(F.col("n") * F.log10(F.col("c") + 0.5)).alias("t_base"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("t_known")
+    )
+    kind = docs.select(id_col).schema[0].dataType.simpleString()
+    rows = dealt.select("ids", "rid", id_col, "train", "n_bytes").mapInArrow(score_rows, f"rid long, `{id_col}` {kind}, train boolean, n_bytes long, n_tokens long, bits double, base double, known long")
+    bits = F.col("bits") + F.coalesce("t_bits", F.lit(0.0))
     log_total = float(np.log10(n_train + 0.5 * (n_distinct + 1)))
-    total_score = F.col("h_score") + part("t_score") - float(np.log10(KINDS))  # the kind is named first
-    return both.select(
-        F.col("orig").alias(id_col), (F.crc32(F.col("id").cast("binary")) % folds == held_out).alias("held_out"), "n_tokens",
-        (F.col("h_known") + F.round(part("t_known")).cast("long")).alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"),
-        (F.col("h_base") + part("t_base") - F.col("n_tokens") * log_total).alias("base_score"), total_score.alias("score"),
-        (-total_score / float(np.log10(2)) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
+    return rows.join(tail, "rid", "left").select(
+        F.col(id_col), (~F.col("train")).alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("t_known", F.lit(0))).cast("long").alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"),
+        (F.col("base") + F.coalesce("t_base", F.lit(0.0)) - F.col("n_tokens") * log_total).alias("base_score"), (bits * float(np.log10(2))).alias("score"), (-bits / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
     )
