@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,5 +56,11 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` worked out once per row. Inside another lambda a plain column would be worked out for
+    every element."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

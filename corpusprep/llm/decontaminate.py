@@ -1,12 +1,14 @@
 """Benchmark decontamination: word windows of test items found in training documents (native).
 
-The windows of all items, made distinct, are the hash set. It is broadcast while it has at most
-``max_broadcast`` windows and joined by shuffle beyond that. A document is scanned once: the hash of the
-first three words at each position looks up windows that begin alike, and the words themselves verify
-each hit, so hashes decide nothing.
-
-Null or empty text has no words and no hits; an item without words has no window. Every input row gives
-one output row, repeated rows and null ids included. Input columns are only read by name, so extra
+The windows of all items, made distinct, are the hash set. Its bytes are counted first. Up to ``max_broadcast`` of them
+it is broadcast, and a document is scanned once: the hash of the first three words at each position looks up windows
+that begin alike. Beyond that, (row, position, hash of the whole window) are dealt out and joined with the windows, in
+PARTS parts each, so that a passage of a third of all documents is not one task's; only what meets comes back to its
+document. Both ways the words themselves verify each hit, so hashes decide nothing.
+
+Null or empty text has no words and no hits; an item without words has no window; without items nothing is hit. Every
+input row gives one output row, repeated rows and null ids included; an empty table gives an empty table. A very long
+text costs time by its length. Items that share a window all count. Input columns are only read by name, so extra
 columns with any names do no harm.
 """
 
@@ -17,10 +19,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, let, materialize
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ANCHOR = 3
+#: Ways in which the positions of one window are dealt out.
+PARTS = 16
 
 
 def words(text: Column) -> Column:
@@ -43,26 +47,55 @@ def item_windows(items: DataFrame, item_col: str = "item_id", text_col: str = "t
     return grouped.select("window", "items", n.alias("anchor_width"), anchor.alias("anchor"))
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", width: int = 10, max_broadcast: int = 1_000_000, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: ``id_col``, ``keep`` columns, ``n_words``, ``hits`` (merged word spans start, end),
-    ``n_hit``, ``item_ids`` (sorted strings)."""
-    windows = item_windows(items, item_col, width=width)
-    sizes = {r["anchor_width"]: r["n"] for r in windows.groupBy("anchor_width").agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = sum(sizes.values()) <= max_broadcast
-    looked_up = windows.drop("anchor_width")
-    scanned = docs.select(F.monotonically_increasing_id().alias("_rid"), F.col(id_col).alias("_id"), *[F.col(c) for c in keep], words(F.col(text_col)).alias("_w"))
+def _met_by_broadcast(scanned: DataFrame, windows: DataFrame, widths: list[int], keep: tuple[str, ...]) -> DataFrame:
+    """Rows (_rid, n_words, ...) of documents, and (_rid, hit, items) of hits."""
     # element 0 stands for the document itself, so that one pass also keeps documents without a hit
-    anchors = F.concat(F.array(F.lit(None).cast("long")), *[_anchors("_w", k) for k in sorted(sizes)])
+    anchors = F.concat(F.array(F.lit(None).cast("long")), *[_anchors("_w", k) for k in widths])
     placed = scanned.select("*", F.posexplode(anchors).alias("_p", "_a"))
-    found = placed.join(F.broadcast(looked_up) if small else looked_up, F.col("_a") == F.col("anchor"), "left")
+    found = placed.join(F.broadcast(windows), F.col("_a") == F.col("anchor"), "left")
     start = (F.col("_p") - 1) % F.greatest(F.size("_w"), F.lit(1))
     hit = F.slice("_w", start + 1, F.size("window")) == F.col("window")
-    rows = found.where((F.col("_p") == 0) | F.coalesce(hit, F.lit(False))).select(
-        "_rid", "_id", *keep, F.size("_w").cast("long").alias("n_words"),
-        F.when(F.col("_p") > 0, F.struct(start.alias("start"), (start + F.size("window")).alias("end"))).alias("hit"), "items",
+    own = F.col("_p") == 0  # a hit carries nothing of its document
+    return found.where(own | F.coalesce(hit, F.lit(False))).select(
+        "_rid", *[F.when(own, F.col(c)).alias(c) for c in ("_id", *keep)], F.when(own, F.size("_w")).cast("long").alias("n_words"),
+        F.when(~own, F.struct(start.alias("start"), (start + F.size("window")).alias("end"))).alias("hit"), "items",
     )
+
+
+def _met_by_shuffle(scanned: DataFrame, windows: DataFrame, widths: list[int], keep: tuple[str, ...]) -> DataFrame:
+    """The same rows. Positions travel without their document."""
+    docs = materialize(scanned)  # row numbers must stay as they are
+    n = F.size("_w")
+
+    def starts(k: int) -> Column:
+        each = F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.struct(i.alias("i"), F.xxhash64(F.slice("_w", i, k)).alias("h"), F.lit(k).alias("k")))
+        return F.when(n >= k, each).otherwise(F.array().cast("array<struct<i:int,h:bigint,k:int>>"))
+
+    all_of = F.flatten(F.array(*map(starts, widths)))
+    placed = docs.select("_rid", F.explode(all_of).alias("x")).select("_rid", F.col("x.i").alias("i"), F.col("x.h").alias("h"), F.col("x.k").alias("k"), F.pmod("_rid", F.lit(PARTS)).alias("part"))
+    spread = windows.select("window", "items", F.xxhash64("window").alias("h"), F.size("window").alias("k"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))).alias("part"))
+    may = placed.join(spread, ["h", "k", "part"]).groupBy("_rid").agg(F.collect_list(F.struct("i", "window", "items")).alias("may"))
+    both = docs.join(may, "_rid", "left")
+    hits = F.filter("may", lambda m: F.slice(F.col("_w"), m["i"], F.size(m["window"])) == m["window"])
+    return both.select(
+        "_rid", "_id", *keep, n.cast("long").alias("n_words"),
+        F.explode_outer(F.transform(hits, lambda m: F.struct(F.struct((m["i"] - 1).alias("start"), (m["i"] - 1 + F.size(m["window"])).alias("end")).alias("hit"), m["items"].alias("items")))).alias("x"),
+    ).select("_rid", "_id", *keep, "n_words", F.col("x.hit").alias("hit"), F.col("x.items").alias("items"))
+
+
+def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", width: int = 10, max_broadcast: int = 64 << 20, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: ``id_col``, ``keep`` columns, ``n_words``, ``hits`` (merged word spans start, end),
+    ``n_hit``, ``item_ids`` (sorted strings). ``max_broadcast``: bytes of windows and their items."""
+    windows = item_windows(items, item_col, width=width)
+    row_bytes = F.aggregate("window", F.lit(64).cast("long"), lambda a, x: a + F.octet_length(x) + 8) + F.aggregate("items", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x) + 8)
+    sizes = {r["anchor_width"]: (r["n"], r["widths"]) for r in windows.groupBy("anchor_width").agg(F.sum(row_bytes).alias("n"), F.collect_set(F.size("window")).alias("widths")).collect()}
+    scanned = docs.select(F.monotonically_increasing_id().alias("_rid"), F.col(id_col).alias("_id"), *[F.col(c) for c in keep], words(F.col(text_col)).alias("_w"))
+    if sum(n for n, _ in sizes.values()) <= max_broadcast:
+        rows = _met_by_broadcast(scanned, windows.drop("anchor_width"), sorted(sizes), keep)
+    else:
+        rows = _met_by_shuffle(scanned, windows, sorted({k for _, ks in sizes.values() for k in ks}), keep)
     grouped = rows.groupBy("_rid").agg(
-        F.first("_id").alias(id_col), *[F.first(c).alias(c) for c in keep], F.max("n_words").alias("n_words"),
+        F.first("_id", ignorenulls=True).alias(id_col), *[F.first(c, ignorenulls=True).alias(c) for c in keep], F.max("n_words").alias("n_words"),
         F.sort_array(F.collect_list("hit")).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("item_ids"),
     )
     # hits are in order: a hit that begins after all before it have ended opens a span
@@ -89,6 +122,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     if mode != "spans":
         raise ValueError(f"mode is documents or spans, not {mode!r}")
     w = words(F.col("row")[text_col])
-    left = F.array_join(F.filter(F.transform(w, lambda x, i: F.when(~F.exists("hits", lambda h: (i >= h["start"]) & (i < h["end"])), x)), lambda x: x.isNotNull()), " ")
-    text = F.when(F.col("n_hit") == 0, F.col("row")[text_col]).otherwise(left)
+    edge = lambda i, name, otherwise: F.coalesce(F.get("hits", i)[name], otherwise)
+    between = lambda all_: F.flatten(F.transform(F.sequence(F.lit(0), F.size("hits")), lambda i: _from_to(all_, F.when(i == 0, 0).otherwise(edge(i - 1, "end", F.lit(0))), edge(i, "start", F.size(all_)))))
+    text = F.when(F.col("n_hit") == 0, F.col("row")[text_col]).otherwise(F.array_join(let(w, between), " "))
     return found.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
+
+
+def _from_to(array: Column, start: Column, end: Column) -> Column:
+    return F.slice(array, start + 1, end - start)

@@ -8,7 +8,9 @@ but its keep bitmap, run-length coded.
 Null or empty text is one empty line. A line whose key is shorter than ``min_chars`` always stays.
 Rows that repeat both id and text count as one document and all come back; rows that share only the id
 are documents of their own. Null ids are an id like any other. Columns that clash with working names are
-left as they are, since the working columns are made apart and joined back.
+left as they are, since the working columns are made apart and joined back; an input column named like one that is
+made (n_lines, n_dropped, kept) is replaced. A line found in just ``min_docs`` documents goes. An empty table gives an
+empty table. A very long text is one array of lines in one task; its time grows with its length.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, ascii_lower, materialize, partitions
+from .common import ASCII_SPACE, ascii_lower, let, materialize, partitions
 
 
 #: Ways in which the lines of one key are dealt out.
@@ -62,8 +64,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[id_col].alias("_rid"), docs[text_col].alias("_rtext"))
     both = rows.join(bitmaps, F.col("_rid").eqNullSafe(F.col("bits._id")) & (F.xxhash64("_rtext") == F.col("bits._tx")), "left")
     lines = _lines(F.col("_rtext"))
-    kept = F.when(F.col("keep").isNull(), F.coalesce("_rtext", F.lit(""))).otherwise(
-        F.array_join(F.flatten(F.transform("keep", lambda r: F.slice(lines, r["start"] + 1, r["len"]))), "\n")
-    )
+    left = let(lines, lambda all_: F.flatten(F.transform("keep", lambda r: F.slice(all_, r["start"] + 1, r["len"]))))
+    kept = F.when(F.col("keep").isNull(), F.coalesce("_rtext", F.lit(""))).otherwise(F.array_join(left, "\n"))
     made = {"n_lines": F.size(lines).cast("long"), "n_dropped": F.coalesce("n_dropped", F.lit(0)).cast("long"), out_col: kept}
     return both.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in made], *[v.alias(k) for k, v in made.items()])
