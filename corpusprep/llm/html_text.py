@@ -14,7 +14,10 @@ model must weigh density and neighbours, not names alone.
 
 Null and empty html give the empty text. Broken markup is read as browsers do in the plain cases: a block
 ends an open paragraph, end tags close what is open inside them, stray end tags are passed over, an
-unfinished page ends all. Repeated rows come back each; other columns pass through.
+unfinished page ends all. Time grows with a page's length however it is nested or broken. Ties of odds (a node as well
+inside as outside) go to outside. An empty table gives an empty table. Repeated rows come back each; other columns pass
+through by name, whatever their names, and one named like the output is replaced by it. In a table without any page that
+has article or main there is nothing to learn from: then every element outside the boilerplate tags is kept.
 """
 
 from __future__ import annotations
@@ -27,11 +30,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>", re.S)
+from .common import small_batches
+
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+PLAIN = re.compile(r"[^>\"']*")
 RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "select")}
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -82,56 +88,117 @@ def _names(tag: str, attributes: str) -> tuple[frozenset[str], bool]:
     return frozenset({tag} | words), hidden
 
 
+def _tag_end(page: str, at: int, last: dict[str, int]) -> int:
+    """Where the tag ends whose attributes begin at ``at``: at the first > outside quotes, or after a quote that no other one
+    closes; -1 if there is none. ``last``: the last place of each of the characters, so that nothing is searched for in vain."""
+    while True:
+        at = PLAIN.match(page, at).end()
+        if at >= len(page) or at > last[">"]:
+            return -1
+        if page[at] == ">":
+            return at
+        quote = page[at]
+        if at < last[quote]:
+            at = page.index(quote, at + 1) + 1
+        else:
+            return page.find(">", at)
+
+
+class _Open:
+    """The elements that are open, and where each tag and each scope was opened last."""
+
+    def __init__(self, root: Node) -> None:
+        self.nodes, self.at, self.scopes = [root], {}, []
+
+    def last(self, tag: str) -> int:
+        return (self.at.get(tag) or (0,))[-1]
+
+    def scope(self) -> int:
+        return self.scopes[-1] if self.scopes else 0
+
+    def push(self, node: Node) -> None:
+        k = len(self.nodes)
+        self.nodes.append(node)
+        self.at.setdefault(node.tag, []).append(k)
+        if node.tag in SCOPE:
+            self.scopes.append(k)
+
+    def close_to(self, k: int) -> None:
+        while len(self.nodes) > k:
+            node = self.nodes.pop()
+            self.at[node.tag].pop()
+            if node.tag in SCOPE:
+                self.scopes.pop()
+
+
 def parse(page: str) -> Node:
-    """The block tree: elements inside a line (b, a, span, ...) are nodes too; their text stays in place."""
+    """The block tree: elements inside a line (b, a, span, ...) are nodes too; their text stays in place. Every step moves on
+    in the page, and stacks by tag tell what an end tag closes, so time grows with the page's length however it is nested or broken."""
     root = Node("#page", frozenset(), None, False)
-    open_, at, n = [root], 0, len(page)
+    open_, at, n = _Open(root), 0, len(page)
+    last = {c: page.rfind(c) for c in (">", '"', "'")}
+    text: list[str] = []
 
-    def close_to(k: int) -> None:
-        del open_[k:]
+    def put_text() -> None:
+        if text:
+            open_.nodes[-1].parts.append(entities.unescape("".join(text)))
+            text.clear()
 
     while at < n:
-        m = TOKEN.search(page, at)
-        if m is None:
-            rest = page[at:]
-            cut = re.search(r"<[a-zA-Z/!?][^>]*\Z", rest)  # an unfinished tag at the end is no text
-            open_[-1].parts.append(entities.unescape(rest[: cut.start()] if cut else rest))
+        start = page.find("<", at)
+        if start < 0:
+            text.append(page[at:])
             break
-        if m.start() > at:
-            open_[-1].parts.append(entities.unescape(page[at : m.start()]))
-        at = m.end()
-        if m[2] is None:
-            continue
-        tag = m[2].lower()
-        if m[1]:
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k].tag == tag:
-                    close_to(k)
-                    break
-                if open_[k].tag in SCOPE and tag not in BLOCK:
-                    break
-            continue
-        if tag == "br":
-            open_[-1].parts.append("\n")
-            continue
-        if tag in VOID:
+        if start > at:
+            text.append(page[at:start])
+        after = page[start + 1 : start + 2]
+        closing = after == "/"
+        if after in ("!", "?"):
+            put_text()
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                at = n if end < 0 else end + 3
+            else:
+                end = page.find(">", start) if start < last[">"] else -1
+                at = n if end < 0 else end + 1
             continue
-        if tag in RAW:
-            end = RAW[tag].search(page, at)
-            at = end.end() if end else n
-            open_[-1].parts.append(" ")
+        m = NAME.match(page, start + 1 + closing)
+        if m is None:
+            if closing and start + 2 < n and start < last[">"]:  # </> and the like
+                put_text()
+                at = page.index(">", start) + 1
+            else:
+                text.append("<")
+                at = start + 1
             continue
-        ends = ENDS_OWN.get(tag, frozenset())
-        for k in range(len(open_) - 1, 0, -1):
-            if open_[k].tag in ends or open_[k].tag == "p" and tag in ENDS_P:
-                close_to(k)
-                break
-            if open_[k].tag in SCOPE:
-                break
-        names, hidden = _names(tag, m[3])
-        node = Node(tag, names, open_[-1], hidden)
-        if not m[3].endswith("/") or tag in BLOCK:
-            open_.append(node)
+        end = _tag_end(page, m.end(), last)
+        if end < 0:  # an unfinished tag at the end is no text
+            break
+        put_text()
+        attributes, tag, at = page[m.end() : end], m[0].lower(), end + 1
+        if closing:
+            k = open_.last(tag)
+            if k and (tag in BLOCK or k >= open_.scope()):
+                open_.close_to(k)
+        elif tag == "br":
+            open_.nodes[-1].parts.append("\n")
+        elif tag in VOID:
+            pass
+        elif tag in RAW:
+            found = RAW[tag].search(page, at)
+            at = found.end() if found else n
+            open_.nodes[-1].parts.append(" ")
+        else:
+            k = max((open_.last(t) for t in ENDS_OWN.get(tag, ())), default=0)
+            if tag in ENDS_P:
+                k = max(k, open_.last("p"))
+            if k > open_.scope():
+                open_.close_to(k)
+            names, hidden = _names(tag, attributes)
+            node = Node(tag, names, open_.nodes[-1], hidden)
+            if not attributes.endswith("/") or tag in BLOCK:
+                open_.push(node)
+    put_text()
     return root
 
 
@@ -150,12 +217,13 @@ FEATURES = 28 + 2 * len(GROUPS)
 
 
 def node_features(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray]:
-    """Features (nodes, FEATURES) and the length of each node's own text. ``nodes`` are all nodes of one page or
-    of several, numbered through; sums over subtrees run level by level, all pages at once."""
+    """Features (nodes, FEATURES) and the length of each node's own text. ``nodes`` are all nodes of one page or of
+    several, numbered through, parents first: so a subtree is a run of nodes, and its sums are differences of running sums."""
     n, known = len(nodes), {}
     own_, words_, stops_, kids_, flag_ = [], [], [], [], []
-    index, last = [0] * n, [0] * n
-    for x in nodes:
+    index, last, size = [0] * n, [0] * n, [1] * n
+    above_, root, linked_ = [0] * n, list(range(n)), [False] * n
+    for i, x in enumerate(nodes):
         length = count = marks = 0
         for p in x.parts:
             if type(p) is str:
@@ -170,26 +238,24 @@ def node_features(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray]:
         for k, c in enumerate(x.kids):
             index[c.order], last[c.order] = k, m - 1 - k
         if (f := known.get(x.names)) is None:
-            f = known[x.names] = [float(not x.names.isdisjoint(g)) for g in GROUPS.values()]
+            f = known[x.names] = sum((not x.names.isdisjoint(g)) << k for k, g in enumerate(GROUPS.values()))
         flag_.append(f)
-    own, words, stops, kids, index, last = (np.array(v, np.float64) for v in (own_, words_, stops_, kids_, index, last))
-    flags = np.array(flag_).reshape(n, len(GROUPS))
+        linked_[i] = x.tag == "a"
+        if x.parent is not None:
+            j = x.parent.order
+            above_[i], root[i], linked_[i] = above_[j] | flag_[j], root[j], linked_[i] or linked_[j]
+    for i in range(n - 1, -1, -1):
+        if nodes[i].parent is not None:
+            size[nodes[i].parent.order] += size[i]
+    own, words, stops, kids, index, last, size = (np.array(v, np.float64) for v in (own_, words_, stops_, kids_, index, last, size))
+    flags, above = ((np.array(v)[:, None] >> np.arange(len(GROUPS)) & 1).astype(np.float64) for v in (flag_, above_))
     tag = [x.tag for x in nodes]
     is_a, is_p, is_li = (np.array([t == k for t in tag], np.float64) for k in ("a", "p", "li"))
     parent = np.array([x.parent.order if x.parent else x.order for x in nodes])
     depth = np.array([x.depth for x in nodes])
-    levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 1)]
-    total, tags, dots, spaces, ps, lis, links = sums = np.stack([own, np.ones(n), stops, words, is_p, is_li, np.zeros(n)])
-    root, above = np.arange(n), np.zeros((n, len(GROUPS)))
-    for d in range(len(levels) - 1, -1, -1):
-        at = levels[d]
-        links[at] = np.where(is_a[at] > 0, total[at], links[at])
-        if d:
-            for row in sums:
-                row += np.bincount(parent[at], row[at], n)
-    for at in levels[1:]:
-        root[at] = root[parent[at]]
-        above[at] = np.maximum(above[parent[at]], flags[parent[at]])
+    end = np.arange(n) + size.astype(np.int64)
+    upto = np.cumsum(np.stack([np.zeros(7), *np.stack([own, np.ones(n), stops, words, is_p, is_li, own * np.array(linked_)]).T]), axis=0)
+    total, tags, dots, spaces, ps, lis, links = (upto[end] - upto[:-1]).T
     whole = np.maximum(total[root], 1.0)
     log = np.log1p
     density, linked = total / tags, links / np.maximum(total, 1)
@@ -369,12 +435,14 @@ def _altered(page: str, seed: int, texts: list[str]) -> tuple[np.ndarray, np.nda
     return got
 
 
-def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 200, forms: int = 3) -> Trees | None:
-    """Fit on at most ``max_pages`` pages with telling markup, each as it is and in ``forms`` altered forms: a
-    bounded sample that comes to the driver."""
-    marked = pages.where(F.col(html_col).rlike("(?i)<(article|main)[ >]") & (F.length(html_col) < 50_000))
+def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 200, max_chars: int = 4_000_000, forms: int = 3) -> Trees | None:
+    """Fit on pages with telling markup, each as it is and in ``forms`` altered forms: a bounded sample that comes to the
+    driver, the first ``max_pages`` by a hash as long as they have ``max_chars`` characters together (a longer page is passed over)."""
+    marked = pages.where(F.col(html_col).rlike("(?i)<(article|main)[ >]") & (F.length(html_col) <= max_chars))
     named = marked.select(F.xxhash64(F.col(id_col).cast("string"), F.col(html_col)).alias("_h"), F.col(html_col).alias("_html"))
-    chosen = named.select("_h").distinct().orderBy("_h").limit(max_pages)
+    first = named.groupBy("_h").agg(F.max(F.length("_html")).cast("long").alias("_n")).orderBy("_h").limit(max_pages)
+    so_far = F.sum("_n").over(Window.orderBy("_h").rowsBetween(Window.unboundedPreceding, 0))  # over at most max_pages rows
+    chosen = first.withColumn("_upto", so_far).where((F.col("_upto") <= max_chars) | (F.col("_upto") == F.col("_n"))).select("_h")
     rows = named.join(F.broadcast(chosen), "_h", "left_semi").select("_html").distinct().collect()
     sample = sorted(r["_html"] for r in rows)
     if not sample:
@@ -387,6 +455,7 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max
 
 def extract_text(pages: DataFrame, trees: Trees | None, html_col: str = "html", out_col: str = "text") -> DataFrame:
     """``pages`` with ``out_col``. Without trees (no page to learn from) every element outside the boilerplate tags is kept."""
+    small_batches(pages.sparkSession)
     shared = pages.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
