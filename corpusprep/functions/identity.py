@@ -7,7 +7,7 @@ import json
 import hashlib
 import unicodedata
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -56,12 +56,21 @@ def spaceless_sha256(c: Column) -> Column:
     return sha256_text(remove_whitespace(c))
 
 
+def once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` worked out once per row, however often ``then`` names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def uuid5(namespace: str, name: Column) -> Column:
     """Name-based UUID (version 5)."""
     h = F.sha1(F.concat(F.unhex(F.lit(uuid.UUID(namespace).hex)), F.encode(name, "UTF-8")))
-    variant = F.lower(F.hex((F.conv(F.substring(h, 17, 2), 16, 10).cast("int").bitwiseAND(0x3F)).bitwiseOR(0x80)))
-    part = lambda at, n: F.substring(h, at, n)
-    return F.concat_ws("-", part(1, 8), part(9, 4), F.concat(F.lit("5"), part(14, 3)), F.concat(variant, part(19, 2)), part(21, 12))
+
+    def spelled(h: Column) -> Column:
+        variant = F.lower(F.hex((F.conv(F.substring(h, 17, 2), 16, 10).cast("int").bitwiseAND(0x3F)).bitwiseOR(0x80)))
+        part = lambda at, n: F.substring(h, at, n)
+        return F.concat_ws("-", part(1, 8), part(9, 4), F.concat(F.lit("5"), part(14, 3)), F.concat(variant, part(19, 2)), part(21, 12))
+
+    return once(h, spelled)
 
 
 def content_key(namespace: str, category: Column, subject: Column, language: Column, checksum: Column) -> Column:
@@ -71,11 +80,10 @@ def content_key(namespace: str, category: Column, subject: Column, language: Col
 
 
 def content_identity(namespace: str, category: Column, subject: Column, language: Column, text: Column, normalization: str = NORMALIZATION) -> Column:
-    checksum = content_sha256(text)
-    return F.struct(
+    return once(content_sha256(text), lambda checksum: F.struct(
         F.lit(ALGORITHM).alias("algorithm"), F.lit(namespace).alias("namespace"), F.lit(1).alias("identity_contract_version"), F.lit(normalization).alias("normalization"),
         checksum.alias("normalized_content_sha256"), content_key(namespace, category, subject, language, checksum).alias("content_key"),
-    )
+    ))
 
 
 def identity_matches(identity: Column, expected: Column) -> Column:
@@ -91,6 +99,11 @@ def config_fingerprint(config: dict) -> str:
     return hashlib.sha256(json.dumps(config, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()
 
 
+def record_fingerprint(record: Column) -> Column:
+    """SHA-256 of a record as compact JSON, its fields in the order of the struct; nulls are told."""
+    return sha256_text(F.to_json(record, {"ignoreNullFields": "false"}))
+
+
 SECRET_WORDS = ("secret", "token", "password", "credential", "access_key", "api_key", "private_key")
 
 

@@ -69,6 +69,11 @@ def word_count(c: Column) -> Column:
     return F.regexp_count(c, F.lit(f"{NOT_WS}+")).cast("long")
 
 
+def line_blocks(c: Column) -> Column:
+    """Lines that are not blank, white space collapsed."""
+    return F.transform(F.filter(F.split(strip(c), "\n"), lambda p: ~is_blank(p)), normalize_spaces)
+
+
 def paragraphs(c: Column) -> Column:
     """Parts between blank lines that are not blank."""
     return F.filter(F.split(strip(c), rf"\n{WS}*\n"), lambda p: ~is_blank(p))
@@ -79,10 +84,14 @@ def text_stats(c: Column) -> Column:
 
 
 def marker_tags(c: Column, markers: list[str], tags: list[str]) -> Column:
-    """``tags`` where the text holds any marker, else an empty array. Both sides must be in one normal form."""
-    hit = F.lit(False)
+    """``tags`` where the text holds any marker, else an empty array. Both sides are compared in normal form C."""
+    import unicodedata
+
+    from .identity import nfc
+
+    hit, normal = F.lit(False), nfc(c)
     for m in markers:
-        hit = hit | c.contains(m)
+        hit = hit | normal.contains(unicodedata.normalize("NFC", m))
     return F.when(hit, F.array(*map(F.lit, tags))).otherwise(F.array().cast("array<string>"))
 
 

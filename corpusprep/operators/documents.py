@@ -23,11 +23,12 @@ def chapter_numbers(blocks: DataFrame, start: Column, doc_col: str = "doc", orde
     return blocks.withColumn("chapter_no", F.sum(F.coalesce(start, F.lit(False)).cast("int")).over(running).cast("int"))
 
 
-def subject_headings(blocks: DataFrame, doc_col: str = "doc", order_col: str = "block_no", first: int = 8, subject_mark: str = SUBJECT_MARK, skip: tuple[str, ...] = (*INVOCATION_MARKS, LECTURE_MARK)) -> DataFrame:
+def subject_headings(blocks: DataFrame, doc_col: str = "doc", order_col: str = "block_no", first: int = 8, among: Column | None = None, subject_mark: str = SUBJECT_MARK, skip: tuple[str, ...] = (*INVOCATION_MARKS, LECTURE_MARK)) -> DataFrame:
     """At most one heading per document: of the first preface blocks the first that holds the subject mark, else the first that is
-    neither invocation nor lecture mark. ``blocks`` have ``chapter_no``."""
+    neither invocation nor lecture mark. ``blocks`` have ``chapter_no``; all of them are counted, ``among`` tells which may be headings."""
     order = Window.partitionBy(doc_col).orderBy(order_col)
     top = blocks.where(F.col("chapter_no") == 0).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= first)
+    top = top if among is None else top.where(among)
     text = normalize_spaces(F.col("text"))
     skipped = F.lit(False)
     for m in skip:
@@ -52,7 +53,7 @@ def chapters(blocks: DataFrame, pattern: str, regex: bool = False, flags: str =
     content = blocks.where(F.col("tag") != "sectPr")
     numbered = chapter_numbers(content, (F.col("tag") == "p") & starts_chapter(F.col("text"), pattern, regex, flags), doc_col, order_col)
     body = ordered_text(numbered.where((F.col("chapter_no") > 0) & (F.col("tag") == "p")), [doc_col, "chapter_no"], order_col, normalize_spaces(F.col("text")), "\n\n")
-    headed = body.join(subject_headings(numbered.where(F.col("tag") == "p"), doc_col, order_col), doc_col, "left")
+    headed = body.join(subject_headings(numbered, doc_col, order_col, among=F.col("tag") == "p"), doc_col, "left")
     return headed.select(doc_col, "chapter_no", "heading", F.concat_ws("\n\n", "heading", "text").alias("text"))
 
 
@@ -101,10 +102,16 @@ def postprocess(text: Column, converter: Column) -> Column:
 def convert_groups(groups: DataFrame, converters: dict[str, Callable[[Column], Column]]) -> DataFrame:
     """Adds ``converted``: each group through the converter it names (a function of a column, such as a pandas UDF). The font
     mappings themselves are not part of this library."""
-    out = F.lit(None).cast("string")
-    for name, convert in converters.items():
-        out = F.when(F.col("converter") == name, convert(F.col("text"))).otherwise(out)
-    return groups.withColumn("converted", postprocess(out, F.col("converter")))
+    none = F.lit(None).cast("string")
+    out = groups.where(F.col("converter").isNull() | ~F.col("converter").isin(list(converters))).withColumn("converted", none)
+    for name, convert in converters.items():  # each converter meets its own rows alone
+        out = out.unionByName(groups.where(F.col("converter") == name).withColumn("converted", convert(F.col("text"))))
+    return out.withColumn("converted", postprocess(F.col("converted"), F.col("converter")))
+
+
+def converted_text(converted: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """The whole text of each document as its converted groups alone; runs that needed no converter are not in it."""
+    return ordered_text(converted.withColumn("_o", F.struct("part", "para_no", "first_run")), [doc_col], "_o", normalize_spaces(F.col("converted")), "\n\n")
 
 
 def converter_counts(groups: DataFrame, doc_col: str = "doc") -> DataFrame:

@@ -82,6 +82,48 @@ def chunk_totals(chunks: DataFrame, chapters_total: int | None = None) -> DataFr
     return chunks.agg(F.countDistinct("doc_id").alias("chapters"), F.count(F.lit(1)).alias("chunks"), F.coalesce(F.sum("estimated_token_count"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("char_count"), F.lit(0)).alias("characters"))
 
 
+def summary_chapters(chapters: DataFrame, tags: list[str], tags_col: str = "automated_tags", by: tuple[str, ...] = ()) -> DataFrame:
+    """Chapters, and how many of them hold all ``tags``."""
+    every = F.lit(True)
+    for t in tags:
+        every = every & F.coalesce(F.array_contains(tags_col, t), F.lit(False))
+    return chapters.groupBy(*by).agg(F.count(F.lit(1)).alias("chapters"), F.count_if(every).alias("summary_chapters"))
+
+
+def report_counters(errors: DataFrame, checks: DataFrame, counters: DataFrame) -> DataFrame:
+    """One row for a report: ``errors`` (stage: artifact, preflight or plan) and planned conflicts together as ``conflicts``, checks (passed) by
+    outcome, and the counters of ``plan_counters`` as they are."""
+    e = errors.agg(F.count_if(F.col("stage").isin("artifact", "preflight", "plan")).alias("_errors"))
+    c = checks.agg(F.count_if("passed").alias("preflight_passed"), F.count_if(~F.col("passed")).alias("preflight_failed"))
+    one = counters.crossJoin(F.broadcast(e)).crossJoin(F.broadcast(c))  # three rows of one each
+    return one.withColumn("conflicts", F.col("_errors") + F.col("conflict_count")).drop("_errors")
+
+
+def require_unique(rows: DataFrame, keys: list[str]) -> None:
+    """Raise if rows share their keys, naming ten at most."""
+    twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy(*keys).limit(10).collect()
+    if twice:
+        raise ValueError("not unique: " + "; ".join(", ".join(f"{k}={r[k]}" for k in keys) for r in twice))
+
+
+def chapter_audit(chapters: DataFrame, published: DataFrame, key: str = "chapter_no") -> DataFrame:
+    """One row per chapter of the source: what became of it (published, not_published) and notes for an operator. ``chapters``: key, word_count,
+    automated_tags, converter_counts (a map or null); ``published``: the keys that were written."""
+    done = published.select(key).distinct().withColumn("_done", F.lit(True))
+    rows = chapters.join(done, key, "left")
+    told = notes([
+        (F.col("_done").isNull(), "The chapter was not published."), (F.col("word_count") == 0, "The chapter has no words."),
+        (F.size("automated_tags") == 0, "No marker was found."), (F.coalesce(F.size("converter_counts"), F.lit(0)) <= 0, "No text was converted."),
+    ])
+    return rows.select(*chapters.columns, F.when(F.col("_done"), "published").otherwise("not_published").alias("status"), told.alias("notes"))
+
+
+def copies(rows: DataFrame, key: str, id_col: str = "doc_id") -> DataFrame:
+    """Rows that share ``key`` with another: with the number of ``copies`` and ``first_id``, the smallest of theirs."""
+    again = rows.groupBy(key).agg(F.count(F.lit(1)).alias("copies"), F.min(id_col).alias("first_id")).where("copies > 1")
+    return rows.join(again, key)
+
+
 def notes(conditions: list[tuple[Column, str]]) -> Column:
     """Messages whose condition holds, in order."""
     return F.array_compact(F.array(*[F.when(c, F.lit(m)) for c, m in conditions]))

@@ -61,6 +61,21 @@ def cardinality(parents: DataFrame, key: str, document: str) -> DataFrame:
     return ids.withColumn("n", F.size("document_ids"))
 
 
+def first_users(rows: DataFrame, order_col: str, code: Column, position: str) -> DataFrame:
+    """Of each order that is given: ``first_code`` and ``first_position`` of the record that comes first, and ``n`` records."""
+    return rows.where(F.col(order_col).isNotNull()).groupBy(F.col(order_col).alias("_order")).agg(F.min_by(code, F.col(position)).alias("first_code"), F.min(position).alias("first_position"), F.count(F.lit(1)).alias("n"))
+
+
+def lookup_with_fallback(rows: DataFrame, first: tuple[Column, DataFrame, str, str], second: tuple[Column, DataFrame, str, str]) -> DataFrame:
+    """Adds ``resolved``: what the first of (key, dimension, key column, value column) gives, else the second, else "";
+    and ``differs``, where both give something else. Of rows of a dimension that share a key the smallest value counts."""
+    for tag, (key, dimension, key_col, value_col) in (("_a", first), ("_b", second)):
+        found = dimension.groupBy(F.col(key_col).alias(f"{tag}_key")).agg(F.min(value_col).alias(tag))
+        rows = rows.join(found, key == F.col(f"{tag}_key"), "left").drop(f"{tag}_key")
+    both = F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    return rows.withColumn("resolved", F.coalesce("_a", "_b", F.lit(""))).withColumn("differs", both & (F.col("_a") != F.col("_b"))).drop("_a", "_b")
+
+
 def plan(desired: DataFrame, existing: DataFrame, spec: Spec, parents: DataFrame | None = None, position: str = "position") -> DataFrame:
     """One row per desired record: code, action (blocked, conflict, create, update, matching), document_id,
     update_default, update_localized, create_localized, messages.
@@ -73,14 +88,16 @@ def plan(desired: DataFrame, existing: DataFrame, spec: Spec, parents: DataFrame
     of = lambda locale, tag: per.where(F.col("locale") == locale).select(F.col("code").alias(f"_{tag}_code"), F.col("n").alias(f"_{tag}_n"), F.when(F.col("n") == 1, F.col("r")).alias(f"_{tag}"))
     code = F.coalesce(F.nullif(F.col(spec.code), F.lit("")), F.lit("<missing-code>"))
     d = desired.withColumn("_code", code).withColumn("_pos", F.col(position))
-    by_code, by_order = Window.partitionBy("_code").orderBy("_pos"), Window.partitionBy("sort_order").orderBy("_pos")
-    d = d.withColumn("_again", F.row_number().over(by_code) > 1)
+    again = d.groupBy(F.col("_code").alias("_acode")).agg(F.min("_pos").alias("_apos"))
+    d = d.join(again, F.col("_code") == F.col("_acode")).withColumn("_again", F.col("_pos") != F.col("_apos")).drop("_acode", "_apos")
     if "sort_order" in d.columns:
-        d = d.withColumn("_first_user", F.when(F.col("sort_order").isNotNull() & (F.row_number().over(by_order) > 1), F.first("_code").over(by_order)))
+        d = d.join(first_users(d, "sort_order", F.col("_code"), "_pos"), F.col("sort_order") == F.col("_order"), "left")
+        d = d.withColumn("_first_user", F.when(F.col("_pos") != F.col("first_position"), F.col("first_code"))).drop("_order", "first_code", "first_position", "n")
         orders = existing.where(F.col("locale").isin(spec.default_locale, spec.localized_locale)).select(F.col("sort_order").alias("_so"), F.coalesce("code", F.lit("<missing-code>")).alias("_ecode"), (F.col("locale") != spec.default_locale).cast("int").alias("_l"), F.col(position).alias("_p"))
-        wanted = d.select("_pos", F.col("sort_order").alias("_so2"), F.col("_code").alias("_c"))
-        clash = wanted.join(orders, (F.col("_so") == F.col("_so2")) & (F.col("_ecode") != F.col("_c"))).groupBy("_pos").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_l", "_p", "_ecode"))), lambda s: s["_ecode"]), ", ").alias("_clash"))
-        d = d.join(clash, "_pos", "left")
+        users = orders.where(F.col("_so").isNotNull()).groupBy("_so").agg(F.array_sort(F.collect_list(F.struct("_l", "_p", "_ecode"))).alias("_users"))
+        d = d.join(users, F.col("sort_order") == F.col("_so"), "left")
+        others = F.transform(F.filter("_users", lambda u: u["_ecode"] != F.col("_code")), lambda u: u["_ecode"])
+        d = d.withColumn("_clash", F.when(F.size(others) > 0, F.array_join(others, ", "))).drop("_so", "_users")
     else:
         d = d.withColumn("_first_user", F.lit(None).cast("string")).withColumn("_clash", F.lit(None).cast("string"))
     d = d.join(of(spec.default_locale, "d"), F.col("_code") == F.col("_d_code"), "left").join(of(spec.localized_locale, "l"), F.col("_code") == F.col("_l_code"), "left")

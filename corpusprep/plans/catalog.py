@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import identity, text
-from ..operators import chunking, documents, manifests, reconcile, retrieval, rules, tokens
+from ..operators import assembly, chunking, documents, manifests, reconcile, retrieval, rules, tokens
 from ..operators.sentences import sentence_spans as spans_of
+from ..sources import files, seeds
 from ..sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,8 +58,7 @@ def document_text_stats(spark: SparkSession, folder: str) -> DataFrame:
 @query(r"""SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) AS INTEGER) AS paragraph_no, regexp_replace(regexp_replace(x, '\s+', ' ', 'g'), '^ | $', '', 'g') AS text FROM
  (SELECT doc_id, unnest(s) AS x, unnest(range(len(s))) AS i FROM (SELECT doc_id, regexp_split_to_array(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\n') AS s FROM documents)) WHERE regexp_replace(x, '\s', '', 'g') <> ''""")
 def paragraph_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    parts = F.filter(F.split(text.strip(F.col("text")), "\n"), lambda p: ~text.is_blank(p))
-    return _docs(spark, folder).select("doc_id", F.posexplode(parts).alias("i", "x")).select("doc_id", (F.col("i") + 1).alias("paragraph_no"), text.normalize_spaces(F.col("x")).alias("text"))
+    return _docs(spark, folder).select("doc_id", F.posexplode(text.line_blocks(F.col("text"))).alias("i", "text")).select("doc_id", (F.col("i") + 1).alias("paragraph_no"), "text")
 
 
 @query(r"SELECT doc_id, sha256(regexp_replace(text, '\s', '', 'g')) AS spaceless_sha256, sha256(text) AS text_sha256 FROM documents")
@@ -91,8 +91,7 @@ def content_key_uuid5(spark: SparkSession, folder: str) -> DataFrame:
 SELECT doc_id, h AS spaceless_sha256, n AS copies, first_id FROM d JOIN g USING (h)""")
 def duplicate_content(spark: SparkSession, folder: str) -> DataFrame:
     hashed = _docs(spark, folder).select("doc_id", identity.spaceless_sha256(F.col("text")).alias("spaceless_sha256"))
-    again = hashed.groupBy("spaceless_sha256").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id")).where("copies > 1")
-    return hashed.join(again, "spaceless_sha256").select("doc_id", "spaceless_sha256", "copies", "first_id")
+    return manifests.copies(hashed, "spaceless_sha256").select("doc_id", "spaceless_sha256", "copies", "first_id")
 
 
 @query("SELECT doc_id, CASE WHEN contains(text, 'License') OR contains(text, 'licensed') THEN 'license,notice' ELSE '' END AS tags FROM documents")
@@ -143,15 +142,51 @@ def greedy_min_size_merge(spark: SparkSession, folder: str) -> DataFrame:
     return chunking.merged_groups(each, 600)
 
 
-@query()
+#: The coarse encoder of the queries: one place of three, by the length of the window. SQL can tell the same.
+def length_encoder(c: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: (F.char_length(c) % 3 == k).cast("float"))
+
+
+COARSE = chunking.ChunkConfig(threshold_percentile=75.0)
+
+SQL_CHUNKS = f"""{SQL_SENTENCES},
+wins AS (SELECT *, length(string_agg(text, ' ') OVER (PARTITION BY doc_id ORDER BY source_index ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)) % 3 AS k FROM sent),
+dist AS (SELECT *, CASE WHEN source_index > 0 THEN CAST(k <> lag(k) OVER (PARTITION BY doc_id ORDER BY source_index) AS DOUBLE) END AS distance FROM wins),
+thr AS (SELECT doc_id, quantile_cont(distance, 0.75) AS t FROM dist GROUP BY doc_id),
+grp AS (SELECT dist.*, sum(CAST(coalesce(distance >= t, false) AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY source_index ROWS UNBOUNDED PRECEDING) AS g FROM dist JOIN thr USING (doc_id)),
+per AS (SELECT doc_id, g, min(source_index) AS first, max(source_index) AS last, sum(length(text)) + count(*) - 1 AS chars FROM grp GROUP BY doc_id, g),
+r AS (SELECT doc_id, g, chars AS open, 0 AS done, CASE WHEN chars >= 600 THEN 1 ELSE 0 END AS closes FROM per WHERE g = 0
+ UNION ALL SELECT p.doc_id, p.g, CASE WHEN r.closes = 1 THEN p.chars ELSE r.open + 1 + p.chars END, r.done + r.closes,
+ CASE WHEN (CASE WHEN r.closes = 1 THEN p.chars ELSE r.open + 1 + p.chars END) >= 600 THEN 1 ELSE 0 END FROM r JOIN per p ON p.doc_id = r.doc_id AND p.g = r.g + 1),
+tot AS (SELECT doc_id, sum(closes) AS full_chunks FROM r GROUP BY doc_id),
+rng AS (SELECT r.doc_id, CAST(least(done + 1, greatest(full_chunks, 1)) AS INTEGER) AS index, min(first) AS a, max(last) AS z FROM r JOIN tot USING (doc_id) JOIN per ON per.doc_id = r.doc_id AND per.g = r.g GROUP BY r.doc_id, least(done + 1, greatest(full_chunks, 1))),
+chunk AS (SELECT rng.doc_id, index, CAST(a AS INTEGER) AS start_sentence, CAST(z AS INTEGER) AS end_sentence, b.start_char, e.end_char FROM rng JOIN sent b ON b.doc_id = rng.doc_id AND b.source_index = a JOIN sent e ON e.doc_id = rng.doc_id AND e.source_index = z)"""
+
+
+@query(f"""WITH RECURSIVE {SQL_CHUNKS} SELECT c.doc_id, index, start_sentence, end_sentence, start_char, end_char, CAST(end_char - start_char AS INTEGER) AS char_count, sha256(substring(text, start_char + 1, end_char - start_char)) AS chunk_text_sha256
+ FROM chunk c JOIN documents d ON d.doc_id = c.doc_id""")
 def semantic_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    return chunking.semantic_chunks(_docs(spark, folder))
+    made = chunking.semantic_chunks(_docs(spark, folder), COARSE, length_encoder)
+    return made.select("doc_id", "index", "start_sentence", "end_sentence", "start_char", "end_char", "char_count", "chunk_text_sha256")
 
 
-@query("SELECT doc_id, true AS is_covered FROM documents")
+@query(f"""WITH RECURSIVE {SQL_CHUNKS}, n AS (SELECT doc_id, count(*) AS n, sum(len(regexp_extract_all(substring(text, start_char + 1, end_char - start_char), '\\S+'))) AS w FROM chunk JOIN documents USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, sha256(regexp_replace(text, '\\s', '', 'g')) AS source_text_sha256, sha256(regexp_replace(text, '\\s', '', 'g')) AS concatenated_chunks_sha256, CAST(coalesce(n, 0) AS INTEGER) AS chunk_count, CAST(coalesce(w, 0) AS BIGINT) AS estimated_token_count
+FROM documents LEFT JOIN n USING (doc_id)""")
+def chunk_set_records(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _docs(spark, folder)
+    sets = assembly.chunk_sets(docs, chunking.semantic_chunks(docs, COARSE, length_encoder), COARSE, {"provider": "length", "model": "length-mod-3"})
+    return sets.select("doc_id", "source_text_sha256", "concatenated_chunks_sha256", "chunk_count", "estimated_token_count")
+
+
+@query(r"SELECT doc_id, NOT (doc_id % 3 > 0 AND regexp_replace(text, '\s', '', 'g') <> '') AS is_covered FROM documents")
 def chunk_coverage_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Of two thirds of the documents a chunk is damaged: its text is another, or it begins a character late."""
     docs = _docs(spark, folder)
-    return chunking.chunk_coverage(docs, chunking.semantic_chunks(docs)).select("doc_id", "is_covered")
+    made, first = chunking.semantic_chunks(docs, COARSE, length_encoder), F.col("index") == 1
+    damaged = made.withColumn("text", F.when(first & (F.col("doc_id") % 3 == 1), F.concat("text", F.lit("x"))).otherwise(F.col("text")))
+    damaged = damaged.withColumn("start_char", F.when(first & (F.col("doc_id") % 3 == 2), F.col("start_char") + 1).otherwise(F.col("start_char")))
+    return chunking.chunk_coverage(docs, damaged).select("doc_id", "is_covered")
 
 
 @query("""WITH n AS (SELECT *, sum(CAST(role = 'user' AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS section FROM conversations)
@@ -170,8 +205,10 @@ def contiguous_role_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT conv_id, sha256(string_agg(role || ': ' || text, chr(10) || chr(10) ORDER BY turn)) AS text_sha256, count(*) AS turns FROM conversations GROUP BY conv_id")
 def ordered_turn_concat(spark: SparkSession, folder: str) -> DataFrame:
-    lists = table(spark, folder, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.concat("role", F.lit(": "), "text").alias("t")))).alias("l"), F.count(F.lit(1)).alias("turns"))
-    return lists.select("conv_id", identity.sha256_text(F.array_join(F.transform("l", lambda s: s["t"]), "\n\n")).alias("text_sha256"), "turns")
+    said = table(spark, folder, "conversations")
+    joined = documents.ordered_text(said, ["conv_id"], "turn", F.concat("role", F.lit(": "), "text"), "\n\n")
+    turns = said.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
+    return joined.join(turns, "conv_id").select("conv_id", identity.sha256_text(F.col("text")).alias("text_sha256"), "turns")
 
 
 @query(r"""WITH c AS (SELECT lang, len(regexp_extract_all(text, '\S+')) AS w, len(regexp_extract_all(regexp_replace(text, '\s', '', 'g'), '\w{1,4}|[^\w]')) AS t FROM documents)
@@ -204,27 +241,34 @@ def duplicate_value_issues(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def referential_anti_join(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id").join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_anti")
+    rows = table(spark, folder, "documents").select(F.col("doc_id").alias("row_number"), F.col("doc_id").cast("string").alias("doc"))
+    found = rules.reference_issues(rows, "doc", table(spark, folder, "labels").select(F.col("doc_id").cast("string").alias("d")), "d")
+    return found.select(F.col("row_number").alias("doc_id"))
 
 
-@query("""SELECT 'error' AS severity, c_custkey AS row_number, 'ref' AS "column", 'Unresolved ref; no matching category code found: ' || CAST(c_custkey AS VARCHAR) || '.' AS message FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+@query("""SELECT 'error' AS severity, c_custkey AS row_number, 'ref' AS "column", 'Unresolved ref; no matching category code found: ' || CAST(c_custkey AS VARCHAR) || '.' AS message FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 10 = 0)""")
 def reference_check_issues(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "customer").select(F.col("c_custkey").alias("row_number"), F.col("c_custkey").cast("string").alias("ref"))
-    return rules.reference_issues(rows, "ref", table(spark, folder, "orders").select(F.col("o_custkey").cast("string").alias("o")), "o")
+    return rules.reference_issues(rows, "ref", table(spark, folder, "orders").where("o_orderkey % 10 = 0").select(F.col("o_custkey").cast("string").alias("o")), "o")
 
 
 @query("SELECT doc_id, source, n_chars FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
 def file_selection_semi_join(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", "source", "n_chars").join(table(spark, folder, "labels").where("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    """Documents as files, asked for by stem or by name."""
+    listed = table(spark, folder, "documents").select("doc_id", "source", "n_chars", F.col("doc_id").cast("string").alias("stem"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"))
+    asked = table(spark, folder, "labels").where("quality = 1").select(F.concat(F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 2 == 0, ".txt").otherwise("")).alias("name"))
+    return files.select_files(listed, asked)[0].select("doc_id", "source", "n_chars")
 
 
 @query("""SELECT s_suppkey, coalesce(n.n_name, r.r_name, '') AS resolved, n.n_name IS NOT NULL AND r.r_name IS NOT NULL AND n.n_name <> r.r_name AS differs FROM supplier s
  LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey AND n.n_nationkey % 2 = 0 LEFT JOIN region r ON r.r_regionkey = s.s_suppkey % 7""")
 def lookup_fallback_coalesce(spark: SparkSession, folder: str) -> DataFrame:
-    n = table(spark, folder, "nation").where("n_nationkey % 2 = 0").select("n_nationkey", "n_name")
-    r = table(spark, folder, "region").select("r_regionkey", "r_name")
-    s = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey").join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left").join(r, F.col("s_suppkey") % 7 == F.col("r_regionkey"), "left")
-    return s.select("s_suppkey", F.coalesce("n_name", "r_name", F.lit("")).alias("resolved"), (F.col("n_name").isNotNull() & F.col("r_name").isNotNull() & (F.col("n_name") != F.col("r_name"))).alias("differs"))
+    n = table(spark, folder, "nation").where("n_nationkey % 2 = 0")
+    rows = reconcile.lookup_with_fallback(
+        table(spark, folder, "supplier").select("s_suppkey", "s_nationkey"), (F.col("s_nationkey"), n, "n_nationkey", "n_name"),
+        (F.col("s_suppkey") % 7, table(spark, folder, "region"), "r_regionkey", "r_name"),
+    )
+    return rows.select("s_suppkey", "resolved", "differs")
 
 
 @query("""SELECT n_nationkey, count(DISTINCT s_suppkey) AS n, coalesce(string_agg(DISTINCT CAST(s_suppkey AS VARCHAR), ',' ORDER BY CAST(s_suppkey AS VARCHAR)), '') AS document_ids FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_nationkey""")
@@ -287,8 +331,8 @@ def replan_is_noop(spark: SparkSession, folder: str) -> DataFrame:
 @query("""WITH o AS (SELECT p_size % 10 AS so, count(*) AS n, min(p_partkey) AS first_key FROM part GROUP BY 1) SELECT p_partkey, CASE WHEN p_partkey <> first_key THEN first_key ELSE -1 END AS first_user, n - 1 AS others FROM part JOIN o ON so = p_size % 10""")
 def sort_order_collision(spark: SparkSession, folder: str) -> DataFrame:
     p = table(spark, folder, "part").select("p_partkey", (F.col("p_size") % 10).alias("so"))
-    users = p.groupBy("so").agg(F.min("p_partkey").alias("first_key"), F.count(F.lit(1)).alias("n"))
-    return p.join(users, "so").select("p_partkey", F.when(F.col("p_partkey") != F.col("first_key"), F.col("first_key")).otherwise(-1).alias("first_user"), (F.col("n") - 1).alias("others"))
+    users = reconcile.first_users(p, "so", F.col("p_partkey"), "p_partkey")
+    return p.join(users, F.col("so") == F.col("_order")).select("p_partkey", F.when(F.col("p_partkey") != F.col("first_position"), F.col("first_code")).otherwise(-1).alias("first_user"), (F.col("n") - 1).alias("others"))
 
 
 @query("SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
@@ -321,15 +365,13 @@ def ordered_publication(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels WHERE toxic = 0")
 def set_difference(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id").subtract(table(spark, folder, "labels").where("toxic = 0").select("doc_id"))
+    return manifests.select_chapters(table(spark, folder, "labels").where("toxic = 0").select("doc_id"), table(spark, folder, "documents"), "doc_id")[1]
 
 
-@query("""SELECT event_id, CAST(len(json_keys(props)) AS INTEGER) AS n_keys, coalesce(list_contains(json_keys(props), 'missing'), false) AS has_missing, json_extract_string(props, '$.' || list_sort(json_keys(props))[1]) AS first_value FROM events""")
+@query("""SELECT event_id, json_extract_string(props, '$.k') AS k, coalesce(json_extract_string(props, '$.missing'), '') AS missing FROM events""")
 def json_extract_typed(spark: SparkSession, folder: str) -> DataFrame:
     e = table(spark, folder, "events").select("event_id", "props")
-    keys = F.json_object_keys("props")
-    first = F.expr("get_json_object(props, concat('$.', get(array_sort(json_object_keys(props)), 0)))")
-    return e.select("event_id", F.size(keys).alias("n_keys"), F.array_contains(keys, "missing").alias("has_missing"), first.alias("first_value"))
+    return e.select("event_id", reconcile.field(F.col("props"), "k").alias("k"), F.coalesce(reconcile.field(F.col("props"), "missing"), F.lit("")).alias("missing"))
 
 
 @query("""WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 50 = 0), s AS (SELECT query_id, vec_id AS chunk_id, round(list_cosine_similarity(q.e, CAST(v.embedding AS DOUBLE[])), 9) AS score FROM q, embeddings v)
@@ -340,3 +382,51 @@ def topk_similar(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("score", F.round("score", 6))
 
 
+@query("""WITH c AS (SELECT lang, CAST(count(*) AS BIGINT) AS n, CAST(min(doc_id) AS BIGINT) AS lo FROM documents GROUP BY lang)
+SELECT lang, sha256('{"language":"' || lang || '","documents":' || n || ',"first":' || lo || '}') AS fingerprint FROM c""")
+def config_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    """The fingerprint of what each language's documents say of themselves, as compact JSON."""
+    told = table(spark, folder, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").cast("long").alias("lo"))
+    return told.select("lang", identity.record_fingerprint(F.struct(F.col("lang").alias("language"), F.col("n").alias("documents"), F.col("lo").alias("first"))).alias("fingerprint"))
+
+
+@query("""SELECT doc_id, 'r2' AS backend, 'bucket' AS bucket, 'corpus/' || source || '/' || lang || '/' || doc_id || '.txt' AS key, 'https://files.example/corpus/' || source || '/' || lang || '/' || doc_id || '.txt' AS url FROM documents""")
+def storage_references(spark: SparkSession, folder: str) -> DataFrame:
+    path = assembly.join_key(F.col("source"), F.concat(F.lit("/"), F.col("lang"), F.lit("/")), F.lit(""), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    r = assembly.storage_reference(path, "bucket", "/corpus/", "https://files.example/")
+    return table(spark, folder, "documents").select("doc_id", r.alias("r")).select("doc_id", "r.backend", "r.bucket", "r.key", "r.url")
+
+
+@query(rf"""SELECT doc_id, printf('%03d', doc_id) AS chapter_number, sha256(text || chr(10)) AS artifact_sha256, sha256({SQL_NORMAL}) AS normalized_content_sha256,
+ CAST(len(regexp_extract_all(text, '\S+')) AS BIGINT) AS word_count, CASE WHEN contains(nfc_normalize(text), 'License') THEN 'license' ELSE '' END AS tags FROM documents""")
+def chapter_metadata(spark: SparkSession, folder: str) -> DataFrame:
+    d = table(spark, folder, "documents")
+    rows = d.select(F.col("lang").alias("category_code"), F.col("source").alias("subject_code"), F.lit("slug").alias("title_slug"), F.col("doc_id").alias("chapter_no"), F.lit("v1.0").alias("version"), "text", F.format_string("t/%03d.txt", "doc_id").alias("text_path"), F.format_string("t/%03d.json", "doc_id").alias("metadata_path"))
+    m = assembly.chapter_metadata(rows, NAMESPACE, markers=["License"], tags=["license"])
+    return m.select(
+        F.col("chapter_no").alias("doc_id"), F.col("document.chapter_number"), F.col("integrity.artifacts.text.value").alias("artifact_sha256"), F.col("content_identity.normalized_content_sha256"),
+        F.col("content_stats.word_count"), F.array_join("automated_tags", ",").alias("tags"),
+    )
+
+
+@query("""SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'categories' WHEN 1 THEN 'subjects' WHEN 2 THEN 'sanatan-glossary' END AS source_key,
+ CASE WHEN p_size % 4 = 3 THEN 'Unsupported ingest target: other. Accepted values: category, subject, sanatan-glossary, prabodhan-glossary.' ELSE '' END AS blocked FROM part""")
+def target_routing(spark: SparkSession, folder: str) -> DataFrame:
+    names = F.element_at(F.array(*map(F.lit, ("category", "subject", "sanatan-glossary", "other"))), (F.col("p_size") % 4 + 1).cast("int"))
+    out = seeds.routed(table(spark, folder, "part").select("p_partkey", names.alias("target")))
+    return out.select("p_partkey", F.col("route.source_key").alias("source_key"), F.coalesce("blocked", F.lit("")).alias("blocked"))
+
+
+@query("""SELECT lang, count(*) AS chapters, count(*) FILTER (WHERE contains(text, 'License') AND n_chars > 1000) AS summary_chapters FROM documents GROUP BY lang""")
+def summary_chapter_counts(spark: SparkSession, folder: str) -> DataFrame:
+    d = _docs(spark, folder, "lang", "n_chars")
+    tags = F.array_compact(F.array(F.when(F.col("text").contains("License"), "license"), F.when(F.col("n_chars") > 1000, "long")))
+    return manifests.summary_chapters(d.withColumn("automated_tags", tags), ["license", "long"], by=("lang",))
+
+
+@query("""SELECT doc_id, CASE WHEN l.id IS NOT NULL THEN 'published' ELSE 'not_published' END AS status, concat_ws(' ', CASE WHEN l.id IS NULL THEN 'The chapter was not published.' END, CASE WHEN len(regexp_extract_all(text, '\S+')) = 0 THEN 'The chapter has no words.' END,
+ CASE WHEN NOT contains(text, 'License') THEN 'No marker was found.' END, CASE WHEN lang <> 'de' THEN 'No text was converted.' END) AS notes FROM documents LEFT JOIN (SELECT DISTINCT doc_id AS id FROM labels) l ON l.id = doc_id""")
+def chapter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    d = _docs(spark, folder, "lang")
+    rows = d.select("doc_id", text.word_count(F.col("text")).alias("word_count"), text.marker_tags(F.col("text"), ["License"], ["license"]).alias("automated_tags"), F.when(F.col("lang") == "de", F.create_map(F.lit("aps"), F.lit(1).cast("long"))).alias("converter_counts"))
+    return manifests.chapter_audit(rows, table(spark, folder, "labels"), "doc_id").select("doc_id", "status", F.array_join("notes", " ").alias("notes"))

@@ -30,20 +30,24 @@ def json_artifact(record: Column) -> Column:
 
 
 def write_files(rows: DataFrame, folder: str, name: Column, content: Column, overwrite: bool = False) -> None:
-    """One file per row. ``folder`` must be reachable by open() on every executor (a mounted store); without ``overwrite`` a file that
-    is there is an error. For object stores write tables instead."""
-    import os
+    """One file per row, in the file system that ``folder`` names (hdfs://, s3://, gs://, file:// or a plain path that all executors
+    share). Without ``overwrite`` a file that is there is an error."""
 
     def write(batch: Iterator) -> None:
+        import os
+
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), os.path.abspath(folder))
         for r in batch:
-            path = os.path.join(folder, r["_name"])
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            if not overwrite and os.path.exists(path):
+            path = f"{base}/{r['_name']}"
+            if not overwrite and system.get_file_info(path).type != fs.FileType.NotFound:
                 raise FileExistsError(path)
+            system.create_dir(path.rpartition("/")[0], recursive=True)
             part = f"{path}.{os.getpid()}.part"  # a task that runs again leaves whole files only
-            with open(part, "wb") as f:
+            with system.open_output_stream(part) as f:
                 f.write(bytes(r["_content"]))
-            os.replace(part, path)
+            system.move(part, path)
 
     rows.select(name.alias("_name"), F.encode(content, "UTF-8").alias("_content")).foreachPartition(write)
 
@@ -83,13 +87,23 @@ def drop_subjects(spark: SparkSession, path: str, subjects: list[str], subject_c
     return gone
 
 
-def publish(tables: dict[str, DataFrame], folder: str, command: str, overwrite: bool = False, subject_col: str = "subject_code") -> list[str]:
-    """Write what ``command`` owns, in its order, and drop what was derived from it where it is overwritten. Stops at the first failure;
-    returns the tables written."""
+def publish(tables: dict[str, DataFrame], folder: str, command: str, overwrite: bool = False, subject_col: str = "subject_code", legacy: tuple[str, ...] = ()) -> list[str]:
+    """Write what ``command`` owns, in its order, and drop what was derived from it where it is overwritten. Without ``overwrite`` nothing
+    is written if any table has one of the subjects already, or a table of an older layout (``legacy``) is there. Stops at the first
+    failure; returns the tables written (see ``publication_status``)."""
     extra = set(tables) - set(OWNED[command])
     if extra:
         raise ValueError(f"{command} does not own {', '.join(sorted(extra))}")
-    done = []
+    spark, done = next(iter(tables.values())).sparkSession if tables else None, []
+    if not overwrite:  # all is looked at before anything is written
+        for name in (n for n in OWNED[command] if n in tables):
+            present = _subjects(spark, f"{folder}/{name}", subject_col)
+            clash = [] if present is None else [str(r[0]) for r in tables[name].select(F.col(subject_col).cast("string").alias(subject_col)).distinct().join(present, subject_col, "left_semi").limit(10).collect()]
+            if clash:
+                raise FileExistsError(f"{folder}/{name} has {', '.join(clash)} already")
+        for name in legacy:
+            if tables and _subjects(spark, f"{folder}/{name}", subject_col) is not None:
+                raise FileExistsError(f"{folder}/{name} was written in an older layout; overwrite to replace it")
     for name in OWNED[command]:
         if name in tables:
             write_table(tables[name], f"{folder}/{name}", subject_col, overwrite)
@@ -101,14 +115,28 @@ def publish(tables: dict[str, DataFrame], folder: str, command: str, overwrite:
     return done
 
 
-def export_csv(rows: DataFrame, path: str, columns: list[str], required: list[str]) -> None:
-    """Fixed columns, rows without a required value left out, CRLF, quotes where needed."""
+def publication_status(spark: SparkSession, command: str, tables: list[str], done: list[str]) -> DataFrame:
+    """What became of each table of a publication, in its order: position, name, status (written, not_written, not_asked)."""
+    rows = [(i, n, "written" if n in done else "not_written" if n in tables else "not_asked") for i, n in enumerate(OWNED[command])]
+    return spark.createDataFrame(rows, "position int, name string, status string")
+
+
+def export_csv(rows: DataFrame, path: str, columns: list[str], required: list[str], order_by: list[str] | None = None, name: str | None = None) -> None:
+    """One file of fixed columns in the folder ``path``, called ``name`` if that is given: rows without a required value left
+    out, in the order of ``order_by`` (all columns if none is given), CRLF, quotes where needed. An export is read by people or sheets, so one task writes it."""
     from ..functions.text import is_blank
 
     kept = rows.select(*[F.col(f"`{c}`") for c in columns])
     for c in required:
         kept = kept.where(~is_blank(F.col(f"`{c}`")))
+    kept = kept.orderBy(*[F.col(f"`{c}`") for c in order_by or columns]).coalesce(1)
     kept.write.mode("overwrite").option("header", True).option("lineSep", "\r\n").option("escape", '"').option("emptyValue", "").csv(path)
+    if name is not None:
+        spark = rows.sparkSession
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        system = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        part = next(s.getPath() for s in system.listStatus(at(path)) if s.getPath().getName().startswith("part-"))
+        system.rename(part, at(f"{path}/{name}"))
 
 
 def markdown_chunks(chunks: DataFrame, id_col: str = "doc_id") -> DataFrame:

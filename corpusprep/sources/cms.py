@@ -53,12 +53,15 @@ def _transport(options: dict[str, str]):
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.options, self.filters = options, {}
+        self.fields = [c.strip() for c in options.get("fields", "").split(",") if c.strip()]
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """document_id = x goes with the request; the rest stays with Spark."""
+        """Equality of a string goes with the request: document_id = x and, where ``fields`` names columns, field = x. The rest
+        stays with Spark."""
+        names = {"document_id": "documentId"} | {c: c for c in self.fields}
         for f in filters:
-            if isinstance(f, EqualTo) and f.attribute == ("document_id",):
-                self.filters["filters[documentId][$eq]"] = f.value
+            if isinstance(f, EqualTo) and len(f.attribute) == 1 and f.attribute[0] in names and f"filters[{names[f.attribute[0]]}][$eq]" not in self.filters:
+                self.filters[f"filters[{names[f.attribute[0]]}][$eq]"] = f.value
             else:
                 yield f
 
@@ -73,7 +76,11 @@ class _Reader(DataSourceReader):
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         for i, record in enumerate(_transport(self.options).page(self.options["collection"], self._query(partition.value, PAGE_SIZE))["data"]):
             inner = record.get("attributes") or {}
-            yield record.get("documentId") or inner.get("documentId"), (partition.value - 1) * PAGE_SIZE + i, json.dumps(record, ensure_ascii=False)
+            yield record.get("documentId") or inner.get("documentId"), (partition.value - 1) * PAGE_SIZE + i, json.dumps(record, ensure_ascii=False), *[_string(record[c] if c in record else inner.get(c)) for c in self.fields]
+
+
+def _string(value: object) -> str | None:
+    return value if value is None or isinstance(value, str) else json.dumps(value, ensure_ascii=False)
 
 
 class _Writer(DataSourceWriter):
@@ -96,7 +103,9 @@ class ContentStore(DataSource):
         return "content_store"
 
     def schema(self) -> str:
-        return "document_id string, position long, record string"
+        """``fields`` (names, comma-separated) are read out of each record as strings, so that equality with them is asked of the store."""
+        names = [c.strip() for c in self.options.get("fields", "").split(",") if c.strip()]
+        return ", ".join(["document_id string", "position long", "record string", *(f"`{c}` string" for c in names)])
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(dict(self.options))

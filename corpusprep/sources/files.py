@@ -64,6 +64,27 @@ def manifest_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return files.select("path", F.sha2("content", 256).alias("manifest_sha256"), F.from_json(F.decode("content", "UTF-8"), schema).alias("manifest"))
 
 
+def manifest_chapters(manifests: DataFrame, subject: dict[str, str], version: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Chapters of each manifest (path, manifest_sha256 and the chapter's fields), and the issues (path, chapter, message) of its header
+    and of its chapters: versions, subject, no chapter, numbers that are not three digits or repeat, identity fields that are missing."""
+    m = F.col("manifest")
+    wrong = F.lit(False)
+    for k, v in subject.items():
+        wrong = wrong | ~m["subject"][k].eqNullSafe(F.lit(v))
+    chapters = manifests.where(m.isNotNull()).select("path", "manifest_sha256", F.inline(m["chapters"]))
+    number = F.col("generated_chapter_number")
+    head = F.array_compact(F.array(
+        F.when(m.isNull(), "The manifest is malformed."), F.when(m.isNotNull() & ~m["schema_version"].eqNullSafe(F.lit(version)), f"Unsupported schema_version; expected {version}."),
+        F.when(m.isNotNull() & ~m["identity_contract_version"].eqNullSafe(F.lit(version)), f"Unsupported identity_contract_version; expected {version}."),
+        F.when(m.isNotNull() & wrong, "The subject is another one."), F.when(m.isNotNull() & (F.coalesce(F.size(m["chapters"]), F.lit(0)) <= 0), "The manifest has no chapters."),
+    ))
+    issues = manifests.select("path", F.lit(None).cast("string").alias("chapter"), F.explode(head).alias("message"))
+    each = F.array_compact(F.array(F.when(~F.coalesce(number.rlike(r"\A[0-9]{3}\z"), F.lit(False)), "The chapter number is not three digits."), F.when(F.col("content_key").isNull() | F.col("normalized_content_sha256").isNull(), "Identity fields are missing.")))
+    issues = issues.unionByName(chapters.select("path", number.alias("chapter"), F.explode(each).alias("message")))
+    twice = chapters.groupBy("path", number.alias("chapter")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("path", "chapter", F.lit("The chapter number occurs twice.").alias("message"))
+    return chapters, issues.unionByName(twice)
+
+
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Objects below a path of any file system that Spark reads: path, length, modificationTime. Contents are not read."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path", "length", "modificationTime")
