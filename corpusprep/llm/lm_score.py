@@ -365,18 +365,21 @@ def count_tables(rows: DataFrame, feed: Feed, kind: Kind, shared: Broadcast) ->
             for part, size, signs, slots in bits_of(kind, code, values, place):
                 counts.add(slots, signs & 1, None if times is None else np.repeat(times[part], size))
         whole = counts.finished().reshape(-1, 2 * SEGMENT)
-        for k in np.flatnonzero(whole.any(axis=1)).tolist():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([whole[k].tobytes()], pa.binary())], names=["segment", "x"])
+        for k in np.flatnonzero(whole.any(axis=1)).tolist():  # counts of one byte, and the few that are larger
+            large = np.flatnonzero(whole[k] > 255).astype(np.int32)
+            parts = whole[k].astype(np.uint8), large, whole[k][large] - (whole[k][large] & 255)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], names=["segment", "low", "at", "more"])
 
     def add_up(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(2 * SEGMENT, np.int64)
         for b in batches:
-            for x in b.column("x"):
-                total += np.frombuffer(x.as_buffer(), np.uint32)
+            for low, at, more in zip(*(b.column(c) for c in ("low", "at", "more")), strict=True):
+                total += np.frombuffer(low.as_buffer(), np.uint8)
+                total[np.frombuffer(at.as_buffer(), np.int32)] += np.frombuffer(more.as_buffer(), np.uint32)
         plain, less = as_bytes(*total.reshape(SEGMENT, 2).T)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([plain], pa.binary()), pa.array([less], pa.binary())], names=["segment", "plain", "less"])
 
-    counted = rows.coalesce(context.defaultParallelism).mapInArrow(run, "segment int, x binary")
+    counted = rows.coalesce(context.defaultParallelism).mapInArrow(run, "segment int, low binary, at binary, more binary")
     table, less = np.full(n_slots, UNSEEN, np.uint8), np.full(2 * n_slots, UNSEEN, np.uint8)
     for r in counted.groupBy("segment").applyInArrow(add_up, "segment int, plain binary, less binary").toLocalIterator():
         a = r["segment"] * SEGMENT
