@@ -110,6 +110,28 @@ def test_toxicity(spark):
     assert toxicity.train(frame(spark, rows), labels.limit(0)).places.size == 0
 
 
+def test_ftrl_by_hand():
+    """The same weights as FTRL-proximal with one coordinate at a time."""
+    rng = np.random.default_rng(1)
+    rows = [(np.unique(rng.integers(0, 12, 4)), int(rng.random() < 0.4)) for _ in range(60)]
+    alpha, beta, l1, l2, rate = 0.5, 1.0, 0.7, 0.1, 0.02
+    z, n, bias = Counter(), Counter(), -2.0
+
+    def weight(j):
+        return 0.0 if abs(z[j]) <= l1 else (math.copysign(l1, z[j]) - z[j]) / ((beta + math.sqrt(n[j])) / alpha + l2)
+
+    for _ in range(3):
+        for x, y in rows:
+            w = {j: weight(j) for j in x.tolist()}
+            g = 1 / (1 + math.exp(-(bias + sum(w.values())))) - y
+            for j in w:
+                z[j] += g - (math.sqrt(n[j] + g * g) - math.sqrt(n[j])) / alpha * w[j]
+                n[j] += g * g
+            bias -= rate * g
+    model = toxicity.fit(rows, alpha, beta, l1, l2, 3, rate)
+    assert abs(model.bias - bias) < 1e-9 and {p: round(float(w), 5) for p, w in zip(model.places.tolist(), model.weights, strict=True)} == {j: round(weight(j), 5) for j in sorted(z) if weight(j)}
+
+
 # language model
 
 
@@ -117,7 +139,7 @@ def test_lm(spark):
     rng = np.random.default_rng(1)
     vocabulary = ["".join(rng.choice(list("abcdé")) for _ in range(int(rng.integers(1, 5)))) for _ in range(60)]
     rows = [(i, " ".join(rng.choice(vocabulary, int(rng.integers(1, 60))))) for i in range(80)] + [(200, None), (201, ""), (202, "Same TEXT"), (202, "Same TEXT"), (None, "a"), (203, "new-word " * 50)]
-    got = lm_score.score(frame(spark, rows), max_head=40, head_docs=50, sample_docs=50, sample_tokens=2000).collect()
+    got = lm_score.score(frame(spark, rows), max_head=40).collect()
     train = lambda i: zlib.crc32(("null" if i is None else str(i)).encode()) % 5 != 1
     tokens = lambda t: [*(t or "").encode().lower().split(), b""]
     c = Counter(w for i, t in rows if train(i) for w in tokens(t))
@@ -129,39 +151,132 @@ def test_lm(spark):
     assert sum(r.score for r in known) > 1.3 * sum(r.base_score for r in known)
 
 
+def stream(rng, n_texts=40, n_symbols=30):
+    """Token numbers of texts, some of them of spelled tokens, and their places; a code for them."""
+    texts = [np.where(rng.random(k) < 0.15, -2 - rng.integers(0, 5, k), 2 + np.minimum(rng.geometric(0.2, k), n_symbols - 3)) for k in rng.integers(1, 40, n_texts)]
+    texts = [np.r_[t, 0] for t in texts]
+    place = np.concatenate([np.arange(len(t)) for t in texts])
+    ids = np.concatenate(texts)
+    return ids, place, lm_score.Code.of(np.bincount(lm_score.TOKENS.symbols(ids), minlength=n_symbols) + 1.0)
+
+
+def tables_of(kind, code, values, place, times=None):
+    counts = lm_score.Counts(kind)
+    for part, size, signs, slots in lm_score.bits_of(kind, code, values, place):
+        counts.add(slots, signs & 1, None if times is None else np.repeat(times[part], size))
+    plain, less = zip(*(lm_score.as_bytes(*x.reshape(-1, 2).T) for x in counts.finished().reshape(-1, 2 * lm_score.SEGMENT)), strict=True)
+    return np.frombuffer(b"".join(plain), np.uint8), np.frombuffer(b"".join(less), np.uint8)
+
+
+def told(code, symbol):
+    """The bits of a symbol's code, each with its place and a step of its depth."""
+    for d in range(code.size[symbol]):
+        x = int(code.nodes[code.start[symbol] + d])
+        yield x & ~7, x & 1, (d >= 2) + (d >= 6)
+
+
+def test_codes():
+    rng = np.random.default_rng(0)
+    for n in (2, 3, 50):
+        w = rng.random(n) ** 3 + 1e-3
+        code = lm_score.Code.of(w)
+        assert abs((0.5 ** code.size).sum() - 1) < 1e-12  # a whole tree
+        assert -(w / w.sum() * np.log2(w / w.sum())).sum() <= (w / w.sum() * code.size).sum() < -(w / w.sum() * np.log2(w / w.sum())).sum() + 1
+        words = ["".join(str(b) for _, b, _ in told(code, i)) for i in range(n)]
+        assert len(set(words)) == n and not any(a != b and b.startswith(a) for a in words for b in words)
+
+
+def test_lm_bit_by_bit():
+    """Counts, log odds, gates, weights and map, bit by bit in plain Python, with contexts as they are instead of hashed."""
+    rng = np.random.default_rng(7)
+    ids, place, code = stream(rng)
+    table, less = tables_of(lm_score.TOKENS, code, ids, place)
+    learner = lm_score.Learner()
+    for _, _, signs, slots in lm_score.bits_of(lm_score.TOKENS, code, ids, place):
+        learner.learn(*lm_score.looked_up(less, lm_score.TOKENS, slots, signs, True), signs & 1, None)
+    mixer = lm_score.Learner.merged(learner.sums())
+    symbols = [int(i) if i >= 0 else lm_score.ESCAPE for i in ids]
+
+    def contexts(i):
+        p = place[i]
+        before = [int(x) for x in ids[i - min(p, 16) : i] if x >= 0]
+        one, two = (int(ids[i - k]) if p >= k else None for k in (1, 2))
+        return (), min(before, default=None), one, (one, two)
+
+    counts = Counter()
+    for i, s in enumerate(symbols):
+        for node, bit, _ in told(code, s):
+            counts.update((k, c, node, bit) for k, c in enumerate(contexts(i)))
+
+    def predicted(i, node, depth, without=None):
+        st, gate = [], depth << lm_score.CONTEXTS
+        for k, c in enumerate(contexts(i)):
+            zero, one = (counts[k, c, node, b] - (without == b) for b in (0, 1))
+            if zero + one:
+                q = max(-127, min(127, round(math.log((one + 0.2) / (zero + 0.2)) * 15)))
+                st.append((q or 1) / 15)
+                gate += 1 << k
+            else:
+                st.append(0.0)
+        dot = max(-12, min(12, sum(w * x for w, x in zip(mixer.weights[gate], [*st, 1.0], strict=True))))
+        return 0.5 / (1 + math.exp(-dot)) + 0.5 * mixer.refine[gate][round(max(-8, min(8, dot)) * 8) + 64], gate
+
+    got = lm_score.log2_of(lm_score.TOKENS, code, table, mixer, ids, place)
+    want = []
+    for i, s in enumerate(symbols):
+        want.append(sum(math.log2(p if bit else 1 - p) for node, bit, depth in told(code, s) for p in [predicted(i, node, depth)[0]]))
+    close = np.abs(got - want) < 0.02  # the map's steps may round apart
+    assert close.mean() > 0.98 and abs(got.sum() - sum(want)) < 0.002 * abs(sum(want))
+
+
 def test_lm_is_a_distribution():
-    """With the tables of any training, the probabilities of all bytes and of the end of a word sum to one."""
-    ones, total = np.zeros(lm_score.N_SLOTS, np.float32), np.zeros(lm_score.N_SLOTS, np.float32)
-    lm_score.count_bits([b"ab", b"ac", b"b"], np.zeros(3, np.int64), np.array([5, 2, 1]), ones, total)
-    mixer = lm_score.fit_mixer([b"ab", b"ac"] * 20, np.zeros(40, np.int64), ones, total)
-    st, sure = lm_score.stretched(ones, total), lm_score.sureness(total)
-    sums = 0.0
-    for b in range(256):  # the first byte's eight bits
-        word = bytes([b])
-        slots, bits, _ = lm_score.spell([word], np.zeros(1, np.int64))
-        p = mixer.predict(st[slots[:8]].astype(float), lm_score.gate_of(sure[slots[:8]]))[0]
-        sums += float(np.prod(np.where(bits[:8] == 1, p, 1 - p)))
-    assert abs(sums - 1) < 1e-9
+    """The probabilities of all symbols after the same tokens sum to one."""
+    ids, place, code = stream(np.random.default_rng(8))
+    table, _ = tables_of(lm_score.TOKENS, code, ids, place)
+    n = len(code.size)
+    each = np.array([[5, 3, -2, s] for s in range(n)])
+    got = lm_score.log2_of(lm_score.TOKENS, code, table, lm_score.Mixer.fresh(), each.ravel(), np.tile(np.arange(4), n))[3::4]
+    assert abs((2.0**got).sum() - 1) < 1e-4
+    raw, spelled = np.frombuffer(b"abc abd b ", np.uint8), np.array([0, 1, 2, 3, 0, 1, 2, 3, 0, 1])
+    letters = lm_score.Code.of(np.bincount(raw, minlength=256) + 1.0)
+    table, _ = tables_of(lm_score.LETTERS, letters, raw, spelled, np.ones(len(raw), np.float32))
+    each = np.array([[97, 98, b] for b in range(256)], np.uint8)
+    got = lm_score.log2_of(lm_score.LETTERS, letters, table, lm_score.Mixer.fresh(), each.ravel(), np.tile(np.arange(3), 256))[2::3]
+    assert abs((2.0**got).sum() - 1) < 1e-4
 
 
 def test_lm_learns_from_all_rows(spark):
-    """A kind of text that no sampled document holds is told apart once all rows are read, and weights follow the tokens' numbers."""
-    texts = [(" ".join(f"{a}{i % 2 + j}" for j in range(6)),) for a in "ab" for i in range(60)]
-    seeds = np.full((lm_score.KINDS, lm_score.FEATURES), -math.log(lm_score.FEATURES), np.float32)
-    seeds[1, zlib.crc32(b"a3") % lm_score.FEATURES] += 1
-    table = lm_score.settle_kinds(spark.createDataFrame(texts, "text string").select(F.col("text").cast("binary")), seeds)
-    kinds = [lm_score.Head([], table).split({}, lm_score.tokens(t.encode()))[3] for (t,) in texts]
-    assert len(set(kinds[:60])) == len(set(kinds[60:])) == 1 and kinds[0] != kinds[60]
-
-    ones, total = np.zeros(lm_score.N_SLOTS, np.float32), np.zeros(lm_score.N_SLOTS, np.float32)
-    words, times = [b"ab", b"ac", b"b", b"cab"], np.array([500, 20, 9, 3])
-    lm_score.count_bits(words, np.zeros(4, np.int64), times, ones, total)
-    rows = [(w, int(n), [int(n)] + [0] * (lm_score.KINDS - 1)) for w, n in zip(words, times, strict=True)]
-    start = lm_score.Mixer.fresh()
-    mixer = lm_score.learn(spark.createDataFrame(rows, "word binary, c long, cz array<long>"), start, spark.sparkContext.broadcast((ones, total)))
-    got = lm_score.gathered(words, np.zeros(4, np.int64), times, ones, total)
-    loss = lambda m: -(got[3] * np.log(np.where(got[2] == 1, p := m.predict(got[0], got[1])[0], 1 - p))).sum()
-    assert loss(mixer) < 0.9 * loss(start)
+    """Tables hold every task's tokens, and the weights learnt lower the loss on what was taken out of the counts."""
+    rng = np.random.default_rng(9)
+    ids, place, code = stream(rng, 300)
+    rows = [(x.tolist(),) for x in np.split(ids, np.flatnonzero(place == 0)[1:])]
+    df, shared = spark.createDataFrame(rows, "ids array<int>").repartition(5), spark.sparkContext.broadcast(code)
+    table, less = lm_score.count_tables(df, lm_score.fed_tokens, lm_score.TOKENS, shared)
+    want = tables_of(lm_score.TOKENS, code, ids, place)
+    assert (table == want[0]).all() and (less == want[1]).all()
+    mixer = lm_score.learn(df, lm_score.fed_tokens, lm_score.TOKENS, shared, less)
+
+    def loss(m):
+        total = 0.0
+        for _, _, signs, slots in lm_score.bits_of(lm_score.TOKENS, code, ids, place):
+            p = m.predict(*lm_score.looked_up(less, lm_score.TOKENS, slots, signs, True))
+            total -= np.log(np.where(signs & 1, p, 1 - p)).sum()
+        return total
+
+    assert loss(mixer) < loss(lm_score.Mixer.fresh())
+
+
+def test_lm_hears_word_order(spark):
+    """Words in the order of the corpus score better than the same words shuffled."""
+    rng = np.random.default_rng(10)
+    line = lambda: " ".join(f"a{k} b{k}" for k in rng.integers(0, 30, 12))
+    rows = [(i, line()) for i in range(300)]
+    held = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 5 == 1][:10]
+    good = [(i, line()) for i in held]
+    shuffled = [(i + 5000, " ".join(rng.permutation(t.split()))) for i, t in good]
+    shuffled = [(next(k for k in range(i, i + 500) if zlib.crc32(str(k).encode()) % 5 == 1), t) for i, t in shuffled]
+    got = {r.doc_id: r.score for r in lm_score.score(frame(spark, rows + good + shuffled)).collect()}
+    assert sum(got[i] for i, _ in good) > sum(got[i] for i, _ in shuffled) + 20
 
 
 def test_lm_without_training(spark):
@@ -221,6 +336,46 @@ def test_pii(spark):
     assert pii.train(frame(spark, ODD)) is None and pii.find_pii(frame(spark, []), None).count() == 0
 
 
+def test_windows_are_reconciled():
+    """Each character's scores are those of the window in which it lies most central, whatever the number of places at once."""
+    rng = np.random.default_rng(2)
+    tagger = pii.Tagger.fresh(1)
+    text = "".join(rng.choice(list("ab 12@.-+"), 400))
+    (a, b), *rest = pii.places(text)
+    assert not rest
+    codes = pii.classes(text[a:b])
+    want = np.zeros((b - a, pii.TAGS))
+    starts = pii._windows(b - a)
+    for k in range(b - a):
+        inside = [s for s in starts if s <= k < s + pii.WINDOW]
+        s = min(inside, key=lambda s: (abs(k + 0.5 - (s + pii.WINDOW / 2)), -s))
+        window = np.full((1, pii.WINDOW), pii.N_CLASSES - 1)
+        piece = codes[s : s + pii.WINDOW]
+        window[0, : len(piece)] = piece
+        want[k] = tagger.emissions(window)[k - s, 0]
+    tags, spans, k = tagger.viterbi(want), [], 0
+    while k < len(tags):
+        end = k + 1
+        if tags[k] % 2 == 1:
+            while end < len(tags) and tags[end] == tags[k] + 1:
+                end += 1
+            spans.append((a + k, int(tags[k] - 1) // 2, a + end))
+        k = end
+    spans = [(s, kind, e) for s, kind, e in spans if pii.FULL[kind].fullmatch(text[s:e]) and pii.valid(kind, text[s:e])]
+    assert pii.model_spans(tagger, ["none here", text, "7"])[1] == spans
+
+
+def test_viterbi_is_the_best():
+    from itertools import product
+
+    rng = np.random.default_rng(3)
+    tagger = pii.Tagger.fresh(2)
+    tagger.p["trans"] = tagger.p["trans"] + rng.normal(size=tagger.p["trans"].shape)
+    e = rng.normal(size=(4, pii.TAGS)) * 2
+    worth = lambda tags: tagger.p["begin"][tags[0]] + sum(tagger.p["trans"][p, q] for p, q in zip(tags, tags[1:], strict=False)) + sum(e[k, t] for k, t in enumerate(tags))
+    assert max(product(range(pii.TAGS), repeat=4), key=worth) == tuple(tagger.viterbi(e).tolist())
+
+
 # HTML
 
 
@@ -275,6 +430,76 @@ def test_decoding_never_contradicts():
             assert "".join("01"[c] for c in reversed(chain)).strip("0").count("0") == 0
 
 
+def test_decoding_is_the_best():
+    """Against all labellings of small trees that no ancestor contradicts."""
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        root = html_text.parse("".join(rng.choice(["<div>", "</div>", "<p>t", "<section>", "<p hidden>"], 9)))
+        nodes = html_text._walk(root)
+        odds, own = rng.normal(size=len(nodes)) * 3, rng.integers(0, 500, len(nodes)).astype(float)
+        gain = np.clip(odds, -6, 6) * (np.minimum(own, 400) / 100 + 0.25)
+
+        def worth(inside, nodes=nodes, gain=gain):
+            for x in nodes:
+                if inside[x.order] and x.hidden:
+                    return None
+                chain, y = [], x
+                while y is not None:
+                    chain.append("01"[inside[y.order]])
+                    y = y.parent
+                if "10" in (c := "".join(reversed(chain))) and "1" in c[c.index("10") + 1 :]:
+                    return None
+            return sum(g for g, i in zip(gain, inside, strict=True) if i)
+
+        best = max(w for k in range(1 << len(nodes)) if (w := worth([bool(k >> j & 1) for j in range(len(nodes))])) is not None)
+        assert abs(worth(html_text.decode(nodes, odds, own)) - best) < 1e-6
+
+
+def test_features_by_hand():
+    rng = np.random.default_rng(7)
+    page = "".join(rng.choice(["<div class='nav x'>", "</div>", "<p>Some, text. ", "<a href=/>link ", "</a>", "<ul><li>one", "</ul>", "<section>"], 60))
+    nodes = html_text._walk(html_text.parse(page))
+    x, own = html_text.node_features(nodes)
+
+    def below(node):
+        return [node, *(d for k in node.kids for d in below(k))]
+
+    for node in nodes:
+        text = [len(p) for d in below(node) for p in d.parts if isinstance(p, str)]
+        assert np.isclose(x[node.order, 1], np.log1p(sum(text))) and np.isclose(x[node.order, 2], np.log1p(sum(text) / len(below(node))))
+        assert np.isclose(x[node.order, 8], np.log1p(sum(d.tag == "p" for d in below(node)))) and own[node.order] == sum(len(p) for p in node.parts if isinstance(p, str))
+        chain, y = set(), node.parent
+        while y is not None:
+            chain |= y.names
+            y = y.parent
+        assert x[node.order, -len(html_text.GROUPS) :].tolist() == [float(not g.isdisjoint(chain)) for g in html_text.GROUPS.values()]
+
+
+def test_trees_by_hand():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 4)).astype(np.float32)
+    trees = html_text.boost(x, (x[:, 0] * x[:, 1] > 0).astype(float), np.ones(300), trees=5, depth=3)
+    for row, got in zip(x[:50], trees.odds(x[:50]), strict=True):
+        total = trees.start
+        for f, t, leaf in zip(trees.feature, trees.threshold, trees.leaf, strict=True):
+            at = 0
+            while at < len(f):
+                at = 2 * at + 2 if row[f[at]] > t[at] else 2 * at + 1
+            total += leaf[at - len(f)]
+        assert abs(total - got) < 1e-6
+
+
+@pytest.mark.parametrize("piece", ["<b>", "<div>", '<a x="', "<a ", "<a x='>\"", "</i><b>", "<!--", "<", "<p>x<li>", "&amp;<br>"])
+def test_broken_pages_take_time_by_length(piece):
+    """A page of 300 kB, nested or broken, within seconds; a tail that is whole is still read where it can be."""
+    import time
+
+    page = "<article><p>before</p></article>" + piece * (300_000 // len(piece))
+    began = time.time()
+    (text,) = html_text.extract([page], None)
+    assert time.time() - began < 20 and text.startswith("before")
+
+
 # nearest neighbours
 
 
