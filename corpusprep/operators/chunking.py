@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.identity import sha256_text, spaceless_sha256
-from ..functions.text import is_blank, word_count
+from ..functions.text import is_blank, strip, word_count
 from ..functions.vectors import cosine_distance
 from .encoders import Encoder, hashing_encoder
 from .sentences import sentence_spans
@@ -58,17 +58,24 @@ def breakpoints(rows: DataFrame, percentile: float, id_col: str, order_col: str)
     return rows.withColumn("group_no", F.sum(F.col("is_break").cast("int")).over(running).cast("int"))
 
 
-def merge_small(groups: Column, min_chars: int) -> Column:
-    """``groups``: array of (first, last, chars), chars being the length of the joined sentences. Groups are gathered until they
-    reach ``min_chars``; what is left at the end joins the last that did."""
-    kind = "struct<first:int,last:int,chars:int>"
+def merge_small(groups: Column, min_chars: int, texts: bool = False) -> Column:
+    """``groups``: array of (first, last, chars), chars being the length of the joined sentences, and with ``texts`` also (start, end, raw).
+    Groups are gathered until they reach ``min_chars``; what is left at the end joins the last that did."""
+    kind = f"struct<first:int,last:int,chars:int{',start:int,end:int,raw:string' if texts else ''}>"
     empty = F.expr(f"named_struct('done', cast(array() as array<{kind}>), 'open', cast(null as {kind}))")
+
+    def plain(g: Column) -> Column:
+        numbers = [g[c].cast("int").alias(c) for c in ("first", "last", "chars", *(("start", "end") if texts else ()))]
+        return F.struct(*numbers, *([g["raw"].alias("raw")] if texts else []))
+
     if min_chars <= 0:
-        return F.transform(groups, lambda g: F.struct(g["first"].cast("int").alias("first"), g["last"].cast("int").alias("last"), g["chars"].cast("int").alias("chars")))
+        return F.transform(groups, plain)
 
     def both(a: Column, b: Column) -> Column:
-        joined = F.struct(a["first"].alias("first"), b["last"].cast("int").alias("last"), (a["chars"] + 1 + b["chars"]).cast("int").alias("chars"))
-        return F.when(a.isNull(), F.struct(b["first"].cast("int").alias("first"), b["last"].cast("int").alias("last"), b["chars"].cast("int").alias("chars"))).otherwise(joined)
+        joined = [a["first"].alias("first"), b["last"].cast("int").alias("last"), (a["chars"] + 1 + b["chars"]).cast("int").alias("chars")]
+        if texts:
+            joined += [a["start"].alias("start"), b["end"].cast("int").alias("end"), F.concat(a["raw"], b["raw"]).alias("raw")]
+        return F.when(a.isNull(), plain(b)).otherwise(F.struct(*joined))
 
     def step(acc: Column, g: Column) -> Column:
         now = both(acc["open"], g)
@@ -89,26 +96,28 @@ def merged_groups(rows: DataFrame, min_chars: int, id_col: str = "doc_id") -> Da
     return lists.select(id_col, F.posexplode(merge_small(F.col("groups"), min_chars)).alias("_p", "g")).select(id_col, (F.col("_p") + 1).alias("index"), F.col("g.first").alias("start_sentence"), F.col("g.last").alias("end_sentence"))
 
 
-def build_chunks(chunks: DataFrame, sentences: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_tokens=word_count) -> DataFrame:
-    """Chunk records. The text of a chunk is the slice of the source, not the collapsed sentences."""
-    spans = sentences.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("source_index", "start_char", "end_char"))).alias("_spans"))
-    at = lambda i: F.element_at("_spans", F.col(i) + 1)
-    rows = chunks.join(spans, id_col).withColumn("start_char", at("start_sentence")["start_char"]).withColumn("end_char", at("end_sentence")["end_char"]).drop("_spans")
-    texts = docs.select(id_col, F.col(text_col).alias("_source"))
-    rows = rows.join(texts, id_col).withColumn("text", F.substring("_source", F.col("start_char") + 1, F.col("end_char") - F.col("start_char")))
-    return rows.select(
-        id_col, "index", "text", (F.col("end_sentence") - F.col("start_sentence") + 1).alias("sentence_count"), F.char_length("text").alias("char_count"),
-        count_tokens(F.col("text")).cast("int").alias("estimated_token_count"), "start_sentence", "end_sentence", "start_char", "end_char", sha256_text(F.col("text")).alias("chunk_text_sha256"),
+def chunk_records(rows: DataFrame, min_chars: int, id_col: str = "doc_id", count_tokens=word_count) -> DataFrame:
+    """Chunk records from sentences with ``group_no`` and ``piece``. The text of a chunk is the slice of the source, made of its sentences'
+    pieces, which tile the source: so no document is read again, and its length costs no more than once."""
+    pieces = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("source_index", "piece"))), lambda s: s["piece"]), "")
+    per_group = rows.groupBy(id_col, "group_no").agg(
+        F.min("source_index").alias("first"), F.max("source_index").alias("last"), (F.sum(F.char_length("text")) + F.count(F.lit(1)) - 1).cast("int").alias("chars"),
+        F.min("start_char").alias("start"), F.max("end_char").alias("end"), pieces.alias("raw"),
+    )
+    lists = per_group.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("first", "last", "chars", "start", "end", "raw"))).alias("groups"))
+    each = lists.select(id_col, F.posexplode(merge_small(F.col("groups"), min_chars, texts=True)).alias("_p", "g")).select(id_col, (F.col("_p") + 1).alias("index"), strip(F.col("g.raw")).alias("text"), "g")
+    return each.select(
+        id_col, "index", "text", (F.col("g.last") - F.col("g.first") + 1).alias("sentence_count"), F.char_length("text").alias("char_count"), count_tokens(F.col("text")).cast("int").alias("estimated_token_count"),
+        F.col("g.first").alias("start_sentence"), F.col("g.last").alias("end_sentence"), F.col("g.start").alias("start_char"), F.col("g.end").alias("end_char"), sha256_text(F.col("text")).alias("chunk_text_sha256"),
     )
 
 
 def semantic_chunks(docs: DataFrame, config: ChunkConfig = ChunkConfig(), encode: Encoder | None = None, id_col: str = "doc_id", text_col: str = "text", count_tokens=word_count) -> DataFrame:
-    """Chunk records of each document. No sentence, no chunk; one sentence, one chunk."""
-    sentences = sentence_spans(docs, id_col, text_col)
+    """Chunk records of each document, in one pass over it. No sentence, no chunk; one sentence, one chunk."""
+    sentences = sentence_spans(docs, id_col, text_col, pieces_too=True)
     rows = context_windows(sentences, config.window_size, id_col).withColumn("_vector", (encode or hashing_encoder())(F.col("window_text")))
     rows = adjacent_distance(rows, id_col, "source_index", "_vector").drop("_vector", "window_text")
-    rows = breakpoints(rows, config.threshold_percentile, id_col, "source_index")
-    return build_chunks(merged_groups(rows, config.min_chars, id_col), sentences, docs, id_col, text_col, count_tokens)
+    return chunk_records(breakpoints(rows, config.threshold_percentile, id_col, "source_index"), config.min_chars, id_col, count_tokens)
 
 
 def chunk_coverage(docs: DataFrame, chunks: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -430,3 +430,38 @@ def chapter_audit(spark: SparkSession, folder: str) -> DataFrame:
     d = _docs(spark, folder, "lang")
     rows = d.select("doc_id", text.word_count(F.col("text")).alias("word_count"), text.marker_tags(F.col("text"), ["License"], ["license"]).alias("automated_tags"), F.when(F.col("lang") == "de", F.create_map(F.lit("aps"), F.lit(1).cast("long"))).alias("converter_counts"))
     return manifests.chapter_audit(rows, table(spark, folder, "labels"), "doc_id").select("doc_id", "status", F.array_join("notes", " ").alias("notes"))
+
+
+def _subjects(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Customers as subjects below their nations, with what planning must refuse: by the key's remainder no code (0), the code of the one
+    before (2), no order (3), the order of the one before (5), a record without an id (6), an order that another record has (7), one
+    locale only (8), all as desired (9). Of nations every fifth is not there, and the one after it is there twice."""
+    k, m, none = F.col("c_custkey"), F.col("c_custkey") % 11, F.lit(None).cast("string")
+    desired = table(spark, folder, "customer").select(
+        k.alias("position"), F.when(m == 0, "").otherwise(F.format_string("C%07d", k - F.when(m == 2, 1).otherwise(0))).alias("subject_code"), none.alias("legacy_code"), F.lit(True).alias("is_active"),
+        F.when(m != 3, k - F.when(m == 5, 1).otherwise(0)).alias("sort_order"), F.concat(F.lit("N"), "c_nationkey").alias("category_code"), F.col("c_name").alias("name_en"), none.alias("description_en"),
+        F.upper("c_name").alias("name_hi_IN"), none.alias("description_hi_IN"), none.alias("from_date"), none.alias("to_date"), F.lit(None).cast("int").alias("prabodhan_count"),
+    )
+    m = F.col("position") % 11
+    there = desired.where(m.isin(6, 7, 8, 9)).withColumn("document_id", F.when(m == 6, "").otherwise(F.concat(F.lit("doc-"), "position"))).withColumn("code", F.when(m == 7, F.concat(F.lit("X"), "position")).otherwise(F.col("subject_code")))
+    there = there.withColumn("parent_document_id", F.concat(F.lit("p-"), "category_code"))
+    shared = ["document_id", "code", "position", "legacy_code", "is_active", "sort_order", "from_date", "to_date", "prabodhan_count", "parent_document_id"]
+    en = there.select(*shared, F.lit("en").alias("locale"), F.col("name_en").alias("name"), F.col("description_en").alias("description"))
+    hi = there.where(m.isin(6, 9)).select(*shared, F.lit("hi-IN").alias("locale"), F.col("name_hi_IN").alias("name"), F.col("description_hi_IN").alias("description"))
+    n = table(spark, folder, "nation").where("n_nationkey % 5 > 0").select(F.concat(F.lit("N"), "n_nationkey").alias("code"), (F.col("n_nationkey") % 5 == 1).alias("twice"))
+    parents = n.select("code", F.explode(F.when(F.col("twice"), F.array(F.lit("-a"), F.lit("-b"))).otherwise(F.array(F.lit("")))).alias("x")).select("code", F.concat(F.lit("p-"), "code", "x").alias("document_id"))
+    return desired, en.unionByName(hi), parents
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, c_custkey % 11 AS m, c_nationkey AS n, min(CASE WHEN c_custkey % 11 = 0 THEN c_custkey END) OVER () AS first_missing FROM customer),
+d AS (SELECT *, CASE m WHEN 0 THEN '<missing-code>' WHEN 2 THEN printf('C%07d', k - 1) ELSE printf('C%07d', k) END AS code FROM c),
+x AS (SELECT *, CASE n % 5 WHEN 0 THEN 'Referenced Category code N' || n || ' was not found.' WHEN 1 THEN 'Referenced Category code N' || n || ' is ambiguous across documentIds: p-N' || n || '-a, p-N' || n || '-b.' END AS blocked,
+ concat_ws(' ', CASE m WHEN 0 THEN 'Missing required artifact value: subject_code. Missing required artifact value: subject_code.' WHEN 3 THEN 'Missing required artifact value: sort_order. Missing required artifact value: sort_order.' END,
+ CASE WHEN m = 2 OR (m = 0 AND k <> first_missing) THEN 'Duplicate artifact subject_code: ' || code || '.' END, CASE WHEN m = 5 THEN 'Duplicate artifact sort_order ' || (k - 1) || ' also used by ' || printf('C%07d', k - 1) || '.' END,
+ CASE WHEN m = 6 THEN 'Existing Subject is missing documentId.' END, CASE WHEN m = 7 THEN 'sort_order ' || k || ' is already used by existing Subject code(s): X' || k || '.' END) AS conflicts FROM d)
+SELECT k AS position, code, CASE WHEN blocked IS NOT NULL THEN 'blocked' WHEN conflicts <> '' THEN 'conflict' WHEN m = 8 THEN 'update' WHEN m = 9 THEN 'matching' ELSE 'create' END AS action,
+ CASE WHEN blocked IS NULL AND m IN (8, 9) THEN 'doc-' || k END AS document_id, coalesce(blocked, conflicts) AS messages, blocked IS NULL AND m IN (1, 4, 8, 10) AS create_localized FROM x""")
+def subject_plan(spark: SparkSession, folder: str) -> DataFrame:
+    desired, existing, parents = _subjects(spark, folder)
+    p = reconcile.plan(desired, existing, reconcile.SUBJECT, parents)
+    return p.select("position", "code", "action", "document_id", F.array_join("messages", " ").alias("messages"), "create_localized")
