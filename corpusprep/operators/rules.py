@@ -31,6 +31,7 @@ def matches(pattern: str) -> Callable[[Column], Column]:
 #: What int() reads: a sign, digits, single underscores between them.
 INTEGER = r"[+-]?[0-9]+(?:_[0-9]+)*"
 
+# fixed values: what the sources' codes, states and dates look like, and the messages that tell so
 required: Callable[[Column], Column] = lambda v: F.when(v == "", F.lit("Required value is missing."))
 is_boolean = when_given(lambda v: F.lower(v).isin("true", "false"), "Expected boolean value true or false.")
 is_integer = when_given(matches(INTEGER), "Expected an integer value.")
@@ -47,6 +48,26 @@ def term_in_range(v: Column) -> Column:
     return F.when(~number.between(1, 50000), F.lit("Term Code must be in range T00001 through T50000."))
 
 
+# end of fixed values
+
+
+def one_of(values: list[str], message: str) -> Callable[[Column], Column]:
+    """A value of a list, as a sheet's drop-down has it."""
+    return when_given(lambda v: v.isin(values), message)
+
+
+def stripped(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` without white space at their ends, as a sheet leaves them after an edit; nulls stay."""
+    return rows.withColumns({c: strip(F.col(f"`{c}`")) for c in columns})
+
+
+def shared_values(rows: DataFrame, column: str) -> DataFrame:
+    """Adds ``is_shared``: whether another row has the same value, not blank (what a sheet marks as a duplicate)."""
+    v = _value(column)
+    again = rows.select(v.alias("_v")).where("_v <> ''").groupBy("_v").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_v")
+    return rows.join(again, v == F.col("_v"), "left").withColumn("is_shared", F.col("_v").isNotNull()).drop("_v")
+
+
 def at_most(n: int) -> Callable[[Column], Column]:
     return lambda v: F.when(F.char_length(v) > n, F.lit(f"Value must be {n} characters or fewer."))
 

@@ -76,3 +76,12 @@ def test_schema_subset():
     assert rules.schema_issues({"a": 1, "b": "xx", "c": [1]}, schema) == []
     assert [p for p, _ in rules.schema_issues({"a": -1, "b": "xxx", "c": [2], "d": 0}, schema)] == ["$.d", "$.a", "$.b", "$.c[0]"]
     assert [p for p, _ in rules.schema_issues({"a": True, "b": None}, schema)] == ["$.a"]
+
+
+def test_lists_and_sheet_marks(spark):
+    df = spark.createDataFrame([(2, " a ", "x"), (3, "b", None), (4, "a", ""), (5, "c", "x")], "row_number int, k string, v string")
+    made = rules.RuleSet(("k", "v"), (("k", rules.one_of(["a", "b"], "Expected a or b.")),))
+    assert [(r.row_number, r.message) for r in rules.row_issues(df, made).collect()] == [(5, "Expected a or b.")]
+    assert [r.k for r in rules.stripped(df, ["k", "v"]).orderBy("row_number").collect()] == ["a", "b", "a", "c"]
+    assert {r.row_number: r.is_shared for r in rules.shared_values(df, "k").collect()} == {2: True, 3: False, 4: True, 5: False}
+    assert {r.row_number: r.is_shared for r in rules.shared_values(df, "v").collect()} == {2: True, 3: False, 4: False, 5: True}
