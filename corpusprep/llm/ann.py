@@ -14,7 +14,8 @@ without structure most of it, since no ordering keeps those together. All vector
 Vectors that are null, zero, or hold null or non-finite components, and those of another length than most,
 take no part; nor do rows with a null id. Equal vectors form one class, of which the smallest ``k`` + 1 ids are carried, so
 copies cost nothing and ties go to smaller ids. An id on several rows counts with each of its vectors and is
-returned once, with the best. A block that many vectors with one key make too large is split further.
+returned once, with the best. A block that many vectors with one key make too large is split further. An empty table gives
+no rows. Only the id and the vector are read, so no other column can clash; ids must be integers.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ partitioning.
 A piece of merge rank r has weight 1/(r + 3) to the power ``alpha``; characters outside the vocabulary (among them
 the space mark itself and newlines) become their bytes. Decoding joins the pieces' bytes and drops the
 first space, and gives back every text exactly. Null and empty texts have no pieces and decode to the
-empty text; null keys share one seed; repeated rows get the same segmentation. Extra columns pass through.
+empty text; null keys share one seed; repeated rows get the same segmentation. Pieces of equal weight are told apart
+by the draw alone, so ties don't arise. A very long text is sampled whole, in one group of its own. An empty table gives
+an empty table. Extra columns pass through, whatever their names; one named like the output is replaced by it.
 """
 
 from __future__ import annotations

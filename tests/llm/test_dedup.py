@@ -143,6 +143,9 @@ def test_bound():
     x = rng.integers(0, 2**63, 2000, dtype=np.uint64)
     y = x ^ (np.uint64(1) << rng.integers(0, 64, 2000).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 2000).astype(np.uint64))
     assert (simhash.manhattan(simhash.popcounts(x), simhash.popcounts(y)) <= np.bitwise_count(x ^ y)).all()
+    z = rng.integers(0, 2**63, 2000, dtype=np.uint64)
+    counts = lambda v: np.array([[bin(int(f) >> k & 3).count("1") for k in range(0, 64, 2)] for f in v])
+    assert (simhash.manhattan(simhash.popcounts(x), simhash.popcounts(z)) == np.abs(counts(x) - counts(z)).sum(1)).all()
 
 
 @pytest.mark.parametrize("block", [4, 2048])
