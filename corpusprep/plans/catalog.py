@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import identity, text
-from ..operators import assembly, chunking, documents, manifests, reconcile, retrieval, rules, tokens
+from ..operators import assembly, chunking, documents, manifests, reconcile, records, retrieval, rules, tokens
 from ..operators.sentences import sentence_spans as spans_of
 from ..sources import files, seeds
 from ..sources.tables import table
@@ -465,3 +465,84 @@ def subject_plan(spark: SparkSession, folder: str) -> DataFrame:
     desired, existing, parents = _subjects(spark, folder)
     p = reconcile.plan(desired, existing, reconcile.SUBJECT, parents)
     return p.select("position", "code", "action", "document_id", F.array_join("messages", " ").alias("messages"), "create_localized")
+
+
+@query(r"""WITH b AS (SELECT conv_id, turn, role, regexp_replace(trim(role || ': ' || text), '\s+', ' ', 'g') AS t, sum(CAST(role = 'user' AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS c FROM conversations),
+p AS (SELECT conv_id, t FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM b WHERE c = 0) WHERE n = 1)
+SELECT b.conv_id, CAST(c AS INTEGER) AS chapter_no, max(p.t) AS heading, sha256(concat_ws(chr(10) || chr(10), max(p.t), string_agg(b.t, chr(10) || chr(10) ORDER BY turn))) AS text_sha256 FROM b LEFT JOIN p USING (conv_id) WHERE c > 0 GROUP BY b.conv_id, c""")
+def document_chapters(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations as documents: what the user says opens a chapter, what stands before is the preface."""
+    blocks = table(spark, folder, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("block_no"), F.lit("p").alias("tag"), F.concat("role", F.lit(": "), "text").alias("text"))
+    made = documents.chapters(blocks, r"\Auser: ", regex=True)
+    return made.select(F.col("doc").alias("conv_id"), "chapter_no", "heading", identity.sha256_text(F.col("text")).alias("text_sha256"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 5 IN (0, 3) THEN 'aps' WHEN p_size % 5 IN (1, 4) THEN 'shreelipi' END AS converter FROM part""")
+def font_converters(spark: SparkSession, folder: str) -> DataFrame:
+    """The first font that tells a converter: by the remainder one, the other, none, the second of two, the first of two."""
+    names = [["APS-DV-Prakash"], ["Arial", "Shree-Lipi 7"], ["Arial", "Times"], [None, "x priyanka"], ["SHREEDEV", "aps_dv"]]
+    fonts = F.element_at(F.array(*[F.array(*[F.lit(x).cast("string") for x in n]) for n in names]), (F.col("p_size") % 5 + 1).cast("int"))
+    return table(spark, folder, "part").select("p_partkey", documents.converter_of(fonts).alias("converter"))
+
+
+@query("""SELECT 'error' AS severity, p_partkey AS row_number, 'Row' AS "column", CASE p_size % 4 WHEN 0 THEN 'Blank rows are not allowed.' WHEN 1 THEN 'Expected 4 columns, found 3.' ELSE 'Expected 4 columns, found 5.' END AS message FROM part WHERE p_size % 4 < 3""")
+def record_shape_issues(spark: SparkSession, folder: str) -> DataFrame:
+    m, v = F.col("p_size") % 4, F.col("p_name")
+    values = F.when(m == 0, F.array(F.lit(" "), F.lit(""), F.lit("\t"), F.lit(None).cast("string"))).when(m == 1, F.array(v, v, v)).when(m == 2, F.array(v, v, v, v, v)).otherwise(F.array(v, v, v, v))
+    return rules.shape_issues(table(spark, folder, "part").select(F.col("p_partkey").alias("row_number"), values.alias("values")), 4)
+
+
+def _categories(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as rows of a category source, each with one fault by the key's remainder."""
+    k, m = F.col("p_partkey"), F.col("p_partkey") % 9
+    cell = lambda n, bad, good: F.when(m == n, F.lit(bad)).otherwise(good)
+    return table(spark, folder, "part").select(
+        k.alias("row_number"), cell(0, "CAT1", F.format_string(" CAT%03d", k % 1000)).alias("code"), F.concat(F.lit("L"), k).alias("legacy_code"), cell(1, "yes", F.lit("True")).alias("is_active"), cell(2, "1.5", k.cast("string")).alias("sort_order"),
+        cell(3, "done", F.lit("draft")).alias("desired_status"), F.when(m == 4, F.repeat(F.lit("n"), 256)).otherwise(F.col("p_name")).alias("name_en"), F.lit("").alias("description_en"), cell(5, " ", F.col("p_name")).alias("name_hi-IN"), F.col("p_type").alias("description_hi-IN"),
+    )
+
+
+@query("""SELECT 'error' AS severity, p_partkey AS row_number, CASE p_partkey % 9 WHEN 0 THEN 'code' WHEN 1 THEN 'is_active' WHEN 2 THEN 'sort_order' WHEN 3 THEN 'desired_status' WHEN 4 THEN 'name_en' ELSE 'name_hi-IN' END AS "column",
+ CASE p_partkey % 9 WHEN 0 THEN 'Expected format CATnnn, for example CAT001.' WHEN 1 THEN 'Expected boolean value true or false.' WHEN 2 THEN 'Expected an integer value.' WHEN 3 THEN 'Expected desired_status to be draft or published.' WHEN 4 THEN 'Value must be 255 characters or fewer.'
+ ELSE 'Required value is missing.' END AS message FROM part WHERE p_partkey % 9 < 6""")
+def category_validation(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.ordered(rules.row_issues(_categories(spark, folder), rules.CATEGORY))
+
+
+@query("""SELECT CASE WHEN p_partkey % 9 = 0 THEN 'CAT1' ELSE printf('CAT%03d', p_partkey % 1000) END AS category_code, 'L' || p_partkey AS legacy_code, p_partkey % 9 <> 1 AS is_active, CASE WHEN p_partkey % 9 <> 2 THEN CAST(p_partkey AS BIGINT) END AS sort_order,
+ CASE WHEN p_partkey % 9 = 5 THEN '' ELSE trim(p_name) END AS name_hi_IN, CAST(NULL AS VARCHAR) AS description_en, trim(p_type) AS description_hi_IN FROM part WHERE p_partkey % 9 <> 2""")
+def category_records(spark: SparkSession, folder: str) -> DataFrame:
+    made = records.category_records(_categories(spark, folder).where("row_number % 9 <> 2"))
+    return made.select("category_code", "legacy_code", "is_active", "sort_order", "name_hi_IN", "description_en", "description_hi_IN")
+
+
+@query("""SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'metadata is missing' WHEN 1 THEN 'text is missing' WHEN 2 THEN 'text path leaves its base' WHEN 3 THEN 'text references differ' WHEN 4 THEN 'text checksum differs' WHEN 5 THEN 'manifest identity differs' ELSE '' END AS problem FROM documents""")
+def manifest_cross_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Manifest, metadata and texts of the documents, with one fault by the id's remainder."""
+    d, m = table(spark, folder, "documents").select("doc_id", "source", "lang", F.coalesce("text", F.lit("")).alias("text")), F.col("chapter_no") % 7
+    path = F.format_string("t/%03d.txt", "doc_id")
+    made = assembly.chapter_metadata(d.select(F.lit("CAT001").alias("category_code"), F.col("source").alias("subject_code"), F.lit("s").alias("title_slug"), F.col("doc_id").alias("chapter_no"), F.lit("v1").alias("version"), "text", path.alias("text_path"), path.alias("metadata_path")), NAMESPACE)
+    listed = made.select(
+        "chapter_no", F.when(m == 5, "other").otherwise(F.col("content_identity.content_key")).alias("content_key"), "content_identity.normalized_content_sha256",
+        F.when(m == 2, "../x").when(m == 3, "t/x").otherwise(F.col("storage.artifacts.text.path")).alias("text_path"),
+    )
+    texts = d.select(F.col("doc_id").alias("chapter_no"), F.when(F.col("doc_id") % 7 == 4, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("text")).where(m != 1)
+    found = manifests.cross_check(listed, made.where(m != 0), texts, NAMESPACE)
+    return found.select(F.col("chapter_no").alias("doc_id"), F.coalesce("problem", F.lit("")).alias("problem"))
+
+
+@query("""SELECT event_id, CASE event_id % 5 WHEN 4 THEN '' ELSE 'd' || user_id END AS parent FROM events""")
+def relation_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """A relation told in each of the forms that a store has for it, or not at all."""
+    m, d = F.col("event_id") % 5, F.concat(F.lit("d"), "user_id")
+    forms = [F.to_json(F.struct(d.alias("r"))), F.to_json(F.struct(F.struct(d.alias("documentId")).alias("r"))), F.to_json(F.struct(F.struct(F.struct(F.struct(d.alias("documentId")).alias("data")).alias("r")).alias("attributes"))), F.to_json(F.struct(F.struct(F.struct(F.struct(d.alias("documentId")).alias("attributes")).alias("data")).alias("r"))), F.lit("{}")]
+    told = F.lit(None).cast("string")
+    for k, f in enumerate(forms):
+        told = F.when(m == k, f).otherwise(told)
+    return table(spark, folder, "events").select("event_id", F.coalesce(reconcile.relation_id(told, "r"), F.lit("")).alias("parent"))
+
+
+@query(r"""SELECT p_partkey, printf('%03d', p_size) || '-' || CASE WHEN p_partkey % 2 = 0 THEN 'प्रबोधन-क्र-' || p_size ELSE trim(regexp_replace(regexp_replace(trim(p_name), '[\\/:*?"<>|]+', '-', 'g'), '\s+', '-', 'g'), '.-') END AS title FROM part""")
+def fallback_titles(spark: SparkSession, folder: str) -> DataFrame:
+    said = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("x प्रबोधन  क्र. "), F.col("p_size").cast("string"), F.lit(" y"))).otherwise(F.col("p_name"))
+    return table(spark, folder, "part").select("p_partkey", text.fallback_title(said, F.col("p_size")).alias("title"))
