@@ -10,6 +10,10 @@ Then the Manhattan bound and the Hamming distance itself are checked.
 Work is done once per distinct fingerprint. A cell that holds more than ``block`` of them is cut into
 blocks, and pairs of blocks are compared in tasks of their own, so no task sees an unbounded cell and no
 pair is skipped. A task returns only edges that join two trees it has not joined yet.
+
+Null and wordless texts have fingerprint zero. A very long text is hashed in parts, never cut. Ids may be of any ordered
+type; ties don't arise, as a component is named by its smallest id. Repeated rows come back each. An empty table gives an
+empty table. Only the id and the text are read, so no other column can clash.
 """
 
 from __future__ import annotations
@@ -71,11 +75,16 @@ def popcounts(fps: np.ndarray) -> np.ndarray:
 
 
 def manhattan(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Distance of grid points. In a 2-bit field |p - q| is 0, 1 or 2."""
-    lo, total = np.uint64(3), np.zeros(len(p), np.int16)
-    for k in range(0, 64, 2):
+    """Distance of grid points. A 2-bit field holds 0, 1 or 2; spread to 4 bits, p + 2 - q is 0 to 4 in each, and how far
+    from 2 it is is told by its bits: 2 is none, 1 and 3 are one, 0 and 4 are two."""
+    low, two, total = np.uint64(0x3333333333333333), np.uint64(0x2222222222222222), np.zeros(len(p), np.uint8)
+    for k in (0, 2):
         s = np.uint64(k)
-        total += np.abs(((p >> s) & lo).astype(np.int16) - ((q >> s) & lo).astype(np.int16))
+        d = ((p >> s) & low) + two - ((q >> s) & low)
+        one = d & np.uint64(0x1111111111111111)
+        far = ~(d | d >> np.uint64(1)) & ~(d >> np.uint64(2)) & np.uint64(0x1111111111111111)  # 0
+        four = d >> np.uint64(2) & np.uint64(0x1111111111111111)
+        total += np.bitwise_count(one) + np.uint8(2) * (np.bitwise_count(far) + np.bitwise_count(four))
     return total
 
 
@@ -104,22 +113,19 @@ class _Forest:
 
 
 def _near(x: np.ndarray, y: np.ndarray, max_bits: int) -> np.ndarray:
-    """Which pairs link: the bound first, then the fingerprints themselves."""
-    near = np.flatnonzero(np.bitwise_count(x ^ y) <= max_bits) if len(x) > 4096 else np.arange(len(x))
-    near = near[manhattan(popcounts(x[near]), popcounts(y[near])) <= max_bits]
+    """Which pairs link: those within the bound in the grid, then by the fingerprints themselves."""
+    near = np.flatnonzero(manhattan(popcounts(x), popcounts(y)) <= max_bits)
     return near[np.bitwise_count(x[near] ^ y[near]) <= max_bits]
 
 
 def _cell_edges(left: np.ndarray, right: np.ndarray | None, max_bits: int) -> Iterator[tuple[int, int]]:
-    """Forest edges within ``left`` (right None) or between two blocks; rows are compared one against all."""
+    """Forest edges within ``left`` (right None) or between two blocks; rows are compared one against all, in the grid first."""
     all_of = left if right is None else np.concatenate([left, right])
-    forest, n = _Forest(len(all_of)), len(left)
+    grid, forest, n = popcounts(all_of), _Forest(len(all_of)), len(left)
     for i in range(n):
-        others = np.arange(i + 1, n) if right is None else np.arange(n, len(all_of))
-        if not len(others):
-            break
-        found = np.flatnonzero(np.bitwise_count(all_of[others] ^ all_of[i]) <= max_bits)
-        for j in others[found].tolist():
+        first = i + 1 if right is None else n
+        found = first + np.flatnonzero(manhattan(grid[first:], grid[i : i + 1]) <= max_bits)
+        for j in found[np.bitwise_count(all_of[found] ^ all_of[i]) <= max_bits].tolist():
             if forest.join(i, j):
                 yield int(all_of[i]), int(all_of[j])
 
