@@ -51,6 +51,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that ``materialize`` made, once all that was made of it is written itself."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z alone. lower() also changes other letters, so it serves only where all bytes are ASCII."""
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))

@@ -7,16 +7,19 @@ broadcast. It is cut into shards by content instead, and each shard meets only t
 1. Each window is named by its anchor, the smallest hash of ``anchor`` words in a row inside it. Equal
    windows have equal anchors. A run of windows with one anchor is a segment (12 windows or so).
 2. Anchors are counted over the corpus with partial sums. A segment whose anchor occurs nowhere else
-   holds no repeat. Where all segments of an anchor are the same text, all their windows repeat.
-3. For the other anchors, the distinct segments of one anchor are a shard. Its suffix automaton, with
-   the number of occurrences at each state, is built and the segments are streamed through it: where the
-   match of the last ``length`` words stands at a state with two occurrences or more, a span is removed.
-4. A shard of more than ``max_shard`` segments is not collected: its windows are dealt out one by one and
-   counted with partial sums, which gives the same spans.
-
-Segments are told apart by 128 bits of hashes (anchor and content). Null texts and texts of fewer than
-``length`` words lose nothing. A repeated row is an occurrence of its own, so both go wholly. Ids may be null
-or repeat; a row is known by its id and the hash of its text. Extra columns pass through by name.
+   holds no repeat.
+3. The distinct segments of one anchor are a shard. Its suffix automaton, with the number of occurrences
+   at each state, is built and the segments are streamed through it: where the match of the last
+   ``length`` words stands at a state with two occurrences or more, a span is removed.
+4. A shard of more than ``max_shard`` segments is split: its windows are dealt by their hash to shards of
+   bounded size, where an automaton of each does the same. Equal windows meet in one of them.
+
+So whatever is removed is found by an automaton. Segments are told apart by 128 bits of hashes (anchor and
+content). Null texts and texts of fewer than ``length`` words lose nothing. A very long text is cut into
+segments in one task and never shortened. A repeated row is an occurrence of its own, so both go wholly.
+Ids may be null or repeat; a row is known by its id and the hash of its text. An empty table gives an empty
+table. Extra columns pass through by name, whatever their names; one named n_words, n_removed or kept is
+replaced.
 """
 
 from __future__ import annotations
@@ -30,10 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import materialize, partitions
+from .common import discard, let, materialize, partitions, small_batches
 
 LENGTH, ANCHOR = 35, 12
 MAX_RUN = 64
+#: A key with more than one part in so many of all segments is hot.
+HOT = 1000
 _M = np.uint64(0x9E3779B97F4A7C15)
 _F = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -92,7 +97,7 @@ def segments(words: list[bytes], cache: WordHashes, length: int = LENGTH, anchor
     return at, sizes, least[at], content, again
 
 
-def repeated_windows(parts: list[tuple[bytes, int]], length: int = LENGTH) -> list[np.ndarray]:
+def repeated_windows(parts: list[tuple[bytes, int]], length: int = LENGTH) -> list[list[bool]]:
     """For each of the (text, occurrences) of a shard: which of its windows occur at least twice in the shard.
 
     A generalised suffix automaton of words: state 0 is the root; ``count`` holds how often the words of a
@@ -146,14 +151,23 @@ def repeated_windows(parts: list[tuple[bytes, int]], length: int = LENGTH) -> li
                 v = link[v]
             if j >= length - 1:
                 flags.append(count[v] >= 2)
-        out.append(np.array(flags, bool))
+        out.append(flags)
     return out
 
 
-def _spans(flags: np.ndarray) -> list[dict[str, int]]:
-    """Runs of flagged windows as (start, n)."""
-    edges = np.flatnonzero(np.diff(np.r_[0, flags.astype(np.int8), 0]))
-    return [{"start": int(a), "n": int(b - a)} for a, b in zip(edges[::2], edges[1::2], strict=True)]
+def _runs(flags: list[bool], at: int) -> tuple[list[int], list[int]]:
+    """Starts (from ``at`` on) and lengths of the runs of flagged windows."""
+    if all(flags):
+        return [at], [len(flags)]
+    starts, sizes, begun = [], [], None
+    for j, f in enumerate([*flags, False]):
+        if f and begun is None:
+            begun = j
+        elif not f and begun is not None:
+            starts.append(at + begun)
+            sizes.append(j - begun)
+            begun = None
+    return starts, sizes
 
 
 SEGMENT = "_id string, _tx long, start int, n int, m long, s long, again boolean"
@@ -163,6 +177,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per document with a repeat: ``_id`` (id as text), ``_tx`` and ``spans``, windows (start, n) counted in words."""
     spark = docs.sparkSession
     n_parts = partitions(spark)
+    small_batches(spark)
     texts = docs.select(F.col(id_col).cast("string").alias("_id"), F.xxhash64(F.col(text_col)).alias("_tx"), F.col(text_col).cast("binary").alias("_text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,14 +194,18 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([b.column(0).take(row), b.column(1).take(row), pa.array(at.astype(np.int32)), pa.array(sizes.astype(np.int32)), pa.array(m.view(np.int64)), pa.array(s.view(np.int64)), pa.array(again)], names=["_id", "_tx", "start", "n", "m", "s", "again"])
 
     segs = materialize(texts.mapInArrow(cut, SEGMENT))
-    counts = segs.groupBy("m").agg(F.count(F.lit(1)).alias("c"), F.min("s").alias("lo"), F.max("s").alias("hi"), F.max("again").alias("again")).where("c > 1 OR again").select("m", ((F.col("lo") != F.col("hi")) | F.col("again")).alias("mixed"))
-    hits = materialize(segs.drop("again").join(counts, "m"))
-    same = hits.where(~F.col("mixed")).select("_id", "_tx", "start", "n")
-    mixed = hits.where("mixed").select("_id", "_tx", "start", "n", "m", "s")
-
-    # the text of each distinct segment of mixed anchors, with its number of occurrences
-    wanted = mixed.groupBy("m", "s").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("_id", "_tx", "start", "n")).alias("at"))
-    lists = wanted.groupBy(F.col("at._id").alias("_id"), F.col("at._tx").alias("_tx")).agg(F.collect_list(F.struct("m", "s", "times", F.col("at.start").alias("start"), F.col("at.n").alias("n"))).alias("segs"))
+    # a hot anchor has more than a thousandth of all segments, so there are at most 1000 of them, and they are met by broadcast
+    counts = materialize(segs.groupBy("m").agg(F.count(F.lit(1)).alias("c"), F.max("again").alias("again")).where("c > 1 OR again").select("m", "c"))
+    n_segs = segs.count()
+    is_hot = F.col("c") * HOT > n_segs
+    hits = materialize(_met(segs.drop("again"), counts.where(~is_hot).select("m"), counts.where(is_hot).select("m"), ["m"]))
+    discard(segs)
+
+    # the text of each distinct segment, with its number of occurrences
+    wanted = materialize(hits.groupBy("m", "s").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("_id", "_tx", "start", "n")).alias("at")))
+    large = wanted.groupBy("m").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > max_shard).select("m", F.ceil(F.col("k") / max_shard).alias("k"))
+    sized = wanted.join(large, "m", "left")
+    lists = sized.groupBy(F.col("at._id").alias("_id"), F.col("at._tx").alias("_tx")).agg(F.collect_list(F.struct("m", "s", "times", "k", F.col("at.start").alias("start"), F.col("at.n").alias("n"))).alias("segs"))
     # a row that repeats gives its segments once
     held = texts.join(lists, texts["_id"].eqNullSafe(lists["_id"]) & (texts["_tx"] == lists["_tx"])).select(texts["_id"], texts["_tx"], "_text", "segs")
 
@@ -195,42 +214,66 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             out: list[tuple] = []
             for t, segs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 words = t.split()
-                out += [(x["m"], x["s"], x["times"], b" ".join(words[x["start"] : x["start"] + x["n"] + length - 1])) for x in segs]
-            cols = zip(*out, strict=True) if out else ([], [], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["m", "s", "times", "seg"])
+                out += [(x["m"], x["s"], x["times"], x["k"], b" ".join(words[x["start"] : x["start"] + x["n"] + length - 1])) for x in segs]
+            cols = zip(*out, strict=True) if out else ([],) * 5
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (*[pa.int64()] * 4, pa.binary()), strict=True)], names=["m", "s", "times", "k", "seg"])
 
-    distinct = held.select("_text", "segs").mapInArrow(texts_of, "m long, s long, times long, seg binary")
-    shards = materialize(distinct.repartition(n_parts, "m", "s").dropDuplicates(["m", "s"]))
-    large = shards.groupBy("m").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > max_shard).select("m")
+    distinct = held.select("_text", "segs").mapInArrow(texts_of, "m long, s long, times long, k long, seg binary")
 
     def automata(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(group: list[tuple]) -> pa.RecordBatch:
-            flags = repeated_windows([(g[3], g[2]) for g in group], length)
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())]))
-            return pa.RecordBatch.from_arrays([pa.array([g[0] for g in group], pa.int64()), pa.array([g[1] for g in group], pa.int64()), pa.array([_spans(f) for f in flags], kind)], names=["m", "s", "runs"])
+        """Over rows (shard, m, s, at, times, seg) sorted by these: the repeats of each segment or window, an automaton a shard."""
+        m, s, starts, sizes, many = [], [], [], [], []
+
+        def work(group: list[tuple]) -> None:
+            for g, flags in zip(group, repeated_windows([(g[5], g[4]) for g in group], length), strict=True):
+                if True in flags:
+                    a, n = _runs(flags, g[3])
+                    m.append(g[1])
+                    s.append(g[2])
+                    starts.extend(a)
+                    sizes.extend(n)
+                    many.append(len(a))
+
+        def told() -> pa.RecordBatch:
+            pairs = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(sizes, pa.int32())], names=["start", "n"])
+            b = pa.RecordBatch.from_arrays([pa.array(m, pa.int64()), pa.array(s, pa.int64()), pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)].astype(np.int32)), pairs)], names=["m", "s", "runs"])
+            for x in (m, s, starts, sizes, many):
+                x.clear()
+            return b
 
         group: list[tuple] = []
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if group and group[0][0] != row[0]:
-                    yield done(group)
+                    work(group)
                     group = []
-                group.append(row)
+                    if len(m) > 4000:
+                        yield told()
+                if not group or group[-1][1:4] != row[1:4]:  # a text of repeated rows gives its segments more than once
+                    group.append(row)
         if group:
-            yield done(group)
-
-    small = shards.join(large, "m", "left_anti").select("m", "s", "times", "seg").repartition(n_parts, "m").sortWithinPartitions("m", "s")
-    runs = small.mapInArrow(automata, "m long, s long, runs array<struct<start:int,n:int>>")
-
-    # large shards: every window by itself, in partial sums
-    seg_words = F.split(F.col("seg").cast("string"), " ")
-    windows = materialize(shards.join(large, "m", "left_semi").select("m", "s", "times", seg_words.alias("w")).select("m", "s", "times", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - length + 1), lambda i: F.array_join(F.slice("w", i, length), " "))).alias("i", "window")))
-    often = windows.groupBy("window").agg(F.sum("times").alias("t")).where("t > 1").select("window")
-    single = windows.join(often, "window", "left_semi").groupBy("m", "s").agg(F.collect_list(F.struct(F.col("i").alias("start"), F.lit(1).alias("n"))).alias("runs"))
-
-    told = runs.where(F.size("runs") > 0).unionByName(single)
-    inner = mixed.join(told, ["m", "s"]).select("_id", "_tx", "start", F.explode("runs").alias("r")).select("_id", "_tx", (F.col("start") + F.col("r.start")).alias("start"), F.col("r.n").alias("n"))
-    return same.unionByName(inner).groupBy("_id", "_tx").agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("spans"))
+            work(group)
+        yield told()
+
+    # of large shards every window by itself, dealt by its hash; the same window of several segments is one text with their times
+    one = F.array(F.struct(F.lit(0).alias("at"), F.col("seg").cast("string").alias("seg")))
+    cut_up = lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - length), lambda i: F.struct(i.alias("at"), F.array_join(F.slice(w, i + 1, length), " ").alias("seg")))
+    windows = let(F.split(F.col("seg").cast("string"), " "), cut_up)
+    pieces = distinct.select("m", "s", "times", "k", F.explode(F.when(F.col("k").isNull(), one).otherwise(windows)).alias("x")).select("m", "s", "times", "k", F.col("x.at").alias("at"), F.col("x.seg").alias("seg"))
+    shard = F.when(F.col("k").isNull(), F.col("m")).otherwise(F.xxhash64("m", F.pmod(F.xxhash64("seg"), F.col("k") * MAX_RUN)))
+    ran = pieces.select(shard.alias("shard"), "m", "s", "at", "times", F.col("seg").cast("binary").alias("seg")).repartition(n_parts, "shard").sortWithinPartitions("shard", "m", "s", "at")
+    told = ran.mapInArrow(automata, "m long, s long, runs array<struct<start:int,n:int>>")
+    joined = materialize(told.groupBy("m", "s").agg(F.flatten(F.collect_list("runs")).alias("runs")))
+    hot = F.broadcast(wanted.where(F.col("times") * HOT > n_segs).select("m", "s"))
+    found = _met(hits, joined.join(hot, ["m", "s"], "left_anti"), joined.join(hot, ["m", "s"], "left_semi"), ["m", "s"])
+    found = found.select("_id", "_tx", "start", F.explode("runs").alias("r")).select("_id", "_tx", (F.col("start") + F.col("r.start")).alias("start"), F.col("r.n").alias("n"))
+    return found.groupBy("_id", "_tx").agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("spans"))
+
+
+def _met(rows: DataFrame, rest: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` joined with ``rest`` by shuffle and with ``hot``, HOT rows at most, by broadcast. A row meets one of them."""
+    names = hot.select(*keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(rows.join(F.broadcast(names), keys, "left_anti").join(rest, keys))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, **how: int) -> DataFrame:

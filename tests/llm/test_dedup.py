@@ -79,13 +79,20 @@ def corpus(rng, n, vocabulary):
 
 
 @pytest.mark.parametrize(("seed", "vocabulary", "length", "anchor", "max_shard"), [(0, 500, 12, 5, 512), (1, 3, 8, 3, 512), (2, 2, 10, 4, 3), (3, 1, 7, 3, 2), (4, 40, 35, 12, 4)])
-def test_substring_dedup(spark, seed, vocabulary, length, anchor, max_shard):
+def test_substring_dedup(spark, monkeypatch, seed, vocabulary, length, anchor, max_shard):
+    monkeypatch.setattr(substring_dedup, "HOT", (1000, 1, 20)[seed % 3])  # all keys hot, none, some
     rng = random.Random(seed)
     texts = corpus(rng, 30, [f"w{k}" for k in range(vocabulary)]) + [x for x in ODD if vocabulary > 1]
     got = substring_dedup.remove_repeats(frame(spark, texts), length=length, anchor=anchor, max_shard=max_shard)
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in got.collect()) == repeats_by_hand(texts, length)
 
 
+def test_substring_dedup_of_nothing(spark):
+    assert substring_dedup.remove_repeats(frame(spark, [])).count() == 0
+    got = substring_dedup.remove_repeats(frame(spark, ODD[:5]).withColumn("kept", F.lit("mine")))
+    assert got.columns == ["doc_id", "text", "lang", "row", "n_words", "n_removed", "kept"] and {r.n_removed for r in got.collect()} == {0}
+
+
 def test_suffix_automaton():
     rng = random.Random(5)
     for _ in range(30):
@@ -97,7 +104,7 @@ def test_suffix_automaton():
                 seen[tuple(w[k : k + 4])] += times
         for (t, _), flags in zip(parts, substring_dedup.repeated_windows(parts, 4), strict=True):
             w = t.split()
-            assert flags.tolist() == [seen[tuple(w[k : k + 4])] > 1 for k in range(len(w) - 3)]
+            assert flags == [seen[tuple(w[k : k + 4])] > 1 for k in range(len(w) - 3)]
 
 
 # SimHash
