@@ -9,9 +9,9 @@ one split is enough and the chart is linear in the rows instead of cubic. The le
 joined, are the least of both: of two audits of one span at the same cost none begins the other, for what follows would be
 insertions, which cost.
 
-Rows are dealt by range of (conversation, turn, role, text), so one conversation with a third of all rows is many tasks':
+Rows are dealt by range of (conversation, turn, role, text) and numbered in that order, so one conversation with a third of all rows is many tasks':
 each makes the cells of its blocks of BLOCK rows. Only cells meet by conversation, then edits go back to the rows. Texts
-travel with the rows they belong to, not through the chart. What is one value per conversation (the audit) is put together in one
+do not go through the chart. What is one value per conversation (the audit) is put together in one
 task, and the digest of a repaired conversation is streamed over its sorted rows.
 
 Rows of a conversation go by turn, null turns first, then by role and text, so rows equal in all are adjacent; these count each and
@@ -162,23 +162,18 @@ def _same(*names: str) -> Column:
     return out
 
 
-KEY = ("conv", "turn", "role", "h", "h2")
-
-
 def parse(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Three tables. Conversations: ``conv``, ``gaps``, ``blank``, ``duplicate``, ``truncated``, ``illegal``, ``cost``,
-    ``audit``. Edits: KEY, ``at`` (the row's place), ``token`` (its edits, I J K R S D). Texts: KEY, ``text``."""
-    blank = F.lit(" ")
+    """Three tables. Conversations: ``conv``, ``gaps``, ``blank``, ``duplicate``, ``truncated``, ``illegal``, ``cost``, ``audit``. Edits:
+    ``conv``, ``at`` (a row's number, in order), ``token`` (its edits, I J K R S D). Rows: ``at``, ``turn``, ``role``, ``text``."""
+    blank, order = F.lit(" "), ("conv", "turn", "role", "text")
     given = rows.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col).cast("string"), blank).alias("role"), F.coalesce(F.col(text_col), blank).alias("text"))
-    base = materialize(given.groupBy("conv", "turn", "role", "text").agg(F.count(F.lit(1)).alias("m")).select("conv", "turn", "role", F.xxhash64("text").alias("h"), F.hash("text").alias("h2"), "text", "m"))
-    seen = F.rtrim("text", F.lit(ASCII_SPACE))
-    initial = F.substr("role", F.lit(1), F.lit(1))
-    narrow = base.select(*KEY, "m", (seen == "").alias("blank"), (~F.right(seen, F.lit(1)).isin(".", "!", "?")).alias("late"), F.when(initial.isin("s", "u", "a"), initial).otherwise("o").alias("initial"))
-    # the first row of each role and text of a conversation; each key is once on either side of this join
-    firsts = narrow.groupBy("conv", "role", "h", "h2").agg(F.min(F.struct(F.col("turn").isNotNull().alias("given"), "turn")).alias("first")).select("conv", F.col("first.turn").alias("turn"), "role", "h", "h2")
-    marked = narrow.alias("a").join(firsts.alias("b"), _same(*KEY), "left").select("a.*", F.col("b.h").isNotNull().alias("is_first"))
-    dealt = marked.repartitionByRange(partitions(rows.sparkSession), *KEY).sortWithinPartitions(*KEY)
-    placed = materialize(dealt.select("*", F.monotonically_increasing_id().alias("at")))
+    dealt = given.groupBy(*order).agg(F.count(F.lit(1)).alias("m")).repartitionByRange(partitions(rows.sparkSession), *order).sortWithinPartitions(*order)
+    base = materialize(dealt.select(F.monotonically_increasing_id().alias("at"), *order, "m"))
+    seen, initial = F.rtrim("text", F.lit(ASCII_SPACE)), F.substr("role", F.lit(1), F.lit(1))
+    narrow = base.select("conv", "turn", "role", F.xxhash64("text").alias("h"), F.hash("text").alias("h2"), "at", "m", (seen == "").alias("blank"), (~F.right(seen, F.lit(1)).isin(".", "!", "?")).alias("late"), F.when(initial.isin("s", "u", "a"), initial).otherwise("o").alias("initial"))
+    # the first row of each role and text of a conversation
+    firsts = narrow.groupBy("conv", "role", "h", "h2").agg(F.min("at").alias("at")).select("at", F.lit(True).alias("is_first"))
+    placed = materialize(narrow.drop("role", "h", "h2").join(firsts, "at", "left").withColumn("is_first", F.coalesce("is_first", F.lit(False))))
 
     once = F.col("is_first").cast("long")
     counts = placed.groupBy("conv").agg(
@@ -187,29 +182,28 @@ def parse(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", ro
     )
     must_go = F.col("blank") | ~F.col("is_first")
     kind = F.when(must_go, "x").when(F.col("late"), F.upper("initial")).otherwise(F.col("initial"))
-    blocks = placed.groupBy("conv", F.shiftright("at", BLOCK_BITS).alias("block")).agg(F.sort_array(F.collect_list(F.struct("at", *[c for c in KEY if c != "conv"], "m", kind.alias("kind"), "initial"))).alias("r"))
+    blocks = placed.groupBy("conv", F.shiftright("at", BLOCK_BITS).alias("block")).agg(F.sort_array(F.collect_list(F.struct("at", "m", kind.alias("kind"), "initial"))).alias("r"))
     initials = F.transform("r", lambda r: r["initial"])
     legal = lambda a, b: F.concat(a, b).isin("su", "ua", "au")
     inside = F.aggregate("r", F.lit(0).cast("long"), lambda n, r: n + r["m"] - 1) + F.size(F.filter(F.zip_with(initials, F.slice(initials, 2, F.greatest(F.size("r") - 1, F.lit(0))), lambda a, b: legal(a, b)), lambda ok: ~ok))
-    cells = blocks.select("conv", "block", F.transform("r", lambda r: r.dropFields("kind", "initial", "m")).alias("keys"), F.transform("r", lambda r: r["m"]).alias("copies"), F.array_join(F.transform("r", lambda r: r["kind"]), "").alias("kinds"), F.get(initials, F.lit(0)).alias("left"), F.element_at(initials, -1).alias("right"), inside.alias("inside"))
+    cells = blocks.select("conv", "block", F.transform("r", lambda r: r["at"]).alias("ats"), F.transform("r", lambda r: r["m"]).alias("copies"), F.array_join(F.transform("r", lambda r: r["kind"]), "").alias("kinds"), F.get(initials, F.lit(0)).alias("left"), F.element_at(initials, -1).alias("right"), inside.alias("inside"))
     cells = cells.select("*", _block_cells("kinds", "copies").alias("cells")).drop("kinds")
-    whole = cells.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("block", "copies", "left", "right", "inside", "cells", "keys"))).alias("b"))
+    whole = cells.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("block", "copies", "left", "right", "inside", "cells", "ats"))).alias("b"))
     crossing = F.transform(F.sequence(F.lit(1), F.size("b")), lambda i: F.when((i < F.size("b")) & ~legal(F.get("b", i - 1)["right"], F.get("b", i)["left"]), 1).otherwise(0))
     total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda n, x: n + x)
     parsed = materialize(
-        whole.select("conv", (total(F.transform("b", lambda b: b["inside"])) + total(crossing)).alias("illegal"), F.flatten(F.transform("b", lambda b: b["keys"])).alias("keys"), _best(F.transform("b", lambda b: b["cells"]), F.transform("b", lambda b: b["copies"])).alias("best"))
+        whole.select("conv", (total(F.transform("b", lambda b: b["inside"])) + total(crossing)).alias("illegal"), F.flatten(F.transform("b", lambda b: b["ats"])).alias("ats"), _best(F.transform("b", lambda b: b["cells"]), F.transform("b", lambda b: b["copies"])).alias("best"))
     )
     told = parsed.select("conv", "illegal", "best.cost", F.translate("best.audit", "JS", "IR").alias("audit"))
     convs = told.alias("a").join(counts.alias("b"), _same("conv"), "left").select("a.conv", F.coalesce("gaps", F.lit(0)).cast("long").alias("gaps"), "blank", "duplicate", "truncated", "illegal", "cost", "audit")
-    edits = parsed.select("conv", F.explode(F.arrays_zip("keys", F.flatten("best.tokens").alias("token"))).alias("e")).select("conv", *[F.col("e.keys")[c].alias(c) for c in KEY if c != "conv"], F.col("e.keys.at").alias("at"), F.col("e.token").alias("token"))
-    return convs, edits, base.select(*KEY, "text")
+    edits = parsed.select("conv", F.explode(F.arrays_zip(F.col("ats").alias("at"), F.flatten("best.tokens").alias("token"))).alias("e")).select("conv", "e.at", "e.token")
+    return convs, edits, base.select("at", "turn", "role", "text")
 
 
 def repaired_rows(edits: DataFrame, texts: DataFrame) -> DataFrame:
     """The rows that stand after the repair: ``conv``, ``at``, ``nr`` (their order), ``turn`` (null if inserted), ``edit``,
     ``role``, ``text``."""
-    both = edits.alias("a").join(texts.alias("b"), _same(*KEY)).select("a.*", "b.text")
-    each = both.select("*", F.posexplode(F.split("token", "")).alias("nr", "letter")).where(F.col("letter").isin("I", "J", "K", "R", "S"))
+    each = edits.join(texts, "at").select("*", F.posexplode(F.split("token", "")).alias("nr", "letter")).where(F.col("letter").isin("I", "J", "K", "R", "S"))
     new = F.col("letter").isin("I", "J")
     role = F.when(F.col("letter").isin("I", "R"), "user").when(F.col("letter").isin("J", "S"), "assistant").otherwise(F.col("role"))
     edit = F.when(new, "insert").when(F.col("letter") == "K", "keep").otherwise("rerole")

@@ -1,20 +1,22 @@
 """Benchmark decontamination: word windows of test items found in training documents (native).
 
 The windows of all items, made distinct, are the hash set. Its bytes are counted first. Up to ``max_broadcast`` of them
-it is broadcast, and a document is scanned once: the hash of the first three words at each position looks up windows
-that begin alike. Beyond that, (row, position, hash of the whole window) are dealt out and joined with the windows, in
-PARTS parts each, so that a passage of a third of all documents is not one task's; only what meets comes back to its
-document. Both ways the words themselves verify each hit, so hashes decide nothing.
+it is broadcast, and a document is scanned once: at each position the hash of the whole window is looked up, and the
+window's own words, no more of the document, go with it. Beyond that, (row, position, hash of the whole window) are dealt
+out and joined with the windows, in PARTS parts each, so that a passage of a third of all documents is not one task's; only
+what meets comes back to its document. Both ways the words themselves verify each hit, so hashes decide nothing. Which items hold
+a window is joined once for each document and window, and only where it is asked for.
 
 Null or empty text has no words and no hits; an item without words has no window; without items nothing is hit. Every
 input row gives one output row, repeated rows and null ids included; an empty table gives an empty table. A very long
-text costs time by its length. Items that share a window all count. Input columns are only read by name, so extra
+text costs time in proportion to its length, and items that begin or end alike cost no more than others. Items that share a window all count;
+a null item id is no id, so it counts for hits but is not listed. Input columns are only read by name, so extra
 columns with any names do no harm.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +24,6 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, let, materialize
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANCHOR = 3
 #: Ways in which the positions of one window are dealt out.
 PARTS = 16
 
@@ -31,84 +32,88 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD), "")
 
 
-def _anchors(array: str, width: int) -> Column:
-    """At each position, the hash of the ``width`` words from there on."""
-    return F.transform(array, lambda x, i: F.xxhash64(F.lit(width), x, *[F.get(array, i + j) for j in range(1, width)]))
-
-
 def item_windows(items: DataFrame, item_col: str = "item_id", text_col: str = "text", width: int = 10) -> DataFrame:
-    """Distinct windows: ``window`` (words), ``items`` (ids as strings), ``anchor_width``, ``anchor``."""
+    """Distinct ``window`` (words) and ``item`` (id as string)."""
     w = items.select(F.col(item_col).cast("string").alias("item"), words(F.col(text_col)).alias("w")).where(F.size("w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - width + 1, F.lit(1)))
-    each = w.select("item", F.explode(F.transform(starts, lambda i: F.slice("w", i, width))).alias("window"))
-    grouped = each.groupBy("window").agg(F.collect_set("item").alias("items"))
-    n = F.least(F.size("window"), F.lit(ANCHOR))
-    anchor = reduce(lambda other, k: F.when(n == k, F.xxhash64(F.lit(k), *[F.get("window", F.lit(j)) for j in range(k)])).otherwise(other), range(1, ANCHOR), F.xxhash64(F.lit(ANCHOR), *[F.get("window", F.lit(j)) for j in range(ANCHOR)]))
-    return grouped.select("window", "items", n.alias("anchor_width"), anchor.alias("anchor"))
+    return w.select("item", F.explode(F.transform(starts, lambda i: F.slice("w", i, width))).alias("window")).distinct()
+
+
+def _doc_and(doc: Column, each: Column) -> Column:
+    """An array to explode whose first element is ``doc`` alone and whose others have one of ``each`` alone. So a document comes
+    along with what is looked up for it, and no looked-up row carries it: a long text is not copied to each of its words."""
+    return F.concat(F.array(F.struct(doc.alias("doc"), F.lit(None).alias("x"))), F.transform(each, lambda x: F.struct(F.lit(None).alias("doc"), x.alias("x"))))
+
+
+def _all_of(each: Callable[[int], Column], widths: list[int], kind: str) -> Column:
+    return F.flatten(F.array(*map(each, widths))) if widths else F.array().cast(kind)
+
+
+def _doc(n_words: Column, keep: tuple[str, ...]) -> Column:
+    return F.struct("_id", *[F.col(c) for c in keep], n_words.cast("long").alias("n_words"))
 
 
 def _met_by_broadcast(scanned: DataFrame, windows: DataFrame, widths: list[int], keep: tuple[str, ...]) -> DataFrame:
-    """Rows (_rid, n_words, ...) of documents, and (_rid, hit, items) of hits."""
-    # element 0 stands for the document itself, so that one pass also keeps documents without a hit
-    anchors = F.concat(F.array(F.lit(None).cast("long")), *[_anchors("_w", k) for k in widths])
-    placed = scanned.select("*", F.posexplode(anchors).alias("_p", "_a"))
-    found = placed.join(F.broadcast(windows), F.col("_a") == F.col("anchor"), "left")
-    start = (F.col("_p") - 1) % F.greatest(F.size("_w"), F.lit(1))
-    hit = F.slice("_w", start + 1, F.size("window")) == F.col("window")
-    own = F.col("_p") == 0  # a hit carries nothing of its document
-    return found.where(own | F.coalesce(hit, F.lit(False))).select(
-        "_rid", *[F.when(own, F.col(c)).alias(c) for c in ("_id", *keep)], F.when(own, F.size("_w")).cast("long").alias("n_words"),
-        F.when(~own, F.struct(start.alias("start"), (start + F.size("window")).alias("end"))).alias("hit"), "items",
-    )
+    """Rows (_rid, doc) of documents and (_rid, start, window) of hits."""
+    n = F.size("_w")
+
+    def placed(k: int) -> Column:
+        cut = F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.slice("_w", i, k))
+        each = F.transform(cut, lambda w, i: F.struct(i.alias("start"), F.xxhash64(w).alias("h"), w.alias("window")))
+        return F.when(n >= k, each).otherwise(F.array().cast(kind))
+
+    kind = "array<struct<start:int,h:bigint,window:array<string>>>"
+    rows = scanned.select("_rid", F.explode(_doc_and(_doc(n, keep), _all_of(placed, widths, kind))).alias("e")).select("_rid", "e.doc", "e.x.*")
+    known = windows.select(F.xxhash64("window").alias("_h"), F.col("window").alias("_window"))
+    found = rows.join(F.broadcast(known), (F.col("h") == F.col("_h")) & (F.col("window") == F.col("_window")), "left")
+    return found.where(F.col("doc").isNotNull() | F.col("_h").isNotNull()).select("_rid", "doc", "start", "window")
 
 
 def _met_by_shuffle(scanned: DataFrame, windows: DataFrame, widths: list[int], keep: tuple[str, ...]) -> DataFrame:
-    """The same rows. Positions travel without their document."""
+    """The same rows. Positions travel without their document and without words."""
     docs = materialize(scanned)  # row numbers must stay as they are
     n = F.size("_w")
 
     def starts(k: int) -> Column:
         each = F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.struct(i.alias("i"), F.xxhash64(F.slice("_w", i, k)).alias("h"), F.lit(k).alias("k")))
-        return F.when(n >= k, each).otherwise(F.array().cast("array<struct<i:int,h:bigint,k:int>>"))
+        return F.when(n >= k, each).otherwise(F.array().cast(kind))
 
-    all_of = F.flatten(F.array(*map(starts, widths)))
-    placed = docs.select("_rid", F.explode(all_of).alias("x")).select("_rid", F.col("x.i").alias("i"), F.col("x.h").alias("h"), F.col("x.k").alias("k"), F.pmod("_rid", F.lit(PARTS)).alias("part"))
-    spread = windows.select("window", "items", F.xxhash64("window").alias("h"), F.size("window").alias("k"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))).alias("part"))
-    may = placed.join(spread, ["h", "k", "part"]).groupBy("_rid").agg(F.collect_list(F.struct("i", "window", "items")).alias("may"))
+    kind = "array<struct<i:int,h:bigint,k:int>>"
+    placed = docs.select("_rid", F.explode(_all_of(starts, widths, kind)).alias("x")).select("_rid", F.col("x.i").alias("i"), F.col("x.h").alias("h"), F.col("x.k").alias("k"), F.pmod("_rid", F.lit(PARTS)).alias("part"))
+    spread = windows.select("window", F.xxhash64("window").alias("h"), F.size("window").alias("k"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))).alias("part"))
+    may = placed.join(spread, ["h", "k", "part"]).groupBy("_rid").agg(F.collect_list(F.struct("i", "window")).alias("may"))
     both = docs.join(may, "_rid", "left")
-    hits = F.filter("may", lambda m: F.slice(F.col("_w"), m["i"], F.size(m["window"])) == m["window"])
-    return both.select(
-        "_rid", "_id", *keep, n.cast("long").alias("n_words"),
-        F.explode_outer(F.transform(hits, lambda m: F.struct(F.struct((m["i"] - 1).alias("start"), (m["i"] - 1 + F.size(m["window"])).alias("end")).alias("hit"), m["items"].alias("items")))).alias("x"),
-    ).select("_rid", "_id", *keep, "n_words", F.col("x.hit").alias("hit"), F.col("x.items").alias("items"))
+    hits = F.filter(F.coalesce("may", F.array().cast("array<struct<i:int,window:array<string>>>")), lambda m: F.slice(F.col("_w"), m["i"], F.size(m["window"])) == m["window"])
+    each = F.transform(hits, lambda m: F.struct((m["i"] - 1).alias("start"), m["window"].alias("window")))
+    return both.select("_rid", F.explode(_doc_and(_doc(n, keep), each)).alias("e")).select("_rid", "e.doc", "e.x.*")
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", width: int = 10, max_broadcast: int = 64 << 20, keep: tuple[str, ...] = ()) -> DataFrame:
+def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", width: int = 10, max_broadcast: int = 64 << 20, keep: tuple[str, ...] = (), name_items: bool = True) -> DataFrame:
     """One row per document: ``id_col``, ``keep`` columns, ``n_words``, ``hits`` (merged word spans start, end),
-    ``n_hit``, ``item_ids`` (sorted strings). ``max_broadcast``: bytes of windows and their items."""
-    windows = item_windows(items, item_col, width=width)
-    row_bytes = F.aggregate("window", F.lit(64).cast("long"), lambda a, x: a + F.octet_length(x) + 8) + F.aggregate("items", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x) + 8)
-    sizes = {r["anchor_width"]: (r["n"], r["widths"]) for r in windows.groupBy("anchor_width").agg(F.sum(row_bytes).alias("n"), F.collect_set(F.size("window")).alias("widths")).collect()}
+    ``n_hit`` and, with ``name_items``, ``item_ids`` (sorted strings). ``max_broadcast``: bytes of windows and of their items."""
+    of_items = item_windows(items, item_col, width=width)
+    windows = of_items.select("window").distinct()
+    row_bytes = F.aggregate("window", F.lit(64).cast("long"), lambda a, x: a + F.octet_length(x) + 8) + F.coalesce(F.octet_length("item"), F.lit(0)) + 8
+    sizes = {r["k"]: r["n"] for r in of_items.groupBy(F.size("window").alias("k")).agg(F.sum(row_bytes).alias("n")).collect()}
+    few = sum(sizes.values()) <= max_broadcast
     scanned = docs.select(F.monotonically_increasing_id().alias("_rid"), F.col(id_col).alias("_id"), *[F.col(c) for c in keep], words(F.col(text_col)).alias("_w"))
-    if sum(n for n, _ in sizes.values()) <= max_broadcast:
-        rows = _met_by_broadcast(scanned, windows.drop("anchor_width"), sorted(sizes), keep)
-    else:
-        rows = _met_by_shuffle(scanned, windows, sorted({k for _, ks in sizes.values() for k in ks}), keep)
+    rows = (_met_by_broadcast if few else _met_by_shuffle)(scanned, windows, sorted(sizes), keep)
     grouped = rows.groupBy("_rid").agg(
-        F.first("_id", ignorenulls=True).alias(id_col), *[F.first(c, ignorenulls=True).alias(c) for c in keep], F.max("n_words").alias("n_words"),
-        F.sort_array(F.collect_list("hit")).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("item_ids"),
-    )
-    # hits are in order: a hit that begins after all before it have ended opens a span
-    spans = F.aggregate(
-        "hit",
-        F.expr("named_struct('done', cast(array() as array<struct<start:int,end:int>>), 'cur', cast(null as struct<start:int,end:int>))"),
-        lambda acc, h: F.when(acc["cur"].isNull(), F.struct(acc["done"].alias("done"), h.alias("cur")))
-        .when(h["start"] <= acc["cur"]["end"], F.struct(acc["done"].alias("done"), F.struct(acc["cur"]["start"].alias("start"), F.greatest(acc["cur"]["end"], h["end"]).alias("end")).alias("cur")))
-        .otherwise(F.struct(F.concat(acc["done"], F.array(acc["cur"])).alias("done"), h.alias("cur"))),
-        lambda acc: F.when(acc["cur"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["cur"]))),
+        F.first("doc", ignorenulls=True).alias("doc"), F.collect_list(F.when(F.col("start").isNotNull(), F.struct("start", (F.col("start") + F.size("window")).alias("end")))).alias("hit"), F.collect_set("window").alias("met"),
     )
-    merged = grouped.select(id_col, *keep, "n_words", spans.alias("hits"), "item_ids")
-    return merged.withColumn("n_hit", F.aggregate("hits", F.lit(0).cast("long"), lambda a, h: a + h["end"] - h["start"]))
+    # the words that are hit, in order: a span begins where the word before is not hit, and ends where the word after is not
+    covered = F.array_sort(F.array_distinct(F.flatten(F.transform("hit", lambda h: F.sequence(h["start"], h["end"] - 1)))))
+    edge = lambda all_, by: F.filter(all_, lambda x, i: ~F.coalesce(F.get(all_, i + by) == x + by, F.lit(False)))
+    spans = let(covered, lambda all_: F.zip_with(edge(all_, -1), edge(all_, 1), lambda a, b: F.struct(a.alias("start"), (b + 1).alias("end"))))
+    if name_items:
+        # each window of a document meets its items once, and a set takes them up
+        each = grouped.select("_rid", F.explode(_doc_and(F.struct("doc", spans.alias("hits")), F.col("met"))).alias("e")).select("_rid", F.col("e.doc").alias("found"), F.col("e.x").alias("window"))
+        named = each.join(F.broadcast(of_items) if few else of_items, "window", "left").groupBy("_rid").agg(F.first("found", ignorenulls=True).alias("found"), F.array_sort(F.collect_set("item")).alias("item_ids"))
+        merged = named.select(F.col("found.doc").alias("doc"), F.col("found.hits").alias("hits"), "item_ids")
+    else:
+        merged = grouped.select("doc", spans.alias("hits"))
+    named_columns = [F.col("doc._id").alias(id_col), *[F.col("doc")[c].alias(c) for c in keep], F.col("doc.n_words").alias("n_words"), "hits", *(["item_ids"] if name_items else [])]
+    return merged.select(*named_columns).withColumn("n_hit", F.aggregate("hits", F.lit(0).cast("long"), lambda a, h: a + h["end"] - h["start"]))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", width: int = 10, mode: str = "documents") -> DataFrame:
@@ -116,7 +121,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     what stays is the words before, between and after the spans, normalised and joined by spaces. Documents
     without a hit keep their text in both modes."""
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[id_col].alias("_did"), docs[text_col].alias("_dtext"))
-    found = find_contamination(rows, items, "_did", "_dtext", item_col, width, keep=("row",))
+    found = find_contamination(rows, items, "_did", "_dtext", item_col, width, keep=("row",), name_items=False)
     if mode == "documents":
         return found.where(F.col("n_hit") == 0).select(*[F.col("row")[c].alias(c) for c in docs.columns])
     if mode != "spans":
