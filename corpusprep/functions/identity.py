@@ -12,8 +12,9 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DataType, StringType
 
+from .canonical import canonical_json
 from .text import remove_whitespace, strip
 
 ALGORITHM, NORMALIZATION = "uuid5", "chapter-content-v1"
@@ -99,9 +100,9 @@ def config_fingerprint(config: dict) -> str:
     return hashlib.sha256(json.dumps(config, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()
 
 
-def record_fingerprint(record: Column) -> Column:
-    """SHA-256 of a record as compact JSON, its fields in the order of the struct; nulls are told."""
-    return sha256_text(F.to_json(record, {"ignoreNullFields": "false"}))
+def record_fingerprint(record: Column, kind: DataType) -> Column:
+    """SHA-256 of a record (a struct of type ``kind``) as canonical JSON: ``config_fingerprint`` of the same values, for each row."""
+    return sha256_text(canonical_json(record, kind))
 
 
 SECRET_WORDS = ("secret", "token", "password", "credential", "access_key", "api_key", "private_key")

@@ -24,7 +24,7 @@ def chapter_numbers(blocks: DataFrame, start: Column, doc_col: str = "doc", orde
 
 
 def subject_headings(blocks: DataFrame, doc_col: str = "doc", order_col: str = "block_no", first: int = 8, among: Column | None = None, subject_mark: str = SUBJECT_MARK, skip: tuple[str, ...] = (*INVOCATION_MARKS, LECTURE_MARK)) -> DataFrame:
-    """At most one heading per document: of the first preface blocks the first that holds the subject mark, else the first that is
+    """At most one ``heading`` per document, with its place ``heading_no``: of the first preface blocks the first that holds the subject mark, else the first that is
     neither invocation nor lecture mark. ``blocks`` have ``chapter_no``; all of them are counted, ``among`` tells which may be headings."""
     order = Window.partitionBy(doc_col).orderBy(order_col)
     top = blocks.where(F.col("chapter_no") == 0).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= first)
@@ -35,7 +35,7 @@ def subject_headings(blocks: DataFrame, doc_col: str = "doc", order_col: str = "
         skipped = skipped | text.contains(m)
     ranked = top.withColumn("_t", text).where(F.col("_t") != "").withColumn("_rank", F.when(F.col("_t").contains(subject_mark), 0).when(~skipped, 1)).where(F.col("_rank").isNotNull())
     pick = Window.partitionBy(doc_col).orderBy("_rank", order_col)
-    return ranked.withColumn("_n", F.row_number().over(pick)).where("_n = 1").select(doc_col, F.col("_t").alias("heading"))
+    return ranked.withColumn("_n", F.row_number().over(pick)).where("_n = 1").select(doc_col, F.col("_t").alias("heading"), F.col(order_col).alias("heading_no"))
 
 
 def ordered_text(rows: DataFrame, by: list[str], order_col: str, text: Column, separator: str) -> DataFrame:
@@ -89,7 +89,7 @@ def font_groups(runs: DataFrame) -> DataFrame:
     by = ["doc", "part", "para_no"]
     key = F.when(F.col("n_texts") > 0, converter_of(F.col("fonts")))
     kept = islands(runs, key, by, "run_no").where(F.col("_key").isNotNull())
-    lists = kept.groupBy(*by, "island", F.col("_key").alias("converter")).agg(F.min("run_no").alias("first_run"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("run_no", "text"))), lambda s: s["text"]), "").alias("text"))
+    lists = kept.groupBy(*by, "island", F.col("_key").alias("converter")).agg(F.min("run_no").alias("first_run"), F.max("run_no").alias("last_run"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("run_no", "text"))), lambda s: s["text"]), "").alias("text"))
     return lists.where(F.col("text") != "").drop("island")
 
 

@@ -11,6 +11,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, VariantType
+
+from ..functions.canonical import same_typed, stored_field, stored_relation
 
 
 @dataclass(frozen=True)
@@ -56,6 +59,21 @@ def relation_id(record: Column, name: str) -> Column:
     return F.when(v.startswith("{"), inner).otherwise(v)
 
 
+def existing_of(records: DataFrame, spec: Spec, parent_field: str = "category") -> DataFrame:
+    """``existing`` for ``plan`` from what a store gave: records (document_id, locale, position, record as JSON text). Stored fields are
+    VARIANT, so that a plan compares them by type and value. A record of text that is no JSON has no code and no fields."""
+    v = F.try_parse_json("record")
+    parsed = records.select("document_id", "locale", "position", v.alias("_v"))
+    names = sorted({*spec.shared, *spec.default_names})
+    parent = [stored_relation(F.col("_v"), parent_field).alias("parent_document_id")] if spec.parent else []
+    return parsed.select("document_id", "locale", "position", F.try_variant_get(stored_field(F.col("_v"), "code"), "$", "string").alias("code"), *[stored_field(F.col("_v"), n).alias(n) for n in names], *parent)
+
+
+def differs_from(stored: Column, stored_kind: DataType, wanted: Column, kind: DataType) -> Column:
+    """By type and value where stored values keep their JSON types, else by value; nulls are equal to each other."""
+    return ~(same_typed(stored, wanted, kind) if isinstance(stored_kind, VariantType) else stored.eqNullSafe(wanted))
+
+
 def cardinality(parents: DataFrame, key: str, document: str) -> DataFrame:
     """Distinct document ids per code, sorted, and how many."""
     ids = parents.where(F.col(document).isNotNull()).groupBy(F.col(key).alias("code")).agg(F.array_sort(F.collect_set(document)).alias("document_ids"))
@@ -81,8 +99,10 @@ def plan(desired: DataFrame, existing: DataFrame, spec: Spec, parents: DataFrame
     """One row per desired record: code, action (blocked, conflict, create, update, matching), document_id,
     update_default, update_localized, create_localized, messages.
 
-    ``existing``: document_id, locale, code, position, the stored fields, and parent_document_id for specs with a parent.
+    ``existing``: document_id, locale, code, position, the stored fields (VARIANT as ``existing_of`` gives them, or columns of
+    the records' own types), and parent_document_id for specs with a parent.
     ``parents``: code and document_id."""
+    kinds, wanted_kinds = ({f.name: f.dataType for f in df.schema} for df in (existing, desired))
     names = sorted({*spec.shared, *spec.default_names})
     stored = [*names, *(["parent_document_id"] if spec.parent else [])]
     per = existing.groupBy("code", "locale").agg(F.count(F.lit(1)).alias("n"), F.min_by(F.struct(F.col("document_id"), *stored), F.col(position)).alias("r"))
@@ -94,7 +114,8 @@ def plan(desired: DataFrame, existing: DataFrame, spec: Spec, parents: DataFrame
     if "sort_order" in d.columns:
         d = d.join(first_users(d, "sort_order", F.col("_code"), "_pos"), F.col("sort_order") == F.col("_order"), "left")
         d = d.withColumn("_first_user", F.when(F.col("_pos") != F.col("first_position"), F.col("first_code"))).drop("_order", "first_code", "first_position", "n")
-        orders = existing.where(F.col("locale").isin(spec.default_locale, spec.localized_locale)).select(F.col("sort_order").alias("_so"), F.coalesce("code", F.lit("<missing-code>")).alias("_ecode"), (F.col("locale") != spec.default_locale).cast("int").alias("_l"), F.col(position).alias("_p"))
+        order = F.try_variant_get("sort_order", "$", "long") if isinstance(kinds["sort_order"], VariantType) else F.col("sort_order")
+        orders = existing.where(F.col("locale").isin(spec.default_locale, spec.localized_locale)).select(order.alias("_so"), F.coalesce("code", F.lit("<missing-code>")).alias("_ecode"), (F.col("locale") != spec.default_locale).cast("int").alias("_l"), F.col(position).alias("_p"))
         users = orders.where(F.col("_so").isNotNull()).groupBy("_so").agg(F.array_sort(F.collect_list(F.struct("_l", "_p", "_ecode"))).alias("_users"))
         d = d.join(users, F.col("sort_order") == F.col("_so"), "left")
         others = F.transform(F.filter("_users", lambda u: u["_ecode"] != F.col("_code")), lambda u: u["_ecode"])
@@ -126,7 +147,7 @@ def plan(desired: DataFrame, existing: DataFrame, spec: Spec, parents: DataFrame
     def differs(tag: str, fields: dict[str, str]) -> Column:
         out = F.lit(False)
         for stored_name, column in fields.items():
-            out = out | ~F.col(f"_{tag}.{stored_name}").eqNullSafe(F.col(column))
+            out = out | differs_from(F.col(f"_{tag}.{stored_name}"), kinds[stored_name], F.col(column), wanted_kinds[column])
         return out | ~F.col(f"_{tag}.parent_document_id").eqNullSafe(F.col("_parent")) if spec.parent else out
 
     d = d.withColumn("_parent", parent).withColumn("_document", document)
@@ -178,6 +199,68 @@ def actions(planned: DataFrame, spec: Spec) -> DataFrame:
     return rows.select("code", (F.col("_p") + 1).alias("step"), F.col("a.verb").alias("verb"), F.col("a.locale").alias("locale"), "document_id")
 
 
+def writes(planned: DataFrame, desired: DataFrame, spec: Spec, position: str = "position", parent_field: str = "category") -> DataFrame:
+    """The actions of a plan with what they send: code, step, verb, locale, document_id, payload (JSON text; ``{}`` to publish alone)."""
+
+    def payload(names: dict[str, str]) -> Column:
+        parent = [F.col("p.parent_document_id").alias(parent_field)] if spec.parent else []
+        return F.to_json(F.struct(F.col("p.code").alias("code"), *[F.col(f"d.{c}").alias(f) for f, c in (spec.shared | names).items()], *parent), {"ignoreNullFields": "false"})
+
+    both = planned.alias("p").join(desired.alias("d"), F.col(f"p.{position}") == F.col(f"d.{position}")).where(F.col("p.action").isin("create", "update"))
+    payloads = both.select(F.col("p.code").alias("_code"), payload(spec.default_names).alias("_default"), payload(spec.localized_names).alias("_localized"))
+    sent = F.when(F.col("verb") == "publish", "{}").when(F.col("locale") == spec.default_locale, F.col("_default")).otherwise(F.col("_localized"))
+    return actions(planned, spec).join(payloads, F.col("code") == F.col("_code")).select("code", "step", "verb", "locale", "document_id", sent.alias("payload"))
+
+
+# fixed values: fields of glossaries that must be there, desired and stored
+GLOSSARY_DESIRED = ("term_code", "term", "definition")
+GLOSSARY_STORED = ("code", "term", "definition")
+# end of fixed values
+
+
+def glossary_existing(records: DataFrame) -> DataFrame:
+    """Stored terms from (record as JSON text, status_rank, position): of those that share document and code the one fetched last
+    counts; the document is ``documentId``, or ``id`` where that is missing. document_id (of ``documentId`` alone), code, term,
+    definition as VARIANT, position."""
+    v = records.select(F.try_parse_json("record").alias("_v"), "status_rank", "position")
+    text = lambda name: F.nullif(F.try_variant_get(stored_field(F.col("_v"), name), "$", "string"), F.lit(""))
+    keyed = v.select("_v", "status_rank", "position", text("documentId").alias("document_id"), F.coalesce(text("documentId"), text("id")).alias("_document"), F.try_variant_get(stored_field(F.col("_v"), "code"), "$", "string").alias("code"))
+    return latest(keyed, ["_document", "code"], "status_rank", "position").select("document_id", "code", stored_field(F.col("_v"), "term").alias("term"), stored_field(F.col("_v"), "definition").alias("definition"), "position")
+
+
+def glossary_plan(desired: DataFrame, existing: DataFrame, label: str, position: str = "position") -> DataFrame:
+    """Terms have one locale and no order: one row per desired term (term_code, term, definition) with ``position``, code, action
+    (conflict, create, update, matching), document_id, messages. ``existing`` as ``glossary_existing`` gives it: a stored term
+    without one of its required fields is a conflict, whatever the desired term says."""
+    per = existing.groupBy(F.col("code").alias("_ecode")).agg(F.count(F.lit(1)).alias("_n"), F.min_by(F.struct("document_id", "term", "definition"), F.col("position")).alias("_r"))
+    code = F.coalesce(F.nullif(F.col("term_code"), F.lit("")), F.lit("<missing-code>"))
+    d = desired.select(F.col(position).alias("_pos"), code.alias("_code"), *GLOSSARY_DESIRED)
+    first = d.groupBy(F.col("_code").alias("_acode")).agg(F.min("_pos").alias("_apos"))
+    d = d.join(first, F.col("_code") == F.col("_acode")).join(per, F.col("_code") == F.col("_ecode"), "left")
+    one = F.col("_n") == 1
+    blank = lambda v: v.isNull() | F.is_variant_null(v) | ((F.schema_of_variant(v) == "STRING") & (F.try_variant_get(v, "$", "string") == ""))
+    lacks = {"code": F.coalesce(F.col("_ecode"), F.lit("")) == "", "term": blank(F.col("_r.term")), "definition": blank(F.col("_r.definition"))}
+    messages = F.array_compact(F.array(
+        *[F.when(F.col(c).isNull() | (F.col(c) == ""), f"Missing required artifact value: {c}.") for c in GLOSSARY_DESIRED],
+        F.when(F.col("_pos") != F.col("_apos"), F.concat(F.lit("Duplicate artifact term_code: "), F.col("_code"), F.lit("."))),
+        F.when(F.col("_n") > 1, F.concat(F.lit(f"Duplicate existing {label} records with code "), F.col("_code"), F.lit("."))),
+        F.when(one & F.col("_r.document_id").isNull(), "Existing glossary record is missing documentId."),
+        *[F.when(one & lacks[c], f"Existing glossary record is missing required Strapi field: {c}.") for c in GLOSSARY_STORED],
+    ))
+    text = desired.schema["term"].dataType
+    changed = ~same_typed(F.col("_r.term"), F.col("term"), text) | ~same_typed(F.col("_r.definition"), F.col("definition"), text)
+    action = F.when(F.size("_m") > 0, "conflict").when(F.col("_n").isNull(), "create").when(changed, "update").otherwise("matching")
+    told = d.withColumn("_m", messages).withColumn("action", action)
+    return told.select(F.col("_pos").alias(position), F.col("_code").alias("code"), "action", F.when(F.col("action").isin("update", "matching"), F.col("_r.document_id")).alias("document_id"), F.col("_m").alias("messages"))
+
+
+def glossary_writes(planned: DataFrame, desired: DataFrame, position: str = "position") -> DataFrame:
+    """One write for each term to create or update, as ``writes`` gives them; terms have no locale."""
+    both = planned.alias("p").join(desired.alias("d"), F.col(f"p.{position}") == F.col(f"d.{position}")).where(F.col("p.action").isin("create", "update"))
+    payload = F.to_json(F.struct(F.col("d.term_code").alias("code"), "d.term", "d.definition"), {"ignoreNullFields": "false"})
+    return both.select("p.code", F.lit(1).alias("step"), F.col("p.action").alias("verb"), F.lit(None).cast("string").alias("locale"), "p.document_id", payload.alias("payload"))
+
+
 def apply_plan(desired: DataFrame, existing: DataFrame, planned: DataFrame, spec: Spec, position: str = "position") -> DataFrame:
     """The state after a plan: written records in place of those they replace. New documents get ids from their codes."""
     joined = planned.where(F.col("action").isin("create", "update")).alias("p").join(desired.alias("d"), F.col(f"p.{position}") == F.col(f"d.{position}"))

@@ -224,7 +224,7 @@ def schema_issues(value: object, schema: dict, path: str = "$") -> list[tuple[st
         known = schema.get("properties", {})
         out += [(f"{path}.{k}", "is required") for k in schema.get("required", ()) if k not in value]
         if schema.get("additionalProperties") is False:
-            out += [(f"{path}.{k}", "is not allowed") for k in value if k not in known]
+            out += [(f"{path}.{k}", "is not allowed") for k in sorted(set(value) - set(known))]
         for k, sub in known.items():
             if k in value:
                 out += schema_issues(value[k], sub, f"{path}.{k}")

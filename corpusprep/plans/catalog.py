@@ -7,12 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import identity, text
-from ..operators import assembly, chunking, documents, manifests, reconcile, records, retrieval, rules, tokens
+from pyspark.sql.types import StringType
+
+from ..functions import canonical, identity, text
+from ..operators import assembly, chunking, documents, json_schema, manifests, reconcile, records, retrieval, rules, series, tokens
 from ..operators.sentences import sentence_spans as spans_of
 from ..sources import files, seeds
 from ..sources.tables import table
 
+RECORD_SCHEMA = {
+    "type": "object", "required": ["lang", "title"], "additionalProperties": False,
+    "properties": {
+        "lang": {"enum": ["en", "de", "fr"]}, "source": {"type": "string", "maxLength": 4, "pattern": "src1[0-9]*"}, "n_chars": {"type": "integer", "minimum": 100},
+        "labels": {"type": "object", "properties": {"quality": {"type": "integer"}, "toxic": {"enum": [0, 1]}}},
+    },
+}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 #: A namespace of our own for the identity queries.
@@ -382,12 +392,57 @@ def topk_similar(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("score", F.round("score", 6))
 
 
-@query("""WITH c AS (SELECT lang, CAST(count(*) AS BIGINT) AS n, CAST(min(doc_id) AS BIGINT) AS lo FROM documents GROUP BY lang)
-SELECT lang, sha256('{"language":"' || lang || '","documents":' || n || ',"first":' || lo || '}') AS fingerprint FROM c""")
+@query("""WITH c AS (SELECT lang, CAST(count(*) AS BIGINT) AS n, CAST(min(doc_id) AS BIGINT) AS lo, list(DISTINCT source ORDER BY source) AS sources, sum(n_chars) AS chars, arg_min(text, doc_id) AS first_text FROM documents GROUP BY lang)
+SELECT lang, sha256('{"Zeichen":{"je_Viertel":' || CASE WHEN chars % 4 = 0 THEN (chars // 4) || '.0' ELSE CAST(chars / 4 AS VARCHAR) END || ',"zusammen":' || chars || '},"documents":' || n || ',"first":' || lo || ',"language":"' || lang || '","sources":[' || array_to_string(list_transform(sources, lambda s: '"' || s || '"'), ',') || '],"text":' || to_json(first_text) || ',"Überblick":null}') AS fingerprint FROM c""")
 def config_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
-    """The fingerprint of what each language's documents say of themselves, as compact JSON."""
-    told = table(spark, folder, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").cast("long").alias("lo"))
-    return told.select("lang", identity.record_fingerprint(F.struct(F.col("lang").alias("language"), F.col("n").alias("documents"), F.col("lo").alias("first"))).alias("fingerprint"))
+    """The fingerprint of what each language's documents say of themselves, as canonical JSON: the fields stand here in no order."""
+    told = table(spark, folder, "documents").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.min("doc_id").cast("long").alias("lo"), F.array_sort(F.collect_set("source")).alias("sources"), F.sum("n_chars").alias("chars"), F.min_by("text", "doc_id").alias("first"),
+    )
+    told = told.select("lang", F.struct(
+        F.col("lang").alias("language"), F.lit(None).cast("string").alias("Überblick"), F.col("n").alias("documents"), F.col("first").alias("text"), F.col("lo").alias("first"), "sources",
+        F.struct(F.col("chars").alias("zusammen"), (F.col("chars") / 4).alias("je_Viertel")).alias("Zeichen"),
+    ).alias("record"))
+    return told.select("lang", identity.record_fingerprint(F.col("record"), told.schema["record"].dataType).alias("fingerprint"))
+
+
+@query("""SELECT d.doc_id, true AS number_as_number, false AS number_as_text, false AS text_as_number, true AS flag_as_number, CAST(length(coalesce(text, '')) = n_chars AS BOOLEAN) AS length_as_stored, CAST(d.source AS VARCHAR) AS parent FROM documents d JOIN labels USING (doc_id)""")
+def typed_stored_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored records (JSON of each document and its labels) against wanted values, by type and value."""
+    both = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
+    parent = F.struct(F.struct(F.struct(F.col("source").alias("documentId")).alias("attributes")).alias("data"))
+    record = F.to_json(F.struct(F.struct("quality", F.col("doc_id").cast("string").alias("code"), "n_chars", parent.alias("parent")).alias("attributes"), (F.col("toxic") == 1).alias("toxic")))
+    rows = both.select("doc_id", "quality", "toxic", F.char_length(F.coalesce("text", F.lit(""))).alias("length"), F.try_parse_json(record).alias("v"))
+    same = lambda name, wanted, kind: canonical.same_typed(canonical.stored_field(F.col("v"), name), wanted, kind)
+    whole, text_kind = rows.schema["quality"].dataType, StringType()
+    return rows.select(
+        "doc_id", same("quality", F.col("quality"), whole).alias("number_as_number"), same("quality", F.col("quality").cast("string"), text_kind).alias("number_as_text"), same("code", F.col("doc_id"), whole).alias("text_as_number"),
+        same("toxic", F.col("toxic"), whole).alias("flag_as_number"), same("n_chars", F.col("length"), whole).alias("length_as_stored"), canonical.stored_relation(F.col("v"), "parent").alias("parent"),
+    )
+
+
+@query("""WITH h AS (SELECT doc_id, lang, source, n_chars, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)),
+i AS (SELECT doc_id, '$.labels.quality' AS path, 'must be of type integer' AS message FROM h WHERE quality IS NULL UNION ALL SELECT doc_id, '$.labels.toxic', 'must be one of [0, 1]' FROM h WHERE toxic IS NULL
+ UNION ALL SELECT doc_id, '$.lang', 'must be one of [''en'', ''de'', ''fr'']' FROM h WHERE lang NOT IN ('en', 'de', 'fr') UNION ALL SELECT doc_id, '$.n_chars', 'must be 100 or more' FROM h WHERE n_chars < 100
+ UNION ALL SELECT doc_id, '$.source', 'must have 4 characters or fewer' FROM h WHERE length(source) > 4 UNION ALL SELECT doc_id, '$.source', 'must match src1[0-9]*' FROM h WHERE NOT regexp_full_match(source, 'src1[0-9]*')
+ UNION ALL SELECT doc_id, '$.title', 'is required' FROM h UNION ALL SELECT doc_id, '$.source_id', 'is not allowed' FROM h)
+SELECT * FROM i""")
+def record_schema_issues(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with their labels as JSON records against a schema, compiled to one column."""
+    both = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id", "left")
+    record = F.to_json(F.struct("lang", "source", "n_chars", F.struct("quality", "toxic").alias("labels"), F.col("doc_id").alias("source_id")), {"ignoreNullFields": "false"})
+    return json_schema.record_issues(both.select("doc_id", record.alias("record")), RECORD_SCHEMA, "record", ("doc_id",))
+
+
+@query("""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, lag(CAST(embedding AS DOUBLE[])) OVER (ORDER BY vec_id) AS b FROM embeddings),
+one AS (SELECT vec_id, CASE WHEN b IS NULL THEN NULL ELSE 1 - list_dot_product(b, e) / (sqrt(list_dot_product(b, b)) * sqrt(list_dot_product(e, e))) END AS distance FROM v),
+t AS (SELECT quantile_cont(distance, 0.9) AS threshold FROM one)
+SELECT vec_id, round(distance, 6) AS distance, round(threshold, 6) AS threshold, coalesce(distance >= threshold, false) AS is_break, CAST(sum(CAST(coalesce(distance >= threshold, false) AS INTEGER)) OVER (ORDER BY vec_id ROWS UNBOUNDED PRECEDING) AS INTEGER) AS group_no FROM one, t""")
+def one_series_breakpoints(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors as one series: distances, an exact percentile and running groups, with no task over its share of the key."""
+    rows = table(spark, folder, "embeddings").select(F.lit("all").alias("series"), "vec_id", "embedding")
+    found = series.breakpoints(series.adjacent_distance(rows, "series", "vec_id", "embedding"), 90.0, "series", "vec_id", task_rows=1)
+    return found.select("vec_id", F.round("distance", 6).alias("distance"), F.round("threshold", 6).alias("threshold"), "is_break", "group_no")
 
 
 @query("""SELECT doc_id, 'r2' AS backend, 'bucket' AS bucket, 'corpus/' || source || '/' || lang || '/' || doc_id || '.txt' AS key, 'https://files.example/corpus/' || source || '/' || lang || '/' || doc_id || '.txt' AS url FROM documents""")
@@ -424,7 +479,7 @@ def summary_chapter_counts(spark: SparkSession, folder: str) -> DataFrame:
     return manifests.summary_chapters(d.withColumn("automated_tags", tags), ["license", "long"], by=("lang",))
 
 
-@query("""SELECT doc_id, CASE WHEN l.id IS NOT NULL THEN 'published' ELSE 'not_published' END AS status, concat_ws(' ', CASE WHEN l.id IS NULL THEN 'The chapter was not published.' END, CASE WHEN len(regexp_extract_all(text, '\S+')) = 0 THEN 'The chapter has no words.' END,
+@query(r"""SELECT doc_id, CASE WHEN l.id IS NOT NULL THEN 'published' ELSE 'not_published' END AS status, concat_ws(' ', CASE WHEN l.id IS NULL THEN 'The chapter was not published.' END, CASE WHEN len(regexp_extract_all(text, '\S+')) = 0 THEN 'The chapter has no words.' END,
  CASE WHEN NOT contains(text, 'License') THEN 'No marker was found.' END, CASE WHEN lang <> 'de' THEN 'No text was converted.' END) AS notes FROM documents LEFT JOIN (SELECT DISTINCT doc_id AS id FROM labels) l ON l.id = doc_id""")
 def chapter_audit(spark: SparkSession, folder: str) -> DataFrame:
     d = _docs(spark, folder, "lang")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,6 +53,11 @@ def write_files(rows: DataFrame, folder: str, name: Column, content: Column, ove
     rows.select(name.alias("_name"), F.encode(content, "UTF-8").alias("_content")).foreachPartition(write)
 
 
+def chapter_text_artifacts(chapters: DataFrame, folder: str, name: Column, text: Column, overwrite: bool = False) -> None:
+    """Chapter texts as files that end in one newline; ``identity.artifact_sha256`` of the text is the hash of such a file."""
+    write_files(chapters, folder, name, F.concat(F.coalesce(text, F.lit("")), F.lit("\n")), overwrite)
+
+
 def write_table(rows: DataFrame, path: str, subject_col: str = "subject_code", overwrite: bool = False) -> None:
     """A table partitioned by subject. Without ``overwrite`` subjects that are there already are an error; with it their partitions
     alone are replaced."""
@@ -77,14 +83,41 @@ def _subjects(spark: SparkSession, path: str, subject_col: str) -> DataFrame | N
         raise
 
 
-def drop_subjects(spark: SparkSession, path: str, subjects: list[str], subject_col: str = "subject_code") -> int:
-    """Delete the partitions of subjects; how many were there."""
-    jvm = spark.sparkContext._jvm
-    gone = 0
-    for s in subjects:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{subject_col}={s}")
-        gone += bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
-    return gone
+DROPPED = "subject string, was_there boolean"
+
+
+def drop_subjects(spark: SparkSession, path: str, subjects: list[str] | DataFrame, subject_col: str = "subject_code", report: str | None = None, parallel: int = 32) -> int:
+    """Delete the partitions of subjects, in tasks: subjects (a list, or a DataFrame of one column) are dealt over ``parallel`` of them, each of which
+    deletes through the file system that ``path`` names. Deleting twice is deleting once, so a task may run again. Returns how many were
+    there; ``report`` is a folder for one row for each subject (subject, was_there). Bounded: tasks return one row for each partition."""
+    listed = spark.createDataFrame([(s,) for s in subjects], "subject string") if isinstance(subjects, list) else subjects.select(F.col(subjects.columns[0]).cast("string").alias("subject"))
+
+    def delete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import os
+
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), os.path.abspath(path))
+        for b in batches:
+            there = []
+            for s in b["subject"]:
+                folder = f"{base}/{subject_col}={escaped(s)}"
+                known = system.get_file_info(folder).type != fs.FileType.NotFound
+                if known:
+                    system.delete_dir(folder)
+                there.append(known)
+            yield pd.DataFrame({"subject": b["subject"], "was_there": there})
+
+    done = listed.where(F.col("subject").isNotNull()).distinct().repartition(parallel, "subject").mapInPandas(delete, DROPPED)
+    if report is not None:
+        done.write.mode("overwrite").parquet(report)  # the job runs once: a second run would tell that nothing was there
+        done = spark.read.schema(DROPPED).parquet(report)
+    return done.agg(F.count_if("was_there")).first()[0]
+
+
+def escaped(value: str) -> str:
+    """A value as Spark spells it in the name of a partition's folder."""
+    return "".join(f"%{ord(c):02X}" if ord(c) < 32 or ord(c) == 127 or c in "\"#%'*/:=?\\{[]^" else c for c in value) or "__HIVE_DEFAULT_PARTITION__"
 
 
 def publish(tables: dict[str, DataFrame], folder: str, command: str, overwrite: bool = False, subject_col: str = "subject_code", legacy: tuple[str, ...] = ()) -> list[str]:
@@ -109,7 +142,7 @@ def publish(tables: dict[str, DataFrame], folder: str, command: str, overwrite:
             write_table(tables[name], f"{folder}/{name}", subject_col, overwrite)
             done.append(name)
     if overwrite and done:
-        subjects = sorted({str(r[0]) for name in done for r in tables[name].select(subject_col).distinct().collect()})
+        subjects = reduce(DataFrame.unionByName, (tables[name].select(F.col(subject_col).cast("string").alias("subject")) for name in done))
         for name in DERIVED[command]:
             drop_subjects(next(iter(tables.values())).sparkSession, f"{folder}/{name}", subjects, subject_col)
     return done
