@@ -10,8 +10,10 @@ looked up by a hash of a context and of the place in the code:
 
 The predictions are combined in the logistic domain by weights that a gate chooses (which contexts were seen, how
 deep the code is), and an adaptive map refines the result. The tables hold the bits of every training token. Weights
-and map are learnt online over every training token too: each task moves them over its rows by Newton steps, a token's
-own occurrence being taken out of the counts, and the sums of all tasks give the model. The sum over the bits is the
+and map are learnt online over every bit of every training token too: rows are dealt by a hash of id and text into parts of about PART
+tokens, each part moves fresh weights over its rows, in a fixed order, by Newton steps, a token's own occurrence being taken out
+of the counts, and the sums of all parts, added up in the order of their numbers, give the model. So scores are a function of the
+table, whatever files, tasks or executors there are. The sum over the bits is the
 text's log probability; divided by its bytes it gives bits per byte. Word order counts: a token's probability hangs on
 those before it.
 
@@ -39,7 +41,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches
+from .common import materialize, partitions, small_batches
 
 END = ""  # the empty word: the end of a text
 ESCAPE = 1  # the symbol of a token that is spelled; END is symbol 0
@@ -266,23 +268,24 @@ class Learner:
     def learn(self, st: list[np.ndarray], gate: np.ndarray, bits: np.ndarray, times: np.ndarray | None) -> None:
         dot, at = self.mixer.mix(st, gate)
         p, ones, size = 1 / (1 + np.exp(-dot)), bits.astype(np.float32), GATES * BUCKETS
-        err = ones - p
+        err, v = ones - p, p * (1 - p)
         if times is not None:
-            err, ones = err * times, ones * times
+            err, v, ones = err * times, v * times, ones * times
         self.map[0] += np.bincount(at, ones, size)
         self.map[1] += np.bincount(at, times, size)
-        inputs = [*st, None]
-        v = p[::8] * (1 - p[::8]) if times is None else p[::8] * (1 - p[::8]) * times[::8]
-        some, g = [None if x is None else x[::8] for x in inputs], gate[::8]  # the curvature only sets the length of steps and the share of a task
-        for a, x in enumerate(some):
-            vx = v if x is None else v * x
-            for b in range(a, len(some)):
-                self.curve[:, a, b] += np.bincount(g, vx if some[b] is None else vx * some[b], GATES)
-                self.curve[:, b, a] = self.curve[:, a, b]
+        # all bits, gate by gate: the products of inputs are one matrix product each
+        n, order, slope = len(st) + 1, np.argsort(gate.astype(np.uint8), kind="stable"), np.zeros((GATES, len(st) + 1))
+        x = np.ones((n, len(gate)), np.float32)
+        for k, one in enumerate(st):
+            x[k] = one.take(order)
+        err, vx = err.take(order), x * v.take(order)
+        ends = np.cumsum(np.bincount(gate, minlength=GATES))
+        for g in np.unique(gate).tolist():
+            own = slice(ends[g - 1] if g else 0, ends[g])
+            self.curve[g] += vx[:, own] @ x[:, own].T
+            slope[g] = x[:, own] @ err[own]
         self.blocks += 1
-        slope = np.column_stack([np.bincount(gate, err if x is None else err * x, GATES) for x in inputs])
-        n = len(inputs)
-        self.mixer.weights += np.clip(np.linalg.solve(8 * self.curve + 10 * np.eye(n), slope[:, :, None])[:, :, 0], -0.25, 0.25)
+        self.mixer.weights += np.clip(np.linalg.solve(self.curve + 10 * np.eye(n), slope[:, :, None])[:, :, 0], -0.25, 0.25)
 
     def sums(self) -> np.ndarray:
         return np.concatenate([self.curve.ravel(), np.einsum("gij,gj->gi", self.curve, self.mixer.weights).ravel(), self.map.ravel()])
@@ -388,20 +391,86 @@ def count_tables(rows: DataFrame, feed: Feed, kind: Kind, shared: Broadcast) ->
     return table, less
 
 
-def learn(rows: DataFrame, feed: Feed, kind: Kind, shared: Broadcast, less: np.ndarray) -> Mixer:
-    """Weights and map, online over all rows in each task, then merged."""
+#: Training symbols of a part, about: what one learner goes through on its own.
+PART = 1 << 18
+#: Symbols that are worked on at once while learning.
+HELD = 1 << 15
+#: Sums that one task adds up in a round.
+FAN_BITS = 6
+
+
+def in_parts(rows: DataFrame, n_symbols: int, by: list[str]) -> tuple[DataFrame, int]:
+    """``rows`` with their ``part``, and how many parts there are: both follow from the rows alone, not from files, tasks or
+    cluster. Each part is in one task, ordered by ``by``; rows equal in ``by`` are equal for the model."""
+    n = max(1, -(-n_symbols // PART))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64(*by), F.lit(n)))
+    return dealt.repartition(partitions(rows.sparkSession), "part").sortWithinPartitions("part", *by), n
+
+
+def added_in_order(parts: DataFrame, n: int) -> np.ndarray | None:
+    """The sum of ``x`` (doubles) of ``n`` parts, in the order of their numbers: 64 in a group, then 64 groups, and so on."""
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = sorted((at, y.as_buffer()) for b in batches for at, y in zip(b.column("at").to_pylist(), b.column("x"), strict=True))
+        total = np.zeros(1)
+        for _, y in held:
+            total = total + np.frombuffer(y)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["part", "x"])
+
+    while n > 1:
+        parts = parts.select(F.shiftright("part", FAN_BITS).alias("group"), F.col("part").alias("at"), "x").groupBy("group").applyInArrow(run, "part long, x binary")
+        n = -(-n >> FAN_BITS)
+    got = parts.first()
+    return None if got is None else np.frombuffer(got["x"]).copy()
+
+
+def learn(rows: DataFrame, feed: Feed, kind: Kind, shared: Broadcast, less: np.ndarray, n_symbols: int, by: list[str]) -> Mixer:
+    """Weights and map, online over all rows of each part, then merged. The model is the same however rows are dealt: parts, the
+    order within them, the blocks that a learner sees and the order of the sums all follow from the rows."""
     tables = rows.sparkSession.sparkContext.broadcast(less)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learner, code, table = Learner(), shared.value, tables.value
+        code, table = shared.value, tables.value
+        learner, part, held, size = Learner(), None, [], 0
+
+        def flush() -> None:
+            values, place = (np.concatenate([h[k] for h in held]) for k in range(2))
+            times = None if held[0][2] is None else np.concatenate([h[2] for h in held])
+            for own, n_bits, signs, slots in bits_of(kind, code, values, place):
+                learner.learn(*looked_up(table, kind, slots, signs, True), signs & 1, None if times is None else np.repeat(times[own], n_bits))
+            held.clear()
+
+        def told_of(part: int) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([learner.sums().tobytes()], pa.binary())], names=["part", "x"])
+
         for b in batches:
+            parts = b.column("part").to_numpy()
             values, place, times = feed(b)
-            for part, size, signs, slots in bits_of(kind, code, values, place):
-                learner.learn(*looked_up(table, kind, slots, signs, True), signs & 1, None if times is None else np.repeat(times[part], size))
-        if learner.blocks:
-            yield told(learner.sums())
-
-    mixer = Learner.merged(summed_up(rows.mapInArrow(run, SUMS)))
+            starts = np.flatnonzero(place == 0)
+            ends, i = np.r_[starts[1:], len(values)], 0
+            while i < len(starts):
+                if parts[i] != part:
+                    if held:
+                        flush()
+                    if part is not None:
+                        yield told_of(part)
+                    learner, part, size = Learner(), int(parts[i]), 0
+                # rows of this part, up to the one that fills what is held
+                j = min(np.searchsorted(parts, part, side="right"), np.searchsorted(ends, starts[i] + HELD - size) + 1)
+                own = slice(starts[i], ends[j - 1])
+                held.append((values[own], place[own], None if times is None else times[own]))
+                size += ends[j - 1] - starts[i]
+                if size >= HELD:
+                    flush()
+                    size = 0
+                i = j
+        if held:
+            flush()
+        if part is not None:
+            yield told_of(part)
+
+    dealt, n = in_parts(rows, n_symbols, by)
+    mixer = Learner.merged(added_in_order(dealt.mapInArrow(run, "part long, x binary"), n))
     tables.unpersist()
     return mixer
 
@@ -517,13 +586,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     dealt = materialize(number(texts, id_col, listed))
 
     # tokens, then letters: count, learn
-    taught = dealt.where("train").select("ids")
+    taught = dealt.where("train").select("ids", F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), "ids").alias("row"))
     table, less = count_tables(taught, fed_tokens, TOKENS, code)
-    token_model = context.broadcast((table, learn(taught, fed_tokens, TOKENS, code, less)))
+    token_model = context.broadcast((table, learn(taught, fed_tokens, TOKENS, code, less, n_train, ["row"])))
     spelled = rare.where("c > 0").select("word", "c")
-    letter_code = context.broadcast(Code.of(byte_counts(spelled)))
+    spelt_bytes = byte_counts(spelled)
+    n_spelled = int(spelled.agg(F.coalesce(F.sum(F.octet_length("word") + 1), F.lit(0))).first()[0])
+    letter_code = context.broadcast(Code.of(spelt_bytes))
     table, less = count_tables(spelled, fed_letters, LETTERS, letter_code)
-    letter_model = context.broadcast((table, learn(spelled, fed_letters, LETTERS, letter_code, less)))
+    letter_model = context.broadcast((table, learn(spelled, fed_letters, LETTERS, letter_code, less, n_spelled, ["word"])))
     del table, less
     head = context.broadcast(head_counts)
 
@@ -549,7 +620,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     spelt = rare.mapInArrow(spell, "word string, c long, bits double")
     met = dealt.select("rid", F.explode(F.arrays_zip("rest", "n")).alias("x")).select("rid", F.col("x.rest").alias("word"), F.col("x.n").alias("n"))
     tail = met.join(spelt, "word").groupBy("rid").agg(
-        F.sum(F.col("n") * F.col("bits")).alias("t_bits"), F.sum(F.col("n") * F.log10(F.col("c") + 0.5)).alias("t_base"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("t_known")
+        # decimals add up to the same sum in any order
+        F.sum((F.col("n") * F.col("bits")).cast("decimal(28,10)")).cast("double").alias("t_bits"), F.sum((F.col("n") * F.log10(F.col("c") + 0.5)).cast("decimal(28,10)")).cast("double").alias("t_base"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("t_known")
     )
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     rows = dealt.select("ids", "rid", id_col, "train", "n_bytes").mapInArrow(score_rows, f"rid long, `{id_col}` {kind}, train boolean, n_bytes long, n_tokens long, bits double, base double, known long")
