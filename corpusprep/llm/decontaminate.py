@@ -1,8 +1,8 @@
 """Benchmark decontamination: word windows of test items found in training documents (native).
 
 The windows of all items, made distinct, are the hash set. Its bytes are counted first. Up to ``max_broadcast`` of them
-it is broadcast, and a document is scanned once: at each position the hash of the whole window is looked up, and the
-window's own words, no more of the document, go with it. Beyond that, (row, position, hash of the whole window) are dealt
+it is broadcast, and a document is scanned once: the hash of the whole window at each position goes through a sieve, a bitmap of
+the windows' hashes, and where it passes the window's own words, no more of the document, are looked up. Beyond that, (row, position, hash of the whole window) are dealt
 out and joined with the windows, in PARTS parts each, so that a passage of a third of all documents is not one task's; only
 what meets comes back to its document. Both ways the words themselves verify each hit, so hashes decide nothing. Which items hold
 a window is joined once for each document and window, and only where it is asked for.
@@ -46,41 +46,82 @@ def _doc_and(doc: Column, each: Column) -> Column:
 
 
 def _all_of(each: Callable[[int], Column], widths: list[int], kind: str) -> Column:
-    return F.flatten(F.array(*map(each, widths))) if widths else F.array().cast(kind)
+    return each(widths[0]) if len(widths) == 1 else F.flatten(F.array(*map(each, widths))) if widths else F.array().cast(kind)
 
 
 def _doc(n_words: Column, keep: tuple[str, ...]) -> Column:
     return F.struct("_id", *[F.col(c) for c in keep], n_words.cast("long").alias("n_words"))
 
 
+def _window_hashes(w: Column, k: int) -> Column:
+    """At each position the hash of the ``k`` words from there on, put together from hashes of half as many, and so on down to
+    single words: a few steps for each position instead of ``k``. The last k - 1 positions hold no window."""
+    sizes: list[int] = []
+
+    def needs(size: int) -> None:
+        if size > 1 and size not in sizes:
+            needs(size // 2)
+            needs(size - size // 2)
+            sizes.append(size)
+
+    def grown(i: int, have: dict[int, Column]) -> Column:
+        if i == len(sizes):
+            return have[k]
+        left, right = sizes[i] // 2, sizes[i] - sizes[i] // 2
+        return let(F.transform(have[left], lambda x, j: F.xxhash64(x, F.get(have[right], j + left))), lambda v: grown(i + 1, have | {sizes[i]: v}))
+
+    needs(k)
+    return let(F.transform(w, lambda x: F.xxhash64(x)), lambda v: grown(0, {1: v}))
+
+
+def _hash_of(window: Column, widths: list[int]) -> Column:
+    """The hash that a window has among those of a document."""
+    return F.coalesce(*[F.when(F.size(window) == k, F.get(_window_hashes(window, k), F.lit(0))) for k in widths]) if widths else F.lit(None).cast("long")
+
+
+#: Bits of the sieve for each window: so a position without a window passes about once in as many.
+SIEVE = 32
+
+
+def _sieve(windows: DataFrame, widths: list[int]) -> Callable[[Column], Column]:
+    """Whether a hash may be one of a window, by a bitmap of the windows' hashes. It is as large as SIEVE bits for each window, and
+    these are few enough to broadcast."""
+    n = windows.count()
+    words = 1 << max(0, (n * SIEVE // 64 - 1).bit_length())  # of 64 bits
+    at = lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(words - 1).cast("long")).cast("int")
+    bit = lambda h: h.bitwiseAND(F.lit(63).cast("long")).cast("int")
+    h = _hash_of(F.col("window"), widths)
+    held = {r["at"]: r["bits"] for r in windows.select(at(h).alias("at"), F.expr("1L").alias("one"), bit(h).alias("bit")).groupBy("at").agg(F.bit_or(F.call_function("shiftleft", F.col("one"), F.col("bit"))).alias("bits")).collect()}
+    bitmap = F.from_json(F.lit("[" + ",".join(str(held.get(i, 0)) for i in range(words)) + "]"), "array<bigint>")
+    return lambda x: F.call_function("shiftright", F.get(bitmap, at(x)), bit(x)).bitwiseAND(F.lit(1).cast("long")) == 1
+
+
 def _met_by_broadcast(scanned: DataFrame, windows: DataFrame, widths: list[int], keep: tuple[str, ...]) -> DataFrame:
     """Rows (_rid, doc) of documents and (_rid, start, window) of hits."""
-    n = F.size("_w")
+    n, doc, may_be = F.size("_w"), _doc(F.size("_w"), keep), _sieve(windows, widths)
+    kind = "array<struct<start:int,window:array<string>>>"
 
     def placed(k: int) -> Column:
-        cut = F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.slice("_w", i, k))
-        each = F.transform(cut, lambda w, i: F.struct(i.alias("start"), F.xxhash64(w).alias("h"), w.alias("window")))
-        return F.when(n >= k, each).otherwise(F.array().cast(kind))
+        starts = let(_window_hashes(F.col("_w"), k), lambda h: F.array_compact(F.transform(h, lambda x, i: F.when((i <= n - k) & may_be(x), i))))
+        return F.transform(starts, lambda i: F.struct(i.alias("start"), F.slice("_w", i + 1, k).alias("window")))
 
-    kind = "array<struct<start:int,h:bigint,window:array<string>>>"
-    rows = scanned.select("_rid", F.explode(_doc_and(_doc(n, keep), _all_of(placed, widths, kind))).alias("e")).select("_rid", "e.doc", "e.x.*")
-    known = windows.select(F.xxhash64("window").alias("_h"), F.col("window").alias("_window"))
-    found = rows.join(F.broadcast(known), (F.col("h") == F.col("_h")) & (F.col("window") == F.col("_window")), "left")
-    return found.where(F.col("doc").isNotNull() | F.col("_h").isNotNull()).select("_rid", "doc", "start", "window")
+    rows = scanned.select("_rid", F.explode(_doc_and(doc, _all_of(placed, widths, kind))).alias("e")).select("_rid", "e.doc", "e.x.*")
+    known = windows.select("window", F.lit(True).alias("_there"))
+    return rows.join(F.broadcast(known), "window", "left").where(F.col("doc").isNotNull() | F.col("_there")).select("_rid", "doc", "start", "window")
 
 
 def _met_by_shuffle(scanned: DataFrame, windows: DataFrame, widths: list[int], keep: tuple[str, ...]) -> DataFrame:
     """The same rows. Positions travel without their document and without words."""
     docs = materialize(scanned)  # row numbers must stay as they are
     n = F.size("_w")
+    kind = "array<struct<i:int,h:bigint,k:int>>"
 
     def starts(k: int) -> Column:
-        each = F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.struct(i.alias("i"), F.xxhash64(F.slice("_w", i, k)).alias("h"), F.lit(k).alias("k")))
-        return F.when(n >= k, each).otherwise(F.array().cast(kind))
+        each = F.transform(_window_hashes(F.col("_w"), k), lambda x, i: F.struct((i + 1).alias("i"), x.alias("h"), F.lit(k).alias("k")))
+        return F.when(n >= k, F.slice(each, F.lit(1), n - k + 1)).otherwise(F.array().cast(kind))
 
-    kind = "array<struct<i:int,h:bigint,k:int>>"
     placed = docs.select("_rid", F.explode(_all_of(starts, widths, kind)).alias("x")).select("_rid", F.col("x.i").alias("i"), F.col("x.h").alias("h"), F.col("x.k").alias("k"), F.pmod("_rid", F.lit(PARTS)).alias("part"))
-    spread = windows.select("window", F.xxhash64("window").alias("h"), F.size("window").alias("k"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))).alias("part"))
+    spread = windows.select("window", _hash_of(F.col("window"), widths).alias("h"), F.size("window").alias("k"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))).alias("part"))
     may = placed.join(spread, ["h", "k", "part"]).groupBy("_rid").agg(F.collect_list(F.struct("i", "window")).alias("may"))
     both = docs.join(may, "_rid", "left")
     hits = F.filter(F.coalesce("may", F.array().cast("array<struct<i:int,window:array<string>>>")), lambda m: F.slice(F.col("_w"), m["i"], F.size(m["window"])) == m["window"])

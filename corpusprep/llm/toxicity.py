@@ -7,7 +7,7 @@ fitted on at most ``max_rows`` labelled rows (the smallest by a hash of the id);
 
 Null and empty texts have no features and get the score of the bias. Words are runs of ASCII letters and
 digits and of other characters' bytes, with A-Z lower-cased; whole texts are read, however long. Rows that repeat
-come back each, with the same score. A label row whose id or label is null teaches nothing; one id with both labels
+come back each, with the same score. A null id is in the fold of the text ``null``. A label row whose id or label is null teaches nothing; one id with both labels
 counts as toxic. An empty table gives an empty table; without labelled rows every text gets the score of the first bias.
 A score equal to the threshold counts as toxic. Other columns pass through, whatever their names; a column named
 ``score`` is replaced by the score.
@@ -134,8 +134,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return docs.select(*[docs[f"`{c}`"] for c in docs.columns if c != "score"], _score_of(docs.sparkSession, model, docs[f"`{text_col}`"]).alias("score"))
 
 
-def may_teach(id_col: str = "doc_id", folds: int = 3, held_out: int = 1):
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds != held_out
+def may_teach(id_col: str = "doc_id", folds: int = 3, held_out: int = 1) -> Column:
+    """Whether an id is of a fold that teaches; a null id is taken as the text ``null``."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).cast("binary")) % folds != held_out
 
 
 def reject(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -251,6 +251,50 @@ def test_decontamination_of_a_very_long_text(spark, limit):
     assert {r.doc_id: len(r.text.split()) for r in cut.collect()} == {1: 176_000, 2: 0}
 
 
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_items_with_a_common_beginning_cost_no_more(spark, limit):
+    """Questions that begin alike, in texts that are full of that beginning: nothing is looked up by the beginning alone."""
+    import time
+
+    text = " ".join(f"which of the x{k % 50}" for k in range(10_000))
+    docs = frame(spark, [(1, text), (2, "which of the " + " ".join(f"y{k}" for k in range(7)) + " end")])
+
+    def took(n):
+        items = spark.range(n).select(F.col("id").alias("item_id"), F.concat(F.lit("which of the y0 y1 y2 y3 y4 y5 y"), (F.col("id") + 6).cast("string")).alias("text"))
+        began = time.time()
+        got = {r.doc_id: (r.n_hit, list(r.item_ids)) for r in decontaminate.find_contamination(docs, items, max_broadcast=limit).collect()}
+        assert got == {1: (0, []), 2: (10, ["0"])}
+        return time.time() - began
+
+    took(10)
+    few, many = took(2000), took(32_000)
+    assert many < 2 * few + 15
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_a_window_of_many_items(spark, limit):
+    items = spark.range(3000).select(F.col("id").alias("item_id"), F.lit("a b c d e f g h i j").alias("text"))
+    docs = frame(spark, [(k, "a b c d e f g h i j " * 20) for k in range(5)])
+    got = decontaminate.find_contamination(docs, items, max_broadcast=limit).collect()
+    assert len(got) == 5 and all(len(r.item_ids) == 3000 and r.n_hit == 200 for r in got)
+
+
+def test_window_hashes(spark):
+    """Equal windows have equal hashes wherever they stand, others have others; the sieve lets all windows pass."""
+    rng = random.Random(11)
+    w = [rng.choice("abc") for _ in range(400)]
+    for k in (1, 2, 3, 7, 10):
+        h = spark.createDataFrame([(w,)], "w array<string>").select(decontaminate._window_hashes(F.col("w"), k)).first()[0][: len(w) - k + 1]
+        seen = {}
+        for i, x in enumerate(h):
+            assert seen.setdefault(x, w[i : i + k]) == w[i : i + k]
+        assert len(set(h)) == len({tuple(w[i : i + k]) for i in range(len(h))})
+    windows = spark.createDataFrame([([f"w{i}", f"v{i % 7}"],) for i in range(500)], "window array<string>")
+    passes = decontaminate._sieve(windows, [2])
+    assert windows.where(passes(decontaminate._hash_of(F.col("window"), [2]))).count() == 500
+    assert spark.range(20_000).where(passes(F.xxhash64("id"))).count() < 20_000 / decontaminate.SIEVE * 2
+
+
 def test_decontamination_without_items(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_contamination(frame(spark, ODD), none).where("n_hit > 0").count() == 0

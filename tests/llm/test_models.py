@@ -110,6 +110,12 @@ def test_toxicity(spark):
     assert toxicity.train(frame(spark, rows), labels.limit(0)).places.size == 0
 
 
+def test_toxicity_folds(spark):
+    ids = [*range(50), None]
+    got = spark.createDataFrame([(i,) for i in ids], "doc_id long").select("doc_id", toxicity.may_teach()).collect()
+    assert {r[0]: r[1] for r in got} == {i: zlib.crc32(("null" if i is None else str(i)).encode()) % 3 != 1 for i in ids}
+
+
 def test_ftrl_by_hand():
     """The same weights as FTRL-proximal with one coordinate at a time."""
     rng = np.random.default_rng(1)
