@@ -68,6 +68,7 @@ def shared_values(rows: DataFrame, column: str) -> DataFrame:
     return rows.join(again, v == F.col("_v"), "left").withColumn("is_shared", F.col("_v").isNotNull()).drop("_v")
 
 
+# fixed value: the message of at_most
 def at_most(n: int) -> Callable[[Column], Column]:
     return lambda v: F.when(F.char_length(v) > n, F.lit(f"Value must be {n} characters or fewer."))
 
@@ -99,7 +100,7 @@ SUBJECT = RuleSet(
     unique=("code", "legacy_code", "sort_order"),
 )
 
-#: Rules of the editing sheet that the file check does not enforce.
+# fixed values: the rules of the editing sheet that the file check does not enforce, and their messages
 SHEET_RULES: tuple[tuple[str, Callable[[], Column]], ...] = (
     ("from_date", lambda: F.when(_value("from_date") == "", F.lit("Required value is missing."))),
     ("to_date", lambda: F.when(_value("to_date") == "", F.lit("Required value is missing."))),
@@ -127,6 +128,7 @@ def sheet_issues(rows: DataFrame) -> DataFrame:
     return _issues(rows, [_issue(c, rule()) for c, rule in SHEET_RULES])
 
 
+# fixed values: the messages of duplicate_issues
 def duplicate_issues(rows: DataFrame, column: str, spaceless: bool = False) -> DataFrame:
     """One issue for each row that shares its value of ``column``, telling all such rows. Values are counted with
     partial sums first, so only those that repeat are gathered."""
@@ -142,6 +144,7 @@ def duplicate_issues(rows: DataFrame, column: str, spaceless: bool = False) -> D
     return shared.join(lists, "_k").select(F.lit("error").alias("severity"), "row_number", F.lit(column).alias("column"), message.alias("message"))
 
 
+# fixed values: the messages of reference_issues
 def reference_issues(rows: DataFrame, column: str, known: DataFrame, known_col: str) -> DataFrame:
     """Values of ``column`` that no row of ``known`` has."""
     v = rows.select("row_number", _value(column).alias("_v")).where(F.col("_v") != "")
@@ -150,6 +153,21 @@ def reference_issues(rows: DataFrame, column: str, known: DataFrame, known_col:
     return missing.select(F.lit("error").alias("severity"), "row_number", F.lit(column).alias("column"), F.concat(F.lit(f"Unresolved {column}; no matching category code found: "), F.col("_v"), F.lit(".")).alias("message"))
 
 
+# fixed value: the message of a source whose references cannot be looked up
+GATE_MESSAGE = "Category source validation failed; cannot validate subject references."
+# end of fixed value
+
+
+def gated_reference_issues(rows: DataFrame, column: str, known: DataFrame, known_col: str, known_issues: DataFrame) -> DataFrame:
+    """``reference_issues``, unless the source of what is known has errors itself (``known_issues``, as ``validate`` gives them): then one
+    issue of row 0 instead."""
+    spark = rows.sparkSession
+    broken = lambda: known_issues.where("severity = 'error'").agg(F.count(F.lit(1)) > 0).scalar()
+    one = spark.range(1).where(broken()).select(F.lit("error").alias("severity"), F.lit(0).cast(rows.schema["row_number"].dataType).alias("row_number"), F.lit(column).alias("column"), F.lit(GATE_MESSAGE).alias("message"))
+    return reference_issues(rows, column, known, known_col).where(~broken()).unionByName(one)
+
+
+# fixed values: the messages of shape_issues
 def shape_issues(records: DataFrame, width: int) -> DataFrame:
     """``records``: row_number and ``values`` (array). Blank rows, and rows of another width, have one issue each."""
     blank = F.forall("values", lambda v: F.coalesce(strip(v), F.lit("")) == "")
@@ -163,8 +181,9 @@ def well_formed(records: DataFrame, header: tuple[str, ...]) -> DataFrame:
     return records.where(~blank & (F.size("values") == len(header))).select("row_number", *[F.get("values", F.lit(i)).alias(c) for i, c in enumerate(header)])
 
 
-def validate(records: DataFrame, rules: RuleSet, references: tuple[str, DataFrame, str] | None = None) -> DataFrame:
-    """All issues of a source, to be shown in the order of row and column."""
+def validate(records: DataFrame, rules: RuleSet, references: tuple[str, DataFrame, str] | None = None, reference_source_issues: DataFrame | None = None) -> DataFrame:
+    """All issues of a source, to be shown in the order of row and column. ``references``: (column, what is known, its column);
+    ``reference_source_issues``: the issues of what is known itself, where that was validated too."""
     rows = well_formed(records, rules.header)
     found = shape_issues(records, len(rules.header)).unionByName(row_issues(rows, rules))
     for c in rules.unique:
@@ -173,7 +192,8 @@ def validate(records: DataFrame, rules: RuleSet, references: tuple[str, DataFram
         found = found.unionByName(duplicate_issues(rows, rules.unique_without_spaces, spaceless=True))
     if references:
         column, known, known_col = references
-        found = found.unionByName(reference_issues(rows, column, known, known_col))
+        checked = reference_issues(rows, column, known, known_col) if reference_source_issues is None else gated_reference_issues(rows, column, known, known_col, reference_source_issues)
+        found = found.unionByName(checked)
     return found
 
 

@@ -15,7 +15,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.vectors import cosine_distance
 from ..shared import settle
+from . import chunking
 
 #: Buckets of one round of a percentile's histogram.
 BUCKETS = 4096
@@ -105,9 +107,16 @@ def percentiles(rows: DataFrame, key: str, value: str, fraction: float, task_row
     return small.unionByName(spark.createDataFrame(found, f"`{key}` {kind}, threshold double"))
 
 
+def fits_tasks(rows: DataFrame, key: str, task_rows: int) -> bool:
+    """Whether no key has more rows than one task is to have."""
+    return (rows.groupBy(key).count().agg(F.max("count")).first()[0] or 0) <= task_rows
+
+
 def breakpoints(rows: DataFrame, percentile: float, key: str, order: str, task_rows: int = 1 << 20) -> DataFrame:
-    """Adds ``threshold`` (per key, null without distances), ``is_break`` (``distance`` at or above it) and ``group_no``, as
-    ``chunking.breakpoints`` does for keys of a document's size."""
+    """Adds ``threshold`` (per key, null without distances), ``is_break`` (``distance`` at or above it) and ``group_no``. Where all keys fit
+    tasks it does so by windows, else by ranges, with the same result."""
+    if fits_tasks(rows, key, task_rows):
+        return chunking.breakpoints(rows, percentile, key, order)
     dealt = ranges(rows, key, order)
     of_key = percentiles(dealt, key, "distance", percentile / 100, task_rows).select(F.col(key).alias("_tk"), "threshold")
     # thresholds go to the ranges of their key, which are few, and from there to the rows
@@ -116,9 +125,9 @@ def breakpoints(rows: DataFrame, percentile: float, key: str, order: str, task_r
     return running_sum(marked, key, order, "_b", "group_no").withColumn("group_no", F.col("group_no").cast("int")).drop("_b", PART)
 
 
-def adjacent_distance(rows: DataFrame, key: str, order: str, vector: str) -> DataFrame:
-    """Adds ``distance`` to the row before; null on the first."""
-    from ..functions.vectors import cosine_distance
-
+def adjacent_distance(rows: DataFrame, key: str, order: str, vector: str, task_rows: int = 1 << 20) -> DataFrame:
+    """Adds ``distance`` to the row before; null on the first. By windows where all keys fit tasks, else by ranges."""
+    if fits_tasks(rows, key, task_rows):
+        return chunking.adjacent_distance(rows, key, order, vector)
     before = lag(ranges(rows, key, order), key, order, vector, "_before")
     return before.withColumn("distance", F.when(F.col("_before").isNotNull(), cosine_distance(F.col("_before"), F.col(vector)))).drop("_before", PART)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,8 @@ from pyspark.sql.types import StringType
 from ..functions import canonical, identity, text
 from ..operators import assembly, chunking, documents, json_schema, manifests, reconcile, records, retrieval, rules, series, tokens
 from ..operators.sentences import sentence_spans as spans_of
-from ..sources import files, seeds
+from ..shared import shared_dir
+from ..sources import csv_splits, files, seeds
 from ..sources.tables import table
 
 RECORD_SCHEMA = {
@@ -129,14 +131,14 @@ dist AS (SELECT vec_id, label, CASE WHEN b IS NULL THEN NULL ELSE 1 - list_dot_p
 
 @query(f"WITH {SQL_DISTANCE} SELECT vec_id, label, round(distance, 6) AS distance FROM dist")
 def adjacent_cosine_distance(spark: SparkSession, folder: str) -> DataFrame:
-    rows = chunking.adjacent_distance(table(spark, folder, "embeddings"), "label", "vec_id", "embedding")
+    rows = series.adjacent_distance(table(spark, folder, "embeddings"), "label", "vec_id", "embedding")
     return rows.select("vec_id", "label", F.round("distance", 6).alias("distance"))
 
 
 @query(f"""WITH {SQL_DISTANCE}, t AS (SELECT label, quantile_cont(distance, 0.8) AS threshold FROM dist GROUP BY label)
 SELECT vec_id, label, round(threshold, 6) AS threshold, coalesce(distance >= threshold, false) AS is_break, CAST(sum(CAST(coalesce(distance >= threshold, false) AS INTEGER)) OVER (PARTITION BY label ORDER BY vec_id ROWS UNBOUNDED PRECEDING) AS INTEGER) AS group_no FROM dist JOIN t USING (label)""")
 def percentile_breakpoints(spark: SparkSession, folder: str) -> DataFrame:
-    rows = chunking.breakpoints(chunking.adjacent_distance(table(spark, folder, "embeddings"), "label", "vec_id", "embedding"), 80.0, "label", "vec_id")
+    rows = series.breakpoints(series.adjacent_distance(table(spark, folder, "embeddings"), "label", "vec_id", "embedding"), 80.0, "label", "vec_id")
     return rows.select("vec_id", "label", F.round("threshold", 6).alias("threshold"), "is_break", "group_no")
 
 
@@ -441,7 +443,7 @@ SELECT vec_id, round(distance, 6) AS distance, round(threshold, 6) AS threshold,
 def one_series_breakpoints(spark: SparkSession, folder: str) -> DataFrame:
     """All vectors as one series: distances, an exact percentile and running groups, with no task over its share of the key."""
     rows = table(spark, folder, "embeddings").select(F.lit("all").alias("series"), "vec_id", "embedding")
-    found = series.breakpoints(series.adjacent_distance(rows, "series", "vec_id", "embedding"), 90.0, "series", "vec_id", task_rows=1)
+    found = series.breakpoints(series.adjacent_distance(rows, "series", "vec_id", "embedding", task_rows=1), 90.0, "series", "vec_id", task_rows=1)
     return found.select("vec_id", F.round("distance", 6).alias("distance"), F.round("threshold", 6).alias("threshold"), "is_break", "group_no")
 
 
@@ -601,3 +603,46 @@ def relation_ids(spark: SparkSession, folder: str) -> DataFrame:
 def fallback_titles(spark: SparkSession, folder: str) -> DataFrame:
     said = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("x प्रबोधन  क्र. "), F.col("p_size").cast("string"), F.lit(" y"))).otherwise(F.col("p_name"))
     return table(spark, folder, "part").select("p_partkey", text.fallback_title(said, F.col("p_size")).alias("title"))
+
+
+@query("""WITH t AS (SELECT p_partkey, p_size, p_name, p_type, CASE WHEN p_size <> 5 THEN p_name ELSE '' END AS term FROM part),
+m AS (SELECT *, CASE WHEN p_size = 1 THEN 'Duplicate existing Sanatan Glossary records with code T' || p_partkey || '.' WHEN p_size = 2 THEN 'Existing glossary record is missing documentId.'
+ WHEN p_size = 3 THEN 'Existing glossary record is missing required Strapi field: definition.' WHEN p_size = 5 THEN 'Missing required artifact value: term.' END AS message FROM t)
+SELECT 'T' || p_partkey AS code, CASE WHEN message IS NOT NULL THEN 'conflict' WHEN p_size > 30 THEN 'create' WHEN p_size = 4 OR p_type <> 'ECONOMY' THEN 'update' ELSE 'matching' END AS action,
+ CASE WHEN message IS NULL AND p_size <= 30 THEN 'd' || p_partkey END AS document_id, coalesce(message, '') AS messages FROM m""")
+def glossary_plan(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as terms, against stored terms whose state follows from the part's size: two documents, no document, no definition, a term
+    that is a number, or none; the stored definition is another one for all types but one."""
+    p, size = table(spark, folder, "part"), F.col("p_size")
+    desired = p.select(F.col("p_partkey").alias("position"), F.concat(F.lit("T"), "p_partkey").alias("term_code"), F.when(size != 5, F.col("p_name")).otherwise("").alias("term"), F.col("p_type").alias("definition"))
+    document = F.concat(F.lit("d"), "p_partkey")
+    fields = [F.concat(F.lit("T"), "p_partkey").alias("code"), F.when(size == 3, None).otherwise("ECONOMY").alias("definition")]
+    plain, number = (F.to_json(F.struct(F.when(size != 2, document).alias("documentId"), F.col("p_partkey").alias("id"), F.struct(*fields, term).alias("attributes"))) for term in (F.col("p_name").alias("term"), size.alias("term")))
+    stored = p.where(size <= 30).select(F.when(size == 4, number).otherwise(plain).alias("record"), F.lit(1).alias("status_rank"), F.col("p_partkey").alias("position"))
+    twice = p.where(size == 1).select(F.to_json(F.struct(F.concat(document, F.lit("b")).alias("documentId"), *fields, F.col("p_name").alias("term"))).alias("record"), F.lit(1).alias("status_rank"), F.col("p_partkey").alias("position"))
+    existing = reconcile.glossary_existing(stored.unionByName(stored.withColumn("status_rank", F.lit(2))).unionByName(twice))
+    planned = reconcile.glossary_plan(desired, existing, seeds.TARGETS["sanatan-glossary"].display_name)
+    return planned.select("code", "action", "document_id", F.array_join("messages", " ").alias("messages"))
+
+
+@query("""SELECT 'customer' AS source, c_custkey AS row_number, 'category_code' AS "column", 'Unresolved category_code; no matching category code found: ' || c_nationkey || '.' AS message FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey < 4)
+UNION ALL SELECT 'supplier', 0, 'category_code', 'Category source validation failed; cannot validate subject references.'""")
+def category_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """References into a source without faults are looked up; into one that repeats its codes they are not."""
+    rows = lambda name, key, ref: table(spark, folder, name).select(F.col(key).alias("row_number"), F.col(ref).cast("string").alias("category_code"))
+    some = table(spark, folder, "nation").where("n_regionkey < 4")
+    sound, broken = some.select(F.col("n_nationkey").alias("row_number"), F.col("n_nationkey").cast("string").alias("category_code")), rows("customer", "c_custkey", "c_nationkey")
+    found = [
+        rules.gated_reference_issues(rows(name, key, ref), "category_code", known, "category_code", rules.duplicate_issues(known, "category_code")).select(F.lit(name).alias("source"), F.col("row_number").cast("long").alias("row_number"), "column", "message")
+        for name, key, ref, known in (("customer", "c_custkey", "c_nationkey", sound), ("supplier", "s_suppkey", "s_nationkey", broken))
+    ]
+    return found[0].unionByName(found[1])
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, sha256(coalesce(text, '')) AS text_sha256 FROM documents")
+def csv_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as CSV files, whose texts hold newlines, quotes and commas, and the records read back by splits."""
+    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    table(spark, folder, "documents").select("doc_id", "source", "text").write.csv(path, header=True, escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    records = csv_splits.csv_records(spark, path).where("row_number > 1")
+    return records.select(F.get("values", F.lit(0)).alias("doc_id"), F.get("values", F.lit(1)).alias("source"), identity.sha256_text(F.coalesce(F.get("values", F.lit(2)), F.lit(""))).alias("text_sha256"))

@@ -62,3 +62,15 @@ def publish_rows(status: DataFrame) -> DataFrame:
     """``artifacts.publication_status`` as report rows, one for each table."""
     told = notes([(F.col("status") == "not_written", "The table was asked for and not written.")])
     return row(status, "publish", F.col("name"), F.col("status"), {"position": F.col("position")}, told)
+
+
+def report_documents(log: DataFrame) -> DataFrame:
+    """One report for each run: ``run_id``, ``json`` (kinds in the order below, rows by name) and ``markdown``, the same to read."""
+    place = F.array_position(F.array(*map(F.lit, ("job", "run", "publish", "chapter"))), F.col("kind"))
+    fields = ("kind", "name", "status", "started", "ended", "counters", "notes")
+    counted = F.array_join(F.transform(F.array_sort(F.map_entries("counters")), lambda e: F.concat(e["key"], F.lit(" "), e["value"].cast("string"))), ", ")
+    line = F.concat(F.lit("- "), F.col("kind"), F.lit(" "), F.col("name"), F.lit(": "), F.col("status"), F.when(F.length(counted) > 0, F.concat(F.lit(" ("), counted, F.lit(")"))).otherwise(""), F.array_join(F.transform("notes", lambda n: F.concat(F.lit("\n  - "), n)), ""))
+    entry = F.struct(place.alias("place"), F.col("name").alias("by"), F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("json"), line.alias("line"))
+    per = log.groupBy("run_id").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    joined = lambda name, sep: F.array_join(F.transform("e", lambda e: e[name]), sep)
+    return per.select("run_id", F.concat(F.lit('{"run_id":'), F.to_json(F.array("run_id")).substr(F.lit(2), F.length(F.to_json(F.array("run_id"))) - 2), F.lit(',"rows":['), joined("json", ","), F.lit("]}")).alias("json"), F.concat(F.lit("# Run "), "run_id", F.lit("\n\n"), joined("line", "\n"), F.lit("\n")).alias("markdown"))

@@ -19,7 +19,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, InputPartition, WriterCommitMessage
 
 PAGE_SIZE = 100
@@ -41,6 +41,9 @@ class HttpTransport:
     def page(self, collection: str, query: dict) -> dict:
         return self._call("GET", collection, query)
 
+    def locales(self) -> list[dict]:
+        return self._call("GET", "i18n/locales", {})
+
     def write(self, verb: str, collection: str, document_id: str | None, locale: str | None, payload: dict) -> dict:
         """The answer: {"data": record}, which tells the id of what was created."""
         publish = {"status": "published"} | ({"locale": locale} if locale else {})
@@ -54,6 +57,19 @@ def _transport(options: dict[str, str]):
     return getattr(importlib.import_module(module), name)(options)
 
 
+def locales(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """The locales that a store knows: code, name, is_default. A store has a few, so the driver asks once."""
+    rows = [(r.get("code"), r.get("name"), bool(r.get("isDefault"))) for r in _transport(options).locales()]
+    return spark.createDataFrame(rows, "code string, name string, is_default boolean")
+
+
+def require_locales(known: DataFrame, wanted: list[str]) -> None:
+    """Raise if the store lacks one of the locales that a plan is to write."""
+    have = {r["code"] for r in known.collect()}
+    if missing := [c for c in wanted if c not in have]:
+        raise ValueError(f"the store has no locale {', '.join(missing)}")
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.options, self.filters = options, {}

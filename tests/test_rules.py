@@ -85,3 +85,15 @@ def test_lists_and_sheet_marks(spark):
     assert [r.k for r in rules.stripped(df, ["k", "v"]).orderBy("row_number").collect()] == ["a", "b", "a", "c"]
     assert {r.row_number: r.is_shared for r in rules.shared_values(df, "k").collect()} == {2: True, 3: False, 4: True, 5: False}
     assert {r.row_number: r.is_shared for r in rules.shared_values(df, "v").collect()} == {2: True, 3: False, 4: False, 5: True}
+
+
+def test_an_invalid_source_of_references_is_one_issue(spark):
+    rows = spark.createDataFrame([(2, "CAT001"), (3, "CAT009"), (4, "")], "row_number long, category_code string")
+    known = spark.createDataFrame([("CAT001",)], "code string")
+    none = spark.createDataFrame([], "severity string, row_number long, column string, message string")
+    got = lambda issues: [(r.row_number, r.message) for r in rules.gated_reference_issues(rows, "category_code", known, "code", issues).collect()]
+    assert got(none) == [(3, "Unresolved category_code; no matching category code found: CAT009.")]
+    warning, error = (spark.createDataFrame([(s, 5, "code", "x")], none.schema) for s in ("warning", "error"))
+    assert got(warning) == got(none) and got(error) == [(0, "Category source validation failed; cannot validate subject references.")]
+    empty = spark.createDataFrame([], "row_number long, values array<string>")
+    assert [r.row_number for r in rules.validate(empty, rules.SUBJECT, ("category_code", known, "code"), error).collect()] == [0]

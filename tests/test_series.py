@@ -25,7 +25,7 @@ def test_breakpoints_are_those_of_windows(spark, keys):
     rows = made(spark, 900, keys, len(keys))
     for percentile in (0.0, 37.5, 80.0, 100.0):
         same(series.breakpoints(rows, percentile, "k", "o", task_rows=1), chunking.breakpoints(rows, percentile, "k", "o"), ["k", "o", "threshold", "is_break", "group_no"])
-    same(series.adjacent_distance(rows, "k", "o", "v"), chunking.adjacent_distance(rows, "k", "o", "v"), ["k", "o", "distance"])
+    same(series.adjacent_distance(rows, "k", "o", "v", task_rows=1), chunking.adjacent_distance(rows, "k", "o", "v"), ["k", "o", "distance"])
 
 
 @pytest.mark.parametrize("spread", [1e-300, 1e300, 5.0])
@@ -38,7 +38,7 @@ def test_percentiles_of_uneven_values(spark, monkeypatch, spread):
 def test_keys_without_values_and_empty_tables(spark):
     rows = spark.createDataFrame([("a", 1, None, [1.0]), ("b", 1, 2.0, [0.0])], ROWS)
     assert {(r.k, r.threshold, r.is_break, r.group_no) for r in series.breakpoints(rows, 50.0, "k", "o", task_rows=0).collect()} == {("a", None, False, 0), ("b", 2.0, True, 1)}
-    assert series.breakpoints(rows.where("false"), 50.0, "k", "o").count() == 0 and series.adjacent_distance(rows.where("false"), "k", "o", "v").count() == 0
+    assert series.breakpoints(rows.where("false"), 50.0, "k", "o").count() == 0 and series.adjacent_distance(rows.where("false"), "k", "o", "v", task_rows=-1).count() == 0 and series.breakpoints(rows.where("false"), 50.0, "k", "o", task_rows=-1).count() == 0
 
 
 def test_one_key_is_many_ranges(spark):

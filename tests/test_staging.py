@@ -1,6 +1,7 @@
 """Staged tables, append-only reports, invalidation in tasks."""
 
 import hashlib
+import json
 import os
 
 import pytest
@@ -73,6 +74,9 @@ def test_reports_are_appended_once(spark, tmp_path):
     assert (rows["chapter", "2"].status, rows["chapter", "2"].notes) == ("not_published", ["The chapter was not published.", "The chapter has no words.", "No marker was found."])
     assert (rows["run", "prep-subject"].status, rows["run", "prep-subject"].counters) == ("partial", {"chapters": 2, "published": 1, "words": 5})
     assert {n: rows["publish", n].status for n in ("full_subject", "chapters", "manifest")} == {"full_subject": "not_asked", "chapters": "written", "manifest": "not_written"}
+    told = {r.run_id: r for r in run_log.report_documents(got).collect()}
+    assert json.loads(told["2024-01"].json)["rows"][1]["counters"] == {"chapters": 2, "published": 1, "words": 5} and len(json.loads(told["2024-02"].json)["rows"]) == 14
+    assert told["2024-01"].markdown.startswith("# Run 2024-01\n\n- job prep-subject: started (settings 1)\n  - audit_schema_version: 1.0.0\n") and "- chapter 2: not_published (words 0)\n  - The chapter was not published.\n" in told["2024-01"].markdown
     with pytest.raises(ValueError, match="without slashes"):
         run_log.append(report, log, "a/b", "0")
 

@@ -162,3 +162,22 @@ def test_canonical_json_of_other_kinds(spark):
 def test_fingerprint_is_of_sorted_keys(spark):
     df = spark.createDataFrame([("x", None)], "b string, a int")
     assert df.select(identity.record_fingerprint(F.struct("b", "a"), df.schema)).first()[0] == hashlib.sha256(b'{"a":null,"b":"x"}').hexdigest()
+
+
+def test_locales(spark):
+    class Locales:
+        def __init__(self, options):
+            pass
+
+        def locales(self):
+            return [{"code": "en", "name": "English", "isDefault": True}, {"code": "hi-IN", "name": "Hindi"}]
+
+    import sys
+
+    sys.modules["locales_of_test"] = type(sys)("locales_of_test")
+    sys.modules["locales_of_test"].Locales = Locales
+    known = cms.locales(spark, {"transport": "locales_of_test:Locales"})
+    assert sorted(map(tuple, known.collect())) == [("en", "English", True), ("hi-IN", "Hindi", False)]
+    cms.require_locales(known, ["en", "hi-IN"])
+    with pytest.raises(ValueError, match="mr-IN"):
+        cms.require_locales(known, ["en", "mr-IN"])
