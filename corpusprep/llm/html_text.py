@@ -16,14 +16,16 @@ Null and empty html give the empty text. Broken markup is read as browsers do in
 ends an open paragraph, end tags close what is open inside them, stray end tags are passed over, an
 unfinished page ends all. Time grows with a page's length however it is nested or broken. Ties of odds (a node as well
 inside as outside) go to outside. An empty table gives an empty table. Repeated rows come back each; other columns pass
-through by name, whatever their names, and one named like the output is replaced by it. In a table without any page that
-has article or main there is nothing to learn from: then every element outside the boilerplate tags is kept.
+through by name, whatever their names, and one named like the output is replaced by it. Where no page of a table has article or main, labels
+come from what pages share: text that many other pages have too tells of no article, and the article is the deepest element that holds
+most of a page's other text. Where no page has any text there is nothing to learn and nothing to keep.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -390,16 +392,53 @@ def extract(pages: list[str | None], trees: Trees | None) -> list[str]:
 BOILERPLATE = frozenset("nav header footer aside form menu dialog button select head".split())
 
 
-def _teach(page: str) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-    """Features, labels from the page's markup, and weights of its nodes; None without a telling tag."""
+#: Words that mark a part of a page as no article wherever they stand.
+APART = GROUPS["advert"] | GROUPS["comment"] | GROUPS["notice"] | GROUPS["menu"] | GROUPS["side"]
+#: Of a page's plain text of its own, the share that the root of its article holds.
+MOST = 0.75
+OFTEN = 0.05
+
+
+def _own_text(x: Node) -> str:
+    return " ".join(" ".join(p for p in x.parts if type(p) is str).split())
+
+
+def _is_bad(x: Node) -> bool:
+    return x.hidden or x.tag in BOILERPLATE or not x.names.isdisjoint(APART)
+
+
+def _densest(nodes: list[Node], shared: frozenset[str]) -> Node | None:
+    """Of a page without telling tags the root of its article: the deepest node that holds MOST of the text that is plain (no link, nothing
+    apart) and the page's own (``shared`` has texts that other pages have too); None without such text."""
+    plain, apart = np.zeros(len(nodes)), [False] * len(nodes)
+    for i, x in enumerate(nodes):
+        apart[i] = _is_bad(x) or x.tag == "a" or x.parent is not None and apart[x.parent.order]
+        text = _own_text(x)
+        if not apart[i] and text not in shared:
+            plain[i] = len(text)
+    total = plain.sum()
+    if not total:
+        return None
+    for x in reversed(nodes[1:]):  # children before parents
+        plain[x.parent.order] += plain[x.order]
+    return max((x for x in nodes if plain[x.order] >= MOST * total), key=lambda x: (x.depth, -x.order))
+
+
+def _teach(page: str, shared: frozenset[str] = frozenset()) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Features, labels and weights of a page's nodes. Labels come from its markup, or where it has no telling tag from what its text
+    shares with other pages (see ``_densest``); None where that tells nothing either."""
     nodes = _walk(parse(page))
-    if not any(x.tag in ("article", "main") or "data-in" in x.names for x in nodes):
+    marked = any(x.tag in ("article", "main") or "data-in" in x.names for x in nodes)
+    root = None if marked else _densest(nodes, shared)
+    if not marked and root is None:
         return None
     label = np.zeros(len(nodes))
     for i, x in enumerate(nodes[1:], 1):
         above = label[x.parent.order]
-        bad = x.hidden or x.tag in BOILERPLATE or not x.names.isdisjoint(GROUPS["advert"] | GROUPS["comment"] | GROUPS["notice"] | GROUPS["menu"] | GROUPS["side"])
-        label[i] = 0 if bad else 1 if x.tag in ("article", "main") else above
+        if not marked:
+            label[i] = 0 if _is_bad(x) else 1 if x is root else above
+            continue
+        label[i] = 0 if _is_bad(x) else 1 if x.tag in ("article", "main") else above
         if above == 0 and x.parent.tag not in ("#page", "html", "body", "div", "section"):
             label[i] = 0 if x.tag not in ("article", "main") else label[i]
     x, own = node_features(nodes)
@@ -418,7 +457,7 @@ INSERTS = (
 )
 
 
-def _altered(page: str, seed: int, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+def _altered(page: str, seed: int, texts: list[str], shared: frozenset[str] = frozenset()) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """The page's lesson with boilerplate put in, and (half the time) the article's own tag hidden from the features."""
     rng = np.random.default_rng(seed)
     for _ in range(int(rng.integers(1, 4))):
@@ -427,7 +466,7 @@ def _altered(page: str, seed: int, texts: list[str]) -> tuple[np.ndarray, np.nda
         if spots:
             at = spots[int(rng.integers(len(spots)))]
             page = page[:at] + piece + page[at:]
-    got = _teach(page)
+    got = _teach(page, shared)
     if got is not None and rng.random() < 0.5:
         groups = list(GROUPS)
         a = FEATURES - 2 * len(GROUPS) + groups.index("article")
@@ -435,26 +474,37 @@ def _altered(page: str, seed: int, texts: list[str]) -> tuple[np.ndarray, np.nda
     return got
 
 
-def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 200, max_chars: int = 4_000_000, forms: int = 3) -> Trees | None:
-    """Fit on pages with telling markup, each as it is and in ``forms`` altered forms: a bounded sample that comes to the
-    driver, the first ``max_pages`` by a hash as long as they have ``max_chars`` characters together (a longer page is passed over)."""
-    marked = pages.where(F.col(html_col).rlike("(?i)<(article|main)[ >]") & (F.length(html_col) <= max_chars))
-    named = marked.select(F.xxhash64(F.col(id_col).cast("string"), F.col(html_col)).alias("_h"), F.col(html_col).alias("_html"))
+def _sample(pages: DataFrame, id_col: str, html_col: str, max_pages: int, max_chars: int) -> list[str]:
+    """The first ``max_pages`` pages by a hash, as long as they have ``max_chars`` characters together (a longer page is passed over)."""
+    named = pages.where(F.length(html_col) <= max_chars).select(F.xxhash64(F.col(id_col).cast("string"), F.col(html_col)).alias("_h"), F.col(html_col).alias("_html"))
     first = named.groupBy("_h").agg(F.max(F.length("_html")).cast("long").alias("_n")).orderBy("_h").limit(max_pages)
     so_far = F.sum("_n").over(Window.orderBy("_h").rowsBetween(Window.unboundedPreceding, 0))  # over at most max_pages rows
     chosen = first.withColumn("_upto", so_far).where((F.col("_upto") <= max_chars) | (F.col("_upto") == F.col("_n"))).select("_h")
     rows = named.join(F.broadcast(chosen), "_h", "left_semi").select("_html").distinct().collect()
-    sample = sorted(r["_html"] for r in rows)
+    return sorted(r["_html"] for r in rows)
+
+
+def shared_texts(pages: list[str]) -> frozenset[str]:
+    """Own texts of nodes that two pages or more have, and more than OFTEN of all: copies of an article are rarer than a menu."""
+    seen = Counter(t for p in pages for t in {_own_text(x) for x in _walk(parse(p))})
+    return frozenset(t for t, n in seen.items() if t and n > max(1, OFTEN * len(pages)))
+
+
+def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 200, max_chars: int = 4_000_000, forms: int = 3) -> Trees | None:
+    """Fit on a bounded sample (``max_pages``, ``max_chars`` together) that comes to the driver, of pages with telling markup, or of all pages
+    where no page has it; each page as it is and in ``forms`` altered forms. None where no page has text to learn from."""
+    sample, shared = _sample(pages.where(F.col(html_col).rlike("(?i)<(article|main)[ >]")), id_col, html_col, max_pages, max_chars), frozenset()
     if not sample:
-        return None
+        sample = _sample(pages.where(F.col(html_col).isNotNull()), id_col, html_col, max_pages, max_chars)
+        shared = shared_texts(sample)
     texts = [" ".join(entities.unescape(re.sub(r"<[^>]*>", " ", m)).split()) or "x" for p in sample for m in re.findall(r"<p>(.*?)</p>", p, re.S)[:3]] or ["x"]
-    lessons = [x for p in sample if (x := _teach(p)) is not None]
-    lessons += [x for p in sample for k in range(forms) if (x := _altered(p, xxhash.xxh32_intdigest(p, k), texts)) is not None]
-    return boost(*(np.concatenate(c) for c in zip(*lessons, strict=True)))
+    lessons = [x for p in sample if (x := _teach(p, shared)) is not None]
+    lessons += [x for p in sample for k in range(forms) if (x := _altered(p, xxhash.xxh32_intdigest(p, k), texts, shared)) is not None]
+    return boost(*(np.concatenate(c) for c in zip(*lessons, strict=True))) if lessons else None
 
 
 def extract_text(pages: DataFrame, trees: Trees | None, html_col: str = "html", out_col: str = "text") -> DataFrame:
-    """``pages`` with ``out_col``. Without trees (no page to learn from) every element outside the boilerplate tags is kept."""
+    """``pages`` with ``out_col``. Without trees (no page had text) every element outside the boilerplate tags is kept."""
     small_batches(pages.sparkSession)
     shared = pages.sparkSession.sparkContext.broadcast(trees)
 

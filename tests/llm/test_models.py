@@ -423,6 +423,22 @@ def test_html(spark):
     assert html_text.extract_text(df.limit(0), None).count() == 0
 
 
+def test_html_without_telling_tags(spark):
+    """The same pages with plain containers: labels come from what pages share, and boosted trees are in use."""
+    rng = np.random.default_rng(4)
+    text = lambda: " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(int(rng.integers(5, 40))))
+    made = [[text() for _ in range(3)] for _ in range(60)]
+    plain = PAGE.replace("<article>", "<div>").replace("</article>", "</div>").replace("<main>", "<div>").replace("</main>", "</div>")
+    df = spark.createDataFrame([(i, plain.replace("{0}", m[0]).replace("{1}", m[1]).replace("{2}", m[2])) for i, m in enumerate(made)] + [(99, None)], "page_id long, html string")
+    assert "article" not in plain and "main" not in plain
+    trees = html_text.train(df)
+    assert trees is not None
+    out = {r.page_id: r.text for r in html_text.extract_text(df, trees).collect()}
+    want = lambda m: f"Head {m[0]} & more\n\nFirst {m[1]}, with words.\n\nSecond <{m[2]}>, a longer one. It goes on.\n\npoint {m[0]}"
+    assert sum(out[i] == want(m) for i, m in enumerate(made)) >= 55 and out[99] == ""
+    assert html_text.train(df.where("html is null")) is None
+
+
 def test_parser():
     root = html_text.parse("<ul><li>a<li>b<ul><li>c</ul></ul><p>x<div>y</div>z<table><tr><td>1<td>2</table><p hidden>q")
     nodes = html_text._walk(root)
