@@ -267,23 +267,28 @@ class Learner:
 
     def learn(self, st: list[np.ndarray], gate: np.ndarray, bits: np.ndarray, times: np.ndarray | None) -> None:
         dot, at = self.mixer.mix(st, gate)
-        p, ones, size = 1 / (1 + np.exp(-dot)), bits.astype(np.float32), GATES * BUCKETS
-        err, v = ones - p, p * (1 - p)
+        np.exp(np.negative(dot, out=dot), out=dot)
+        dot += 1
+        p, ones, size = np.reciprocal(dot, out=dot), bits.astype(np.float32), GATES * BUCKETS
+        err, v = ones - p, p - p * p
         if times is not None:
             err, v, ones = err * times, v * times, ones * times
         self.map[0] += np.bincount(at, ones, size)
         self.map[1] += np.bincount(at, times, size)
-        # all bits, gate by gate: the products of inputs are one matrix product each
+        # all bits, gate by gate: the products of inputs, and of inputs and errors, are one matrix product each
         n, order, slope = len(st) + 1, np.argsort(gate.astype(np.uint8), kind="stable"), np.zeros((GATES, len(st) + 1))
-        x = np.ones((n, len(gate)), np.float32)
+        x, y = np.ones((n, len(gate)), np.float32), np.empty((n + 1, len(gate)), np.float32)
         for k, one in enumerate(st):
-            x[k] = one.take(order)
-        err, vx = err.take(order), x * v.take(order)
-        ends = np.cumsum(np.bincount(gate, minlength=GATES))
-        for g in np.unique(gate).tolist():
-            own = slice(ends[g - 1] if g else 0, ends[g])
-            self.curve[g] += vx[:, own] @ x[:, own].T
-            slope[g] = x[:, own] @ err[own]
+            np.take(one, order, out=x[k], mode="clip")
+        np.multiply(x, v.take(order), out=y[:n])
+        np.take(err, order, out=y[n], mode="clip")
+        begin = 0
+        for g, end in enumerate(np.cumsum(np.bincount(gate, minlength=GATES)).tolist()):
+            if end > begin:
+                both = y[:, begin:end] @ x[:, begin:end].T
+                self.curve[g] += both[:n]
+                slope[g] = both[n]
+            begin = end
         self.blocks += 1
         self.mixer.weights += np.clip(np.linalg.solve(self.curve + 10 * np.eye(n), slope[:, :, None])[:, :, 0], -0.25, 0.25)
 
@@ -561,6 +566,11 @@ def byte_counts(rare: DataFrame) -> np.ndarray:
     return np.ones(256) if sums is None else sums + 1
 
 
+def in_steps(x: Column, step: int = 1 << 24) -> Column:
+    """The sum of ``x`` in steps of 1/``step``, the same in whatever order rows come."""
+    return F.sum(F.rint(x * step).cast("long")) / step
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1, max_head: int = 1 << 16) -> DataFrame:
     """Per row of ``docs``: ``id_col``, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
     spark, context = docs.sparkSession, docs.sparkSession.sparkContext
@@ -620,8 +630,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     spelt = rare.mapInArrow(spell, "word string, c long, bits double")
     met = dealt.select("rid", F.explode(F.arrays_zip("rest", "n")).alias("x")).select("rid", F.col("x.rest").alias("word"), F.col("x.n").alias("n"))
     tail = met.join(spelt, "word").groupBy("rid").agg(
-        # decimals add up to the same sum in any order
-        F.sum((F.col("n") * F.col("bits")).cast("decimal(28,10)")).cast("double").alias("t_bits"), F.sum((F.col("n") * F.log10(F.col("c") + 0.5)).cast("decimal(28,10)")).cast("double").alias("t_base"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("t_known")
+        # whole numbers add up to the same sum in any order
+        in_steps(F.col("n") * F.col("bits")).alias("t_bits"), in_steps(F.col("n") * F.log10(F.col("c") + 0.5)).alias("t_base"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("t_known")
     )
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     rows = dealt.select("ids", "rid", id_col, "train", "n_bytes").mapInArrow(score_rows, f"rid long, `{id_col}` {kind}, train boolean, n_bytes long, n_tokens long, bits double, base double, known long")
