@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.llm import decontaminate, line_dedup, pieces, simhash, toxicity
-from corpusprep.llm.common import materialize, table
+from corpusprep.llm.common import discard, materialize, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -62,9 +62,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
             docs = materialize(docs)
+            if before is not None:  # all that the next stage needs is written
+                discard(before)
+            before = docs
     return docs
