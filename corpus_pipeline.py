@@ -44,7 +44,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sampled pieces of each document, and whether they spell its text."""
-    both = pieces.decode(pieces.encode(docs.select(*COLUMNS)))
+    both = pieces.round_trip(docs.select(*COLUMNS))
     return both.select("doc_id", "lang", "source", "n_chars", F.size("pieces").cast("long").alias("n_pieces"), "pieces", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
 
 

@@ -14,7 +14,7 @@ from .common import table
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampled segmentation of every text, decoded again and held against the text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = pieces.decode(pieces.encode(docs))
+    both = pieces.round_trip(docs)
     given = F.coalesce("text", F.lit(""))
     return both.select(
         "doc_id", F.char_length(given).cast("long").alias("n_chars"), F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_xxh64"),

@@ -40,6 +40,34 @@ def test_round_trip(spark):
     assert pieces.encode(frame(spark, [])).count() == 0
 
 
+def test_round_trip_in_one_pass(spark):
+    """What encode and decode give, with one Python step in the plan."""
+    df = frame(spark, [*ODD, (7, "œ 漢字 " * 40), (8, " ".join(f"w{i}x" for i in range(9000)))])
+    got, two = pieces.round_trip(df), pieces.decode(pieces.encode(df))
+    assert got.columns == two.columns and got.dtypes == two.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, two.collect()))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert pieces.round_trip(frame(spark, [])).count() == 0
+
+
+def test_forgotten_words_take_no_room(lattices):
+    """Lattices of words seen once go with their group; a word's lattice is the same whatever words it is learnt with."""
+    lattices.clear()
+    pieces.sample(lattices, ["one two"], [1])
+    used = lattices.used
+    assert used == (0, 0, 0) and not lattices.words
+
+    def of(words):
+        lattices.clear()
+        lattices.add(words)
+        b = int(lattices.bases[lattices.words[" lattice"]])
+        a, z = int(lattices.first[b]), int(lattices.first[b + 8])
+        return lattices.cum[a:z].tolist(), lattices.ids[a:z].tolist(), lattices.back[a:z].tolist()
+
+    many = [f" w{i}é" for i in range(9000)]
+    assert of([" lattice"]) == of([*many, " lattice", "漢"]) == of([" lattice", *many])
+
+
 def segmentations(word, known):
     """All ways to spell a word, with their weights."""
     if not word:
