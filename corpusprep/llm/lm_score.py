@@ -46,7 +46,8 @@ from .common import materialize, partitions, small_batches
 END = ""  # the empty word: the end of a text
 ESCAPE = 1  # the symbol of a token that is spelled; END is symbol 0
 NEVER = np.int64(1 << 40)
-BLOCK = 2048  # symbols that are worked on at once
+BLOCK = 2048  # symbols that are worked on at once; a step of the weights is made after each block
+TOLD = 4096  # the same where nothing is learnt and the result doesn't hang on it
 SEGMENT = 1 << 16
 UNSEEN = 128  # of a table's bytes: log odds in steps of 1/STEP around it
 STEP = 15
@@ -150,21 +151,33 @@ TOKENS = Kind("tokens", token_contexts, lambda ids: np.where(ids >= 0, ids, ESCA
 LETTERS = Kind("letters", letter_contexts, lambda raw: raw, LETTER_BITS)
 
 
-def bits_of(kind: Kind, code: Code, values: np.ndarray, place: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """Block by block: which symbols, the number of bits of each, the bits' signs (the bit, and twice a step of depth), and
-    their slots in each table."""
+def spelt_out(code: Code, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of these symbols: the number of bits of each, and of all bits one after another the places and the signs (the bit, and
+    twice a step of depth)."""
+    size = code.size.take(s)
+    at = np.repeat(code.start.take(s) - np.cumsum(size) + size, size)
+    at += np.arange(len(at))
+    nodes = code.nodes.take(at, mode="clip")
+    signs = nodes & np.uint32(7)
+    nodes ^= signs
+    return size, nodes, signs
+
+
+def slots_of(context: np.ndarray, size: np.ndarray, nodes: np.ndarray, bits: int) -> np.ndarray:
+    x = np.repeat(context, size)
+    x ^= nodes
+    x *= _M
+    x >>= np.uint32(32 - bits)
+    return x.astype(np.int64)
+
+
+def bits_of(kind: Kind, code: Code, values: np.ndarray, place: np.ndarray, block: int = BLOCK) -> Iterator[tuple[slice, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Block by block: which symbols, the number of bits of each, the bits' signs, and their slots in each table."""
     symbols, contexts = kind.symbols(values), kind.contexts(values, place)
-    for lo in range(0, len(symbols), BLOCK):
-        part = slice(lo, lo + BLOCK)
-        s = symbols[part]
-        size = code.size.take(s)
-        at = np.repeat(code.start.take(s) - np.cumsum(size) + size, size)
-        at += np.arange(len(at))
-        nodes = code.nodes.take(at, mode="clip")
-        signs = nodes & np.uint32(7)
-        nodes ^= signs
-        slots = [((np.repeat(c[part], size) ^ nodes) * _M >> np.uint32(32 - b)).astype(np.int64) for c, b in zip(contexts, kind.bits, strict=True)]
-        yield part, size, signs, slots
+    for lo in range(0, len(symbols), block):
+        part = slice(lo, lo + block)
+        size, nodes, signs = spelt_out(code, symbols[part])
+        yield part, size, signs, [slots_of(c[part], size, nodes, b) for c, b in zip(contexts, kind.bits, strict=True)]
 
 
 # tables of counts
@@ -184,36 +197,59 @@ def as_bytes(zeros: np.ndarray, ones: np.ndarray) -> tuple[bytes, bytes]:
 
 
 class Counts:
-    """Zeros and ones of every slot, side by side. Keys are gathered and sorted, so that tables are walked in order."""
+    """Zeros and ones of every slot, side by side. Symbols are gathered with their contexts: what occurs again is told once, with
+    its count, and as contexts come in order the same slots are met one after another."""
 
-    gather = 1 << 20
+    gather = 1 << 19
 
     def __init__(self, kind: Kind) -> None:
-        self.of = [np.zeros(2 << b, np.uint32) for b in kind.bits]
+        self.kind, self.of = kind, [np.zeros(2 << b, np.uint32) for b in kind.bits]
         self.keys: list[list[np.ndarray]] = [[] for _ in kind.bits]
+        self.times: list[np.ndarray] = []
         self.n = 0
 
     def add(self, slots: list[np.ndarray], bits: np.ndarray, times: np.ndarray | None) -> None:
-        for count, keys, s in zip(self.of, self.keys, slots, strict=True):
+        for count, s in zip(self.of, slots, strict=True):
+            np.add.at(count, 2 * s + bits, np.uint32(1) if times is None else times.astype(np.uint32))
+
+    def add_symbols(self, code: Code, values: np.ndarray, place: np.ndarray, times: np.ndarray | None) -> None:
+        """The bits of these symbols, each ``times``."""
+        symbols = self.kind.symbols(values).astype(np.uint64)
+        for keys, c in zip(self.keys, self.kind.contexts(values, place), strict=True):
+            keys.append(c.astype(np.uint64) << np.uint64(32) | symbols)
+        if times is not None:
+            self.times.append(times.astype(np.uint32))
+        self.n += len(symbols)
+        if self.n > self.gather:
+            self.settle(code)
+
+    def settle(self, code: Code) -> None:
+        times = np.concatenate(self.times) if self.times else None
+        for count, keys, b in zip(self.of, self.keys, self.kind.bits, strict=True):
+            if not keys:
+                continue
+            x = np.concatenate(keys)
+            keys.clear()
             if times is None:
-                keys.append(s.astype(np.uint32) << 1 | bits)
+                x.sort()
             else:
-                np.add.at(count, 2 * s + bits, times.astype(np.uint32))
-        self.n += len(bits)
-        if self.n > self.gather:
-            self.settle()
-
-    def settle(self) -> None:
-        for count, keys in zip(self.of, self.keys, strict=True):
-            if keys:
-                x = np.sort(np.concatenate(keys))
-                first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
-                count[x[first]] += np.diff(np.r_[first, len(x)]).astype(np.uint32)
-                keys.clear()
+                order = np.argsort(x)
+                x = x.take(order)
+            first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+            n = np.diff(np.r_[first, len(x)]).astype(np.uint32) if times is None else np.add.reduceat(times.take(order), first, dtype=np.uint32)
+            x = x.take(first)
+            context, symbols = (x >> np.uint64(32)).astype(np.uint32), (x & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            for lo in range(0, len(x), TOLD):
+                part = slice(lo, lo + TOLD)
+                size, nodes, signs = spelt_out(code, symbols[part])
+                at = slots_of(context[part], size, nodes, b)
+                at <<= 1
+                at |= signs & np.uint32(1)
+                np.add.at(count, at, np.repeat(n[part], size))
+        self.times.clear()
         self.n = 0
 
     def finished(self) -> np.ndarray:
-        self.settle()
         return np.concatenate(self.of)
 
 
@@ -266,29 +302,37 @@ class Learner:
         self.curve, self.map, self.blocks = np.zeros((GATES, n, n)), np.zeros((2, GATES * BUCKETS)), 0
 
     def learn(self, st: list[np.ndarray], gate: np.ndarray, bits: np.ndarray, times: np.ndarray | None) -> None:
-        dot, at = self.mixer.mix(st, gate)
+        # all bits in the order of their gates: what is mixed, and the products of inputs and errors, are matrix products of each
+        n, m, size = len(st) + 1, len(gate), GATES * BUCKETS
+        order, many = np.argsort(gate.astype(np.uint8), kind="stable"), np.bincount(gate, minlength=GATES)
+        spans = [(g, end - k, end) for g, (k, end) in enumerate(zip(many.tolist(), np.cumsum(many).tolist(), strict=True)) if k]
+        x, y, dot = np.ones((n, m), np.float32), np.empty((n + 1, m), np.float32), np.empty(m, np.float32)
+        for k, one in enumerate(st):
+            np.take(one, order, out=x[k], mode="clip")
+        weights, slope = self.mixer.weights.astype(np.float32), np.zeros((GATES, n))
+        for g, begin, end in spans:
+            np.matmul(weights[g], x[:, begin:end], out=dot[begin:end])
+        np.clip(dot, -12, 12, out=dot)
+        at = np.rint(np.clip(dot, -8, 8) * np.float32((BUCKETS - 1) / 16)).astype(np.int64)
+        at += np.repeat(np.arange(GATES) * BUCKETS + (BUCKETS - 1) // 2, many)
         np.exp(np.negative(dot, out=dot), out=dot)
         dot += 1
-        p, ones, size = np.reciprocal(dot, out=dot), bits.astype(np.float32), GATES * BUCKETS
-        err, v = ones - p, p - p * p
+        p, bits = np.reciprocal(dot, out=dot), bits.take(order)
+        err, v = bits.astype(np.float32) - p, p - p * p
         if times is not None:
-            err, v, ones = err * times, v * times, ones * times
-        self.map[0] += np.bincount(at, ones, size)
-        self.map[1] += np.bincount(at, times, size)
-        # all bits, gate by gate: the products of inputs, and of inputs and errors, are one matrix product each
-        n, order, slope = len(st) + 1, np.argsort(gate.astype(np.uint8), kind="stable"), np.zeros((GATES, len(st) + 1))
-        x, y = np.ones((n, len(gate)), np.float32), np.empty((n + 1, len(gate)), np.float32)
-        for k, one in enumerate(st):
-            np.take(one, order, out=x[k], mode="clip")
-        np.multiply(x, v.take(order), out=y[:n])
-        np.take(err, order, out=y[n], mode="clip")
-        begin = 0
-        for g, end in enumerate(np.cumsum(np.bincount(gate, minlength=GATES)).tolist()):
-            if end > begin:
-                both = y[:, begin:end] @ x[:, begin:end].T
-                self.curve[g] += both[:n]
-                slope[g] = both[n]
-            begin = end
+            times = times.take(order)
+            err, v = err * times, v * times
+        at <<= 1
+        at |= bits
+        seen = np.bincount(at, times, 2 * size).reshape(size, 2)
+        self.map[0] += seen[:, 1]
+        self.map[1] += seen.sum(axis=1)
+        np.multiply(x, v, out=y[:n])
+        y[n] = err
+        for g, begin, end in spans:
+            both = y[:, begin:end] @ x[:, begin:end].T
+            self.curve[g] += both[:n]
+            slope[g] = both[n]
         self.blocks += 1
         self.mixer.weights += np.clip(np.linalg.solve(self.curve + 10 * np.eye(n), slope[:, :, None])[:, :, 0], -0.25, 0.25)
 
@@ -311,11 +355,11 @@ class Learner:
 def log2_of(kind: Kind, code: Code, table: np.ndarray, mixer: Mixer, values: np.ndarray, place: np.ndarray) -> np.ndarray:
     """log2 of the model's probability of each symbol."""
     out = np.zeros(len(values))
-    for part, size, signs, slots in bits_of(kind, code, values, place):
+    for part, size, signs, slots in bits_of(kind, code, values, place, TOLD):
         p = mixer.predict(*looked_up(table, kind, slots, signs))
-        each = np.log2(np.maximum(np.where(signs & 1, p, 1 - p), np.float32(1e-12)))
+        each = np.log(np.maximum(np.where(signs & 1, p, 1 - p), np.float32(1e-12)))
         out[part] = np.add.reduceat(each, np.cumsum(size) - size)
-    return out
+    return out / np.log(2)
 
 
 # streams of symbols out of Arrow batches: values, place of each in its text or word, and how often it counts
@@ -328,9 +372,11 @@ def _places(lens: np.ndarray) -> np.ndarray:
 
 
 def fed_tokens(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, None]:
-    """Column 0: the token numbers of each text."""
-    lens = np.diff(b.column(0).offsets.to_numpy())
-    return b.column(0).flatten().to_numpy().astype(np.int64), _places(lens), None
+    """Column 0: the token numbers of each text, as a list or as the bytes of 32-bit numbers."""
+    x = b.column(0)
+    if pa.types.is_list(x.type):
+        return x.flatten().to_numpy().astype(np.int64), _places(np.diff(x.offsets.to_numpy())), None
+    return np.frombuffer(b"".join(x.to_pylist()), np.int32).astype(np.int64), _places(pc.binary_length(x).to_numpy() // 4), None
 
 
 def fed_letters(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -370,12 +416,13 @@ def count_tables(rows: DataFrame, feed: Feed, kind: Kind, shared: Broadcast) ->
         code, counts = shared.value, Counts(kind)
         for b in batches:
             values, place, times = feed(b)
-            for part, size, signs, slots in bits_of(kind, code, values, place):
-                counts.add(slots, signs & 1, None if times is None else np.repeat(times[part], size))
-        whole = counts.finished().reshape(-1, 2 * SEGMENT)
-        for k in np.flatnonzero(whole.any(axis=1)).tolist():  # counts of one byte, and the few that are larger
-            large = np.flatnonzero(whole[k] > 255).astype(np.int32)
-            parts = whole[k].astype(np.uint8), large, whole[k][large] - (whole[k][large] & 255)
+            counts.add_symbols(code, values, place, times)
+        counts.settle(code)
+        for k, whole in enumerate(x for count in counts.of for x in count.reshape(-1, 2 * SEGMENT)):
+            if not whole.any():
+                continue
+            large = np.flatnonzero(whole > 255).astype(np.int32)  # counts of one byte, and the few that are larger
+            parts = whole.astype(np.uint8), large, whole[large] - (whole[large] & 255)
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], names=["segment", "low", "at", "more"])
 
     def add_up(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -524,8 +571,8 @@ def count_words(texts: DataFrame, most: int = 3_000_000) -> DataFrame:
 
 
 def number(texts: DataFrame, id_col: str, words: Broadcast) -> DataFrame:
-    """Per row: ``rid``, the id, ``train``, ``n_bytes``, ``ids`` (token numbers in order; below zero a hash of another token),
-    ``rest`` and ``n``: other tokens and their counts."""
+    """Per row: ``rid``, the id, ``train``, ``n_bytes``, ``ids`` (token numbers in order, below zero a hash of another token, as
+    bytes of 32-bit numbers: nothing in Spark looks at one of them), ``rest`` and ``n``: other tokens and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = pa.array(words.value, pa.string())
@@ -541,15 +588,16 @@ def number(texts: DataFrame, id_col: str, words: Broadcast) -> DataFrame:
             distinct, n = np.unique(row[other] * max(len(hashes), 1) + codes, return_counts=True)
             n_rest = np.bincount(distinct // max(len(hashes), 1), minlength=len(lens))
             ends = np.cumsum(lens)
-            lists = [pa.array(np.r_[0, np.cumsum(k)].astype(np.int32)) for k in (lens + 1, n_rest)]
+            lists = pa.array(np.r_[0, np.cumsum(n_rest)].astype(np.int32))
+            ids, stops = np.insert(own, ends, 0).astype(np.int32).tobytes(), (4 * np.cumsum(lens + 1)).tolist()
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:3], pc.fill_null(pc.binary_length(b.column(3)), 0).cast(pa.int64()), pa.ListArray.from_arrays(lists[0], pa.array(np.insert(own, ends, 0))),
-                 pa.ListArray.from_arrays(lists[1], rest.dictionary.take(pa.array(distinct % max(len(hashes), 1)))), pa.ListArray.from_arrays(lists[1], pa.array(n.astype(np.int32)))],
+                [*b.columns[:3], pc.fill_null(pc.binary_length(b.column(3)), 0).cast(pa.int64()), pa.array([ids[a:z] for a, z in zip([0, *stops], stops, strict=False)], pa.binary()),
+                 pa.ListArray.from_arrays(lists, rest.dictionary.take(pa.array(distinct % max(len(hashes), 1)))), pa.ListArray.from_arrays(lists, pa.array(n.astype(np.int32)))],
                 names=["rid", id_col, "train", "n_bytes", "ids", "rest", "n"],
             )
 
     kind = texts.schema[id_col].dataType.simpleString()
-    return texts.select("rid", id_col, "train", "text").mapInArrow(run, f"rid long, `{id_col}` {kind}, train boolean, n_bytes long, ids array<int>, rest array<string>, n array<int>")
+    return texts.select("rid", id_col, "train", "text").mapInArrow(run, f"rid long, `{id_col}` {kind}, train boolean, n_bytes long, ids binary, rest array<string>, n array<int>")
 
 
 def byte_counts(rare: DataFrame) -> np.ndarray:
@@ -566,9 +614,11 @@ def byte_counts(rare: DataFrame) -> np.ndarray:
     return np.ones(256) if sums is None else sums + 1
 
 
-def in_steps(x: Column, step: int = 1 << 24) -> Column:
-    """The sum of ``x`` in steps of 1/``step``, the same in whatever order rows come."""
-    return F.sum(F.rint(x * step).cast("long")) / step
+def in_steps(x: Column, bits: int = 36) -> Column:
+    """The sum of ``x``, the same in whatever order rows come: whole parts, and what is left in steps of 2 to the power -``bits``,
+    are added up as whole numbers."""
+    whole = F.floor(x)
+    return F.sum(whole) + F.sum(F.rint((x - whole) * float(1 << bits)).cast("long")) / float(1 << bits)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1, max_head: int = 1 << 16) -> DataFrame:
@@ -624,7 +674,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
                 first, known = np.flatnonzero(place == 0), np.maximum(ids, 0)
                 own = log2_of(TOKENS, code.value, *token_model.value, ids, place)
                 sums = [np.add.reduceat(x, first) for x in (own, np.where(ids >= 0, base[known], 0.0), ((ids >= 0) & (c[known] > 0)).astype(np.int64))]
-                yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(np.diff(b.column(0).offsets.to_numpy()).astype(np.int64)), *map(pa.array, sums)], names=["rid", id_col, "train", "n_bytes", "n_tokens", "bits", "base", "known"])
+                yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(np.diff(np.r_[first, len(ids)])), *map(pa.array, sums)], names=["rid", id_col, "train", "n_bytes", "n_tokens", "bits", "base", "known"])
 
     # rare tokens: a join with the table of all of them
     spelt = rare.mapInArrow(spell, "word string, c long, bits double")
