@@ -30,7 +30,7 @@ costs one bit. An empty table gives an empty table. Only the id and the text are
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -51,6 +51,8 @@ TOLD = 4096  # the same where nothing is learnt and the result doesn't hang on i
 SEGMENT = 1 << 16
 UNSEEN = 128  # of a table's bytes: log odds in steps of 1/STEP around it
 STEP = 15
+STRIDE = 4  # levels of a code whose bits lie side by side in a table, so that one look into memory serves them
+LINE_SLOTS = 1 << STRIDE
 BUCKETS = 129
 LINE = np.linspace(-8, 8, BUCKETS, dtype=np.float32)
 _M = np.uint32(0x9E3779B1)
@@ -60,6 +62,7 @@ TOKEN_BITS = (18, 21, 22, 22)
 LETTER_BITS = (18, 20, 21, 22)
 CONTEXTS = 4
 GATES = (1 << CONTEXTS) * 3
+_MIDDLES = np.arange(GATES) * BUCKETS + (BUCKETS - 1) // 2  # of each gate's part of the map
 
 
 # codes
@@ -67,12 +70,17 @@ GATES = (1 << CONTEXTS) * 3
 
 @dataclass(frozen=True)
 class Code:
-    """Huffman codes: symbol i is told by the bits from ``start[i]`` on, ``size[i]`` of them. Each is told by a hash of its place
-    in the tree, whose last three places hold a step of its depth and the bit."""
+    """Huffman codes: symbol i is told by the bits from ``start[i]`` on, ``size[i]`` of them, in the groups from ``begin[i]`` on:
+    STRIDE levels of the tree or what is left of them, below a node which ``roots`` tells by a hash. A bit of ``nodes`` holds its
+    group's node, its place below that node (a heap's number), and in the last three places a step of its depth and the bit. Of
+    each group, ``tails`` hold the last byte of its first bit, its second and so on, zero where there is none."""
 
     start: np.ndarray
     size: np.ndarray
     nodes: np.ndarray
+    begin: np.ndarray
+    roots: np.ndarray
+    tails: np.ndarray
 
     @staticmethod
     def of(weights: np.ndarray) -> Code:
@@ -94,8 +102,16 @@ class Code:
         size = np.bincount(symbol, minlength=n)
         start = np.cumsum(size) - size
         depth = np.arange(len(order)) - np.repeat(start, size)
-        steps = np.searchsorted([2, 6], depth, side="right") * 2 + bit[order]
-        return Code(start, size, _mixed(node[order].astype(np.uint32) + np.uint32(1)) & ~np.uint32(7) | steps.astype(np.uint32))
+        node, bit, within = node[order], bit[order].astype(np.int64), depth % STRIDE
+        root, below = node.copy(), np.ones(len(node), np.int64)
+        for level in range(1, STRIDE):
+            here = np.flatnonzero(within == level)
+            root[here], below[here] = root[here - 1], 2 * below[here - 1] + bit[here - 1]
+        steps = np.searchsorted([2, 6], depth, side="right") * 2 + bit
+        nodes, heads, groups = (root << STRIDE | below) << 3 | steps, np.flatnonzero(within == 0), -(-size // STRIDE)
+        tails = np.zeros((STRIDE, len(heads)), np.uint8)
+        tails[within, np.cumsum(within == 0) - 1] = nodes & 127
+        return Code(start, size, nodes, np.cumsum(groups) - groups, _mixed(root[heads].astype(np.uint32) + np.uint32(1)), tails)
 
 
 # contexts: arrays of 32-bit hashes, one per symbol
@@ -151,33 +167,57 @@ TOKENS = Kind("tokens", token_contexts, lambda ids: np.where(ids >= 0, ids, ESCA
 LETTERS = Kind("letters", letter_contexts, lambda raw: raw, LETTER_BITS)
 
 
-def spelt_out(code: Code, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of these symbols: the number of bits of each, and of all bits one after another the places and the signs (the bit, and
-    twice a step of depth)."""
-    size = code.size.take(s)
-    at = np.repeat(code.start.take(s) - np.cumsum(size) + size, size)
-    at += np.arange(len(at))
-    nodes = code.nodes.take(at, mode="clip")
-    signs = nodes & np.uint32(7)
-    nodes ^= signs
-    return size, nodes, signs
-
-
-def slots_of(context: np.ndarray, size: np.ndarray, nodes: np.ndarray, bits: int) -> np.ndarray:
-    x = np.repeat(context, size)
-    x ^= nodes
-    x *= _M
-    x >>= np.uint32(32 - bits)
-    return x.astype(np.int64)
+@dataclass(frozen=True)
+class Spelt:
+    """The bits of some symbols: how many each symbol has, its first group, the symbol of each group, a hash of each group, and in
+    STRIDE rows the first bit of every group, the second and so on: whether there is one, its place in the group, and its signs
+    (the bit, and twice a step of depth)."""
 
+    size: np.ndarray
+    first: np.ndarray
+    of: np.ndarray
+    roots: np.ndarray
+    there: np.ndarray
+    below: np.ndarray
+    signs: np.ndarray
 
-def bits_of(kind: Kind, code: Code, values: np.ndarray, place: np.ndarray, block: int = BLOCK) -> Iterator[tuple[slice, np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """Block by block: which symbols, the number of bits of each, the bits' signs, and their slots in each table."""
+    @staticmethod
+    def out(code: Code, s: np.ndarray) -> Spelt:
+        size = code.size.take(s)
+        groups = (size + STRIDE - 1) // STRIDE
+        first = np.cumsum(groups) - groups
+        of = np.repeat(np.arange(len(s)), groups)
+        group = (code.begin.take(s) - first).take(of, mode="clip")
+        group += np.arange(len(group))
+        tails = code.tails.take(group, axis=1, mode="clip")
+        return Spelt(size, first, of, code.roots.take(group, mode="clip"), tails != 0, (tails >> np.uint8(3)).astype(np.int64), tails & np.uint8(7))
+
+    def slots(self, context: np.ndarray, bits: int) -> np.ndarray:
+        """Places in a table of 2 to the power ``bits``: those of a group lie side by side, in an order of its own."""
+        x = context.take(self.of, mode="clip")
+        x ^= self.roots
+        x *= _M
+        x >>= np.uint32(32 - bits)
+        return self.below ^ x.astype(np.int64)
+
+    def in_order(self, x: np.ndarray) -> np.ndarray:
+        """The bits of ``x``, symbol by symbol."""
+        return x.T[self.there.T]
+
+
+def cells_of(kind: Kind, code: Code, values: np.ndarray, place: np.ndarray, block: int = BLOCK) -> Iterator[tuple[slice, Spelt, Iterator[np.ndarray]]]:
+    """Block by block: which symbols, their bits, and the bits' slots in each table."""
     symbols, contexts = kind.symbols(values), kind.contexts(values, place)
     for lo in range(0, len(symbols), block):
         part = slice(lo, lo + block)
-        size, nodes, signs = spelt_out(code, symbols[part])
-        yield part, size, signs, [slots_of(c[part], size, nodes, b) for c, b in zip(contexts, kind.bits, strict=True)]
+        spelt = Spelt.out(code, symbols[part])
+        yield part, spelt, (spelt.slots(c[part], b) for c, b in zip(contexts, kind.bits, strict=True))
+
+
+def bits_of(kind: Kind, code: Code, values: np.ndarray, place: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """``cells_of`` bit by bit: which symbols, the number of bits of each, the bits' signs, and their slots in each table."""
+    for part, spelt, slots in cells_of(kind, code, values, place):
+        yield part, spelt.size, spelt.in_order(spelt.signs), [spelt.in_order(s) for s in slots]
 
 
 # tables of counts
@@ -241,11 +281,11 @@ class Counts:
             context, symbols = (x >> np.uint64(32)).astype(np.uint32), (x & np.uint64(0xFFFFFFFF)).astype(np.int64)
             for lo in range(0, len(x), TOLD):
                 part = slice(lo, lo + TOLD)
-                size, nodes, signs = spelt_out(code, symbols[part])
-                at = slots_of(context[part], size, nodes, b)
+                spelt = Spelt.out(code, symbols[part])
+                at = spelt.slots(context[part], b)
                 at <<= 1
-                at |= signs & np.uint32(1)
-                np.add.at(count, at, np.repeat(n[part], size))
+                at |= spelt.signs & np.uint8(1)
+                np.add.at(count, at.ravel(), (n[part].take(spelt.of) * spelt.there).ravel())
         self.times.clear()
         self.n = 0
 
@@ -270,27 +310,40 @@ class Mixer:
     def mix(self, st: list[np.ndarray], gate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log odds of a one as mixed, and where they lie on the map."""
         w = self.weights.T.astype(np.float32)
-        dot = w[-1].take(gate, mode="clip")
+        dot, part = w[-1].take(gate, mode="clip"), np.empty(gate.shape, np.float32)
         for k, x in enumerate(st):
-            dot += w[k].take(gate, mode="clip") * x
+            w[k].take(gate, mode="clip", out=part)
+            part *= x
+            dot += part
         np.clip(dot, -12, 12, out=dot)
-        at = np.rint(np.clip(dot, -8, 8) * np.float32((BUCKETS - 1) / 16)).astype(np.int64)
-        at += gate * BUCKETS + (BUCKETS - 1) // 2
+        np.clip(dot, -8, 8, out=part)
+        part *= np.float32((BUCKETS - 1) / 16)
+        at = np.rint(part, out=part).astype(np.int64)
+        at += _MIDDLES.take(gate, mode="clip")
         return dot, at
 
     def predict(self, st: list[np.ndarray], gate: np.ndarray) -> np.ndarray:
         """Probability of a one: half as mixed, half as the map refines it."""
         dot, at = self.mix(st, gate)
-        return 0.5 / (1 + np.exp(-dot)) + self.refine.ravel().take(at, mode="clip") * 0.5
+        np.exp(np.negative(dot, out=dot), out=dot)
+        dot += 1
+        np.divide(np.float32(0.5), dot, out=dot)
+        return dot + (self.refine * 0.5).ravel().take(at, mode="clip")
 
 
-def looked_up(table: np.ndarray, kind: Kind, slots: list[np.ndarray], signs: np.ndarray, itself: bool = False) -> tuple[list[np.ndarray], np.ndarray]:
+def looked_up(table: np.ndarray, kind: Kind, slots: Iterable[np.ndarray], signs: np.ndarray, itself: bool = False) -> tuple[list[np.ndarray], np.ndarray]:
     """Log odds of each context and the gate. ``itself``: the table is the one without a bit itself."""
-    st, gate, bits = [], (signs >> 1 << CONTEXTS).astype(np.uint8), (signs & 1).astype(np.int64)
+    st, gate, bits = [], signs >> 1 << CONTEXTS, signs & 1
     for k, (s, start) in enumerate(zip(slots, kind.offsets, strict=False)):
-        q = table[2 * start : 2 * start + (2 << kind.bits[k])].take(2 * s + bits, mode="clip") if itself else table[start : start + (1 << kind.bits[k])].take(s, mode="clip")
-        st.append(np.subtract(q, UNSEEN, dtype=np.float32) * np.float32(1 / STEP))
-        gate += (q != UNSEEN).view(np.uint8) << np.uint8(k)
+        if itself:
+            s = s << 1
+            s |= bits
+        q = table[start << itself : start + (1 << kind.bits[k]) << itself].take(s, mode="clip")
+        x = q.astype(np.float32)
+        x -= UNSEEN
+        x *= np.float32(1 / STEP)
+        st.append(x)
+        gate += (q != UNSEEN).view(np.uint8) * np.uint8(1 << k)
     return st, gate.astype(np.int64)
 
 
@@ -299,12 +352,15 @@ class Learner:
 
     def __init__(self) -> None:
         self.mixer, n = Mixer.fresh(), CONTEXTS + 1
-        self.curve, self.map, self.blocks = np.zeros((GATES, n, n)), np.zeros((2, GATES * BUCKETS)), 0
+        self.curve, self.seen = np.zeros((GATES, n, n)), np.zeros(2 * GATES * BUCKETS)
 
     def learn(self, st: list[np.ndarray], gate: np.ndarray, bits: np.ndarray, times: np.ndarray | None) -> None:
+        """From arrays of any one shape; what is behind the last gate is no bit."""
         # all bits in the order of their gates: what is mixed, and the products of inputs and errors, are matrix products of each
-        n, m, size = len(st) + 1, len(gate), GATES * BUCKETS
-        order, many = np.argsort(gate.astype(np.uint8), kind="stable"), np.bincount(gate, minlength=GATES)
+        n, size, gate = len(st) + 1, GATES * BUCKETS, gate.ravel()
+        many = np.bincount(gate, minlength=GATES)[:GATES]
+        m = many.sum()
+        order = np.argsort(gate.astype(np.uint8), kind="stable")[:m]
         spans = [(g, end - k, end) for g, (k, end) in enumerate(zip(many.tolist(), np.cumsum(many).tolist(), strict=True)) if k]
         x, y, dot = np.ones((n, m), np.float32), np.empty((n + 1, m), np.float32), np.empty(m, np.float32)
         for k, one in enumerate(st):
@@ -314,30 +370,29 @@ class Learner:
             np.matmul(weights[g], x[:, begin:end], out=dot[begin:end])
         np.clip(dot, -12, 12, out=dot)
         at = np.rint(np.clip(dot, -8, 8) * np.float32((BUCKETS - 1) / 16)).astype(np.int64)
-        at += np.repeat(np.arange(GATES) * BUCKETS + (BUCKETS - 1) // 2, many)
+        at += np.repeat(_MIDDLES, many)
         np.exp(np.negative(dot, out=dot), out=dot)
         dot += 1
-        p, bits = np.reciprocal(dot, out=dot), bits.take(order)
+        p, bits = np.reciprocal(dot, out=dot), bits.take(order, mode="clip")
         err, v = bits.astype(np.float32) - p, p - p * p
         if times is not None:
             times = times.take(order)
             err, v = err * times, v * times
         at <<= 1
         at |= bits
-        seen = np.bincount(at, times, 2 * size).reshape(size, 2)
-        self.map[0] += seen[:, 1]
-        self.map[1] += seen.sum(axis=1)
+        self.seen += np.bincount(at, times, 2 * size)
         np.multiply(x, v, out=y[:n])
         y[n] = err
         for g, begin, end in spans:
             both = y[:, begin:end] @ x[:, begin:end].T
             self.curve[g] += both[:n]
             slope[g] = both[n]
-        self.blocks += 1
-        self.mixer.weights += np.clip(np.linalg.solve(self.curve + 10 * np.eye(n), slope[:, :, None])[:, :, 0], -0.25, 0.25)
+        met = [g for g, _, _ in spans]
+        self.mixer.weights[met] += np.clip(np.linalg.solve(self.curve[met] + 10 * np.eye(n), slope[met, :, None])[:, :, 0], -0.25, 0.25)
 
     def sums(self) -> np.ndarray:
-        return np.concatenate([self.curve.ravel(), np.einsum("gij,gj->gi", self.curve, self.mixer.weights).ravel(), self.map.ravel()])
+        seen = self.seen.reshape(-1, 2)
+        return np.concatenate([self.curve.ravel(), np.einsum("gij,gj->gi", self.curve, self.mixer.weights).ravel(), seen[:, 1], seen.sum(axis=1)])
 
     @staticmethod
     def merged(sums: np.ndarray | None) -> Mixer:
@@ -355,10 +410,12 @@ class Learner:
 def log2_of(kind: Kind, code: Code, table: np.ndarray, mixer: Mixer, values: np.ndarray, place: np.ndarray) -> np.ndarray:
     """log2 of the model's probability of each symbol."""
     out = np.zeros(len(values))
-    for part, size, signs, slots in bits_of(kind, code, values, place, TOLD):
-        p = mixer.predict(*looked_up(table, kind, slots, signs))
-        each = np.log(np.maximum(np.where(signs & 1, p, 1 - p), np.float32(1e-12)))
-        out[part] = np.add.reduceat(each, np.cumsum(size) - size)
+    for part, spelt, slots in cells_of(kind, code, values, place, TOLD):
+        p = mixer.predict(*looked_up(table, kind, slots, spelt.signs))
+        p -= (spelt.signs & 1) ^ 1  # of a zero: what is left of one
+        each = np.log(np.maximum(np.abs(p, out=p), np.float32(1e-12), out=p), out=p)
+        each *= spelt.there
+        out[part] = np.add.reduceat(sum(each), spelt.first)
     return out / np.log(2)
 
 
@@ -488,8 +545,10 @@ def learn(rows: DataFrame, feed: Feed, kind: Kind, shared: Broadcast, less: np.n
         def flush() -> None:
             values, place = (np.concatenate([h[k] for h in held]) for k in range(2))
             times = None if held[0][2] is None else np.concatenate([h[2] for h in held])
-            for own, n_bits, signs, slots in bits_of(kind, code, values, place):
-                learner.learn(*looked_up(table, kind, slots, signs, True), signs & 1, None if times is None else np.repeat(times[own], n_bits))
+            for own, spelt, slots in cells_of(kind, code, values, place):
+                st, gate = looked_up(table, kind, slots, spelt.signs, True)
+                gate[~spelt.there] = GATES
+                learner.learn(st, gate, spelt.signs & 1, None if times is None else np.tile(times[own].take(spelt.of), STRIDE))
             held.clear()
 
         def told_of(part: int) -> pa.RecordBatch:

@@ -281,6 +281,22 @@ def test_lm_counts_what_occurs_again_once():
         assert (gathered.finished() == 2 * plain.finished()).all()
 
 
+def test_lm_bits_lie_side_by_side():
+    """A table is met once for four bits of a symbol, not once for each bit; no two bits of a symbol share a slot."""
+    ids, place, code = stream(np.random.default_rng(4), 100)
+    for _, size, signs, slots in lm_score.bits_of(lm_score.TOKENS, code, ids, place):
+        ends = np.cumsum(size)
+        assert len(signs) == ends[-1] and size.max() > 4
+        for s in slots:
+            for a, z in zip(ends - size, ends, strict=True):
+                assert len(set(s[a:z].tolist())) == z - a
+                assert all(len(set((s[k : min(k + 4, z)] >> 4).tolist())) == 1 for k in range(a, z, 4))
+    for i in range(len(code.size)):  # the groups of a symbol tell the bits of its code
+        bits = code.nodes[code.start[i] : code.start[i] + code.size[i]]
+        tails = code.tails[:, code.begin[i] : code.begin[i] - (-len(bits) // 4)].T.ravel()
+        assert tails[: len(bits)].tolist() == (bits & 127).tolist() and not tails[len(bits) :].any()
+
+
 def test_lm_sums_of_rare_tokens(spark):
     """Sums are the same in any order and off by less than a billionth; they were off by up to 3e-8 a row."""
     values = [math.log10(k + 0.5) * (-1) ** k * 3 for k in range(400)] + [1e12, -1e12]
