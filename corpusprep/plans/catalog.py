@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType
 from ..functions import canonical, identity, text
 from ..operators import assembly, chunking, documents, json_schema, manifests, reconcile, records, retrieval, rules, series, tokens
 from ..operators.sentences import sentence_spans as spans_of
-from ..shared import shared_dir
+from ..shared import discard, shared_dir
 from ..sources import csv_splits, files, seeds
 from ..sources.tables import table
 
@@ -645,4 +645,5 @@ def csv_records(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
     table(spark, folder, "documents").select("doc_id", "source", "text").write.csv(path, header=True, escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     records = csv_splits.csv_records(spark, path).where("row_number > 1")
+    discard(spark, path)  # the records are of what was settled
     return records.select(F.get("values", F.lit(0)).alias("doc_id"), F.get("values", F.lit(1)).alias("source"), identity.sha256_text(F.coalesce(F.get("values", F.lit(2)), F.lit(""))).alias("text_sha256"))

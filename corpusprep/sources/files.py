@@ -11,6 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def csv_rows(text: str) -> list[list[str]]:
+    """Rows of a CSV text. Fields may be of any length; Python's limit of 131,072 characters is the process's, so it is set where rows are read."""
+    csv.field_size_limit(2**31 - 1)
+    return list(csv.reader(io.StringIO(text, newline="")))
+
+
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """Records of each CSV file: path, row_number (the header is 1; by record, not by line), values (array). A record may hold
     newlines, so a file is read as a whole, by one task; files are read side by side."""
@@ -18,7 +24,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for p, content in zip(b["path"], b["content"], strict=True):
-                rows = list(csv.reader(io.StringIO(bytes(content).decode("utf-8-sig"), newline="")))
+                rows = csv_rows(bytes(content).decode("utf-8-sig"))
                 for at in range(0, len(rows), 5000):
                     part = rows[at : at + 5000]
                     yield pd.DataFrame({"path": p, "row_number": range(at + 1, at + 1 + len(part)), "values": part})

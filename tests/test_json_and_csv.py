@@ -1,6 +1,7 @@
 """Schemas as columns against the driver's walk; CSV by splits against the whole-file reader."""
 
 import csv
+import hashlib
 import io
 import json
 import random
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusprep.operators import json_schema, rules
+from corpusprep.plans import catalog
 from corpusprep.sources import csv_splits, files
 
 SCHEMA = {
@@ -93,6 +95,52 @@ def test_quoted_newlines_across_splits(spark, tmp_path, small_splits, seed):
     assert got == records(files.csv_records(spark, str(tmp_path))) and len(got) > 360
 
 
+def test_fields_of_any_length(spark, tmp_path):
+    """Python's csv module takes 131,072 characters unless it is told otherwise."""
+    rows = [["1", "x" * 131_073], ["2", 'a "b",\n' * 20_000], ["3", ""]]
+    out = io.StringIO(newline="")
+    csv.writer(out).writerows(rows)
+    (tmp_path / "a.csv").write_text(out.getvalue(), newline="")
+    for source in (csv_splits, files):
+        assert [r[2] for r in records(source.csv_records(spark, str(tmp_path)))] == rows
+
+
+def test_long_texts_as_csv(spark, tmp_path):
+    texts = ["x" * 131_073, 'a "b",\n' * 20_000, None, "\ufeffa\n\ufeff\"b", "\r\n,\r"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("doc_id", "'s' AS source", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, catalog.csv_records(spark, str(tmp_path)).collect()))
+    assert got == [(str(i), "s", hashlib.sha256((t or "").encode()).hexdigest()) for i, t in enumerate(texts)]
+
+
+def test_marks_within_a_file(spark, tmp_path):
+    """A byte order mark begins a file once; elsewhere it is a letter, and a quote after it is one too."""
+    (tmp_path / "a.csv").write_bytes('\ufeff"a\n"\n\ufeff"b\nc"\n'.encode())
+    (tmp_path / "b.csv").write_bytes('\ufeff\ufeff"a\n"\n\ufeffb'.encode())
+    got = records(csv_splits.csv_records(spark, str(tmp_path)))
+    assert got == records(files.csv_records(spark, str(tmp_path)))
+    assert got == [("a.csv", 1, ["a\n"]), ("a.csv", 2, ['\ufeff"b']), ("a.csv", 3, ['c"']), ("b.csv", 1, ['\ufeff"a']), ("b.csv", 2, ["\n\ufeffb"])]
+
+
+@pytest.mark.parametrize("rows", (1, 3))
+def test_records_across_batches_and_splits(spark, tmp_path, rows):
+    """Odd files, whose lines come in splits of some bytes and batches of some lines."""
+    rng = random.Random(rows)
+    for k in range(24):
+        letters = rng.choice(['ab",\r\n', 'a"\n', 'a",\n', '"\r\n', "ab,\n"])
+        (tmp_path / f"{k:02}.csv").write_text("".join(rng.choice(letters) for _ in range(rng.randint(0, 160))), newline="")
+    want = records(files.csv_records(spark, str(tmp_path)))
+    keys = {"spark.sql.files.maxPartitionBytes": "41", "spark.sql.files.openCostInBytes": "0", "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        got = csv_splits.csv_records(spark, str(tmp_path))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert records(got) == want and len(want) > 100
+
+
 def test_effects_of_lines(spark):
     """The four functions, against a reader that is told in which state it begins."""
     rng = random.Random(9)
