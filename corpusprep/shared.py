@@ -29,6 +29,17 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch of whole texts; a batch holds one row at least.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session by bytes, so that a task holds few whole texts at once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared one, once all that was made of it is written itself."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from ..operators.series import PART
-from ..shared import settle
+from ..shared import settle, small_batches
 from .files import csv_rows
 
 # fields that are closed, and one that is open to the end of the line
@@ -151,6 +151,7 @@ def _begun(units: DataFrame) -> DataFrame:
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """Records of each CSV file: path, row_number (the header is 1; by record, not by line), values (array). What it returns does not
     read the files again."""
+    small_batches(spark)
     read, line = spark.read.option("lineSep", "\n").text(path), F.col("value")
     told = [c.alias(f"{k}_{s}") for k, of in (("ends", _effect), ("rows", _rows_within)) for s, c in zip(STATES, of(line), strict=True)]
     lines = read.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias(PART), F.col("_metadata.file_size").alias("size"), line.alias("line"), *told)

@@ -112,6 +112,19 @@ def test_long_texts_as_csv(spark, tmp_path):
     assert got == [(str(i), "s", hashlib.sha256((t or "").encode()).hexdigest()) for i, t in enumerate(texts)]
 
 
+@pytest.mark.parametrize(("was", "then"), (("64m", str(4 << 20)), ("67108864b", str(4 << 20)), ("1m", "1m")))
+def test_whole_records_come_in_small_batches(spark, tmp_path, was, then):
+    """A batch of as many records as a task is given at once by default took an executor beyond its memory."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key)
+    (tmp_path / "a.csv").write_text("a\n")
+    try:
+        spark.conf.set(key, was)
+        assert records(csv_splits.csv_records(spark, str(tmp_path))) == [("a.csv", 1, ["a"])] and spark.conf.get(key) == then
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_marks_within_a_file(spark, tmp_path):
     """A byte order mark begins a file once; elsewhere it is a letter, and a quote after it is one too."""
     (tmp_path / "a.csv").write_bytes('\ufeff"a\n"\n\ufeff"b\nc"\n'.encode())
